@@ -6,7 +6,7 @@ values to common values. One spec gives one projection, no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -25,20 +25,28 @@ def column(expression: Expression) -> Column:
     return F.expr(expression) if isinstance(expression, str) else expression()
 
 
-def mapped(value: Column, table: Mapping[str, Hashable], default: Hashable = None) -> Column:
-    """Lookup by equality; unknown and NULL values give the default."""
-    result = F.lit(default)
-    for source, target in reversed(table.items()):
-        result = F.when(value == source, F.lit(target)).otherwise(result)
-    return result
+def mapped(value: str, table: Mapping[str, str], default: str | None = None) -> Column:
+    """Lookup of a column by equality; unknown and NULL values give the default."""
+    otherwise = "NULL" if default is None else _literal(default)
+    if not table:
+        return F.expr(f"CAST({otherwise} AS STRING)")
+    cases = " ".join(f"WHEN {_literal(source)} THEN {_literal(target)}" for source, target in table.items())
+    return F.expr(f"CASE {value} {cases} ELSE {otherwise} END")
 
 
-def financial_flag(kind: Column, status: Column, table: Mapping[tuple[str, str], bool]) -> Column:
+def financial_flag(kind: str, status: str, table: Mapping[tuple[str, str], bool]) -> Column:
     """True or false per supported (type, status) pair, NULL for every other pair."""
-    flag = F.lit(None).cast("boolean")
-    for (k, s), financial in reversed(table.items()):
-        flag = F.when((kind == k) & (status == s), F.lit(financial)).otherwise(flag)
-    return flag
+    if not table:
+        return F.expr("CAST(NULL AS BOOLEAN)")
+    cases = " ".join(
+        f"WHEN {kind} = {_literal(k)} AND {status} = {_literal(s)} THEN {str(financial).lower()}"
+        for (k, s), financial in table.items()
+    )
+    return F.expr(f"CASE {cases} END")
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def signed(amount: Column, operation: Column, negative: Sequence[str] = NEGATIVE_OPERATIONS) -> Column:
@@ -70,10 +78,11 @@ class EventSpec:
     `columns` maps contract columns to expressions over staged columns. `kind` and
     `status` name the staged columns behind the lookups; without `status`, the kind also
     decides the status. `event_id` and `amount_usd_reported` may use `_operation`, the
-    mapped operation, and `_amount`, the signed local amount.
+    mapped operation, and `_amount`, the signed local amount. With psp=None, `columns`
+    holds an expression for psp.
     """
 
-    psp: str
+    psp: str | None
     kind: str
     operations: Mapping[str, str]
     columns: Mapping[str, Expression]
@@ -96,23 +105,22 @@ def by_kind(table: Mapping[str, bool]) -> dict[tuple[str, str], bool]:
 
 def provider_events(staged: DataFrame, spec: EventSpec) -> DataFrame:
     """Apply one spec: final states only, mapped, signed, in contract order."""
-    kind = F.col(spec.kind)
-    status = F.col(spec.status or spec.kind)
-    rows = staged.filter(kind.isin(*spec.keep_only)) if spec.keep_only else staged
-    operation = mapped(kind, spec.operations, spec.operation_default)
+    status = spec.status or spec.kind
+    rows = staged.filter(F.col(spec.kind).isin(*spec.keep_only)) if spec.keep_only else staged
+    operation = mapped(spec.kind, spec.operations, spec.operation_default)
     base = rows.select(
         "*",
         operation.alias("_operation"),
         mapped(status, spec.statuses, spec.status_default).alias("_status"),
-        financial_flag(kind, status, spec.financial).alias("_financial"),
+        financial_flag(spec.kind, status, spec.financial).alias("_financial"),
         signed(column(spec.amount), operation, spec.negative).alias("_amount"),
     )
     events = base.select(
-        F.lit(spec.psp).alias("psp"),
+        *([F.lit(spec.psp).alias("psp")] if spec.psp else []),
         column(spec.event_id).alias("provider_event_id"),
         F.col("_operation").alias("operation_type"),
         F.col("_status").alias("status"),
-        status.alias("source_status"),
+        F.col(status).alias("source_status"),
         F.col("_financial").alias("is_financial_event"),
         F.col("_amount").alias("amount_local_signed"),
         column(spec.amount_usd_reported).alias("amount_usd_reported"),

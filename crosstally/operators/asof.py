@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crosstally.functions.decimals import RATE, convert
 from crosstally.operators.contracts import VALUED_EVENT, conform
-from crosstally.operators.skew import fits_broadcast
-
-MAX_BROADCAST_ROWS = 200_000
+from crosstally.operators.skew import MAX_BROADCAST_ROWS, fits_broadcast
 
 
 def latest_revision(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ are three-valued: NULL means the source combination is not supported.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     BooleanType,
     DataType,
@@ -93,6 +93,6 @@ TARIFF = _struct(
 def conform(df: DataFrame, contract: StructType) -> DataFrame:
     """Bring columns into contract order and type; contract columns the frame lacks are NULL."""
     have = set(df.columns)
-    return df.select(
-        *((F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in contract)
+    return df.selectExpr(
+        *(f"CAST({f.name if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}" for f in contract)
     )

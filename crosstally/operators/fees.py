@@ -92,28 +92,28 @@ def price(contracted: DataFrame, reported: DataFrame, rounding: str = "exact") -
     expected = F.when(same, percent_fee(local, percent, fixed, rounding=rounding)).when(
         in_usd, percent_fee(usd, percent, fixed, wide=True, rounding=rounding)
     )
-    return (
-        joined.withColumn("principal_amount_fee_currency", F.when(same, local.cast(USD)).when(in_usd, usd))
-        .withColumn("fee_fx_rate", F.when(same, F.col("fx_rate_selected")).when(in_usd, F.lit(1).cast(RATE)))
-        .withColumn("expected_fee_local", F.when(payable, expected))
+    return joined.withColumns(
+        {
+            "principal_amount_fee_currency": F.when(same, local.cast(USD)).when(in_usd, usd),
+            "fee_fx_rate": F.when(same, F.col("fx_rate_selected")).when(in_usd, F.lit(1).cast(RATE)),
+            "expected_fee_local": F.when(payable, expected),
+        }
     )
 
 
 def fee_variance(priced: DataFrame) -> DataFrame:
     """Reported minus expected, locally and in USD cents; an unknown comparison differs."""
-    return (
-        priced.withColumn(
-            "signed_fee_variance_local", (F.col("reported_fee_local") - F.col("expected_fee_local")).cast(MONEY)
-        )
-        .withColumn("reported_fee_usd", cents(convert("reported_fee_local", "fee_fx_rate")).cast(USD))
-        .withColumn("expected_fee_usd", cents(convert("expected_fee_local", "fee_fx_rate")).cast(USD))
-        .withColumn("signed_fee_variance_usd", minus("reported_fee_usd", "expected_fee_usd"))
-        .withColumn("absolute_fee_variance_usd", F.abs("signed_fee_variance_usd"))
-        .withColumn(
-            "cause",
-            F.when(F.col("reported_fee_local") == F.col("expected_fee_local"), "matched").otherwise("fee_difference"),
-        )
+    reported, expected = F.col("reported_fee_local"), F.col("expected_fee_local")
+    measured = priced.withColumns(
+        {
+            "signed_fee_variance_local": (reported - expected).cast(MONEY),
+            "reported_fee_usd": cents(convert(reported, "fee_fx_rate")).cast(USD),
+            "expected_fee_usd": cents(convert(expected, "fee_fx_rate")).cast(USD),
+            "cause": F.when(reported == expected, "matched").otherwise("fee_difference"),
+        }
     )
+    variance = minus("reported_fee_usd", "expected_fee_usd")
+    return measured.withColumns({"signed_fee_variance_usd": variance, "absolute_fee_variance_usd": F.abs(variance)})
 
 
 def reconcile_fees(

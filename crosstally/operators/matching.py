@@ -9,6 +9,7 @@ row with every provider row of a key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -17,7 +18,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from crosstally.operators.adapters import union_matches
 from crosstally.operators.contracts import MATCH, conform
-from crosstally.operators.skew import salted_join
+from crosstally.operators.skew import MAX_BROADCAST_ROWS, salted_join
+from crosstally.sources.sinks import materialise
 
 ENGINE_ID = "engine_txn_id"
 PROVIDER_ID = "provider_event_id"
@@ -40,12 +42,22 @@ class MatchRule:
 
 
 def match(engine: DataFrame, provider: DataFrame, rule: MatchRule) -> DataFrame:
-    """Matches (psp, engine_txn_id, provider_event_id, match_method) of one rule."""
+    """Matches (psp, engine_txn_id, provider_event_id, match_method) of one rule.
+
+    A rule that is not one-to-one runs its key profile at once and writes it to the
+    shared folder: the keys with several rows on one side decide the rest of the plan,
+    and there are usually none.
+    """
     sides = _sides(engine, provider, rule)
     profile = _profile(sides, rule.keys)
+    if not rule.one_to_one:
+        profile = materialise(profile, "match_profiles", uuid.uuid4().hex)
     pairs = profile.filter("engine_rows = 1 AND provider_rows = 1").select("psp", ENGINE_ID, PROVIDER_ID)
     if not rule.one_to_one:
-        pairs = pairs.unionByName(_lopsided_pairs(sides, profile, rule.keys))
+        lopsided = profile.filter("least(engine_rows, provider_rows) = 1 AND engine_rows <> provider_rows")
+        count = lopsided.count()
+        if count:
+            pairs = pairs.unionByName(_lopsided_pairs(sides, lopsided, rule.keys, count <= MAX_BROADCAST_ROWS))
     return conform(pairs.withColumn("match_method", F.lit(rule.method)), MATCH)
 
 
@@ -105,12 +117,12 @@ def _profile(sides: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _lopsided_pairs(sides: DataFrame, profile: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _lopsided_pairs(sides: DataFrame, lopsided: DataFrame, keys: Sequence[str], few: bool) -> DataFrame:
     """Pairs of keys with one row on one side and several on the other."""
-    lopsided = profile.filter(
-        (F.least("engine_rows", "provider_rows") == 1) & (F.greatest("engine_rows", "provider_rows") > 1)
-    ).withColumn("_many", F.when(F.col("engine_rows") > 1, "E").otherwise("P"))
-    paired = salted_join(sides, lopsided.drop("engine_rows", "provider_rows"), keys, "inner")
+    single = lopsided.select(
+        *keys, ENGINE_ID, PROVIDER_ID, F.when(F.col("engine_rows") > 1, "E").otherwise("P").alias("_many")
+    )
+    paired = sides.join(F.broadcast(single), keys) if few else salted_join(sides, single, keys, "inner")
     many_is_engine = F.col("_many") == "E"
     return (
         paired.filter(F.col("_side") == F.col("_many"))

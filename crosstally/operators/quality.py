@@ -149,15 +149,19 @@ def multiset_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     return counts.withColumn("excess", F.abs(F.col("left_rows") - F.col("right_rows"))).filter("excess > 0")
 
 
+def homeless_fees(fees: DataFrame, events: DataFrame) -> DataFrame:
+    """(psp, provider_event_id) of fees that no event owns; a NULL ID has no owner."""
+    key = ["psp", PROVIDER_ID]
+    counts = _side_counts(fees, events, key)
+    ownerless = (F.col("right_rows") == 0) | F.col(PROVIDER_ID).isNull()
+    return counts.filter((F.col("left_rows") > 0) & ownerless).select(*key)
+
+
 def fee_differences(expected: DataFrame, actual: DataFrame, events: DataFrame) -> DataFrame:
     """Events whose fee rows are not exactly the expected ones, and fees without an event."""
     shape = ["psp", PROVIDER_ID, "provider_account", "fee_type", "currency", "fee_amount"]
     wrong = multiset_differences(expected.select(*shape), actual.select(*shape)).select("psp", PROVIDER_ID)
-    key = ["psp", PROVIDER_ID]
-    homeless = _side_counts(actual, events, key).filter(
-        (F.col("left_rows") > 0) & ((F.col("right_rows") == 0) | F.col(PROVIDER_ID).isNull())
-    )
-    return wrong.unionByName(homeless.select(*key)).distinct()
+    return wrong.unionByName(homeless_fees(actual, events)).distinct()
 
 
 def control_totals(source: DataFrame, target: DataFrame, equal: Mapping[str, tuple[str, str]]) -> DataFrame:

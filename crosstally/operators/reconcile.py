@@ -93,14 +93,16 @@ def attribute_period(pairs: DataFrame, months: Sequence[date]) -> DataFrame:
     def of_side(present: Column, value: Column) -> Column:
         return F.when(present, value).otherwise(F.lit(False))
 
-    return (
-        scoped.withColumn("engine_in_period", of_side(has_engine, in_month("engine_scope_timestamp_utc", month)))
-        .withColumn("provider_in_period", of_side(has_provider, in_month("provider_event_timestamp_utc", month)))
-        .withColumn("engine_is_financial_event", of_side(has_engine, F.col("engine_is_financial_event")))
-        .withColumn("provider_is_financial_event", of_side(has_provider, F.col("provider_is_financial_event")))
-        .filter(
-            "engine_in_period OR provider_in_period OR engine_in_period IS NULL OR provider_in_period IS NULL"
-        )
+    flagged = scoped.withColumns(
+        {
+            "engine_in_period": of_side(has_engine, in_month("engine_scope_timestamp_utc", month)),
+            "provider_in_period": of_side(has_provider, in_month("provider_event_timestamp_utc", month)),
+            "engine_is_financial_event": of_side(has_engine, F.col("engine_is_financial_event")),
+            "provider_is_financial_event": of_side(has_provider, F.col("provider_is_financial_event")),
+        }
+    )
+    return flagged.filter(
+        "engine_in_period OR provider_in_period OR engine_in_period IS NULL OR provider_in_period IS NULL"
     )
 
 
@@ -117,19 +119,20 @@ def measure(scoped: DataFrame) -> DataFrame:
         return F.when(paired, ~F.col(f"engine_{attribute}").eqNullSafe(F.col(f"provider_{attribute}")))
 
     local_gap = F.col("provider_amount_local_signed") - F.col("engine_amount_local_signed")
-    return (
-        scoped.withColumn("engine_recognized_usd", recognised("engine", F.col("engine_amount_usd_signed")))
-        .withColumn("provider_recognized_usd", recognised("provider", cents("provider_amount_usd_normalized")))
-        .withColumn("operation_type_differs", differs("operation_type"))
-        .withColumn("status_differs", differs("status"))
-        .withColumn("currency_differs", differs("currency"))
-        .withColumn(
-            "amount_local_difference", F.when(F.col("engine_currency") == F.col("provider_currency"), local_gap)
-        )
-        .withColumn("amount_usd_difference", minus("provider_amount_usd_normalized", "engine_amount_usd_signed"))
-        .withColumn("signed_usd_impact", minus("provider_recognized_usd", "engine_recognized_usd"))
-        .withColumn("absolute_usd_impact", F.abs("signed_usd_impact"))
+    same_currency = F.col("engine_currency") == F.col("provider_currency")
+    measured = scoped.withColumns(
+        {
+            "engine_recognized_usd": recognised("engine", F.col("engine_amount_usd_signed")),
+            "provider_recognized_usd": recognised("provider", cents("provider_amount_usd_normalized")),
+            "operation_type_differs": differs("operation_type"),
+            "status_differs": differs("status"),
+            "currency_differs": differs("currency"),
+            "amount_local_difference": F.when(same_currency, local_gap),
+            "amount_usd_difference": minus("provider_amount_usd_normalized", "engine_amount_usd_signed"),
+        }
     )
+    impact = minus("provider_recognized_usd", "engine_recognized_usd")
+    return measured.withColumns({"signed_usd_impact": impact, "absolute_usd_impact": F.abs(impact)})
 
 
 @dataclass(frozen=True)
@@ -186,10 +189,8 @@ def cause_rules(tolerance: str = "0.01") -> list[CauseRule]:
 
 def classify(measured: DataFrame, rules: Sequence[CauseRule] | None = None, otherwise: str = "matched") -> DataFrame:
     """Exactly one cause per row."""
-    cause = F.lit(otherwise)
-    for rule in reversed(rules if rules is not None else cause_rules()):
-        cause = F.when(F.expr(rule.condition), F.lit(rule.cause)).otherwise(cause)
-    return measured.withColumn("cause", cause)
+    cases = " ".join(f"WHEN {r.condition} THEN '{r.cause}'" for r in (cause_rules() if rules is None else rules))
+    return measured.withColumn("cause", F.expr(f"CASE {cases} ELSE '{otherwise}' END" if cases else f"'{otherwise}'"))
 
 
 def reconcile(

@@ -321,11 +321,6 @@ def _source_checks(s: Settlement) -> list[DataFrame]:
     charges = staged.filter("transaction_type IN ('Charge', 'Charge refund')")
     fee_rows = staged.filter(F.col("transaction_type") == feeds.GOOGLE_FEE_KIND)
     fees = s.source_fees["google_play"]
-    no_event = q.differing_keys(
-        fees.select("provider_event_id"),
-        events.join(fees.select("provider_event_id"), "provider_event_id", "left_semi").select("provider_event_id"),
-        ["provider_event_id"],
-    )
     signs = "(operation_type = 'SALE' AND amount_local_signed < 0)"
     signs += " OR (operation_type = 'REFUND' AND amount_local_signed > 0)"
     return [
@@ -357,7 +352,7 @@ def _source_checks(s: Settlement) -> list[DataFrame]:
                 {"records": ("count(1)", "count(1)"), "fees": ("-sum(merchant_amount)", "sum(fee_amount)")},
             ),
         ),
-        q.counted("fees_event:google_play", no_event),
+        q.counted("fees_event:google_play", q.homeless_fees(fees, events)),
         q.counted(
             "unresolved:adyen",
             q.unresolved(s.staged["adyen"], "psp_reference", "record_type", ["Authorised"], ["Settled", "Refused"]),
