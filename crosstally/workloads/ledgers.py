@@ -124,7 +124,7 @@ PROVIDER_SPEC = EventSpec(
 
 def provider_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The provider's rows as staged: signed amounts, its own type and state names."""
-    local = "IF(op = 'SALE', 1, -1) * (amount - IF(k % 31 = 6, 1.00, 0.00))"
+    local = "CAST(IF(op = 'SALE', 1, -1) * (amount - IF(k % 31 = 6, 1.00, 0.00)) AS DECIMAL(18,2))"
     value = f"{local} * IF(k % 29 = 7, quoted_rate, rate)"
     return (
         base(spark, sf_dir)
@@ -143,8 +143,8 @@ def provider_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             WHEN status = 'pending' THEN 'OPEN' ELSE 'REFUSED' END AS state""",
             "ts + make_dt_interval(IF(k % 41 = 9, 30, 0)) AS ts",
             f"CAST({local} AS DECIMAL(20,8)) AS amount",
-            f"""CAST(CASE WHEN k % 23 = 8 THEN round({value}, 2) + 0.01 WHEN k % 29 = 7 THEN {value} END
-            AS DECIMAL(20,8)) AS amount_usd""",
+            f"""CASE WHEN k % 23 = 8 THEN CAST(round({value}, 2) + 0.01 AS DECIMAL(20,8))
+            WHEN k % 29 = 7 THEN CAST({value} AS DECIMAL(20,8)) END AS amount_usd""",
         )
     )
 
