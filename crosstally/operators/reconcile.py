@@ -44,28 +44,18 @@ def pair_set(engine: DataFrame, provider: DataFrame, matches: DataFrame) -> Data
 
     `matches` refers to rows of these two frames. The result is an inner join and one
     anti join per side: adaptive execution can split a skewed key of each of them, which
-    it cannot for a full outer join. The joins of a side read the same shuffle. A row
-    with a NULL ID cannot match and stays unmatched.
+    it cannot for a full outer join, and a later month filter reaches the scans of the
+    anti joins. A row with a NULL ID equals nothing and stays unmatched.
     """
     e = engine.select("psp", ENGINE_ID, *(F.col(c).alias(a) for c, a in _ENGINE_COLUMNS.items()))
     p = provider.select("psp", PROVIDER_ID, *(F.col(c).alias(a) for c, a in _PROVIDER_COLUMNS.items()))
     links = matches.select("psp", ENGINE_ID, PROVIDER_ID, "match_method")
-
-    linked = e.dropna(subset=["psp", ENGINE_ID]).join(links, ["psp", ENGINE_ID], "inner")
-    matched = linked.join(p.dropna(subset=["psp", PROVIDER_ID]), ["psp", PROVIDER_ID], "inner")
-    parts = [
-        matched.withColumn("match_status", F.lit("matched")),
-        _without_match(e, links, ENGINE_ID).withColumn("match_status", F.lit("engine_only")),
-        _without_match(p, links, PROVIDER_ID).withColumn("match_status", F.lit("provider_only")),
-    ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
-def _without_match(side: DataFrame, links: DataFrame, row_id: str) -> DataFrame:
-    """Rows of one side that no match names; rows without an ID bypass the join."""
-    keys = ["psp", row_id]
-    unmatched = side.dropna(subset=keys).join(links.select(*keys), keys, "left_anti")
-    return unmatched.unionByName(side.filter(F.col("psp").isNull() | F.col(row_id).isNull()))
+    matched = e.join(links, ["psp", ENGINE_ID]).join(p, ["psp", PROVIDER_ID])
+    engine_only = e.join(links.select("psp", ENGINE_ID), ["psp", ENGINE_ID], "left_anti")
+    provider_only = p.join(links.select("psp", PROVIDER_ID), ["psp", PROVIDER_ID], "left_anti")
+    parts = {"matched": matched, "engine_only": engine_only, "provider_only": provider_only}
+    labelled = (df.withColumn("match_status", F.lit(status)) for status, df in parts.items())
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), labelled)
 
 
 def in_month(ts: Column | str, month: Column) -> Column:

@@ -367,16 +367,22 @@ def match_union(spark, sf):
 
 
 def _two_sides(spark, sf):
-    unvalued = lg.provider_unvalued(spark, sf)
-    engine = lg.engine(spark, sf)
-    events = asof.value_in_usd(unvalued, lg.rates(spark, sf))
-    return engine, events, matching.match(engine, unvalued, RULE)
+    """Engine, valued events and matches; both ledgers are written once for their readers."""
+    keep = settlement.written_layers()
+    engine = keep(lg.engine(spark, sf), "intermediate", "engine_events")
+    events = keep(lg.provider(spark, sf), "intermediate", "provider_events")
+    return engine, events, matching.match(engine, events, RULE)
 
 
 def _detail(spark, sf):
     return rec.reconcile(*_two_sides(spark, sf), [MONTH])
 
 
+def _kept_detail(spark, sf):
+    """The detail written once, for queries that read it more than once."""
+    return settlement.written_layers()(_detail(spark, sf), "marts", "reconciliation_detail")
+
+
 @query
 def pair_set(spark, sf):
     return rec.pair_set(*_two_sides(spark, sf)).select(
@@ -419,8 +425,9 @@ def recon_months(spark, sf):
 @query
 def recon_share(spark, sf):
     """Share of each provider and cause in the month's absolute impact; NULL if there is none."""
-    shares = rec.summarise(_detail(spark, sf)).select("psp", "cause", "absolute_impact_share_pct")
-    quiet = rec.summarise(_detail(spark, sf).filter("signed_usd_impact = 0")).selectExpr(
+    detail = _kept_detail(spark, sf)
+    shares = rec.summarise(detail).select("psp", "cause", "absolute_impact_share_pct")
+    quiet = rec.summarise(detail.filter("signed_usd_impact = 0")).selectExpr(
         "concat('quiet_', psp) AS psp", "cause", "absolute_impact_share_pct"
     )
     return comparable(shares.unionByName(quiet), {"absolute_impact_share_pct": 3})
@@ -636,7 +643,8 @@ def check_diff(spark, sf):
 
 @query
 def check_fee_source(spark, sf):
-    fee_rows = lg.fee_rows(spark, sf)
+    keep = settlement.written_layers()
+    fee_rows = keep(lg.fee_rows(spark, sf), "intermediate", "provider_fees")
     events = lg.fee_events(spark, sf)
     halved = fee_rows.withColumn("fee_amount", F.expr("IF(fee_type = 'markup', fee_amount * 2, fee_amount)").cast("decimal(20,8)"))
     return q.all_checks(
@@ -715,7 +723,7 @@ def check_scope(spark, sf):
 
 @query
 def check_summary(spark, sf):
-    detail = _fee_detail(spark, sf)
+    detail = settlement.written_layers()(_fee_detail(spark, sf), "marts", "fee_reconciliation_detail")
     summary = fees.summarise_fees(detail)
     fewer = detail.filter("principal_currency <> 'BRL'")
     return q.all_checks(
@@ -726,7 +734,7 @@ def check_summary(spark, sf):
 
 @query
 def check_multiset(spark, sf):
-    detail = _detail(spark, sf)
+    detail = _kept_detail(spark, sf)
     summary = rec.summarise(detail)
     fewer = detail.filter("match_status <> 'engine_only'")
     return q.all_checks(
@@ -739,7 +747,8 @@ def check_multiset(spark, sf):
 def check_three_way(spark, sf):
     """Engine, provider and detail totals; unsupported events make a total unknown on both ends."""
     engine, events, matches = _two_sides(spark, sf)
-    detail = rec.reconcile(engine, events, matches, [MONTH])
+    keep = settlement.written_layers()
+    detail = keep(rec.reconcile(engine, events, matches, [MONTH]), "marts", "reconciliation_detail")
     moved = detail.filter("cause <> 'cutoff_timing'")
     decided = events.withColumn("is_financial_event", F.expr("ifnull(is_financial_event, false)"))
     supported = rec.reconcile(engine, decided, matches, [MONTH])
