@@ -12,13 +12,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from crosstally.operators.adapters import union_matches
 from crosstally.operators.contracts import MATCH, conform
 from crosstally.operators.skew import MAX_BROADCAST_ROWS, salted_join
+from crosstally.session import concurrently
 from crosstally.sources.sinks import materialise
 
 ENGINE_ID = "engine_txn_id"
@@ -62,8 +63,8 @@ def match(engine: DataFrame, provider: DataFrame, rule: MatchRule) -> DataFrame:
 
 
 def match_all(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchRule]) -> DataFrame:
-    """Union of the matches of all rules."""
-    return union_matches(*(match(engine, provider, rule) for rule in rules))
+    """Union of the matches of all rules; their profiles run side by side."""
+    return union_matches(*concurrently([partial(match, engine, provider, rule) for rule in rules]))
 
 
 def repeated_keys(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchRule]) -> DataFrame:

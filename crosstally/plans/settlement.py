@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,23 +17,24 @@ from crosstally.operators.asof import latest_revision, value_in_usd
 from crosstally.operators.contracts import FX_RATE, conform
 from crosstally.operators.matching import match_all, repeated_keys
 from crosstally.plans import feeds
-from crosstally.session import pin_utc
+from crosstally.session import concurrently, pin_utc
 from crosstally.sources.sinks import Report, materialise, publish
 from crosstally.sources.snapshots import raw, require_inputs, titled_line_problems
 
 PROVIDERS = ("paypal_us", "paypal_eu", "dlocal", "adyen", "google_play")
 
-Keep = Callable[[DataFrame, str, str], DataFrame]
+Frames = dict[str, DataFrame]
+Keep = Callable[[str, Frames], Frames]
 
 
 @dataclass(frozen=True)
 class Settlement:
     """Every relation of a run. All frames are lazy or read from written layer tables."""
 
-    raw: dict[str, DataFrame]
-    staged: dict[str, DataFrame]
-    source_events: dict[str, DataFrame]
-    source_fees: dict[str, DataFrame]
+    raw: Frames
+    staged: Frames
+    source_events: Frames
+    source_fees: Frames
     rates: DataFrame
     engine: DataFrame
     events: DataFrame
@@ -54,69 +56,97 @@ class Settlement:
 
 
 def written_layers(root: str | None = None) -> Keep:
-    """Keep layers as tables of this run below `root`, by default the shared folder."""
+    """Keep layers as tables of this run below `root`, by default the shared folder.
+
+    Tables of one call do not depend on each other and are written side by side.
+    """
     run = uuid.uuid4().hex
 
-    def keep(df: DataFrame, layer: str, name: str) -> DataFrame:
-        return materialise(df, f"run_{run}/{layer}", name, root)
+    def keep(layer: str, frames: Frames) -> Frames:
+        writes = [partial(materialise, df, f"run_{run}/{layer}", name, root) for name, df in frames.items()]
+        return dict(zip(frames, concurrently(writes)))
 
     return keep
 
 
-def lazy_layers(df: DataFrame, layer: str, name: str) -> DataFrame:
+def lazy_layers(layer: str, frames: Frames) -> Frames:
     """Keep nothing; for small data and plan inspection."""
-    return df
+    return frames
 
 
 def settle(
     spark: SparkSession,
-    snapshots: dict[str, DataFrame],
+    snapshots: Frames,
     months: Sequence[date],
     keep: Keep | None = None,
     rounding: str = "exact",
 ) -> Settlement:
     """Relations of the run from raw snapshots (see `feeds.read_raw`).
 
-    Staged feeds, valued events, matches and details have several readers each; `keep`
-    decides whether they are written once or recomputed.
+    Staged feeds, events, matches and details have several readers each; `keep` decides
+    whether they are written once or recomputed.
     """
     pin_utc(spark)
     keep = keep or written_layers()
-    staged = {name: keep(feeds.STAGES[name](df), "staging", name) for name, df in snapshots.items()}
+    staged = keep("staging", {name: feeds.STAGES[name](df) for name, df in snapshots.items()})
 
-    engine = keep(adapters.engine_events(staged["engine"]), "intermediate", "engine_events")
     by_source = {n: adapters.provider_events(staged[n], feeds.EVENT_SPECS[n]) for n in PROVIDERS}
     unvalued = adapters.union_events(*by_source.values())
-    rates = conform(latest_revision(staged["fx_rates"], ["rate_date", "currency"], ["published_at"]), FX_RATE)
-    rates = keep(rates, "intermediate", "fx_rates")
-    events = keep(value_in_usd(unvalued, rates), "intermediate", "provider_events")
-    matches = keep(match_all(engine, unvalued, feeds.MATCH_RULES), "intermediate", "provider_matches")
-    fees_by_source = {n: _source_fees(n, staged, by_source) for n in PROVIDERS}
-    fees = keep(adapters.union_fees(*fees_by_source.values()), "intermediate", "provider_fees")
-    fees_by_source = {n: fees.filter(F.col("psp") == n) for n in PROVIDERS}
-
-    detail = keep(rec.reconcile(engine, events, matches, months), "marts", "reconciliation_detail")
-    fee_detail = fee_ops.reconcile_fees(events, fees, staged["fee_schedule"], months, rounding)
-    fee_detail = keep(fee_detail, "marts", "fee_reconciliation_detail")
+    rates = latest_revision(staged["fx_rates"], ["rate_date", "currency"], ["published_at"])
+    fees_by_source = [_source_fees(n, staged, by_source) for n in PROVIDERS]
+    base = keep(
+        "intermediate",
+        {
+            "engine_events": adapters.engine_events(staged["engine"]),
+            "fx_rates": conform(rates, FX_RATE),
+            "provider_fees": adapters.union_fees(*fees_by_source),
+        },
+    )
+    engine, rates, fees = base["engine_events"], base["fx_rates"], base["provider_fees"]
+    matched = keep(
+        "intermediate",
+        {
+            "provider_events": value_in_usd(unvalued, rates),
+            "provider_matches": match_all(engine, unvalued, feeds.MATCH_RULES),
+        },
+    )
+    events, matches = matched["provider_events"], matched["provider_matches"]
+    details = keep(
+        "marts",
+        {
+            "reconciliation_detail": rec.reconcile(engine, events, matches, months),
+            "fee_reconciliation_detail": fee_ops.reconcile_fees(
+                events, fees, staged["fee_schedule"], months, rounding
+            ),
+        },
+    )
+    detail, fee_detail = details["reconciliation_detail"], details["fee_reconciliation_detail"]
+    summaries = keep(
+        "marts",
+        {
+            "reconciliation_summary": rec.summarise(detail),
+            "fee_reconciliation_summary": fee_ops.summarise_fees(fee_detail),
+        },
+    )
     return Settlement(
         raw=snapshots,
         staged=staged,
         source_events=by_source,
-        source_fees=fees_by_source,
+        source_fees={n: fees.filter(F.col("psp") == n) for n in PROVIDERS},
         rates=rates,
         engine=engine,
         events=events,
         matches=matches,
         fees=fees,
         detail=detail,
-        summary=keep(rec.summarise(detail), "marts", "reconciliation_summary"),
+        summary=summaries["reconciliation_summary"],
         fee_detail=fee_detail,
-        fee_summary=keep(fee_ops.summarise_fees(fee_detail), "marts", "fee_reconciliation_summary"),
+        fee_summary=summaries["fee_reconciliation_summary"],
         months=list(months),
     )
 
 
-def _source_fees(name: str, staged: dict[str, DataFrame], events: dict[str, DataFrame]) -> DataFrame:
+def _source_fees(name: str, staged: Frames, events: Frames) -> DataFrame:
     rows = staged[name]
     if name == "google_play":
         charges = events[name].filter("operation_type = 'SALE'")
@@ -138,8 +168,7 @@ def run(
     require_inputs(spark, inputs.all_paths())
     result = settle(spark, feeds.read_raw(spark, inputs), months, keep, rounding)
     titles = titled_line_problems(spark, inputs.google_play, feeds.GOOGLE_COLUMNS, feeds.GOOGLE_TITLE)
-    verdict = q.all_checks(checks(result), q.counted("google_play_title_lines", titles))
-    publish(result.reports(), verdict, output)
+    publish(result.reports(), [*checks(result), q.counted("google_play_title_lines", titles)], output)
     return result
 
 
@@ -179,11 +208,10 @@ REQUIRED_DETAIL = (
 REQUIRED_FEE_DETAIL = "reported_fee_local expected_fee_local signed_fee_variance_usd".split()
 
 
-def checks(s: Settlement) -> DataFrame:
-    """All checks of the run as (check, violations)."""
-    return q.all_checks(
-        *_declared_checks(s), *_staging_checks(s), *_source_checks(s), *_matching_checks(s), *_report_checks(s)
-    )
+def checks(s: Settlement) -> list[DataFrame]:
+    """All checks of the run, each a small frame (check, violations)."""
+    groups = (_declared_checks, _staging_checks, _source_checks, _matching_checks, _report_checks)
+    return [check for group in groups for check in group(s)]
 
 
 def _declared_checks(s: Settlement) -> list[DataFrame]:

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Ledger timestamps are UTC; every parse and month boundary depends on it."""
@@ -44,3 +50,13 @@ def shared_folder(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="crosstally-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def concurrently(calls: Sequence[Callable[[], T]], at_once: int = 8) -> list[T]:
+    """Results of independent calls that each start Spark jobs; the scheduler shares the cores."""
+    if len(calls) < 2:
+        return [call() for call in calls]
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(min(at_once, len(calls))) as pool:
+        futures = [pool.submit(inherit(call)) for call in calls]
+        return [f.result() for f in futures]

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from crosstally.session import shared_folder
+from crosstally.session import concurrently, shared_folder
 
 
 class PublicationBlocked(RuntimeError):
@@ -59,19 +60,23 @@ def write_report(report: Report, path: str) -> None:
     report.sorted().write.mode("overwrite").option("header", True).csv(path)
 
 
-def failed_checks(checks: DataFrame) -> dict[str, int]:
-    """Checks (check, violations) that did not pass. One row per check reaches the driver."""
-    failing = checks.filter("violations IS NULL OR violations > 0").orderBy("check")
-    return {r["check"]: r["violations"] for r in failing.collect()}
+def check_results(checks: Sequence[DataFrame]) -> dict[str, int]:
+    """Violations by check. Frames (check, violations) run side by side; one row per check returns."""
+    rows = [row for result in concurrently([c.collect for c in checks]) for row in result]
+    return {row["check"]: row["violations"] for row in sorted(rows)}
 
 
-def publish(reports: Mapping[str, Report], checks: DataFrame, folder: str) -> None:
+def failed_checks(checks: Sequence[DataFrame]) -> dict[str, int]:
+    """Checks that did not pass."""
+    return {check: count for check, count in check_results(checks).items() if count != 0}
+
+
+def publish(reports: Mapping[str, Report], checks: Sequence[DataFrame], folder: str) -> None:
     """Write all reports if every check passes, else raise and write none."""
     failed = failed_checks(checks)
     if failed:
         raise PublicationBlocked(failed)
-    for name, report in reports.items():
-        write_report(report, f"{folder}/{name}")
+    concurrently([partial(write_report, report, f"{folder}/{name}") for name, report in reports.items()])
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

@@ -368,9 +368,8 @@ def match_union(spark, sf):
 
 def _two_sides(spark, sf):
     """Engine, valued events and matches; both ledgers are written once for their readers."""
-    keep = settlement.written_layers()
-    engine = keep(lg.engine(spark, sf), "intermediate", "engine_events")
-    events = keep(lg.provider(spark, sf), "intermediate", "provider_events")
+    ledgers = {"engine": lg.engine(spark, sf), "provider": lg.provider(spark, sf)}
+    engine, events = settlement.written_layers()("intermediate", ledgers).values()
     return engine, events, matching.match(engine, events, RULE)
 
 
@@ -378,9 +377,9 @@ def _detail(spark, sf):
     return rec.reconcile(*_two_sides(spark, sf), [MONTH])
 
 
-def _kept_detail(spark, sf):
-    """The detail written once, for queries that read it more than once."""
-    return settlement.written_layers()(_detail(spark, sf), "marts", "reconciliation_detail")
+def _kept(df):
+    """A frame written once, for queries that read it more than once."""
+    return settlement.written_layers()("marts", {"kept": df})["kept"]
 
 
 @query
@@ -425,7 +424,7 @@ def recon_months(spark, sf):
 @query
 def recon_share(spark, sf):
     """Share of each provider and cause in the month's absolute impact; NULL if there is none."""
-    detail = _kept_detail(spark, sf)
+    detail = _kept(_detail(spark, sf))
     shares = rec.summarise(detail).select("psp", "cause", "absolute_impact_share_pct")
     quiet = rec.summarise(detail.filter("signed_usd_impact = 0")).selectExpr(
         "concat('quiet_', psp) AS psp", "cause", "absolute_impact_share_pct"
@@ -643,8 +642,7 @@ def check_diff(spark, sf):
 
 @query
 def check_fee_source(spark, sf):
-    keep = settlement.written_layers()
-    fee_rows = keep(lg.fee_rows(spark, sf), "intermediate", "provider_fees")
+    fee_rows = _kept(lg.fee_rows(spark, sf))
     events = lg.fee_events(spark, sf)
     halved = fee_rows.withColumn("fee_amount", F.expr("IF(fee_type = 'markup', fee_amount * 2, fee_amount)").cast("decimal(20,8)"))
     return q.all_checks(
@@ -723,7 +721,7 @@ def check_scope(spark, sf):
 
 @query
 def check_summary(spark, sf):
-    detail = settlement.written_layers()(_fee_detail(spark, sf), "marts", "fee_reconciliation_detail")
+    detail = _kept(_fee_detail(spark, sf))
     summary = fees.summarise_fees(detail)
     fewer = detail.filter("principal_currency <> 'BRL'")
     return q.all_checks(
@@ -734,7 +732,7 @@ def check_summary(spark, sf):
 
 @query
 def check_multiset(spark, sf):
-    detail = _kept_detail(spark, sf)
+    detail = _kept(_detail(spark, sf))
     summary = rec.summarise(detail)
     fewer = detail.filter("match_status <> 'engine_only'")
     return q.all_checks(
@@ -747,8 +745,7 @@ def check_multiset(spark, sf):
 def check_three_way(spark, sf):
     """Engine, provider and detail totals; unsupported events make a total unknown on both ends."""
     engine, events, matches = _two_sides(spark, sf)
-    keep = settlement.written_layers()
-    detail = keep(rec.reconcile(engine, events, matches, [MONTH]), "marts", "reconciliation_detail")
+    detail = _kept(rec.reconcile(engine, events, matches, [MONTH]))
     moved = detail.filter("cause <> 'cutoff_timing'")
     decided = events.withColumn("is_financial_event", F.expr("ifnull(is_financial_event, false)"))
     supported = rec.reconcile(engine, decided, matches, [MONTH])

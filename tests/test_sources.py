@@ -99,9 +99,9 @@ def test_gate(spark, tmp_path):
     ok = counted("fine", spark.range(0))
     bad = counted("broken", spark.range(3))
     reports = {"r": report(spark, [("a", 1.0)])}
-    sinks.publish(reports, ok, str(tmp_path / "out"))
+    sinks.publish(reports, [ok], str(tmp_path / "out"))
     assert (tmp_path / "out" / "r").exists()
     with pytest.raises(sinks.PublicationBlocked) as blocked:
-        sinks.publish(reports, ok.unionByName(bad), str(tmp_path / "other"))
+        sinks.publish(reports, [ok, bad], str(tmp_path / "other"))
     assert blocked.value.failed == {"broken": 3}
     assert not (tmp_path / "other").exists()
