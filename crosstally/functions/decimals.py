@@ -34,12 +34,10 @@ def decimal_comma(text: Column | str, dtype: DecimalType = MONEY) -> Column:
 def minor_to_major(amount: Column | str, exponent: Column | str) -> Column:
     """Shift an integer count of minor units by a power of ten, 0 to 8 digits, exactly."""
     digits = _col(exponent).try_cast("smallint")
-    power = F.lit(None)
-    for k in range(_MAX_EXPONENT, -1, -1):
-        factor = F.lit(Decimal(1).scaleb(-k)).cast(DecimalType(9, 8))
-        power = F.when(digits == k, factor).otherwise(power)
+    factors = F.array(*(F.lit(Decimal(1).scaleb(-k)).cast(DecimalType(9, 8)) for k in range(_MAX_EXPONENT + 1)))
+    power = F.when(digits.between(0, _MAX_EXPONENT), F.try_element_at(factors, digits + 1))
     units = _col(amount).try_cast(DecimalType(28, 0))
-    return (units * power.cast(DecimalType(9, 8))).try_cast(MONEY)
+    return (units * power).try_cast(MONEY)
 
 
 def convert(amount: Column | str, rate: Column | str) -> Column:

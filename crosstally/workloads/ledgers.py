@@ -32,9 +32,9 @@ _SCHEMAS: dict[str, StructType] = {}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; its footer is read for the schema once per process."""
+    pin_utc(spark)
     path = f"{sf_dir}/{name}.parquet"
     if path not in _SCHEMAS:
-        pin_utc(spark)
         _SCHEMAS[path] = spark.read.parquet(path).schema
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
