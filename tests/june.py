@@ -1,6 +1,7 @@
-"""Small snapshots of one month that hold every published exception row of that month.
+"""Small snapshots of one month, built backwards from its published exception rows.
 
-The expected reports at the end are fixed values: the published results.
+Rates and the expected reports at the end are fixed values: the published ones. The raw
+rows around them (orders, clocks, zones, quotes, fee components) are made up to fit.
 """
 
 from __future__ import annotations
@@ -17,14 +18,14 @@ RATES = """rate_date,currency,usd_rate,published_at
 2026-06-10,BRL,0.190542,2026-06-12T09:00:00Z
 2026-06-10,GBP,1.288904,2026-06-10T16:00:00Z
 2026-06-11,GBP,1.290138,2026-06-11T16:00:00Z
+2026-06-12,BRL,0.184851,2026-06-12T16:00:00Z
 2026-06-12,EUR,1.087306,2026-06-12T16:00:00Z
 2026-06-12,EUR,1.0873060,2026-06-12T16:00:00Z
 2026-06-15,MXN,0.055169,2026-06-15T16:00:00Z
 2026-06-16,EUR,1.086632,2026-06-16T16:00:00Z
 2026-06-18,BRL,0.184047,2026-06-18T16:00:00Z
 2026-06-18,EUR,1.089456,2026-06-18T16:00:00Z
-2026-06-19,EUR,1.089553,2026-06-19T16:00:00Z
-2026-06-19,GBP,1.292743,2026-06-19T16:00:00Z
+2026-06-18,GBP,1.292986,2026-06-18T16:00:00Z
 2026-06-22,COP,0.000244,2026-06-22T16:00:00Z
 2026-06-23,ARS,0.000835,2026-06-23T16:00:00Z
 2026-06-24,EUR,1.083871,2026-06-24T16:00:00Z
@@ -46,7 +47,7 @@ ADYEN = [
     ("1785", "LumoECOM_EU", "EUR", "35.99", "Settled", "2026-06-18 12:48:00", "0.60", "0.30",
      ("TXN-107966", "59.99", "65.36", "1.089456", "2026-06-18T12:48:00Z")),
     ("1786", "LumoECOM_EU", "GBP", "11.00", "Settled", "2026-06-21 13:50:00", "0.20", "0.08",
-     ("TXN-107967", "21.99", "28.43", "1.292743", "2026-06-21T13:50:00Z")),
+     ("TXN-107967", "21.99", "28.43", "1.292986", "2026-06-21T13:50:00Z")),
     ("1787", "LumoECOM_EU", "EUR", "9.99", "Settled", "2026-07-02 10:00:00", "0.15", "0.10",
      ("TXN-107968", "9.99", "10.79", "1.080042", "2026-06-28T18:46:00Z")),
     ("1783", "LumoECOM_EU", "GBP", "21.99", "Settled", "2026-06-11 09:26:00", "0.35", "0.20",
@@ -76,8 +77,8 @@ DLOCAL = [
      ("TXN-107990", "15999.00", "13.44", "0.00084")),
     ("DL-90001319", "PAYMENT", "PAID", "ARS", "2", "1599900", "1197.6047904192", "13.37", "2026-06-23 09:45:00",
      ("TXN-107991", "15999.00", "13.36", "0.000835")),
-    ("DL-90001310", "PAYMENT", "IN_MEDIATION", "BRL", "2", "3490", "5.4108565550", "6.45", "2026-06-14 16:16:00",
-     ("TXN-107961", "34.90", "6.45", "0.184814")),
+    ("DL-90001310", "PAYMENT", "IN_MEDIATION", "BRL", "2", "3490", "5.4097624573", "6.45", "2026-06-14 16:16:00",
+     ("TXN-107961", "34.90", "6.45", "0.184851")),
 ]
 
 GOOGLE_HEADER = ",".join(feeds.GOOGLE_COLUMNS)
