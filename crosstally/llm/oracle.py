@@ -12,5 +12,22 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, text_sha256
 FROM n
 WINDOW g AS (PARTITION BY text_sha256)
+""",
+    "op5_topk": """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS terms
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum([a * c.terms[i] FOR a, i IN q.terms]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """,
 }

@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crosstally.llm import bpe, digest_index
+from crosstally.llm import bpe, digest_index, language, topk
 from crosstally.llm.common import table
 
 
+def op3_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.exact_dedup(table(spark, sf_dir, "documents"), digest_index.DigestIndex(spark))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors.filter(F.pmod("vec_id", F.lit(50)) == 0), vectors, 5)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -19,4 +28,4 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op4_digest_index, op9_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_string_kernel, op4_digest_index, op5_topk, op9_byte_bpe)}
