@@ -29,5 +29,48 @@ ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op7_mixing": """
+WITH d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+),
+s AS (
+  SELECT source, CAST(sum(size) AS HUGEINT) AS source_size,
+         (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
+  FROM d GROUP BY source
+),
+walk AS (
+  SELECT *, sum(source_size) OVER () - coalesce(3 * sum(source_size) OVER before, 0) AS words_left,
+         sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS w_left
+  FROM s
+  WINDOW before AS (ORDER BY 6 * source_size // w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+capped AS (SELECT *, words_left * w > 3 * source_size * w_left AS full_up FROM walk),
+rest AS (
+  SELECT sum(source_size) - coalesce(3 * sum(source_size) FILTER (full_up), 0) AS words,
+         sum(w) FILTER (NOT full_up) AS ws
+  FROM capped
+),
+planned AS (
+  SELECT source, source_size,
+         CASE WHEN full_up THEN CAST(3 * source_size AS DOUBLE) ELSE CAST(words * w AS DOUBLE) / ws END AS target,
+         CASE WHEN source_size = 0 THEN 0 WHEN full_up THEN 3072
+              ELSE (2 * 1024 * words * w + ws * source_size) // (2 * ws * source_size) END AS quota
+  FROM capped CROSS JOIN rest
+),
+placed AS (
+  SELECT d.*, p.source_size, p.target, p.quota,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+  FROM d JOIN planned p ON d.source IS NOT DISTINCT FROM p.source
+),
+cut AS (
+  SELECT *, least(1023, 1024 * (2 * earlier + size) // greatest(2 * source_size, 1)) AS block FROM placed
+)
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
+       CAST(size * ((block < quota)::INT + (block + 1024 < quota)::INT + (block + 2048 < quota)::INT) AS BIGINT) AS taken
+FROM cut
 """,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crosstally.llm import bpe, digest_index, language, topk
+from crosstally.llm import bpe, digest_index, language, mixing, topk
 from crosstally.llm.common import table
 
 
@@ -21,6 +21,11 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.filter(F.pmod("vec_id", F.lit(50)) == 0), vectors, 5)
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.taken(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -28,4 +33,4 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_string_kernel, op4_digest_index, op5_topk, op9_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_string_kernel, op4_digest_index, op5_topk, op7_mixing, op9_byte_bpe)}
