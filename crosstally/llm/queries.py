@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crosstally.llm import bpe, digest_index, language, mixing, topk
+from crosstally.llm import bpe, digest_index, html_text, language, mixing, topk, url_rules
 from crosstally.llm.common import table
 
 
@@ -26,6 +26,22 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+#: The listed rules of the contract: fixed values.
+URL_RULES = (
+    url_rules.Rule("allow", "com", "/"),
+    url_rules.Rule("block", "example.com", "/en/"),
+    url_rules.Rule("allow", "www.example.com", "/en/"),
+    url_rules.Rule("block", "net", "/es/"),
+    url_rules.Rule("block", "net", "/fr/"),
+)
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    mined = url_rules.mine(url_rules.label_urls(pages, labels, URL_RULES))
+    return url_rules.judge(pages, URL_RULES, mined)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -33,4 +49,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_string_kernel, op4_digest_index, op5_topk, op7_mixing, op9_byte_bpe)}
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op3_string_kernel, op4_digest_index, op5_topk, op7_mixing, op8_url_rules, op9_byte_bpe, op10_html_text)}
