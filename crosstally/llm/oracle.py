@@ -72,5 +72,66 @@ cut AS (
 SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
        CAST(size * ((block < quota)::INT + (block + 1024 < quota)::INT + (block + 2048 < quota)::INT) AS BIGINT) AS taken
 FROM cut
+""",
+    "op2_tool_calls": """
+WITH RECURSIVE t AS (
+  SELECT conv_id, turn, role, text, string_split(coalesce(text, ''), ' ') AS words,
+         length(coalesce(text, '')) % 4 AS kind
+  FROM conversations
+),
+calls AS (
+  SELECT conv_id, 'call-' || turn AS call_id, turn AS position, len(words) AS n, words, kind, text, turn,
+         CASE WHEN kind = 0 THEN 'search' WHEN kind = 1 THEN 'lookup' WHEN kind = 2 THEN 'translate'
+              WHEN len(words) % 3 = 0 THEN 'forget' ELSE 'convert' END AS name,
+         [x FOR x IN list_distinct(['call-' || (turn // 2), 'call-' || (turn // 3)]) IF x <> 'call-' || turn] AS deps
+  FROM t WHERE role = 'assistant'
+),
+results AS (
+  SELECT conv_id, 'call-' || (turn - 1) AS call_id, turn AS position, text AS content
+  FROM t WHERE role = 'user' AND turn > 0
+),
+edges AS (
+  SELECT e.conv_id, e.call_id, e.dep
+  FROM (SELECT conv_id, call_id, unnest(deps) AS dep FROM calls) e
+  WHERE EXISTS (SELECT 1 FROM calls k WHERE k.conv_id = e.conv_id AND k.call_id = e.dep)
+),
+paths AS (
+  SELECT conv_id, call_id, 0 AS level FROM calls
+  UNION
+  SELECT e.conv_id, e.call_id, p.level + 1 FROM edges e JOIN paths p ON p.conv_id = e.conv_id AND p.call_id = e.dep
+),
+placed AS (SELECT conv_id, call_id, CAST(max(level) AS INTEGER) AS level FROM paths GROUP BY ALL),
+judged AS (
+  SELECT c.*, p.level, r.content, r.call_id IS NOT NULL AS answered,
+    CASE name
+      WHEN 'search' THEN '{"limit":' || CASE WHEN n % 7 = 0 THEN '"many"' ELSE CAST(n % 20 AS VARCHAR) END
+                         || ',"query":' || CAST(to_json(array_to_string(words[1:5], ' ')) AS VARCHAR) || '}'
+      WHEN 'lookup' THEN '{"fields":["b","a"]' || CASE WHEN n % 5 = 0 THEN '' ELSE ',"id":' || turn END || '}'
+      WHEN 'translate' THEN '{"formal":true,"target":"de","text":' || CAST(to_json(text) AS VARCHAR)
+                            || CASE WHEN n % 6 = 0 THEN ',"tone":"dry"' ELSE '' END || '}'
+      ELSE CASE WHEN n % 2 = 0 THEN 'null' ELSE '{"value":2.5}' END END AS arguments,
+    CASE WHEN name = 'search' AND n % 7 = 0 THEN 'limit is not integer'
+         WHEN name = 'lookup' AND n % 5 = 0 THEN 'missing id'
+         WHEN name = 'translate' AND n % 6 = 0 THEN 'unexpected tone'
+         WHEN name = 'convert' AND n % 2 = 0 THEN 'not JSON'
+         WHEN name = 'forget' THEN 'unknown tool' ELSE '' END AS errors
+  FROM calls c
+  JOIN placed p ON p.conv_id = c.conv_id AND p.call_id = c.call_id
+  LEFT JOIN results r ON r.conv_id = c.conv_id AND r.call_id = c.call_id
+),
+records AS (
+  SELECT conv_id, call_id, level, position, name, errors, arguments, deps, content,
+         CASE WHEN errors <> '' THEN 'invalid' WHEN NOT answered THEN 'pending' ELSE 'ok' END AS status
+  FROM judged
+  UNION ALL
+  SELECT r.conv_id, r.call_id, NULL, r.position, NULL, '', 'null', [], r.content, 'orphan'
+  FROM results r
+  WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id)
+)
+SELECT conv_id, call_id, level, position, name, status, errors, CAST(0 AS BIGINT) AS repeats,
+       '{"arguments":' || arguments || ',"call_id":"' || call_id || '","depends_on":'
+       || CAST(to_json(list_sort(deps)) AS VARCHAR) || ',"name":' || coalesce('"' || name || '"', 'null') || ',"result":'
+       || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || ',"status":"' || status || '"}' AS json
+FROM records
 """,
 }
