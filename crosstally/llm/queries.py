@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crosstally.llm import bpe, digest_index, html_text, language, mixing, tool_calls, topk, url_rules
+from crosstally.llm import bpe, digest_index, html_text, language, mixing, suffix_dedup, tool_calls, topk, url_rules
 from crosstally.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.filter(F.pmod("vec_id", F.lit(50)) == 0), vectors, 5)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.taken(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
@@ -58,4 +63,4 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_tool_calls, op3_string_kernel, op4_digest_index, op5_topk, op7_mixing, op8_url_rules, op9_byte_bpe, op10_html_text)}
+QUERIES = {f.__name__: f for f in (op2_tool_calls, op3_string_kernel, op4_digest_index, op5_topk, op6_suffix_dedup, op7_mixing, op8_url_rules, op9_byte_bpe, op10_html_text)}
