@@ -127,7 +127,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, with_ids: bool
                 ids = codec.encode(text or "")
                 decoded = hashlib.sha256(codec.decode(ids)).hexdigest()
                 row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded)
-                rows.append((*row, np.frombuffer(ids, "<u4").tolist()) if with_ids else row)
+                rows.append((*row, np.frombuffer(ids, "<i4")) if with_ids else row)
             names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 3 + with_ids]
             out = pd.DataFrame(rows, columns=names)
             out.insert(0, "doc_id", batch["doc_id"].to_numpy())
@@ -136,4 +136,4 @@ def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, with_ids: bool
     ship_package(docs.sparkSession)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    return texts.mapInPandas(run, schema + ", ids array<long>" * with_ids)
+    return texts.mapInPandas(run, schema + ", ids array<int>" * with_ids)

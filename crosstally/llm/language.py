@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from crosstally.llm.common import ship_package
 
@@ -126,37 +126,33 @@ def train(docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang
     return fit([(x, np.flatnonzero(np.unpackbits(np.frombuffer(b, np.uint8)))) for x, _, b in found])
 
 
-def predict(docs: DataFrame, model: KernelModel, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, lang_pred, score of every row, from its whole text alone."""
-    spark = docs.sparkSession
+def predictor(spark: SparkSession, model: KernelModel, text: str = "text") -> Column:
+    """A column struct<lang_pred, score> that reads the whole text and nothing else."""
     ship_package(spark)
+    schema = "lang_pred string, score double"
+    if not model.languages:
+        return F.struct(F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = spark.sparkContext.broadcast((model.languages, model.weights))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         fitted = KernelModel(*shared.value)
         for batch in batches:
             preds, scores = [], []
-            for block in _blocks(batch["text"].tolist()):
+            for block in _blocks(batch.tolist()):
                 languages, values = fitted.score([t or "" for t in block])
                 preds += languages
                 scores += values.tolist()
-            worded = batch["worded"].to_numpy()
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"],
-                    "lang_pred": np.where(worded, np.array(preds, object), UND),
-                    "score": np.where(worded, scores, 0.0),
-                }
-            )
-
-    texts = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.col(text).alias("text"),
-        F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("worded"),
-    )
-    if not model.languages:
-        return texts.select(F.col("doc_id").cast("long"), F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"))
-    return texts.mapInPandas(run, "doc_id long, lang_pred string, score double")
+            yield pd.DataFrame({"lang_pred": preds, "score": np.array(scores, float)})
+
+    scored = F.pandas_udf(run, schema).asNondeterministic()(F.col(text))
+    worded = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+    return F.when(worded, scored).otherwise(F.struct(F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score")))
+
+
+def predict(docs: DataFrame, model: KernelModel, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, lang_pred, score of every row."""
+    predicted = docs.select(F.col(doc_id).alias("doc_id"), predictor(docs.sparkSession, model, text).alias("_p"))
+    return predicted.select("doc_id", "_p.lang_pred", "_p.score")
 
 
 def _blocks(texts: list[str]) -> Iterator[list[str]]:
@@ -182,3 +178,18 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, model).select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+#: Below this score a text looks like none of the learned languages.
+MIN_SCORE = 0.05
+
+
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The rows whose language is identified, with all columns; a null lang takes the prediction.
+
+    Rejected are texts without a letter and texts that score below MIN_SCORE.
+    """
+    model = train(docs, ~F.coalesce(held_out(), F.lit(False)))
+    judged = docs.withColumn("_predicted", predictor(docs.sparkSession, model))
+    kept = judged.filter((F.col("_predicted.lang_pred") != UND) & (F.col("_predicted.score") >= MIN_SCORE))
+    return kept.withColumn("lang", F.coalesce("lang", "_predicted.lang_pred")).select(*docs.columns)

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crosstally.llm import bpe, digest_index, html_text, language, mixing, suffix_dedup, tool_calls, topk, url_rules
+from crosstally.llm import bpe, digest_index, html_text, language, mixing, order_minhash, suffix_dedup, tool_calls, topk, url_rules
 from crosstally.llm.common import table
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = tool_calls.derived_calls(table(spark, sf_dir, "conversations"))
     return tool_calls.link(calls, results, tool_calls.TOOLS)
@@ -63,4 +67,18 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_tool_calls, op3_string_kernel, op4_digest_index, op5_topk, op6_suffix_dedup, op7_mixing, op8_url_rules, op9_byte_bpe, op10_html_text)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_order_minhash,
+        op2_tool_calls,
+        op3_string_kernel,
+        op4_digest_index,
+        op5_topk,
+        op6_suffix_dedup,
+        op7_mixing,
+        op8_url_rules,
+        op9_byte_bpe,
+        op10_html_text,
+    )
+}
