@@ -173,7 +173,8 @@ def events(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
                 if at is not None:
                     yield from pop_to(at)
         else:
-            if counts.get("head") and value not in HEAD_ONLY and not any(counts.get(n) for n in RAW | {"template", "noscript"}):
+            in_raw = any(counts.get(n) for n in RAW | {"template", "noscript"})
+            if counts.get("head") and value not in HEAD_ONLY and not in_raw:
                 yield from pop_to(stack.index("head"))
             if value in ("html", "body", "head") and counts.get(value):
                 continue

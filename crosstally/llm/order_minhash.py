@@ -159,9 +159,8 @@ def banded_distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
         fresh = np.full(m + 1, far)
         fresh[low : high + 1] = row[low : high + 1] + 1
         first = max(low, 1)
-        np.minimum(
-            fresh[first : high + 1], row[first - 1 : high] + (b[first - 1 : high] != a[i - 1]), out=fresh[first : high + 1]
-        )
+        inner = fresh[first : high + 1]
+        np.minimum(inner, row[first - 1 : high] + (b[first - 1 : high] != a[i - 1]), out=inner)
         part = fresh[low : high + 1] - steps[low : high + 1]
         fresh[low : high + 1] = np.minimum.accumulate(part) + steps[low : high + 1]
         row = fresh

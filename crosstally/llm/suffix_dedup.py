@@ -146,13 +146,13 @@ def _stretches(sorted_values: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(sorted_values[a]), a, b
 
 
-def _classes(keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """0: a token of one document, 1: of several, 2: of more than HOT."""
+def _classes(keys: np.ndarray, docs: np.ndarray, hot: int) -> np.ndarray:
+    """0: a token of one document, 1: of several, 2: of more than `hot`."""
     order = np.argsort(keys, kind="stable")
     k = keys[order]
     first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
     total = np.add.reduceat(docs[order], first)
-    kind = ((total > 1).astype(np.uint8) + (total > HOT)).astype(np.uint8)
+    kind = ((total > 1).astype(np.uint8) + (total > hot)).astype(np.uint8)
     out = np.empty(len(keys), np.uint8)
     out[order] = np.repeat(kind, np.diff(np.concatenate((first, [len(k)]))))
     return out
@@ -278,7 +278,7 @@ def splitters(docs: DataFrame, rows: int, buckets: int) -> np.ndarray:
     return np.array(cuts, f"S{TOKEN}")
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", hot: int = HOT) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the spans as span_from, span_to."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -302,15 +302,18 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         batch = Batch(texts_of(part)[1], cuts)
         docs_of = np.minimum(batch.docs, 65535).astype("<u2")
         out = [(bucket, batch.keys[a:b].tobytes() + docs_of[a:b].tobytes()) for bucket, a, b in batch.cuts()]
-        return pd.DataFrame({"bucket": [x for x, _ in out], "batch": part["batch"].iloc[0], "data": [x for _, x in out]})
+        frame = pd.DataFrame(out, columns=["bucket", "data"])
+        frame.insert(1, "batch", part["batch"].iloc[0])
+        return frame
 
     def answer_keys(part: pd.DataFrame) -> pd.DataFrame:
         data = [bytes(x) for x in part["data"]]
         sizes = [len(x) // 10 for x in data]
         keys = np.concatenate([np.frombuffer(x[: 8 * n], np.uint64) for x, n in zip(data, sizes)])
         docs_of = np.concatenate([np.frombuffer(x[8 * n :], "<u2") for x, n in zip(data, sizes)]).astype(np.int64)
-        kinds = np.split(_classes(keys, docs_of), np.cumsum(sizes)[:-1])
-        return pd.DataFrame({"batch": part["batch"], "step": 1, "bucket": part["bucket"], "data": [x.tobytes() for x in kinds]})
+        kinds = np.split(_classes(keys, docs_of, hot), np.cumsum(sizes)[:-1])
+        out = [x.tobytes() for x in kinds]
+        return pd.DataFrame({"batch": part["batch"], "step": 1, "bucket": part["bucket"], "data": out})
 
     def read_classes(answers: pd.DataFrame) -> np.ndarray:
         own = answers[answers["step"] == 1].sort_values("bucket")
