@@ -43,6 +43,8 @@ TOKEN = 16
 #: Documents with a token beyond which its passages are dealt one by one.
 HOT = 1000
 BATCH_BYTES = 2 << 20
+#: Little text is not cut further: each batch sends a row to each bucket.
+LEAST_BATCH, LEAST_BUCKET = 1 << 16, 1 << 18
 #: Documents, and tokens of each, that the splitters are sampled from.
 SAMPLE_DOCS = 600
 SAMPLE_TOKENS = 48
@@ -288,8 +290,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     )
     rows, size = plain.agg(F.count("*"), F.sum(F.length("text"))).first()
     tasks = partitions(spark)
-    batches = max(3 * tasks, math.ceil((size or 0) / BATCH_BYTES))
-    buckets = 4 * tasks
+    size = size or 1
+    batches = max(min(3 * tasks, math.ceil(size / LEAST_BATCH)), math.ceil(size / BATCH_BYTES))
+    buckets = min(4 * tasks, math.ceil(size / LEAST_BUCKET))
     cuts = splitters(plain, rows, buckets)
     dealt = plain.select(F.pmod(F.xxhash64("id"), F.lit(batches)).alias("batch"), "id", "text")
     dealt = dealt.repartition(tasks, "batch")
