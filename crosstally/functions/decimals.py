@@ -15,7 +15,6 @@ MONEY = DecimalType(20, 8)
 RATE = DecimalType(18, 10)
 USD = DecimalType(38, 18)
 
-_RATE_FACTOR = DecimalType(17, 10)
 _USD_OPERAND = DecimalType(37, 18)
 _FRACTION = DecimalType(17, 12)
 _MAX_EXPONENT = 8
@@ -41,9 +40,15 @@ def minor_to_major(amount: Column | str, exponent: Column | str) -> Column:
 
 
 def convert(amount: Column | str, rate: Column | str) -> Column:
-    """amount x rate with all 18 fractional digits kept."""
-    product = _col(amount).cast(MONEY) * _col(rate).try_cast(_RATE_FACTOR)
-    return product.cast(USD)
+    """amount x rate with all 18 fractional digits kept, for every rate of its type.
+
+    The whole and the fractional part of the rate are multiplied apart, as one product
+    would pass 38 digits. A value beyond 19 whole digits fails the job; none becomes NULL.
+    """
+    money, rate = _col(amount).cast(MONEY), _col(rate).cast(RATE)
+    part = rate % F.lit(Decimal(1))
+    whole = (rate - part).cast(DecimalType(8, 0))
+    return (money * whole).cast(_USD_OPERAND) + (money * part.cast(DecimalType(10, 10))).cast(_USD_OPERAND)
 
 
 def invert_rate(rate: Column | str) -> Column:
@@ -66,7 +71,8 @@ def percent_fee(
 ) -> Column:
     """round(principal x percent / 100 + fixed, 2).
 
-    `wide` is for a principal that carries 18 fractional digits (a converted amount).
+    `wide` is for a principal that is not negative and carries 18 fractional digits (a
+    converted amount). A fee beyond 12 whole digits fails the job; none becomes NULL.
     rounding="exact" keeps the product decimal; "float" goes through binary
     floating point, where an exact half cent may land on either side.
     """
@@ -75,12 +81,15 @@ def percent_fee(
         return (F.round(product * F.lit(100.0), 0) / F.lit(100.0)).cast(MONEY)
     if rounding != "exact":
         raise ValueError(f"unknown rounding {rounding!r}")
-    fraction = percent.cast(RATE) * F.lit(Decimal("0.01"))
+    fraction = (percent.cast(RATE) * F.lit(Decimal("0.01"))).cast(_FRACTION)
     if wide:
-        product = principal.try_cast(DecimalType(27, 18)) * fraction.cast(DecimalType(10, 8))
+        # 12 digits decide a half cent: what is cut off below them cannot cross it.
+        part = principal.cast(USD) % F.lit(Decimal(1))
+        whole = F.floor(principal.cast(USD)).cast(DecimalType(20, 0))
+        below = F.floor(part.cast(DecimalType(18, 18)) * fraction, F.lit(12))
+        total = ((whole * fraction).cast(DecimalType(37, 12)) + below).cast(DecimalType(36, 12)) + fixed.cast(MONEY)
     else:
-        product = principal.cast(MONEY) * fraction.cast(_FRACTION)
-    total = product.cast(DecimalType(37, 20)) + fixed.cast(MONEY)
+        total = (principal.cast(MONEY) * fraction).cast(DecimalType(37, 20)) + fixed.cast(MONEY)
     return F.round(total, 2).cast(MONEY)
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crosstally.functions.decimals import RATE, convert
 from crosstally.operators.contracts import VALUED_EVENT, conform
-from crosstally.operators.skew import MAX_BROADCAST_ROWS, fits_broadcast
 
 
 def latest_revision(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -23,15 +22,6 @@ def latest_revision(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> Da
     return picked.select(*(F.col(c) if c in keys else F.col(f"_newest.{c}").alias(c) for c in df.columns))
 
 
-def validity_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str = "_valid_to") -> DataFrame:
-    """Add the date on which the next row of the same key takes over, NULL for the last.
-
-    Rows are unique per key and day, so a window holds at most one row per calendar day.
-    """
-    order = Window.partitionBy(*keys).orderBy(start)
-    return df.withColumn(end, F.lead(start).over(order))
-
-
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -40,64 +30,41 @@ def asof_join(
     right_date: str,
     *,
     how: str = "left",
-    strategy: str = "auto",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Attach the latest right row dated on or before `left_date`.
 
-    `on` pairs left and right equality columns; `right_date` is a DATE column, unique
-    together with them. Adds the right columns that are not equality columns. Left rows
-    without such a row get NULLs (how="left") or are dropped (how="inner").
+    `on` pairs left and right equality columns; `right_date` is a DATE column. Adds the
+    right columns that are not equality columns. Left rows without such a row get NULLs
+    (how="left") or are dropped (how="inner"). A right row with a NULL key or date is in
+    force nowhere; of rows with equal key and date the greatest by its other columns, in
+    their order, counts.
 
-    strategy "interval" broadcasts validity intervals; "lookup" resolves each distinct
-    (key, date) of the left side once and joins the answers back; "auto" counts the
-    right side and broadcasts up to `max_broadcast_rows` rows.
+    Each distinct (key, date) of the left side is resolved once and joined back by
+    equality, whatever the sizes: questions and answers of a day are reduced before they
+    are sent, so a window holds at most one row per key and calendar day.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"asof_join does not support {how!r}")
-    if strategy == "auto":
-        strategy = "interval" if fits_broadcast(right, max_broadcast_rows) else "lookup"
-    if strategy == "interval":
-        return _asof_interval(left, right, on, left_date, right_date, how)
-    if strategy == "lookup":
-        return _asof_lookup(left, right, on, left_date, right_date, how)
-    raise ValueError(f"unknown strategy {strategy!r}")
-
-
-def _asof_interval(left, right, on, left_date, right_date, how) -> DataFrame:
-    keys = [r for _, r in on]
-    payload = [c for c in right.columns if c not in keys]
-    spans = validity_intervals(right, keys, right_date).select(
-        *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), *payload, "_valid_to"
-    )
-    dated = left.withColumn("_on_date", left_date.cast("date"))
-    match = (F.col("_on_date") >= F.col(right_date)) & (
-        F.col("_valid_to").isNull() | (F.col("_on_date") < F.col("_valid_to"))
-    )
-    for i, (name, _) in enumerate(on):
-        match = match & (F.col(name) == F.col(f"_k{i}"))
-    joined = dated.join(F.broadcast(spans), match, how)
-    return joined.select(*left.columns, *payload)
-
-
-def _asof_lookup(left, right, on, left_date, right_date, how) -> DataFrame:
     keys = [r for _, r in on]
     slots = [f"_k{i}" for i in range(len(on))]
     payload = [c for c in right.columns if c not in keys]
     dated = left.withColumn("_on_date", left_date.cast("date"))
-    asked = dated.select(*(F.col(n).alias(s) for (n, _), s in zip(on, slots)), "_on_date").distinct()
-    asked = asked.filter(F.expr(" AND ".join(f"{s} IS NOT NULL" for s in [*slots, "_on_date"])))
+    asked = dated.select(
+        *(F.col(n).alias(s) for (n, _), s in zip(on, slots)), "_on_date", F.lit(True).alias("_is_asked")
+    )
     offered = right.select(
         *(F.col(k).alias(s) for k, s in zip(keys, slots)),
-        F.col(right_date).alias("_on_date"),
+        F.col(right_date).cast("date").alias("_on_date"),
         F.struct(*payload).alias("_answer"),
     )
-    # At most one question and one answer per key and calendar day meet in a window.
-    timeline = asked.unionByName(offered, allowMissingColumns=True)
-    until_now = Window.partitionBy(*slots).orderBy("_on_date").rangeBetween(Window.unboundedPreceding, 0)
+    both = asked.unionByName(offered, allowMissingColumns=True).dropna(subset=[*slots, "_on_date"])
+    days = both.groupBy(*slots, "_on_date").agg(
+        F.max("_answer").alias("_answer"), F.coalesce(F.max("_is_asked"), F.lit(False)).alias("_is_asked")
+    )
+    until_now = Window.partitionBy(*slots).orderBy("_on_date").rowsBetween(Window.unboundedPreceding, 0)
     answered = (
-        timeline.withColumn("_found", F.last("_answer", ignorenulls=True).over(until_now))
-        .filter(F.col("_answer").isNull() & F.col("_found").isNotNull())
+        days.withColumn("_found", F.last("_answer", ignorenulls=True).over(until_now))
+        .filter(F.col("_is_asked") & F.col("_found").isNotNull())
         .select(*slots, F.col("_on_date").alias("_asked"), "_found")
     )
     match = F.col("_on_date") == F.col("_asked")
@@ -107,16 +74,14 @@ def _asof_lookup(left, right, on, left_date, right_date, how) -> DataFrame:
     return joined.select(*left.columns, *(F.col(f"_found.{c}").alias(c) for c in payload))
 
 
-def value_in_usd(events: DataFrame, rates: DataFrame, **asof) -> DataFrame:
+def value_in_usd(events: DataFrame, rates: DataFrame) -> DataFrame:
     """Value provider events: reported USD, else local principal at the rate in force.
 
     The rate is 1 for USD. Values keep all 18 fractional digits; rounding happens when
     an event is recognised.
     """
     feed = rates.select("currency", "rate_date", "usd_rate")
-    dated = asof_join(
-        events, feed, [("currency", "currency")], F.col("event_timestamp_utc"), "rate_date", how="left", **asof
-    )
+    dated = asof_join(events, feed, [("currency", "currency")], F.col("event_timestamp_utc"), "rate_date")
     selected = F.when(F.col("currency") == "USD", F.lit(1).cast(RATE)).otherwise(F.col("usd_rate"))
     valued = (
         dated.withColumn("fx_rate_selected", selected)
@@ -129,7 +94,7 @@ def value_in_usd(events: DataFrame, rates: DataFrame, **asof) -> DataFrame:
     return conform(valued, VALUED_EVENT)
 
 
-def contract_in_force(events: DataFrame, tariffs: DataFrame, **asof) -> DataFrame:
+def contract_in_force(events: DataFrame, tariffs: DataFrame) -> DataFrame:
     """Attach the tariff in force for (psp, account); events without one are dropped."""
     return asof_join(
         events,
@@ -138,5 +103,4 @@ def contract_in_force(events: DataFrame, tariffs: DataFrame, **asof) -> DataFram
         F.col("event_timestamp_utc"),
         "valid_from",
         how="inner",
-        **asof,
     )

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from crosstally.functions.decimals import MONEY, RATE, USD, cents, convert, minus, percent_fee
 from crosstally.operators.asof import contract_in_force
 from crosstally.operators.reconcile import in_month
-from crosstally.operators.skew import salted_join
 
 _EVENT_KEY = ["psp", "provider_event_id", "provider_account"]
 
@@ -45,7 +44,8 @@ def link_unique(
         .select(*keys, alias)
     )
     keyed = rows.select("*", *(F.col(r).alias(k) for (r, _), k in zip(on, keys)))
-    return salted_join(keyed, links, keys, "left").select(*rows.columns, alias)
+    # A linked group has one row, so no link can be hot.
+    return keyed.join(links, keys, "left").select(*rows.columns, alias)
 
 
 def reported_fees(fees: DataFrame) -> DataFrame:
@@ -55,13 +55,13 @@ def reported_fees(fees: DataFrame) -> DataFrame:
     )
 
 
-def fee_scope(events: DataFrame, tariffs: DataFrame, months: Sequence[date], **asof) -> DataFrame:
+def fee_scope(events: DataFrame, tariffs: DataFrame, months: Sequence[date]) -> DataFrame:
     """Settled financial sales of the report months that a tariff covers."""
     in_scope = reduce(
         Column.__or__, (in_month("event_timestamp_utc", F.lit(m).cast("date")) for m in months)
     )
     sales = events.filter("operation_type = 'SALE' AND status = 'settled' AND is_financial_event").filter(in_scope)
-    covered = contract_in_force(sales, tariffs, **asof)
+    covered = contract_in_force(sales, tariffs)
     return covered.select(
         F.trunc("event_timestamp_utc", "MM").alias("report_month"),
         *_EVENT_KEY,
@@ -117,10 +117,10 @@ def fee_variance(priced: DataFrame) -> DataFrame:
 
 
 def reconcile_fees(
-    events: DataFrame, fees: DataFrame, tariffs: DataFrame, months: Sequence[date], rounding: str = "exact", **asof
+    events: DataFrame, fees: DataFrame, tariffs: DataFrame, months: Sequence[date], rounding: str = "exact"
 ) -> DataFrame:
     """Fee detail of the report months, one row per contracted sale and fee currency."""
-    return fee_variance(price(fee_scope(events, tariffs, months, **asof), reported_fees(fees), rounding))
+    return fee_variance(price(fee_scope(events, tariffs, months), reported_fees(fees), rounding))
 
 
 def summarise_fees(detail: DataFrame) -> DataFrame:

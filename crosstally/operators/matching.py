@@ -4,23 +4,20 @@ Amounts are never keys, so that monetary differences stay visible, and a NULL ke
 matches nothing. All rules work from a key profile: both sides are tagged, unioned and
 counted per key in one shuffle. Tasks count before they send, so a key that holds a
 large share of the rows sends one row per task, and no rule ever pairs every engine
-row with every provider row of a key.
+row with every provider row of a key. Nothing runs until the result is asked for.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from crosstally.operators.adapters import union_matches
 from crosstally.operators.contracts import MATCH, conform
-from crosstally.operators.skew import MAX_BROADCAST_ROWS, salted_join
-from crosstally.session import concurrently
-from crosstally.sources.sinks import materialise
+from crosstally.operators.skew import salted_join
 
 ENGINE_ID = "engine_txn_id"
 PROVIDER_ID = "provider_event_id"
@@ -30,9 +27,10 @@ PROVIDER_ID = "provider_event_id"
 class MatchRule:
     """Equality on `keys` for rows that pass the filters.
 
-    one_to_one=True accepts a key only if it has one row on either side. False accepts
-    every pair of a key that has a single row on one side at least; the key check then
-    reports the repeated IDs. Keys repeated on both sides are left to `repeated_keys`.
+    one_to_one=True accepts a key only if it has one row on either side, and a pair only
+    if neither ID is in another one. False accepts every pair of a key that has a single
+    row on one side at least; the key check then reports the repeated IDs. The rows of
+    keys repeated on both sides are named by `ambiguous_rows`, counted by `repeated_keys`.
     """
 
     method: str
@@ -43,28 +41,39 @@ class MatchRule:
 
 
 def match(engine: DataFrame, provider: DataFrame, rule: MatchRule) -> DataFrame:
-    """Matches (psp, engine_txn_id, provider_event_id, match_method) of one rule.
-
-    A rule that is not one-to-one runs its key profile at once and writes it to the
-    shared folder: the keys with several rows on one side decide the rest of the plan,
-    and there are usually none.
-    """
+    """Matches (psp, engine_txn_id, provider_event_id, match_method) of one rule."""
     sides = _sides(engine, provider, rule)
     profile = _profile(sides, rule.keys)
-    if not rule.one_to_one:
-        profile = materialise(profile, "match_profiles", uuid.uuid4().hex)
     pairs = profile.filter("engine_rows = 1 AND provider_rows = 1").select("psp", ENGINE_ID, PROVIDER_ID)
-    if not rule.one_to_one:
+    if rule.one_to_one:
+        pairs = _each_id_once(pairs)
+    else:
         lopsided = profile.filter("least(engine_rows, provider_rows) = 1 AND engine_rows <> provider_rows")
-        count = lopsided.count()
-        if count:
-            pairs = pairs.unionByName(_lopsided_pairs(sides, lopsided, rule.keys, count <= MAX_BROADCAST_ROWS))
+        pairs = pairs.unionByName(_lopsided_pairs(sides, lopsided, rule.keys))
     return conform(pairs.withColumn("match_method", F.lit(rule.method)), MATCH)
 
 
 def match_all(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchRule]) -> DataFrame:
-    """Union of the matches of all rules; their profiles run side by side."""
-    return union_matches(*concurrently([partial(match, engine, provider, rule) for rule in rules]))
+    """Union of the matches of all rules."""
+    return union_matches(*(match(engine, provider, rule) for rule in rules))
+
+
+def ambiguous_rows(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchRule]) -> DataFrame:
+    """(psp, side, id) of the rows whose key repeats on both sides: side E or P, each row once.
+
+    They match nothing, but they are not missing on the other side either. Rules that
+    demand one-to-one candidates do not count: ambiguity is an outcome there.
+    """
+    parts = []
+    for rule in rules:
+        if not rule.one_to_one:
+            sides = _sides(engine, provider, rule)
+            repeated = _profile(sides, rule.keys).filter("engine_rows > 1 AND provider_rows > 1").select(*rule.keys)
+            found = salted_join(sides, repeated, rule.keys, "inner")
+            parts.append(found.select("psp", F.col("_side").alias("side"), F.col("_id").alias("id")))
+    if not parts:
+        return engine.select("psp", F.lit("E").alias("side"), F.col(ENGINE_ID).alias("id")).limit(0)
+    return reduce(DataFrame.unionByName, parts).distinct()
 
 
 def repeated_keys(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchRule]) -> DataFrame:
@@ -118,19 +127,23 @@ def _profile(sides: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _lopsided_pairs(sides: DataFrame, lopsided: DataFrame, keys: Sequence[str], few: bool) -> DataFrame:
-    """Pairs of keys with one row on one side and several on the other."""
+def _each_id_once(pairs: DataFrame) -> DataFrame:
+    """Pairs whose IDs occur in no other pair of the rule."""
+    by_engine, by_provider = Window.partitionBy("psp", ENGINE_ID), Window.partitionBy("psp", PROVIDER_ID)
+    counted = pairs.withColumn("_engine_uses", F.count("*").over(by_engine))
+    counted = counted.withColumn("_provider_uses", F.count("*").over(by_provider))
+    return counted.filter("_engine_uses = 1 AND _provider_uses = 1").select(*pairs.columns)
+
+
+def _lopsided_pairs(sides: DataFrame, lopsided: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Pairs of keys with one row on one side and several on the other, one for each of them."""
     single = lopsided.select(
         *keys, ENGINE_ID, PROVIDER_ID, F.when(F.col("engine_rows") > 1, "E").otherwise("P").alias("_many")
     )
-    paired = sides.join(F.broadcast(single), keys) if few else salted_join(sides, single, keys, "inner")
+    paired = salted_join(sides, single, keys, "inner")
     many_is_engine = F.col("_many") == "E"
-    return (
-        paired.filter(F.col("_side") == F.col("_many"))
-        .select(
-            "psp",
-            F.when(many_is_engine, F.col("_id")).otherwise(F.col(ENGINE_ID)).alias(ENGINE_ID),
-            F.when(many_is_engine, F.col(PROVIDER_ID)).otherwise(F.col("_id")).alias(PROVIDER_ID),
-        )
-        .distinct()
+    return paired.filter(F.col("_side") == F.col("_many")).select(
+        "psp",
+        F.when(many_is_engine, F.col("_id")).otherwise(F.col(ENGINE_ID)).alias(ENGINE_ID),
+        F.when(many_is_engine, F.col(PROVIDER_ID)).otherwise(F.col("_id")).alias(PROVIDER_ID),
     )

@@ -39,31 +39,58 @@ _PROVIDER_COLUMNS = {
 }
 
 
-def pair_set(engine: DataFrame, provider: DataFrame, matches: DataFrame) -> DataFrame:
+def pair_set(
+    engine: DataFrame, provider: DataFrame, matches: DataFrame, ambiguous: DataFrame | None = None
+) -> DataFrame:
     """Matched pairs, engine rows without a match and provider rows without one.
 
-    `matches` refers to rows of these two frames. The result is an inner join and one
-    anti join per side: adaptive execution can split a skewed key of each of them, which
-    it cannot for a full outer join, and a later month filter reaches the scans of the
-    anti joins. A row with a NULL ID equals nothing and stays unmatched.
+    `matches` refers to rows of these two frames. One left join per side finds what is
+    linked: adaptive execution can split a skewed key of a left join, which it cannot
+    for a full outer join. A row with a NULL ID equals nothing and stays unmatched.
+    `ambiguous` (psp, side, id) marks rows whose key repeats on both sides: they are
+    unmatched, but not known to be missing.
     """
     e = engine.select("psp", ENGINE_ID, *(F.col(c).alias(a) for c, a in _ENGINE_COLUMNS.items()))
     p = provider.select("psp", PROVIDER_ID, *(F.col(c).alias(a) for c, a in _PROVIDER_COLUMNS.items()))
     links = matches.select("psp", ENGINE_ID, PROVIDER_ID, "match_method")
-    matched = e.join(links, ["psp", ENGINE_ID]).join(p, ["psp", PROVIDER_ID])
-    engine_only = e.join(links.select("psp", ENGINE_ID), ["psp", ENGINE_ID], "left_anti")
+    linked = e.join(links, ["psp", ENGINE_ID], "left")
+    matched = linked.filter(F.col(PROVIDER_ID).isNotNull()).join(p, ["psp", PROVIDER_ID])
+    engine_only = linked.filter(F.col(PROVIDER_ID).isNull()).drop(PROVIDER_ID)
     provider_only = p.join(links.select("psp", PROVIDER_ID), ["psp", PROVIDER_ID], "left_anti")
-    parts = {"matched": matched, "engine_only": engine_only, "provider_only": provider_only}
+    unclear = F.lit(False)
+    if ambiguous is not None:
+        engine_only = _marked(engine_only, ambiguous, "E", ENGINE_ID)
+        provider_only = _marked(provider_only, ambiguous, "P", PROVIDER_ID)
+    else:
+        engine_only, provider_only = (df.withColumn("ambiguous_key", unclear) for df in (engine_only, provider_only))
+    parts = {
+        "matched": matched.withColumn("ambiguous_key", unclear),
+        "engine_only": engine_only,
+        "provider_only": provider_only,
+    }
     labelled = (df.withColumn("match_status", F.lit(status)) for status, df in parts.items())
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), labelled)
 
 
+def _marked(rows: DataFrame, ambiguous: DataFrame, side: str, row_id: str) -> DataFrame:
+    of_side = ambiguous.filter(F.col("side") == side).select(
+        "psp", F.col("id").alias(row_id), F.lit(True).alias("ambiguous_key")
+    )
+    return rows.join(of_side, ["psp", row_id], "left").withColumn(
+        "ambiguous_key", F.coalesce("ambiguous_key", F.lit(False))
+    )
+
+
 def in_month(ts: Column | str, month: Column) -> Column:
     """Whether a timestamp lies in the UTC month that starts on `month`; NULL if unknown."""
     ts = F.col(ts) if isinstance(ts, str) else ts
     return (ts >= month.cast("timestamp")) & (ts < F.add_months(month, 1).cast("timestamp"))
 
 
+def _month_after(month: date) -> date:
+    return date(month.year + month.month // 12, month.month % 12 + 1, 1)
+
+
 def attribute_period(pairs: DataFrame, months: Sequence[date]) -> DataFrame:
     """Say for each report month whether either side falls into it, and keep those rows.
 
@@ -74,16 +101,30 @@ def attribute_period(pairs: DataFrame, months: Sequence[date]) -> DataFrame:
     for month in months:
         if month.day != 1:
             raise ValueError(f"report month {month} is not the first day of a month")
-    literals = [F.lit(m).cast("date") for m in dict.fromkeys(months)]
-    month = literals[0] if len(literals) == 1 else F.explode(F.array(*literals))
-    scoped = pairs.withColumn("report_month", month)
+    wanted = sorted(dict.fromkeys(months))
+    clocks = ("engine_scope_timestamp_utc", "provider_event_timestamp_utc")
+    first, after = (F.lit(str(m)).cast("timestamp") for m in (wanted[0], _month_after(wanted[-1])))
+    absent = {clocks[0]: "provider_only", clocks[1]: "engine_only"}
+    unknown = reduce(
+        Column.__or__, ((F.col("match_status") != side) & F.col(c).isNull() for c, side in absent.items())
+    )
+    # Plain bounds, so that they reach the scans of both sides.
+    near = reduce(Column.__or__, ((F.col(c) >= first) & (F.col(c) < after) for c in clocks), unknown)
+    if len(wanted) == 1:
+        scoped = pairs.filter(near).withColumn("report_month", F.lit(wanted[0]).cast("date"))
+    else:
+        # A pair has at most two months of its own; one without a time stays in all.
+        all_months = F.array(*(F.lit(m).cast("date") for m in wanted))
+        own = F.array_intersect(F.array(*(F.trunc(c, "MM") for c in clocks)), all_months)
+        month = F.explode(F.when(unknown, all_months).otherwise(own))
+        scoped = pairs.filter(near).withColumn("report_month", month)
     month = F.col("report_month")
     has_engine, has_provider = F.col("match_status") != "provider_only", F.col("match_status") != "engine_only"
 
     def of_side(present: Column, value: Column) -> Column:
         return F.when(present, value).otherwise(F.lit(False))
 
-    flagged = scoped.withColumns(
+    return scoped.withColumns(
         {
             "engine_in_period": of_side(has_engine, in_month("engine_scope_timestamp_utc", month)),
             "provider_in_period": of_side(has_provider, in_month("provider_event_timestamp_utc", month)),
@@ -91,9 +132,6 @@ def attribute_period(pairs: DataFrame, months: Sequence[date]) -> DataFrame:
             "provider_is_financial_event": of_side(has_provider, F.col("provider_is_financial_event")),
         }
     )
-    return flagged.filter(
-        "engine_in_period OR provider_in_period OR engine_in_period IS NULL OR provider_in_period IS NULL"
-    )
 
 
 def measure(scoped: DataFrame) -> DataFrame:
@@ -148,14 +186,16 @@ _SAME_LOCAL_OFF = "signed_usd_impact <> 0 AND amount_local_difference = 0"
 def cause_rules(tolerance: str = "0.01") -> list[CauseRule]:
     """The causes in order of precedence; the first rule that holds names the cause.
 
-    Unknown facts come first, then a missing side, then identity, status and timing
+    Unknown facts and keys that repeat on both sides come first, then a missing side, then identity, status and timing
     differences, then valuation. Callers may insert rules of their own.
     """
     missing = {
-        op: f"{op.lower()}_missing_in_engine" for op in ("REFUND", "REVERSAL", "CHARGEBACK")
+        "REFUND": "refund_missing_in_engine",
+        "REVERSAL": "reversal_missing_in_engine",
+        "CHARGEBACK": "chargeback_missing_in_engine",
     }
     return [
-        CauseRule("unexplained", " OR ".join(f"{c} IS NULL" for c in _UNKNOWN)),
+        CauseRule("unexplained", " OR ".join(["ambiguous_key", *(f"{c} IS NULL" for c in _UNKNOWN)])),
         CauseRule("engine_only", "match_status = 'engine_only'"),
         *(
             CauseRule(cause, f"match_status = 'provider_only' AND provider_operation_type = '{op}'")
@@ -178,7 +218,9 @@ def cause_rules(tolerance: str = "0.01") -> list[CauseRule]:
 
 
 def classify(measured: DataFrame, rules: Sequence[CauseRule] | None = None, otherwise: str = "matched") -> DataFrame:
-    """Exactly one cause per row."""
+    """Exactly one cause per row; without a mark no key counts as ambiguous."""
+    if "ambiguous_key" not in measured.columns:
+        measured = measured.withColumn("ambiguous_key", F.lit(False))
     cases = " ".join(f"WHEN {r.condition} THEN '{r.cause}'" for r in (cause_rules() if rules is None else rules))
     return measured.withColumn("cause", F.expr(f"CASE {cases} ELSE '{otherwise}' END" if cases else f"'{otherwise}'"))
 
@@ -189,10 +231,15 @@ def reconcile(
     matches: DataFrame,
     months: Sequence[date],
     rules: Sequence[CauseRule] | None = None,
+    ambiguous: DataFrame | None = None,
 ) -> DataFrame:
-    """Reconciliation detail of the report months, one row per pair or unmatched event."""
-    pairs = pair_set(engine, provider, matches)
-    return classify(measure(attribute_period(pairs, months)), rules)
+    """Reconciliation detail of the report months, one row per pair or unmatched event.
+
+    Pass `ambiguous_rows` of the same rules, so that rows whose keys repeat on both sides
+    are unexplained rather than reported as missing.
+    """
+    pairs = pair_set(engine, provider, matches, ambiguous)
+    return classify(measure(attribute_period(pairs, months)), rules).drop("ambiguous_key")
 
 
 def cause_totals(detail: DataFrame) -> DataFrame:

@@ -8,15 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 SALTS = 16
 
-# Rows of narrow reference data a broadcast may hold, some tens of megabytes.
-MAX_BROADCAST_ROWS = 200_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Exact size check of a narrow frame, counted on the cluster."""
-    return df.count() <= max_rows
-
-
 def salted_join(many: DataFrame, unique: DataFrame, keys: Sequence[str], how: str, salts: int = SALTS) -> DataFrame:
     """Inner or left join with a side that holds one row per key.
 

@@ -12,7 +12,15 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from crosstally.operators.adapters import EventSpec, FeeSpec, engine_events, provider_events, provider_fees
+from crosstally.operators.adapters import (
+    EventSpec,
+    FeeSpec,
+    by_kind,
+    engine_events,
+    provider_events,
+    provider_fees,
+    union_events,
+)
 from crosstally.operators.asof import value_in_usd
 from crosstally.operators.contracts import FX_RATE, TARIFF, conform
 from crosstally.operators.matching import MatchRule
@@ -153,6 +161,99 @@ def provider_unvalued(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provider_events(provider_feed(spark, sf_dir), PROVIDER_SPEC)
 
 
+# -- three providers with conventions of their own ----------------------------------
+
+_COMMON = {
+    "source_file": "concat('feed_', k % 3, '.csv')",
+    "psp_reference": "concat('R', k)",
+    "order_id": "concat('O', k)",
+    "event_timestamp_utc": "ts",
+    "currency": "currency",
+}
+
+# Unsigned amounts; the operation gives the sign.
+UNSIGNED_SPEC = EventSpec(
+    psp="unsigned",
+    kind="op",
+    operations={"SALE": "SALE", "REFUND": "REFUND"},
+    operation_default="OTHER",
+    status="status",
+    statuses={"settled": "settled", "pending": "pending", "declined": "declined"},
+    financial={("SALE", "settled"): True, ("REFUND", "settled"): True, ("SALE", "declined"): False},
+    negative=("REFUND",),
+    amount="CAST(amount AS DECIMAL(20,8))",
+    amount_usd_reported="CAST(IF(currency = 'USD', _amount, NULL) AS DECIMAL(20,8))",
+    event_id="concat('U', k)",
+    columns=_COMMON,
+)
+# A credit and a debit register, one reference for several operations, open states listed too.
+REGISTER_SPEC = EventSpec(
+    psp="register",
+    kind="kind",
+    operations={"Settled": "SALE", "Refunded": "REFUND", "Chargeback": "CHARGEBACK", "Refused": "SALE"},
+    statuses={"Settled": "settled", "Refunded": "settled", "Chargeback": "settled", "Refused": "declined"},
+    financial=by_kind({"Settled": True, "Refunded": True, "Chargeback": True, "Refused": False}),
+    keep_only=("Settled", "Refunded", "Chargeback", "Refused"),
+    amount="ifnull(credit, -debit)",
+    amount_usd_reported="CAST(IF(currency = 'USD', _amount, NULL) AS DECIMAL(20,8))",
+    event_id="concat('R', k, ':', lower(_operation))",
+    columns=_COMMON | {"provider_account": "concat('acct_', n)"},
+)
+# Signed amounts; money-back rows name the sale that they undo.
+SIGNED_SPEC = EventSpec(
+    psp="signed",
+    kind="op",
+    operations={"SALE": "SALE", "REFUND": "REFUND", "CHARGEBACK": "REVERSAL"},
+    status="status",
+    statuses={"settled": "settled", "declined": "declined"},
+    status_default="unknown",
+    financial={(op, "settled"): True for op in ("SALE", "REFUND", "CHARGEBACK")},
+    amount="signed_amount",
+    event_id="concat('S', k)",
+    columns=_COMMON | {"parent_psp_reference": "parent", "country": "country"},
+)
+TOTAL_FEE_SPEC = FeeSpec(
+    psp="signed", event_id="concat('S', k)", currency="currency", components={"total": "-fee"}, where="op = 'SALE'"
+)
+
+
+def register_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        base(spark, sf_dir)
+        .filter("k % 3 = 1")
+        .selectExpr(
+            "*",
+            "CASE WHEN status = 'pending' THEN 'Authorised' WHEN status = 'declined' THEN 'Refused'"
+            " WHEN op = 'SALE' THEN 'Settled' WHEN op = 'REFUND' THEN 'Refunded' ELSE 'Chargeback' END AS kind",
+            "CAST(IF(op = 'SALE', amount, NULL) AS DECIMAL(20,8)) AS credit",
+            "CAST(IF(op = 'SALE', NULL, amount) AS DECIMAL(20,8)) AS debit",
+        )
+    )
+
+
+def signed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        base(spark, sf_dir)
+        .filter("k % 3 = 2")
+        .selectExpr(
+            "*",
+            "CAST(IF(op = 'SALE', amount, -amount) AS DECIMAL(20,8)) AS signed_amount",
+            "IF(op = 'SALE', NULL, concat('R', k - 3)) AS parent",
+            "CAST(-round(amount * 0.029, 2) AS DECIMAL(20,8)) AS fee",
+            "concat('feed_', k % 3, '.csv') AS source_file",
+        )
+    )
+
+
+def multi_provider_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the three providers in one contract."""
+    return union_events(
+        provider_events(base(spark, sf_dir).drop("psp").filter("k % 3 = 0"), UNSIGNED_SPEC),
+        provider_events(register_feed(spark, sf_dir).drop("psp"), REGISTER_SPEC),
+        provider_events(signed_feed(spark, sf_dir).drop("psp", "source_file"), SIGNED_SPEC),
+    )
+
+
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rate feed with one dated quote per nation; the last quote of a currency is its true rate."""
     nation = table(spark, sf_dir, "nation")

@@ -62,16 +62,15 @@ rates AS (
       * (1 + CAST((24 - n_nationkey) // 4 AS DECIMAL(6,0)) * 0.001) AS DECIMAL(12,8)) AS usd_rate
   FROM nation
 ),
+quoted AS (SELECT *, CAST(event_ts AS DATE) AS event_day FROM u),
 p AS (
-  SELECT u.*, f.rate_date AS fx_date_selected,
-    CASE WHEN u.currency = 'USD' THEN 1 ELSE f.usd_rate END AS fx_rate_selected,
-    coalesce(CAST(amount_usd_reported AS DECIMAL(32,10)),
-      amount_local_signed * CAST(CASE WHEN u.currency = 'USD' THEN 1 ELSE f.usd_rate END AS DECIMAL(12,8)))
-      AS amount_usd_normalized
-  FROM u LEFT JOIN LATERAL (
-    SELECT rate_date, usd_rate FROM rates
-    WHERE rates.currency = u.currency AND rates.rate_date <= CAST(u.event_ts AS DATE)
-    ORDER BY rate_date DESC LIMIT 1) AS f ON true
+  SELECT * EXCLUDE (found_rate), CAST(greatest(found_rate, usd_alone) AS DECIMAL(12,8)) AS fx_rate_selected,
+    ifnull(CAST(amount_usd_reported AS DECIMAL(32,10)),
+      amount_local_signed * CAST(greatest(found_rate, usd_alone) AS DECIMAL(12,8))) AS amount_usd_normalized
+  FROM (
+    SELECT quoted.*, rates.rate_date AS fx_date_selected,
+      if(quoted.currency <> 'USD', rates.usd_rate, NULL) AS found_rate, if(quoted.currency = 'USD', 1, NULL) AS usd_alone
+    FROM quoted ASOF LEFT JOIN rates ON quoted.currency = rates.currency AND quoted.event_day >= rates.rate_date)
 )"""
 
 _PAIRS = """
@@ -110,38 +109,37 @@ scoped AS (
 _JUNE = "DATE '2026-06-01'"
 _THREE = "DATE '2026-05-01', DATE '2026-06-01', DATE '2026-07-01'"
 
+# Each row collects the codes of all causes that fit it; the lowest code names the cause.
 _DETAIL = """
-measured AS (
+recognised AS (
   SELECT *,
-    CASE WHEN NOT e_in OR NOT e_fin THEN 0 ELSE CAST(e_usd AS DECIMAL(28,2)) END AS e_rec,
-    CASE WHEN NOT p_in OR NOT p_fin THEN 0 ELSE CAST(round(p_usd, 2) AS DECIMAL(28,2)) END AS p_rec,
-    CASE WHEN match_status = 'matched' THEN e_op IS DISTINCT FROM p_op END AS op_differs,
-    CASE WHEN match_status = 'matched' THEN e_status IS DISTINCT FROM p_status END AS status_differs,
-    CASE WHEN match_status = 'matched' THEN e_ccy IS DISTINCT FROM p_ccy END AS ccy_differs,
-    CASE WHEN e_ccy = p_ccy THEN p_local - e_local END AS local_difference,
-    coalesce(p_rate_reported, p_rate) AS rate_used
+    if(list_contains([e_in, e_fin], false), 0, CAST(e_usd AS DECIMAL(28,2))) AS e_rec,
+    if(list_contains([p_in, p_fin], false), 0, CAST(round(p_usd, 2) AS DECIMAL(28,2))) AS p_rec,
+    if(match_status = 'matched', NOT (e_op IS NOT DISTINCT FROM p_op), NULL) AS op_differs,
+    if(match_status = 'matched', NOT (e_status IS NOT DISTINCT FROM p_status), NULL) AS status_differs,
+    if(match_status = 'matched', NOT (e_ccy IS NOT DISTINCT FROM p_ccy), NULL) AS ccy_differs,
+    if(e_ccy = p_ccy, p_local - e_local, NULL) AS local_difference,
+    e_rate IS NOT DISTINCT FROM ifnull(p_rate_reported, p_rate) AS same_rate
   FROM scoped
 ),
-impact AS (SELECT *, p_rec - e_rec AS gap, abs(p_rec - e_rec) AS abs_gap FROM measured),
-detail AS (
-  SELECT *,
-    CASE
-      WHEN e_rec IS NULL OR p_rec IS NULL OR e_in IS NULL OR p_in IS NULL OR e_fin IS NULL OR p_fin IS NULL
-        THEN 'unexplained'
-      WHEN match_status = 'engine_only' THEN 'engine_only'
-      WHEN match_status = 'provider_only' THEN
-        CASE p_op WHEN 'REFUND' THEN 'refund_missing_in_engine' WHEN 'REVERSAL' THEN 'reversal_missing_in_engine'
-          WHEN 'CHARGEBACK' THEN 'chargeback_missing_in_engine' ELSE 'provider_only' END
-      WHEN op_differs OR ccy_differs THEN 'unexplained'
-      WHEN status_differs THEN 'status_lifecycle_difference'
-      WHEN e_fin AND p_fin AND e_in <> p_in THEN 'cutoff_timing'
-      WHEN gap = 0 THEN 'matched'
-      WHEN local_difference = 0 AND e_rate IS DISTINCT FROM rate_used THEN 'fx_difference'
-      WHEN local_difference = 0 AND abs_gap <= 0.01 THEN 'rounding_difference'
-      ELSE 'amount_difference'
-    END AS cause
-  FROM impact
-)"""
+gaps AS (SELECT *, p_rec - e_rec AS gap, greatest(p_rec - e_rec, e_rec - p_rec) AS abs_gap FROM recognised),
+fitting AS (
+  SELECT *, [
+      if(len(list_filter([e_in, p_in, e_fin, p_fin], lambda x: x IS NULL)) > 0 OR gap IS NULL, '01unexplained', NULL),
+      if(match_status = 'engine_only', '02engine_only', NULL),
+      if(match_status = 'provider_only' AND p_op IN ('REFUND', 'REVERSAL', 'CHARGEBACK'),
+         '03' || lower(p_op) || '_missing_in_engine', NULL),
+      if(match_status = 'provider_only', '04provider_only', NULL),
+      if(op_differs OR ccy_differs, '05unexplained', NULL),
+      if(status_differs, '06status_lifecycle_difference', NULL),
+      if(e_fin AND p_fin AND e_in <> p_in, '07cutoff_timing', NULL),
+      if(gap <> 0 AND local_difference = 0 AND NOT same_rate, '08fx_difference', NULL),
+      if(gap <> 0 AND local_difference = 0 AND same_rate AND abs_gap <= 0.01, '09rounding_difference', NULL),
+      if(gap <> 0, '10amount_difference', NULL),
+      '11matched'] AS codes
+  FROM gaps
+),
+detail AS (SELECT * EXCLUDE (codes, same_rate), substr(list_min(codes), 3) AS cause FROM fitting)"""
 
 _TOTALS = """
 totals AS (
@@ -215,32 +213,42 @@ reported AS (
 )"""
 
 _FEE_SCOPE = """
+sales AS (
+  SELECT CAST(date_trunc('month', ts) AS DATE) AS report_month, 'psp_' || (n % 3) AS psp, 'P' || k AS provider_event_id,
+    'acct_' || n AS provider_account, ts, CAST(ts AS DATE) AS sold_on, currency AS principal_currency, amount AS local,
+    CAST(amount * rate AS DECIMAL(28,6)) AS usd, rate
+  FROM base WHERE op = 'SALE' AND status = 'settled'
+),
 contracted AS (
-  SELECT CAST(date_trunc('month', b.ts) AS DATE) AS report_month, 'psp_' || (n % 3) AS psp,
-    'P' || k AS provider_event_id, 'acct_' || n AS provider_account, b.ts, b.currency AS principal_currency,
-    amount AS local, CAST(amount * rate AS DECIMAL(28,6)) AS usd, rate, t.*
-  FROM base AS b JOIN LATERAL (
-    SELECT valid_from, percent_fee, fixed_fee, fixed_fee_currency FROM tariffs
-    WHERE tariffs.psp = 'psp_' || (b.n % 3) AND account = 'acct_' || b.n AND valid_from <= CAST(b.ts AS DATE)
-    ORDER BY valid_from DESC LIMIT 1) AS t ON true
-  WHERE op = 'SALE' AND status = 'settled'
+  SELECT sales.* EXCLUDE (sold_on), valid_from, percent_fee, fixed_fee, fixed_fee_currency
+  FROM sales ASOF JOIN tariffs ON sales.psp = tariffs.psp AND sales.provider_account = tariffs.account
+    AND sales.sold_on >= tariffs.valid_from
 )"""
 
+# Sales charged in their own currency, those charged in dollars, and all others, apart.
 _FEE_DETAIL = f"""{_FEE_ROWS}, {_FEE_SCOPE},
-priced AS (
+charged AS (
   SELECT c.*, r.fee_currency, r.reported,
-    CASE WHEN r.fee_currency = principal_currency THEN rate WHEN r.fee_currency = 'USD' THEN 1 END AS fx,
-    CASE WHEN fixed_fee = 0 OR fixed_fee_currency = r.fee_currency THEN
-      round(CASE WHEN r.fee_currency = principal_currency THEN CAST(local AS DECIMAL(24,6))
-        WHEN r.fee_currency = 'USD' THEN CAST(usd AS DECIMAL(24,6)) END
-        * CAST(percent_fee * 0.01 AS DECIMAL(8,6)) + fixed_fee, 2) END AS expected
+    (fixed_fee = 0 OR fixed_fee_currency IS NOT DISTINCT FROM r.fee_currency) AS payable
   FROM contracted AS c LEFT JOIN reported AS r USING (psp, provider_event_id, provider_account)
 ),
-fee_detail AS (
-  SELECT *, reported - expected AS gap, round(reported * fx, 2) AS reported_usd, round(expected * fx, 2) AS expected_usd,
-    round(reported * fx, 2) - round(expected * fx, 2) AS gap_usd,
-    CASE WHEN reported = expected THEN 'matched' ELSE 'fee_difference' END AS cause
+priced AS (
+  SELECT *, rate AS fx, CAST(local AS DECIMAL(24,6)) AS due_on FROM charged WHERE fee_currency = principal_currency
+  UNION ALL
+  SELECT *, 1, CAST(usd AS DECIMAL(24,6)) FROM charged WHERE fee_currency = 'USD' AND principal_currency <> 'USD'
+  UNION ALL
+  SELECT *, NULL, NULL FROM charged
+  WHERE fee_currency IS NULL OR (fee_currency <> principal_currency AND fee_currency <> 'USD')
+),
+due AS (
+  SELECT *, if(payable, round(due_on * CAST(percent_fee * 0.01 AS DECIMAL(8,6)) + fixed_fee, 2), NULL) AS expected
   FROM priced
+),
+fee_detail AS (
+  SELECT *, reported_usd - expected_usd AS gap_usd FROM (
+    SELECT *, reported - expected AS gap, round(reported * fx, 2) AS reported_usd, round(expected * fx, 2) AS expected_usd,
+      if(ifnull(reported = expected, false), 'matched', 'fee_difference') AS cause
+    FROM due)
 )"""
 _WITH_FEES = f"WITH {_BASE}, {_FEE_TARIFFS}, {_FEE_DETAIL}"
 
@@ -380,18 +388,19 @@ _FEE_REGROUP_KEYS = "report_month, psp, provider_account, fee_currency, cause"
 
 
 def _fee_summary_gap(rows: str) -> str:
+    """Group keys of the rows by which re-aggregated detail and summary differ, and keys with a NULL part."""
     again = (
-        f"SELECT {_FEE_REGROUP_KEYS}, count(*) AS c, sum(reported) AS r, sum(expected) AS x, sum(gap_usd) AS g "
-        f"FROM {rows} GROUP BY ALL"
+        f"SELECT {_FEE_REGROUP_KEYS}, count(*), sum(reported), sum(expected), sum(gap_usd) FROM {rows} "
+        f"GROUP BY {_FEE_REGROUP_KEYS}"
+    )
+    stated = (
+        f"SELECT {_FEE_REGROUP_KEYS}, event_count, reported_fee_local, expected_fee_local, signed_fee_variance_usd "
+        "FROM fee_summary"
     )
-    return f"""SELECT count(*) FROM (SELECT DISTINCT coalesce(d.report_month, s.report_month),
-        coalesce(d.psp, s.psp), coalesce(d.provider_account, s.provider_account),
-        coalesce(d.fee_currency, s.fee_currency), coalesce(d.cause, s.cause)
-      FROM ({again}) AS d FULL OUTER JOIN fee_summary AS s ON d.report_month = s.report_month AND d.psp = s.psp
-        AND d.provider_account = s.provider_account AND d.fee_currency = s.fee_currency AND d.cause = s.cause
-      WHERE d.psp IS NULL OR s.psp IS NULL OR d.c IS DISTINCT FROM s.event_count
-        OR d.r IS DISTINCT FROM s.reported_fee_local OR d.x IS DISTINCT FROM s.expected_fee_local
-        OR d.g IS DISTINCT FROM s.signed_fee_variance_usd)"""
+    return f"""SELECT count(*) FROM (SELECT DISTINCT {_FEE_REGROUP_KEYS} FROM (
+      ({again} EXCEPT {stated}) UNION ALL ({stated} EXCEPT {again})
+      UNION ALL SELECT * FROM ({again} UNION ALL {stated}) AS x
+        WHERE len([k FOR k IN [report_month::VARCHAR, psp, provider_account, fee_currency, cause] IF k IS NULL]) > 0))"""
 
 
 ORACLE: dict[str, str] = {
@@ -405,10 +414,12 @@ ORACLE: dict[str, str] = {
     "typed_copies": """SELECT DISTINCT l_returnflag AS flag, l_linestatus AS line_status,
       CAST(CAST(l_quantity AS DECIMAL(18,2)) AS DOUBLE) AS quantity,
       CAST(CAST(l_discount AS DECIMAL(18,2)) AS DOUBLE) AS discount FROM lineitem""",
-    "minor_units": f"""SELECT k, exponent, {_num("CASE WHEN digits BETWEEN 0 AND 8 THEN CAST(minor AS DECIMAL(28,0)) * try_cast('1e-' || exponent AS DECIMAL(9,8)) END", "major", 8)}
-      FROM (SELECT *, try_cast(exponent AS SMALLINT) AS digits FROM (SELECT o_orderkey AS k,
-        CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS minor,
-        CASE WHEN o_orderkey % 17 = 0 THEN 'x' ELSE CAST(o_orderkey % 10 AS VARCHAR) END AS exponent FROM orders))""",
+    "minor_units": f"""SELECT k, exponent, {_num("""CASE WHEN digits = 0 THEN CAST(minor AS DECIMAL(28,8))
+        WHEN digits BETWEEN 1 AND 8 THEN CAST((minor // power) || '.' || lpad(CAST(minor % power AS VARCHAR),
+          CAST(digits AS INTEGER), '0') AS DECIMAL(28,8)) END""", "major", 8)}
+      FROM (SELECT *, CAST(pow(10, digits) AS BIGINT) AS power FROM (SELECT *, try_cast(exponent AS SMALLINT) AS digits
+        FROM (SELECT o_orderkey AS k, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS minor,
+        CASE WHEN o_orderkey % 17 = 0 THEN 'x' ELSE CAST(o_orderkey % 10 AS VARCHAR) END AS exponent FROM orders)))""",
     "tolerant_cast": f"WITH {_PRICE_TEXT} SELECT k, {_num('try_cast(plain AS DECIMAL(20,8))', 'amount')} FROM written",
     "decimal_comma_numbers": f"""WITH {_PRICE_TEXT}
       SELECT k, {_num("try_cast(replace(comma, ',', '.') AS DECIMAL(20,8))", "amount")} FROM written""",
@@ -526,10 +537,10 @@ ORACLE: dict[str, str] = {
     "recon_summary": f"""{_JUNE_DETAIL}, {_TOTALS} SELECT {_TOTAL_COLUMNS},
       provider_record_count - engine_record_count AS record_count_difference,
       provider_financial_count - engine_financial_count AS financial_count_difference,
-      {_num(_SHARE4, "absolute_impact_share_pct", 3)} FROM totals""",
+      {_num(_SHARE4, "absolute_impact_share_pct", 4)} FROM totals""",
     "recon_months": f"""WITH {_SIDES}, {_scoped(_THREE)}, {_DETAIL}, {_TOTALS}
       SELECT {_TOTAL_COLUMNS} FROM totals""",
-    "recon_share": f"""{_JUNE_DETAIL}, {_TOTALS} SELECT psp, cause, {_num(_SHARE4, "absolute_impact_share_pct", 3)}
+    "recon_share": f"""{_JUNE_DETAIL}, {_TOTALS} SELECT psp, cause, {_num(_SHARE4, "absolute_impact_share_pct", 4)}
       FROM totals UNION ALL SELECT 'quiet_' || psp, cause, CAST(NULL AS DOUBLE) FROM detail WHERE gap = 0
       GROUP BY psp, cause""",
     "recon_exceptions": f"""{_JUNE_DETAIL} SELECT psp, engine_txn_id, provider_event_id, match_status, cause,
@@ -538,13 +549,14 @@ ORACLE: dict[str, str] = {
       match_status, cause, e_op AS engine_operation_type, p_op AS provider_operation_type, e_status AS engine_status,
       p_status AS provider_status, {_iso("e_ts", "engine_event_timestamp_utc")},
       {_iso("p_ts", "provider_event_timestamp_utc")}, e_ccy AS engine_currency, p_ccy AS provider_currency,
+      {_num("e_local", "engine_amount_local", 8)}, {_num("p_local", "provider_amount_local", 8)},
       {_num("e_usd", "engine_amount_usd")}, {_num("p_usd", "provider_amount_usd")}, {_num("gap", "signed_usd_impact")}
       FROM detail WHERE cause <> 'matched'""",
     "report_payment_summary": f"""{_JUNE_DETAIL}, {_TOTALS} SELECT {_day("report_month")}, psp, cause,
       engine_record_count, provider_record_count,
       provider_record_count - engine_record_count AS record_count_difference, {_num("engine_amount_usd")},
       {_num("provider_amount_usd")}, {_num("signed_usd_impact")}, {_num("absolute_usd_impact")},
-      {_num(_SHARE4, "absolute_impact_share_pct", 3)} FROM totals""",
+      {_num(_SHARE4, "absolute_impact_share_pct", 4)} FROM totals""",
     # -- fees
     "fee_components": f"""SELECT 'P' || l_orderkey AS provider_event_id, fee_type, count(*) AS row_count,
       {_num("sum(fee)", "fee_amount")} FROM (
@@ -553,7 +565,8 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT l_orderkey, 'markup',
           round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)), 2) FROM lineitem)
       GROUP BY l_orderkey, fee_type""",
-    "fee_reported": f"""SELECT 'P' || l_orderkey AS provider_event_id, 'USD' AS fee_currency,
+    "fee_reported": f"""SELECT 'fees' AS psp, 'acct_0' AS provider_account, 'P' || l_orderkey AS provider_event_id,
+      'USD' AS fee_currency,
       {_num("sum(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)), 2) + round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)), 2))", "reported_fee_local")}
       FROM lineitem GROUP BY l_orderkey""",
     "fee_link": """WITH f AS (SELECT event_id, user_id, CAST(ts AS DATE) AS day,
@@ -612,7 +625,8 @@ ORACLE: dict[str, str] = {
         "THEN 1 ELSE 0 END",
         rows_missing="SELECT CASE WHEN (SELECT count(*) FROM d) <> (SELECT count(*) FROM s WHERE lang <> 'en') "
         "+ (SELECT copies FROM x) THEN 1 ELSE 0 END",
-        all_kept="SELECT 0",
+        all_kept="SELECT CASE WHEN (SELECT count(*) FROM d) <> (SELECT CAST(sum(n) AS BIGINT) FROM "
+        "(SELECT count(*) AS n FROM d GROUP BY source)) THEN 1 ELSE 0 END",
         copies_not_kept="SELECT CASE WHEN (SELECT count(*) FROM d) <> (SELECT count(*) FROM s) THEN 1 ELSE 0 END",
     ),
     "check_per_file": _checks(
@@ -654,7 +668,11 @@ ORACLE: dict[str, str] = {
     ),
     "check_totals": _checks(
         _EU,
-        same="SELECT 0",
+        same="""SELECT CASE WHEN (SELECT count(*) FROM base WHERE k % 11 <> 3) <> (SELECT count(*) FROM e) THEN 1 ELSE 0 END
+          + CASE WHEN (SELECT sum(if(op = 'SALE', amount, -amount)) FROM base WHERE k % 11 <> 3)
+            <> (SELECT sum(amount_local_signed) FROM e) THEN 1 ELSE 0 END
+          + CASE WHEN (SELECT count(*) FROM base WHERE k % 11 <> 3 AND op = 'SALE')
+            <> (SELECT count(*) FROM e WHERE operation_type = 'SALE') THEN 1 ELSE 0 END""",
         different="""SELECT CASE WHEN (SELECT count(*) FROM e) <> (SELECT count(*) FROM u) THEN 1 ELSE 0 END
           + CASE WHEN (SELECT sum(amount_local_signed) FROM e) <> (SELECT sum(amount_local_signed) FROM u) THEN 1 ELSE 0 END
           + CASE WHEN (SELECT count(*) FROM e WHERE operation_type = 'SALE')
@@ -688,7 +706,14 @@ ORACLE: dict[str, str] = {
         f"""{_EU}, two AS ({_TWO_RULES.format(extra='')}),
         r AS (SELECT e.psp, engine_txn_id, provider_event_id, 'psp_reference' AS match_method FROM e JOIN u
           ON e.psp = u.psp AND e.psp_reference = u.psp_reference)""",
-        same="SELECT 0",
+        same=_excess(
+            "SELECT * FROM two",
+            """SELECT e.psp, engine_txn_id, provider_event_id,
+              if(u.operation_type = 'SALE', 'psp_reference', 'order_and_operation') FROM e, u
+            WHERE e.psp = u.psp AND (u.operation_type = 'SALE' AND e.psp_reference = u.psp_reference
+              OR u.operation_type IN ('REFUND', 'CHARGEBACK') AND e.order_id = u.order_id
+              AND e.operation_type = u.operation_type)""",
+        ),
         other_rule=_excess("SELECT * FROM r", "SELECT * FROM two"),
     ),
     "check_fx_coverage": _checks(
@@ -698,7 +723,9 @@ ORACLE: dict[str, str] = {
     ),
     "check_scope": _checks(
         f"WITH {_BASE}, {_FEE_TARIFFS}, {_FEE_SCOPE}",
-        complete="SELECT 0",
+        complete="""SELECT abs((SELECT count(*) FROM contracted) - (SELECT count(*) FROM base AS b
+          WHERE op = 'SALE' AND status = 'settled' AND EXISTS (SELECT 1 FROM tariffs AS t
+            WHERE t.psp = 'psp_' || (b.n % 3) AND t.account = 'acct_' || b.n AND t.valid_from <= CAST(b.ts AS DATE))))""",
         one_month_lost="""SELECT count(*) FROM base AS b WHERE op = 'SALE' AND status = 'settled'
           AND date_trunc('month', ts) = DATE '2026-06-01' AND EXISTS (SELECT 1 FROM tariffs AS t
             WHERE t.psp = 'psp_' || (b.n % 3) AND t.account = 'acct_' || b.n AND t.valid_from <= CAST(b.ts AS DATE))""",
@@ -725,3 +752,96 @@ ORACLE: dict[str, str] = {
 }
 ORACLE["asof_left_lookup"] = ORACLE["asof_left"]
 ORACLE["asof_inner_lookup"] = ORACLE["asof_inner"]
+
+# -- rows that arrive as text, wide numbers, several providers, unclear keys --------
+
+_ARRIVED = """
+arrived AS (
+  SELECT 'E' || k AS txn_id, op, status, amount, rate, ts FROM base WHERE k % 11 <> 3
+  UNION ALL SELECT 'E' || k, op, status, amount, rate, ts FROM base WHERE k % 11 <> 3 AND k % 10 = 0
+)"""
+_THREE_PROVIDERS = """
+offered AS (
+  SELECT *, CASE k % 3 WHEN 0 THEN 'unsigned' WHEN 1 THEN 'register' ELSE 'signed' END AS provider,
+    if(op = 'SALE', amount, -amount) AS plus_minus FROM base WHERE k % 3 <> 1 OR status <> 'pending'
+),
+many AS (
+  SELECT provider AS psp, op, status AS state, amount,
+    CASE provider WHEN 'unsigned' THEN 'U' || k WHEN 'signed' THEN 'S' || k
+      ELSE 'R' || k || if(status = 'declined' OR op = 'SALE', ':sale', ':' || lower(op)) END AS provider_event_id,
+    CASE WHEN provider = 'unsigned' THEN if(op = 'CHARGEBACK', 'OTHER', op)
+      WHEN provider = 'signed' THEN replace(op, 'CHARGEBACK', 'REVERSAL')
+      WHEN status = 'declined' THEN 'SALE' ELSE op END AS operation_type,
+    if(provider = 'signed' AND status = 'pending', 'unknown', status) AS status,
+    CASE WHEN provider = 'unsigned' AND op = 'CHARGEBACK' THEN amount ELSE plus_minus END AS amount_local_signed,
+    if(provider <> 'signed' AND currency = 'USD',
+      CASE WHEN provider = 'unsigned' AND op = 'CHARGEBACK' THEN amount ELSE plus_minus END, NULL) AS amount_usd_reported,
+    if(provider = 'signed' AND op <> 'SALE', 'R' || (k - 3), NULL) AS parent_psp_reference,
+    CASE WHEN provider = 'register' THEN status = 'settled'
+      WHEN provider = 'signed' THEN if(status = 'settled', true, NULL)
+      WHEN op = 'CHARGEBACK' OR status = 'pending' OR (op = 'REFUND' AND status = 'declined') THEN NULL
+      ELSE status = 'settled' END AS is_financial_event
+  FROM offered
+)"""
+_MANY = f"WITH {_BASE}, {_THREE_PROVIDERS}"
+_TOTAL_FEES = """
+totals_charged AS (
+  SELECT 'signed' AS psp, 'S' || k AS provider_event_id, 'total' AS fee_type, currency, round(amount * 0.029, 2) AS fee
+  FROM base WHERE k % 3 = 2 AND op = 'SALE'
+)"""
+
+ORACLE |= {
+    "keep_all_rows": f"""WITH {_BASE}, {_ARRIVED} SELECT op AS operation_type, status, count(*) AS row_count,
+      count(DISTINCT txn_id) AS transactions FROM arrived GROUP BY ALL""",
+    "strict_types": f"""WITH {_BASE}, {_ARRIVED} SELECT DISTINCT txn_id, {_num("amount", "amount_local", 8)},
+      {_num("rate", "fx_rate_applied", 6)}, {_day("ts", "fx_date_applied")},
+      {_num("round(amount * rate, 2)", "amount_usd", 8)} FROM arrived""",
+    "zoned_times": f"""WITH {_BASE}, {_ARRIVED} SELECT DISTINCT txn_id,
+      {_ts("ts - INTERVAL 3 HOUR", "created_at_utc")},
+      {_ts("CASE status WHEN 'settled' THEN ts - INTERVAL 2 HOUR END", "captured_at_utc")} FROM arrived""",
+    "convert_wide": """SELECT o_orderkey AS k, CAST(CAST(CAST(o_orderkey % 1000 AS DECIMAL(11,8)) + 0.12345678 AS DECIMAL(12,8))
+        * CAST(CAST(o_totalprice AS DECIMAL(18,2)) * if(o_orderkey % 2 = 0, 100.00, 0.01) + 0.0000000003 AS DECIMAL(18,10))
+      AS VARCHAR) AS value FROM orders""",
+    "fee_expected_wide": """SELECT o_orderkey AS k, CAST(CAST(round(CAST(CAST(o_totalprice AS DECIMAL(19,2))
+        * if(o_orderkey % 2 = 0, CAST(2000000.00000001 AS DECIMAL(15,8)), CAST(0.50000001 AS DECIMAL(15,8)))
+        AS DECIMAL(24,10)) * CAST((2.1234567891 + o_orderkey % 7) * 0.01 AS DECIMAL(13,12)) + 0.3, 2)
+      AS DECIMAL(20,2)) AS VARCHAR) AS fee FROM orders""",
+    "reported_usd": f"""{_MANY} SELECT psp, provider_event_id, operation_type, {_num("amount_local_signed")},
+      {_num("amount_usd_reported")} FROM many""",
+    "final_states": f"""{_MANY} SELECT CASE WHEN status = 'declined' THEN 'Refused' WHEN op = 'SALE' THEN 'Settled'
+        WHEN op = 'REFUND' THEN 'Refunded' ELSE 'Chargeback' END AS source_status, operation_type, status,
+      count(*) AS event_count FROM many WHERE psp = 'register' GROUP BY ALL""",
+    "parent_references": f"{_MANY} SELECT psp, provider_event_id, parent_psp_reference FROM many",
+    "event_union": f"""{_MANY} SELECT psp, operation_type, status,
+      ifnull(CAST(is_financial_event AS VARCHAR), 'unsupported') AS financial, count(*) AS event_count,
+      {_num("sum(amount_local_signed)", "amount")} FROM many GROUP BY ALL""",
+    "total_fees": f"""WITH {_BASE}, {_TOTAL_FEES} SELECT psp, provider_event_id, fee_type, currency,
+      {_num("fee", "fee_amount")} FROM totals_charged""",
+    "fee_union": f"""WITH {_BASE}, {_FEE_ROWS}, {_TOTAL_FEES} SELECT psp, fee_type, currency, count(*) AS row_count,
+      {_num("sum(fee)", "fee_amount")} FROM (SELECT psp, fee_type, currency, fee FROM totals_charged
+        UNION ALL SELECT psp, fee_type, fee_currency, fee_amount FROM fee_parts) GROUP BY psp, fee_type, currency""",
+    "asof_null_dates": f"""WITH {_BASE}, {_ENGINE}, {_PROVIDER}, {_VALUED},
+      q AS (SELECT if(day(rate_date) = 7, NULL, currency) AS currency, if(day(rate_date) % 5 = 0, NULL,
+        if(day(rate_date) % 3 = 0, rate_date - 1, rate_date)) AS rate_date, usd_rate FROM rates),
+      best AS (SELECT currency, rate_date, max(usd_rate) AS usd_rate FROM q
+        WHERE currency IS NOT NULL AND rate_date IS NOT NULL GROUP BY ALL),
+      sold AS (SELECT k, if(k % 13 = 0, NULL, currency) AS paid_in,
+        if(k % 17 = 0, NULL, DATE '2025-12-28' + CAST(k % 40 AS INTEGER)) AS day FROM base)
+      SELECT k, {_day("rate_date")}, {_num("usd_rate", digits=8)} FROM sold LEFT JOIN LATERAL (
+        SELECT rate_date, usd_rate FROM best WHERE best.currency = sold.paid_in AND best.rate_date <= sold.day
+        ORDER BY rate_date DESC LIMIT 1) ON true""",
+    "match_repeated_both": f"""WITH {_CLICKS}, unclear AS (
+        SELECT psp, day FROM candidates GROUP BY ALL
+        HAVING count(DISTINCT engine_txn_id) > 1 AND count(DISTINCT provider_event_id) > 1)
+      SELECT psp, 'E' AS side, engine_txn_id AS id FROM c SEMI JOIN unclear USING (psp, day)
+      UNION ALL SELECT psp, 'P', provider_event_id FROM v SEMI JOIN unclear USING (psp, day)""",
+    "match_shared_ids": f"""WITH {_CLICKS}, pairs AS (
+        SELECT psp, 'E' || (CAST(substr(engine_txn_id, 2) AS BIGINT) // 40) AS engine_txn_id, provider_event_id
+        FROM candidates WHERE engine_rows = 1 AND provider_rows = 1)
+      SELECT psp, engine_txn_id, provider_event_id, 'user_and_day' AS match_method FROM pairs
+      QUALIFY count(*) OVER (PARTITION BY psp, engine_txn_id) = 1
+        AND count(*) OVER (PARTITION BY psp, provider_event_id) = 1""",
+    "recon_ambiguous": f"""{_JUNE_DETAIL.replace("e.psp_reference = p.psp_reference", "e.psp_reference = p.psp_reference AND e.psp_reference NOT LIKE '%7'")}
+      SELECT psp, match_status, CASE WHEN coalesce(engine_txn_id, provider_event_id) LIKE '%7' THEN 'unexplained'
+        ELSE cause END AS cause, count(*) AS row_count FROM detail GROUP BY ALL""",
+}

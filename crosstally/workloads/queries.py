@@ -7,9 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crosstally.functions import times
-from crosstally.functions.decimals import RATE, decimal_comma, invert_rate, minor_to_major, percent_fee, tolerant
+from crosstally.functions.decimals import (
+    RATE,
+    convert,
+    decimal_comma,
+    invert_rate,
+    minor_to_major,
+    percent_fee,
+    tolerant,
+)
 from crosstally.operators import adapters, asof, copies, fees, matching, quality as q, reconcile as rec
-from crosstally.plans import settlement
+from crosstally.plans import feeds, settlement
 from crosstally.workloads import ledgers as lg
 from crosstally.workloads.ledgers import FEE_MONTHS, MONTH, RULE, comparable, table
 
@@ -150,6 +158,74 @@ def utc_text(spark, sf):
     return comparable(text.select("event_id", times.local_clock(F.col("clock"), times.ISO_SPACED).alias("utc")))
 
 
+def _ledger_text(spark, sf):
+    """The internal ledger as it arrives: text alone; every tenth row comes twice."""
+    ledger = lg.engine_ledger(spark, sf).withColumn("copies", F.expr("IF(substr(txn_id, -1) = '0', 2, 1)"))
+    ledger = ledger.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    clocks = ("created_at_utc", "captured_at_utc")
+    return ledger.select(
+        *(
+            F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'+02:00'").alias(c) if c in clocks else F.col(c).cast("string").alias(c)
+            for c in feeds.ENGINE_COLUMNS
+        )
+    )
+
+
+@query
+def keep_all_rows(spark, sf):
+    """Staging without copy removal: equal rows of the ledger stay."""
+    staged = feeds.stage_engine(_ledger_text(spark, sf))
+    return staged.groupBy("operation_type", "status").agg(
+        F.count(F.lit(1)).alias("row_count"), F.countDistinct("txn_id").alias("transactions")
+    )
+
+
+@query
+def strict_types(spark, sf):
+    """Text to the ledger's types; unreadable text would fail the job."""
+    staged = feeds.stage_engine(_ledger_text(spark, sf)).distinct()
+    return comparable(
+        staged.select("txn_id", "amount_local", "fx_rate_applied", "fx_date_applied", "amount_usd"),
+        {"amount_local": 8, "fx_rate_applied": 6, "amount_usd": 8},
+    )
+
+
+@query
+def zoned_times(spark, sf):
+    """ISO times that name their offset become UTC."""
+    staged = feeds.stage_engine(_ledger_text(spark, sf)).distinct()
+    return comparable(staged.select("txn_id", "created_at_utc", "captured_at_utc"))
+
+
+# -- exact numbers beyond one product -----------------------------------------------
+
+
+@query
+def convert_wide(spark, sf):
+    """Rates up to the limit of their type; all 18 digits are compared."""
+    orders = table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS k",
+        "CAST(o_orderkey % 1000 + 0.12345678 AS DECIMAL(20,8)) AS amount",
+        "CAST(CAST(o_totalprice AS DECIMAL(18,2)) * IF(o_orderkey % 2 = 0, 100, 0.01) + 0.0000000003 AS DECIMAL(18,10))"
+        " AS rate",
+    )
+    return orders.select("k", convert("amount", "rate").cast("string").alias("value"))
+
+
+@query
+def fee_expected_wide(spark, sf):
+    """Fees on converted principals above a billion, at rates with ten digits."""
+    orders = table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS k",
+        "CAST(CAST(o_totalprice AS DECIMAL(18,2)) * IF(o_orderkey % 2 = 0, 2000000.00000001, 0.50000001)"
+        " AS DECIMAL(38,18)) AS principal",
+        "CAST(2.1234567891 + o_orderkey % 7 AS DECIMAL(18,10)) AS percent",
+        "CAST(0.3 AS DECIMAL(20,8)) AS fixed",
+    )
+    fee = percent_fee(F.col("principal"), F.col("percent"), F.col("fixed"), wide=True)
+    return orders.select("k", fee.cast("decimal(20,2)").cast("string").alias("fee"))
+
+
 # -- canonical events ---------------------------------------------------------------
 
 
@@ -216,6 +292,40 @@ def inverted_rates(spark, sf):
     return comparable(quotes.select("event_id", invert_rate("quoted").alias("inverted")), {"inverted": 8})
 
 
+@query
+def reported_usd(spark, sf):
+    """USD as the provider reports it: only where the currency is USD, with the sign of the operation."""
+    events = lg.multi_provider_events(spark, sf)
+    return comparable(
+        events.select("psp", "provider_event_id", "operation_type", "amount_local_signed", "amount_usd_reported")
+    )
+
+
+@query
+def final_states(spark, sf):
+    """A provider that lists open states too: final ones become events."""
+    events = adapters.provider_events(lg.register_feed(spark, sf), lg.REGISTER_SPEC)
+    return events.groupBy("source_status", "operation_type", "status").agg(F.count(F.lit(1)).alias("event_count"))
+
+
+@query
+def parent_references(spark, sf):
+    events = lg.multi_provider_events(spark, sf)
+    return events.select("psp", "provider_event_id", "parent_psp_reference")
+
+
+@query
+def event_union(spark, sf):
+    """Three providers with different sign and type conventions in one contract."""
+    events = lg.multi_provider_events(spark, sf)
+    flag = F.coalesce(F.col("is_financial_event").cast("string"), F.lit("unsupported"))
+    return comparable(
+        events.groupBy("psp", "operation_type", "status", flag.alias("financial")).agg(
+            F.count(F.lit(1)).alias("event_count"), F.sum("amount_local_signed").alias("amount")
+        )
+    )
+
+
 # -- as-of --------------------------------------------------------------------------
 
 
@@ -234,7 +344,7 @@ def _selected_rates(spark, sf):
     return asof.latest_revision(feed, ["rate_date", "currency"], ["published_at", "event_id"])
 
 
-def _rated_purchases(spark, sf, strategy):
+def _rated_purchases(spark, sf):
     rates = _selected_rates(spark, sf).select("currency", "rate_date", "usd_rate")
     joined = asof.asof_join(
         lg.purchases(spark, sf),
@@ -242,20 +352,19 @@ def _rated_purchases(spark, sf, strategy):
         [("currency", "currency")],
         F.col("event_timestamp_utc"),
         "rate_date",
-        strategy=strategy,
     )
     return comparable(joined.select("provider_event_id", "currency", "rate_date", "usd_rate"), {"usd_rate": 8})
 
 
 @query
 def asof_left(spark, sf):
-    return _rated_purchases(spark, sf, "auto")
+    return _rated_purchases(spark, sf)
 
 
 @query
 def asof_left_lookup(spark, sf):
-    """The form for reference data of any size."""
-    return _rated_purchases(spark, sf, "lookup")
+    """The name it had when there were two forms."""
+    return _rated_purchases(spark, sf)
 
 
 @query
@@ -278,21 +387,37 @@ def _order_events(spark, sf):
     )
 
 
-def _contracts(spark, sf, strategy):
+def _contracts(spark, sf):
     tariffs = lg.tariffs(spark, sf, "1995-01-01", 200, 365)
-    found = asof.contract_in_force(_order_events(spark, sf), tariffs, strategy=strategy)
+    found = asof.contract_in_force(_order_events(spark, sf), tariffs)
     return comparable(found.drop("event_timestamp_utc"), {"percent_fee": 4})
 
 
 @query
 def asof_inner(spark, sf):
-    return _contracts(spark, sf, "auto")
+    return _contracts(spark, sf)
 
 
 @query
 def asof_inner_lookup(spark, sf):
-    """The form for reference data of any size."""
-    return _contracts(spark, sf, "lookup")
+    """The name it had when there were two forms."""
+    return _contracts(spark, sf)
+
+
+@query
+def asof_null_dates(spark, sf):
+    """Quotes without a date or currency are in force nowhere; of two on one day the higher counts."""
+    quotes = lg.rates(spark, sf).selectExpr(
+        "IF(day(rate_date) % 5 = 0, NULL, IF(day(rate_date) % 3 = 0, date_sub(rate_date, 1), rate_date)) AS rate_date",
+        "IF(day(rate_date) = 7, NULL, currency) AS currency",
+        "usd_rate",
+    )
+    sales = lg.base(spark, sf).selectExpr(
+        "k", "IF(k % 13 = 0, NULL, currency) AS paid_in",
+        "IF(k % 17 = 0, NULL, date_add(DATE '2025-12-28', CAST(k % 40 AS INT))) AS day",
+    )
+    joined = asof.asof_join(sales, quotes, [("paid_in", "currency")], F.col("day"), "rate_date")
+    return comparable(joined.select("k", "rate_date", "usd_rate"), {"usd_rate": 8})
 
 
 # -- matching -----------------------------------------------------------------------
@@ -358,6 +483,20 @@ def match_repeated_keys(spark, sf):
     return matching.repeated_keys(*_clicks_and_views(spark, sf), [CLICK_RULE])
 
 
+@query
+def match_repeated_both(spark, sf):
+    """The rows that a product would pair: their key repeats on both sides."""
+    return matching.ambiguous_rows(*_clicks_and_views(spark, sf), [CLICK_RULE])
+
+
+@query
+def match_shared_ids(spark, sf):
+    """Candidates that are alone under their key, but share an ID with another pair, match nothing."""
+    clicks, views = _clicks_and_views(spark, sf)
+    shared = clicks.withColumn("engine_txn_id", F.expr("concat('E', CAST(substr(engine_txn_id, 2) AS BIGINT) div 40)"))
+    return matching.match(shared, views, DAY_RULE)
+
+
 @query
 def match_union(spark, sf):
     return matching.match_all(lg.engine(spark, sf), lg.provider_unvalued(spark, sf), ALL_RULES)
@@ -367,9 +506,8 @@ def match_union(spark, sf):
 
 
 def _two_sides(spark, sf):
-    """Engine, valued events and matches; both ledgers are written once for their readers."""
-    ledgers = {"engine": lg.engine(spark, sf), "provider": lg.provider(spark, sf)}
-    engine, events = settlement.written_layers()("intermediate", ledgers).values()
+    """Engine, valued events and matches."""
+    engine, events = lg.engine(spark, sf), lg.provider(spark, sf)
     return engine, events, matching.match(engine, events, RULE)
 
 
@@ -377,11 +515,6 @@ def _detail(spark, sf):
     return rec.reconcile(*_two_sides(spark, sf), [MONTH])
 
 
-def _kept(df):
-    """A frame written once, for queries that read it more than once."""
-    return settlement.written_layers()("marts", {"kept": df})["kept"]
-
-
 @query
 def pair_set(spark, sf):
     return rec.pair_set(*_two_sides(spark, sf)).select(
@@ -404,6 +537,18 @@ def recon_detail(spark, sf):
     return comparable(_detail(spark, sf), {**rates, **values})
 
 
+@query
+def recon_ambiguous(spark, sf):
+    """References that repeat on both sides are unexplained, not missing; none is lost."""
+    engine, events = lg.engine(spark, sf), lg.provider(spark, sf)
+    shared = F.expr("IF(psp_reference LIKE '%7', 'shared', psp_reference)")
+    engine, events = (df.withColumn("psp_reference", shared) for df in (engine, events))
+    matches = matching.match(engine, events, RULE)
+    ambiguous = matching.ambiguous_rows(engine, events, [RULE])
+    detail = rec.reconcile(engine, events, matches, [MONTH], ambiguous=ambiguous)
+    return detail.groupBy("psp", "match_status", "cause").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @query
 def recon_cause_counts(spark, sf):
     return _detail(spark, sf).groupBy("cause").agg(F.count(F.lit(1)).alias("row_count"))
@@ -411,7 +556,7 @@ def recon_cause_counts(spark, sf):
 
 @query
 def recon_summary(spark, sf):
-    return comparable(rec.summarise(_detail(spark, sf)), {"absolute_impact_share_pct": 3})
+    return comparable(rec.summarise(_detail(spark, sf)), {"absolute_impact_share_pct": 4})
 
 
 @query
@@ -424,12 +569,12 @@ def recon_months(spark, sf):
 @query
 def recon_share(spark, sf):
     """Share of each provider and cause in the month's absolute impact; NULL if there is none."""
-    detail = _kept(_detail(spark, sf))
+    detail = _detail(spark, sf)
     shares = rec.summarise(detail).select("psp", "cause", "absolute_impact_share_pct")
     quiet = rec.summarise(detail.filter("signed_usd_impact = 0")).selectExpr(
         "concat('quiet_', psp) AS psp", "cause", "absolute_impact_share_pct"
     )
-    return comparable(shares.unionByName(quiet), {"absolute_impact_share_pct": 3})
+    return comparable(shares.unionByName(quiet), {"absolute_impact_share_pct": 4})
 
 
 @query
@@ -444,15 +589,14 @@ def recon_exceptions(spark, sf):
 @query
 def report_payment(spark, sf):
     detail = _detail(spark, sf)
-    return comparable(
-        settlement.payment_exceptions_report(detail).projected().drop("engine_amount_local", "provider_amount_local")
-    )
+    local = {"engine_amount_local": 8, "provider_amount_local": 8}
+    return comparable(settlement.payment_exceptions_report(detail).projected(), local)
 
 
 @query
 def report_payment_summary(spark, sf):
     report = settlement.payment_summary_report(rec.summarise(_detail(spark, sf)))
-    return comparable(report.projected(), {"absolute_impact_share_pct": 3})
+    return comparable(report.projected(), {"absolute_impact_share_pct": 4})
 
 
 # -- fees ---------------------------------------------------------------------------
@@ -485,7 +629,7 @@ def fee_components(spark, sf):
 
 @query
 def fee_reported(spark, sf):
-    return comparable(fees.reported_fees(_line_components(spark, sf)).drop("psp", "provider_account"))
+    return comparable(fees.reported_fees(_line_components(spark, sf)))
 
 
 @query
@@ -499,6 +643,27 @@ def fee_link(spark, sf):
     )
 
 
+@query
+def total_fees(spark, sf):
+    """A provider that reports one fee per event, as a negative amount."""
+    rows = adapters.provider_fees(lg.signed_feed(spark, sf), lg.TOTAL_FEE_SPEC)
+    return comparable(rows.select("psp", "provider_event_id", "fee_type", "currency", "fee_amount"))
+
+
+@query
+def fee_union(spark, sf):
+    """Total and component fees in one contract."""
+    rows = adapters.union_fees(
+        adapters.provider_fees(lg.signed_feed(spark, sf), lg.TOTAL_FEE_SPEC),
+        lg.fee_rows(spark, sf),
+    )
+    return comparable(
+        rows.groupBy("psp", "fee_type", "currency").agg(
+            F.count(F.lit(1)).alias("row_count"), F.sum("fee_amount").alias("fee_amount")
+        )
+    )
+
+
 def _fee_detail(spark, sf):
     return fees.reconcile_fees(
         lg.fee_events(spark, sf), lg.fee_rows(spark, sf), lg.fee_tariffs(spark, sf), FEE_MONTHS
@@ -642,7 +807,7 @@ def check_diff(spark, sf):
 
 @query
 def check_fee_source(spark, sf):
-    fee_rows = _kept(lg.fee_rows(spark, sf))
+    fee_rows = lg.fee_rows(spark, sf)
     events = lg.fee_events(spark, sf)
     halved = fee_rows.withColumn("fee_amount", F.expr("IF(fee_type = 'markup', fee_amount * 2, fee_amount)").cast("decimal(20,8)"))
     return q.all_checks(
@@ -660,8 +825,10 @@ def check_totals(spark, sf):
         "local": ("sum(amount_local_signed)", "sum(amount_local_signed)"),
         "sales": ("count_if(operation_type = 'SALE')", "count_if(operation_type = 'SALE')"),
     }
+    unsigned = "sum(if(operation_type = 'SALE', amount_local, -amount_local))"
+    from_ledger = controls | {"local": (unsigned, "sum(amount_local_signed)")}
     return q.all_checks(
-        q.counted("same", q.control_totals(engine, engine, controls)),
+        q.counted("same", q.control_totals(lg.engine_ledger(spark, sf), engine, from_ledger)),
         q.counted("different", q.control_totals(engine, events, controls)),
         q.counted("must_not_occur", q.must_not_occur(events, {"no_flag": "is_financial_event IS NULL", "no_id": "provider_event_id IS NULL"})),
     )
@@ -721,7 +888,7 @@ def check_scope(spark, sf):
 
 @query
 def check_summary(spark, sf):
-    detail = _kept(_fee_detail(spark, sf))
+    detail = _fee_detail(spark, sf)
     summary = fees.summarise_fees(detail)
     fewer = detail.filter("principal_currency <> 'BRL'")
     return q.all_checks(
@@ -732,7 +899,7 @@ def check_summary(spark, sf):
 
 @query
 def check_multiset(spark, sf):
-    detail = _kept(_detail(spark, sf))
+    detail = _detail(spark, sf)
     summary = rec.summarise(detail)
     fewer = detail.filter("match_status <> 'engine_only'")
     return q.all_checks(
@@ -745,7 +912,7 @@ def check_multiset(spark, sf):
 def check_three_way(spark, sf):
     """Engine, provider and detail totals; unsupported events make a total unknown on both ends."""
     engine, events, matches = _two_sides(spark, sf)
-    detail = _kept(rec.reconcile(engine, events, matches, [MONTH]))
+    detail = rec.reconcile(engine, events, matches, [MONTH])
     moved = detail.filter("cause <> 'cutoff_timing'")
     decided = events.withColumn("is_financial_event", F.expr("ifnull(is_financial_event, false)"))
     supported = rec.reconcile(engine, decided, matches, [MONTH])

@@ -55,6 +55,32 @@ def test_percent_fee_is_exact_at_half_cents(spark):
     assert fee(spark, "100", "1.75", "0.30") == D("2.05")
 
 
+@pytest.mark.parametrize(
+    "amount, rate",
+    [("1000", "12345678.5"), ("-0.00000001", "99999999.9999999999"), ("123.45678901", "0.0000000001"), ("7", "-2.5")],
+)
+def test_convert_takes_every_rate(spark, amount, rate):
+    value = one(spark, dec.convert(F.lit(D(amount)), F.lit(D(rate)).cast(dec.RATE)))
+    assert value == D(amount) * D(rate)
+
+
+@pytest.mark.parametrize(
+    "principal, percent, fee",
+    [
+        ("2000000000", "2.5", "50000000.00"),
+        ("100000000", "2.123456789", "2123456.79"),
+        ("0.999999999999999999", "50", "0.50"),
+        ("99999999999.995000000000000001", "1", "1000000000.00"),
+        ("1.000000000000000000", "0.5", "0.01"),
+        ("0.999999999999999999", "0.5", "0.00"),
+    ],
+)
+def test_wide_fees_are_exact(spark, principal, percent, fee):
+    usd = F.lit(D(principal)).cast(dec.USD)
+    args = F.lit(D(percent)).cast(dec.RATE), F.lit(D(0)).cast(dec.MONEY)
+    assert one(spark, dec.percent_fee(usd, *args, wide=True)) == D(fee)
+
+
 def test_percent_fee_of_a_converted_amount(spark):
     usd = F.lit("40.200000000000000000").cast(dec.USD)
     args = F.lit("2.5").cast(dec.RATE), F.lit("0").cast(dec.MONEY)

@@ -129,6 +129,28 @@ def test_rows_without_ids_are_kept(spark):
     assert status == ["engine_only", "engine_only", "provider_only", "provider_only"]
 
 
+def test_repeated_keys_are_unexplained_not_missing(spark):
+    engine = frame(spark, [{**E_DEFAULT, "engine_txn_id": f"E{i}"} for i in range(3)], ENGINE_EVENT)
+    provider = frame(spark, [{**P_DEFAULT, "provider_event_id": f"P{i}"} for i in range(3)], VALUED_EVENT)
+    unclear = spark.createDataFrame(
+        [("p", "E", "E0"), ("p", "E", "E1"), ("p", "P", "P0"), ("p", "P", "P1")], "psp string, side string, id string"
+    )
+    rows = rec.reconcile(engine, provider, frame(spark, [], MATCH), [JUNE], ambiguous=unclear).collect()
+    causes = {r["engine_txn_id"] or r["provider_event_id"]: r["cause"] for r in rows}
+    assert len(rows) == 6 and {causes[x] for x in ("E0", "E1", "P0", "P1")} == {"unexplained"}
+    assert causes["E2"] == "engine_only" and causes["P2"] == "provider_only"
+
+
+def test_month_bounds_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "engine")
+    frame(spark, [E_DEFAULT], ENGINE_EVENT).write.parquet(path)
+    none = frame(spark, [], VALUED_EVENT), frame(spark, [], MATCH)
+    for months in ([JUNE], [JUNE, date(2026, 7, 1)]):
+        detail = rec.reconcile(spark.read.parquet(path), *none, months)
+        plan = detail._jdf.queryExecution().executedPlan().toString()
+        assert "PushedFilters: [Or(" in plan
+
+
 def test_several_months_in_one_pass(spark):
     provider = frame(spark, [{**P_DEFAULT, "event_timestamp_utc": LATE}], VALUED_EVENT)
     matches = frame(spark, [dict(psp="p", engine_txn_id="E", provider_event_id="P", match_method="m")], MATCH)
