@@ -44,11 +44,17 @@ def column_checks(
     table: str,
     not_null: Sequence[str] = (),
     accepted: Mapping[str, Sequence[str]] | None = None,
+    rules: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """All NULL and accepted-value checks of a table in one aggregate; NULL is accepted."""
+    """All NULL, accepted-value and row checks of a table in one aggregate.
+
+    NULL is an accepted value. `rules` names conditions that no row may fulfil.
+    """
     counts = {f"not_null:{table}.{c}": F.count_if(F.col(c).isNull()) for c in not_null}
     for c, values in (accepted or {}).items():
         counts[f"accepted_values:{table}.{c}"] = F.count_if(~F.col(c).isin(*values))
+    for name, broken in (rules or {}).items():
+        counts[name] = F.count_if(broken)
     slots = [f"c{i}" for i in range(len(counts))]
     row = df.agg(*(count.alias(slot) for slot, count in zip(slots, counts.values())))
     pairs = ", ".join(f"'{name}', {slot}" for slot, name in zip(slots, counts))
@@ -69,11 +75,16 @@ def unparsed(df: DataFrame, parsed: Mapping[str, Column]) -> DataFrame:
     return df.filter(reduce(Column.__or__, lost))
 
 
-def unbalanced(df: DataFrame, parts: Sequence[str], total: str, where: Column) -> DataFrame:
-    """Rows in scope whose parts do not add up to the total, or cannot be added."""
+def is_unbalanced(parts: Sequence[str], total: str, where: Column) -> Column:
+    """Whether a row in scope has parts that do not add up to the total, or cannot be added."""
     added = reduce(Column.__add__, (F.col(p) for p in parts))
     unknown = reduce(Column.__or__, (F.col(c).isNull() for c in [*parts, total]))
-    return df.filter(where & (unknown | (added != F.col(total))))
+    return where & (unknown | (added != F.col(total)))
+
+
+def unbalanced(df: DataFrame, parts: Sequence[str], total: str, where: Column) -> DataFrame:
+    """Rows in scope whose parts do not add up to the total, or cannot be added."""
+    return df.filter(is_unbalanced(parts, total, where))
 
 
 def unresolved(
@@ -87,13 +98,29 @@ def unresolved(
     return groups.filter((F.col("open_rows") > 0) & ((F.col("final_rows") == 0) | F.col(reference).isNull()))
 
 
+#: What may be missing or wrong in the value of a financial event, by name.
+VALUATION_RULES = {
+    "no_amount": "isnull(amount_local_signed)",
+    "no_value": "isnull(amount_usd_normalized)",
+    "no_rate": "currency <> 'USD' AND isnull(fx_rate_selected)",
+    "no_rate_date": "currency <> 'USD' AND isnull(fx_date_selected)",
+    "rate_of_a_later_day": "datediff(fx_date_selected, event_timestamp_utc) > 0",
+}
+
+
+def valuation_gap_names() -> Column:
+    """Names of the valuation rules that a row breaks."""
+    named = F.array(*(F.when(F.expr(rule), F.lit(name)) for name, rule in VALUATION_RULES.items()))
+    return F.array_compact(named)
+
+
+def has_valuation_gap() -> Column:
+    return F.col("is_financial_event") & (F.size(valuation_gap_names()) > 0)
+
+
 def valuation_gaps(events: DataFrame) -> DataFrame:
-    """Financial events without amount, value or rate, or with a rate from the future."""
-    return events.filter("is_financial_event").filter(
-        """amount_local_signed IS NULL OR amount_usd_normalized IS NULL
-        OR (currency <> 'USD' AND (fx_date_selected IS NULL OR fx_rate_selected IS NULL))
-        OR fx_date_selected > CAST(event_timestamp_utc AS DATE)"""
-    )
+    """Financial events that break a valuation rule, with the names of those rules."""
+    return events.filter(has_valuation_gap()).withColumn("gaps", valuation_gap_names())
 
 
 # -- conservation -------------------------------------------------------------------

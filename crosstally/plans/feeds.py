@@ -71,14 +71,19 @@ GOOGLE_COLUMNS = [
 ]
 GOOGLE_TITLE = r"^Earnings report for "
 GOOGLE_ZONE = "America/Los_Angeles"
-GOOGLE_ACCOUNT = "LumoPlayMain"
+GOOGLE_ACCOUNT = "Merchant Account"
 FX_COLUMNS = ["rate_date", "currency", "usd_rate", "published_at"]
 FEE_SCHEDULE_COLUMNS = ["psp", "account", "valid_from", "percent_fee", "fixed_fee", "fixed_fee_currency"]
 
 
 @dataclass(frozen=True)
 class Inputs:
-    """Where the snapshots lie. Each entry is a path, a glob or a list of paths."""
+    """Where the snapshots lie: a path, a glob or a list of paths each.
+
+    The Google Play reports do not name their merchant account, so it is an input.
+    `multiline` lists snapshots whose quoted fields hold line breaks; each of their files
+    is read by one task. `google_title` is a pattern of the title line.
+    """
 
     engine: str
     paypal_us: str
@@ -88,6 +93,9 @@ class Inputs:
     google_play: Sequence[str]
     fx_rates: str
     fee_schedule: str
+    google_account: str = "LumoPlayMain"
+    google_title: str = GOOGLE_TITLE
+    multiline: Sequence[str] = ()
 
     def all_paths(self) -> list[str]:
         single = [self.engine, self.paypal_us, self.paypal_eu, self.dlocal, self.adyen]
@@ -96,15 +104,20 @@ class Inputs:
 
 def read_raw(spark: SparkSession, inputs: Inputs) -> dict[str, DataFrame]:
     """All snapshots as text."""
+
+    def read(name: str, columns: Sequence[str], **options) -> DataFrame:
+        return read_snapshot(spark, getattr(inputs, name), columns, multiline=name in inputs.multiline, **options)
+
+    google = read_titled_snapshot(spark, inputs.google_play, GOOGLE_COLUMNS, inputs.google_title)
     return {
-        "engine": read_snapshot(spark, inputs.engine, ENGINE_COLUMNS, lineage=False),
-        "paypal_us": read_snapshot(spark, inputs.paypal_us, PAYPAL_COLUMNS),
-        "paypal_eu": read_snapshot(spark, inputs.paypal_eu, PAYPAL_COLUMNS, sep=";", encoding="cp1252"),
-        "dlocal": read_snapshot(spark, inputs.dlocal, DLOCAL_COLUMNS),
-        "adyen": read_snapshot(spark, inputs.adyen, ADYEN_COLUMNS),
-        "google_play": read_titled_snapshot(spark, inputs.google_play, GOOGLE_COLUMNS, GOOGLE_TITLE),
-        "fx_rates": read_snapshot(spark, inputs.fx_rates, FX_COLUMNS, lineage=False),
-        "fee_schedule": read_snapshot(spark, inputs.fee_schedule, FEE_SCHEDULE_COLUMNS, lineage=False),
+        "engine": read("engine", ENGINE_COLUMNS, lineage=False),
+        "paypal_us": read("paypal_us", PAYPAL_COLUMNS),
+        "paypal_eu": read("paypal_eu", PAYPAL_COLUMNS, sep=";", encoding="cp1252"),
+        "dlocal": read("dlocal", DLOCAL_COLUMNS),
+        "adyen": read("adyen", ADYEN_COLUMNS),
+        "google_play": google.withColumn(GOOGLE_ACCOUNT, F.lit(inputs.google_account)),
+        "fx_rates": read("fx_rates", FX_COLUMNS, lineage=False),
+        "fee_schedule": read("fee_schedule", FEE_SCHEDULE_COLUMNS, lineage=False),
     }
 
 
@@ -193,6 +206,7 @@ def stage_google_play(df: DataFrame) -> DataFrame:
         tolerant(raw("Currency Conversion Rate"), RATE).alias("currency_conversion_rate"),
         raw("Merchant Currency").alias("merchant_currency"),
         tolerant(raw("Amount (Merchant Currency)")).alias("merchant_amount"),
+        raw(GOOGLE_ACCOUNT).alias("merchant_account"),
         SOURCE_FILE,
     )
 
@@ -344,7 +358,7 @@ EVENT_SPECS = {
         amount="buyer_amount",
         amount_usd_reported="merchant_amount",
         columns={
-            "provider_account": f"'{GOOGLE_ACCOUNT}'",
+            "provider_account": "merchant_account",
             "source_file": "source_file",
             "event_timestamp_utc": "event_timestamp_utc",
             "country": "buyer_country",
@@ -372,7 +386,7 @@ FEE_SPECS = {
         "charge_event_id",
         "merchant_currency",
         {"total": "-merchant_amount"},
-        account=f"'{GOOGLE_ACCOUNT}'",
+        account="merchant_account",
     ),
 }
 

@@ -168,7 +168,7 @@ def run(
     pin_utc(spark)
     require_inputs(spark, inputs.all_paths())
     result = settle(spark, feeds.read_raw(spark, inputs), months, keep, rounding)
-    titles = titled_line_problems(spark, inputs.google_play, feeds.GOOGLE_COLUMNS, feeds.GOOGLE_TITLE)
+    titles = titled_line_problems(spark, inputs.google_play, feeds.GOOGLE_COLUMNS, inputs.google_title)
     publish(result.reports(), [*checks(result), q.counted("google_play_title_lines", titles)], output)
     return result
 
@@ -210,22 +210,45 @@ REQUIRED_FEE_DETAIL = "reported_fee_local expected_fee_local signed_fee_variance
 
 
 def checks(s: Settlement) -> list[DataFrame]:
-    """All checks of the run, each a small frame (check, violations)."""
-    groups = (_declared_checks, _staging_checks, _source_checks, _matching_checks, _report_checks)
-    return [check for group in groups for check in group(s)]
+    """All checks of the run as small frames (check, violations); one frame holds what belongs together."""
+    declared = _declared_checks(s)
+    groups = (_staging_checks, _source_checks, _matching_checks, _report_checks)
+    return [*declared, *(q.all_checks(*group(s)) for group in groups)]
 
 
 def _declared_checks(s: Settlement) -> list[DataFrame]:
+    balanced = {"paypal_us": ["Completed", "Refunded"], "paypal_eu": ["Completed", "Refunded", "Reversed"]}
+    staged_rules = {
+        name: {
+            f"amount_balance:{name}": q.is_unbalanced(
+                ["gross_amount", "fee_amount"], "net_amount", F.col("status").isin(*statuses)
+            )
+        }
+        for name, statuses in balanced.items()
+    }
+    charge = F.col("transaction_type").isin("Charge", "Charge refund")
+    staged_rules["google_play"] = {"events_usd:google_play": charge & (F.col("merchant_currency") != "USD")}
     tables = [
-        q.column_checks(df, f"staging.{name}", REQUIRED_STAGED[name], ACCEPTED_STAGED.get(name))
-        for name, df in s.staged.items()
+        q.column_checks(df, f"staging.{n}", REQUIRED_STAGED[n], ACCEPTED_STAGED.get(n), staged_rules.get(n))
+        for n, df in s.staged.items()
     ]
+    sold_back = F.expr(
+        "(operation_type = 'SALE' AND amount_local_signed < 0) OR (operation_type = 'REFUND' AND amount_local_signed > 0)"
+    )
+    event_rules = {
+        "fx_coverage": q.has_valuation_gap(),
+        "events_sign:paypal_us": (F.col("psp") == "paypal_us") & sold_back,
+        "events_complete:google_play": (F.col("psp") == "google_play")
+        & F.expr("provider_event_id IS NULL OR country IS NULL OR sku IS NULL"),
+    }
+    unlinked = {"google_play_fees_linked": F.expr("psp = 'google_play' AND provider_event_id IS NULL")}
     return [
         *tables,
         q.column_checks(s.engine, "engine_events", ["is_financial_event"]),
-        q.column_checks(s.events, "provider_events", ["provider_event_id", "psp", "is_financial_event"]),
-        q.column_checks(s.fees, "provider_fees", ["fee_amount"]),
-        q.counted("google_play_fees_linked", s.source_fees["google_play"].filter("provider_event_id IS NULL")),
+        q.column_checks(
+            s.events, "provider_events", ["provider_event_id", "psp", "is_financial_event"], rules=event_rules
+        ),
+        q.column_checks(s.fees, "provider_fees", ["fee_amount"], rules=unlinked),
         q.column_checks(s.matches, "provider_matches", ["engine_txn_id", "provider_event_id", "match_method"]),
         q.column_checks(s.detail, "reconciliation_detail", REQUIRED_DETAIL),
         q.column_checks(s.fee_detail, "fee_reconciliation_detail", REQUIRED_FEE_DETAIL),
@@ -238,7 +261,6 @@ def _staging_checks(s: Settlement) -> list[DataFrame]:
         F.col("rate_date").cast("date"), "currency", F.col("usd_rate").cast("decimal(18,10)"),
         F.col("published_at").cast("timestamp"),
     )
-    balanced = {"paypal_us": ["Completed", "Refunded"], "paypal_eu": ["Completed", "Refunded", "Reversed"]}
     return [
         *(
             q.counted(f"row_count:{n}", q.lost_rows(s.raw[n], s.staged[n]))
@@ -256,82 +278,177 @@ def _staging_checks(s: Settlement) -> list[DataFrame]:
             "key:fx_rates", q.repeated_rows(s.staged["fx_rates"], ["rate_date", "currency", "published_at"])
         ),
         q.counted("amount_parsing:adyen", q.unparsed(s.raw["adyen"], adyen_amounts)),
-        *(
-            q.counted(
-                f"amount_balance:{n}",
-                q.unbalanced(
-                    s.staged[n], ["gross_amount", "fee_amount"], "net_amount", F.col("status").isin(*statuses)
-                ),
-            )
-            for n, statuses in balanced.items()
-        ),
     ]
 
 
+@dataclass(frozen=True)
+class Expectation:
+    """What a source says about its events, stated apart from the adapter specs.
+
+    `columns` names the staged columns: event_id, reference, order, account, country,
+    currency, amount. `usd` is SQL over the staged columns and `_amount`, unsigned.
+    """
+
+    kind: str
+    state: str
+    columns: dict[str, str]
+    operations: dict[str, str]
+    states: dict[str, str]
+    financial: dict[tuple[str, str], bool]
+    usd: str = "NULL"
+    rate: str = "NULL"
+    negative: tuple[str, ...] = ()
+    ignored: tuple[str, ...] = ()
+    lifecycle: bool = False
+    other: tuple[str, str] = ("OTHER", "unknown")
+
+
+# Source types and states and what they mean.
+_PAYPAL_COLUMNS = {
+    "event_id": "transaction_id", "reference": "transaction_id", "order": "invoice_id", "currency": "currency",
+    "amount": "gross_amount",
+}
+EXPECTED_EVENTS = {
+    "paypal_us": Expectation(
+        "transaction_type",
+        "status",
+        _PAYPAL_COLUMNS,
+        {"Website Payment": "SALE", "Refund": "REFUND"},
+        {"Completed": "settled", "Refunded": "settled", "Denied": "declined"},
+        {
+            ("Website Payment", "Completed"): True,
+            ("Website Payment", "Denied"): False,
+            ("Refund", "Refunded"): True,
+        },
+        usd="IF(currency = 'USD', _amount, NULL)",
+    ),
+    "paypal_eu": Expectation(
+        "transaction_type",
+        "status",
+        _PAYPAL_COLUMNS,
+        {"Website Payment": "SALE", "Refund": "REFUND", "Payment Reversal": "REVERSAL"},
+        {"Completed": "settled", "Refunded": "settled", "Reversed": "settled", "Denied": "declined"},
+        {
+            ("Website Payment", "Completed"): True,
+            ("Website Payment", "Denied"): False,
+            ("Refund", "Refunded"): True,
+            ("Payment Reversal", "Reversed"): True,
+        },
+    ),
+    "dlocal": Expectation(
+        "transaction_type",
+        "status",
+        {
+            "event_id": "transaction_id", "reference": "transaction_id", "order": "invoice_id", "country": "country",
+            "currency": "currency", "amount": "local_amount",
+        },
+        {"PAYMENT": "SALE", "REFUND": "REFUND"},
+        {"PAID": "settled", "REFUNDED": "settled", "REJECTED": "declined", "IN_MEDIATION": "disputed"},
+        {
+            ("PAYMENT", "PAID"): True,
+            ("PAYMENT", "REJECTED"): False,
+            ("PAYMENT", "IN_MEDIATION"): False,
+            ("REFUND", "REFUNDED"): True,
+        },
+        usd="usd_amount",
+        rate="try_divide(1D, CAST(fx_rate AS DOUBLE))",
+        negative=("REFUND",),
+    ),
+    "adyen": Expectation(
+        "record_type",
+        "record_type",
+        {
+            "event_id": "psp_reference", "reference": "psp_reference", "order": "merchant_reference",
+            "account": "merchant_account", "currency": "gross_currency",
+            "amount": "ifnull(gross_credit, -gross_debit)",
+        },
+        {"Settled": "SALE", "Refused": "SALE", "Refunded": "REFUND", "Chargeback": "CHARGEBACK"},
+        {"Settled": "settled", "Refused": "declined", "Refunded": "settled", "Chargeback": "settled"},
+        {
+            ("Settled", "Settled"): True,
+            ("Refused", "Refused"): False,
+            ("Refunded", "Refunded"): True,
+            ("Chargeback", "Chargeback"): True,
+        },
+        usd="IF(gross_currency = 'USD', _amount, NULL)",
+        ignored=("Authorised",),
+        lifecycle=True,
+    ),
+}
+
+
 def _expected_events(s: Settlement, name: str) -> DataFrame:
-    """What the source says about its events, derived apart from the adapter specs."""
-    rows = s.staged[name]
-    if name == "dlocal":
-        sign = "IF(transaction_type = 'REFUND', -1, 1)"
-        return rows.selectExpr(
-            "transaction_id AS provider_event_id", "transaction_id AS psp_reference", "invoice_id AS order_id",
-            "CAST(NULL AS STRING) AS provider_account", "country", "currency",
-            f"CAST(local_amount * {sign} AS DECIMAL(20,8)) AS amount_local_signed",
-            f"CAST(usd_amount * {sign} AS DECIMAL(20,8)) AS amount_usd_reported",
-            "CAST(try_divide(1D, CAST(fx_rate AS DOUBLE)) AS DECIMAL(18,10)) AS fx_rate_reported",
-            "CASE transaction_type WHEN 'PAYMENT' THEN 'SALE' WHEN 'REFUND' THEN 'REFUND' ELSE 'OTHER' END"
-            " AS operation_type",
-            "CASE WHEN status IN ('PAID', 'REFUNDED') THEN 'settled' WHEN status = 'REJECTED' THEN 'declined'"
-            " WHEN status = 'IN_MEDIATION' THEN 'disputed' ELSE 'unknown' END AS status",
-            "CASE WHEN concat(transaction_type, '/', status) IN ('PAYMENT/PAID', 'REFUND/REFUNDED') THEN true"
-            " WHEN concat(transaction_type, '/', status) IN ('PAYMENT/REJECTED', 'PAYMENT/IN_MEDIATION') THEN false"
-            " END AS is_financial_event",
-        )
-    if name == "adyen":
-        final = rows.filter("record_type <> 'Authorised'")
-        operation = "CASE record_type WHEN 'Refunded' THEN 'REFUND' WHEN 'Chargeback' THEN 'CHARGEBACK' ELSE 'SALE' END"
-        return final.selectExpr(
-            f"concat(psp_reference, ':', lower({operation})) AS provider_event_id", "psp_reference",
-            "merchant_reference AS order_id", "merchant_account AS provider_account",
-            "CAST(NULL AS STRING) AS country", "gross_currency AS currency",
-            "CAST(ifnull(gross_credit, -gross_debit) AS DECIMAL(20,8)) AS amount_local_signed",
-            "CAST(IF(gross_currency = 'USD', ifnull(gross_credit, -gross_debit), NULL) AS DECIMAL(20,8))"
-            " AS amount_usd_reported",
-            "CAST(NULL AS DECIMAL(18,10)) AS fx_rate_reported", f"{operation} AS operation_type",
-            "IF(record_type = 'Refused', 'declined', 'settled') AS status",
-            "record_type <> 'Refused' AS is_financial_event",
-        )
-    europe = name == "paypal_eu"
-    return rows.selectExpr(
-        "transaction_id AS provider_event_id", "transaction_id AS psp_reference", "invoice_id AS order_id",
-        "CAST(NULL AS STRING) AS provider_account", "CAST(NULL AS STRING) AS country", "currency",
-        "gross_amount AS amount_local_signed",
-        f"CAST(IF({not europe} AND currency = 'USD', gross_amount, NULL) AS DECIMAL(20,8)) AS amount_usd_reported",
-        "CAST(NULL AS DECIMAL(18,10)) AS fx_rate_reported",
-        "CASE WHEN transaction_type = 'Website Payment' THEN 'SALE' WHEN transaction_type = 'Refund' THEN 'REFUND'"
-        f" WHEN {europe} AND transaction_type = 'Payment Reversal' THEN 'REVERSAL' ELSE 'OTHER' END AS operation_type",
-        f"CASE WHEN status IN ('Completed', 'Refunded') OR ({europe} AND status = 'Reversed') THEN 'settled'"
-        " WHEN status = 'Denied' THEN 'declined' ELSE 'unknown' END AS status",
-        "CASE WHEN concat(transaction_type, '/', status) IN ('Website Payment/Completed', 'Refund/Refunded') THEN true"
-        f" WHEN {europe} AND concat(transaction_type, '/', status) = 'Payment Reversal/Reversed' THEN true"
-        " WHEN concat(transaction_type, '/', status) = 'Website Payment/Denied' THEN false END AS is_financial_event",
-    )
+    """Staged rows with the meaning of their type and state joined in from the fixed tables."""
+    e, rows = EXPECTED_EVENTS[name], s.staged[name]
+    spark = rows.sparkSession
+    operations = spark.createDataFrame(list(e.operations.items()), "_kind string, _operation string")
+    states = spark.createDataFrame(list(e.states.items()), "_state string, _status string")
+    flags = spark.createDataFrame([(*k, v) for k, v in e.financial.items()], "_kind string, _state string, _flag boolean")
+    staged = rows.filter(~F.col(e.kind).isin(*e.ignored)) if e.ignored else rows
+    staged = staged.withColumns({"_kind": F.col(e.kind), "_state": F.col(e.state), "_amount": F.expr(e.columns["amount"])})
+    known = staged.join(operations, "_kind", "left").join(states, "_state", "left").join(flags, ["_kind", "_state"], "left")
+    operation, status = F.coalesce("_operation", F.lit(e.other[0])), F.coalesce("_status", F.lit(e.other[1]))
+    sign = F.when(operation.isin(*e.negative), F.lit(-1)).otherwise(F.lit(1)) if e.negative else F.lit(1)
+
+    def text(role: str) -> Column:
+        return F.expr(e.columns[role]) if role in e.columns else F.lit(None).cast("string")
+
+    event_id = F.concat_ws(":", text("event_id"), F.lower(operation)) if e.lifecycle else text("event_id")
+    return known.select(
+        event_id.alias("provider_event_id"),
+        text("reference").alias("psp_reference"),
+        text("order").alias("order_id"),
+        text("account").alias("provider_account"),
+        text("country").alias("country"),
+        text("currency").alias("currency"),
+        (F.col("_amount") * sign).cast("decimal(20,8)").alias("amount_local_signed"),
+        (F.expr(e.usd).cast("decimal(20,8)") * sign).cast("decimal(20,8)").alias("amount_usd_reported"),
+        F.expr(e.rate).cast("decimal(18,10)").alias("fx_rate_reported"),
+        operation.alias("operation_type"),
+        status.alias("status"),
+        F.col("_flag").alias("is_financial_event"),
+    )
+
+
+@dataclass(frozen=True)
+class FeeExpectation:
+    """Fee types of a source and the staged columns that hold them."""
+
+    parts: dict[str, str]
+    currency: str
+    event_id: str = "transaction_id"
+    account: str = "CAST(NULL AS STRING)"
+    only: str = "true"
+
+
+# Which columns are fees. Deductions are negative in the source.
+EXPECTED_FEES = {
+    "paypal_us": FeeExpectation({"total": "-fee_amount"}, "currency"),
+    "paypal_eu": FeeExpectation({"total": "-fee_amount"}, "currency"),
+    "dlocal": FeeExpectation({"total": "fee_usd"}, "'USD'"),
+    "adyen": FeeExpectation(
+        {"markup": "markup", "commission": "commission"},
+        "net_currency",
+        event_id="psp_reference || ':sale'",
+        account="merchant_account",
+        only="record_type = 'Settled'",
+    ),
+}
 
 
 def _expected_fees(s: Settlement, name: str) -> DataFrame:
-    rows = s.staged[name]
-    if name == "adyen":
-        return rows.filter("record_type = 'Settled'").selectExpr(
-            "'adyen' AS psp", "concat(psp_reference, ':sale') AS provider_event_id",
-            "merchant_account AS provider_account",
-            "stack(2, 'commission', commission, 'markup', markup) AS (fee_type, fee_amount)",
-            "net_currency AS currency",
-        )
-    currency, amount = ("'USD'", "fee_usd") if name == "dlocal" else ("currency", "-fee_amount")
-    return rows.selectExpr(
-        f"'{name}' AS psp", "transaction_id AS provider_event_id", "CAST(NULL AS STRING) AS provider_account",
-        "'total' AS fee_type", f"{currency} AS currency", f"CAST({amount} AS DECIMAL(20,8)) AS fee_amount",
-    )
+    e = EXPECTED_FEES[name]
+    rows = s.staged[name].filter(e.only)
+    parts = F.array(
+        *(F.struct(F.lit(t).alias("fee_type"), F.expr(x).cast("decimal(20,8)").alias("fee_amount")) for t, x in e.parts.items())
+    )
+    return rows.select(
+        F.lit(name).alias("psp"),
+        F.expr(e.event_id).alias("provider_event_id"),
+        F.expr(e.account).alias("provider_account"),
+        F.expr(e.currency).alias("currency"),
+        F.inline(parts),
+    )
 
 
 def _source_checks(s: Settlement) -> list[DataFrame]:
@@ -350,11 +467,8 @@ def _source_checks(s: Settlement) -> list[DataFrame]:
     charges = staged.filter("transaction_type IN ('Charge', 'Charge refund')")
     fee_rows = staged.filter(F.col("transaction_type") == feeds.GOOGLE_FEE_KIND)
     fees = s.source_fees["google_play"]
-    signs = "(operation_type = 'SALE' AND amount_local_signed < 0)"
-    signs += " OR (operation_type = 'REFUND' AND amount_local_signed > 0)"
     return [
         *results,
-        q.counted("events_sign:paypal_us", s.source_events["paypal_us"].filter(signs)),
         q.counted("events_key:paypal_us", q.repeated_rows(s.source_events["paypal_us"], ["psp", "provider_event_id"])),
         q.counted(
             "events_source:google_play",
@@ -368,11 +482,6 @@ def _source_checks(s: Settlement) -> list[DataFrame]:
                 },
             ),
         ),
-        q.counted("events_usd:google_play", charges.filter("merchant_currency <> 'USD'")),
-        q.counted(
-            "events_complete:google_play",
-            events.filter("provider_event_id IS NULL OR country IS NULL OR sku IS NULL"),
-        ),
         q.counted(
             "fees_source:google_play",
             q.control_totals(
@@ -398,7 +507,6 @@ def _matching_checks(s: Settlement) -> list[DataFrame]:
         q.counted("match_keys", q.match_key_problems(s.matches, s.events)),
         q.counted("match_repeated_keys", repeated_keys(s.engine, s.events, feeds.MATCH_RULES)),
         q.counted("matches_source:adyen", q.multiset_differences(again, s.matches.filter(adyen)), "excess"),
-        q.counted("fx_coverage", q.valuation_gaps(s.events)),
     ]
 
 

@@ -69,7 +69,7 @@ def read_titled_snapshot(
     short rows are padded. `titled_line_problems` verifies one of each per file.
     """
     lines = _titled_lines(spark, paths, columns, title, sep, encoding)
-    return lines.filter(F.col("_kind") == "row").drop("_kind")
+    return lines.filter(F.col("_kind") == "row").drop("_kind", _BEYOND)
 
 
 def titled_line_problems(
@@ -81,19 +81,25 @@ def titled_line_problems(
     sep: str = ",",
     encoding: str = "utf-8",
 ) -> DataFrame:
-    """Files that do not hold exactly one title line and one header line."""
+    """Files that do not hold one title line and one header line, or have rows with too many fields."""
     lines = _titled_lines(spark, paths, columns, title, sep, encoding)
     counts = lines.groupBy(SOURCE_FILE).agg(
         F.count_if(F.col("_kind") == "title").alias("title_lines"),
         F.count_if(F.col("_kind") == "header").alias("header_lines"),
+        F.count_if((F.col("_kind") == "row") & F.col(_BEYOND).isNotNull()).alias("long_lines"),
     )
-    return counts.filter("title_lines <> 1 OR header_lines <> 1")
+    return counts.filter("title_lines <> 1 OR header_lines <> 1 OR long_lines > 0")
+
+
+_BEYOND = "_beyond_last_column"
 
 
 def _titled_lines(spark, paths, columns, title, sep, encoding) -> DataFrame:
     paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = _reader(spark, sep, encoding, False).schema(_text(columns)).option("mode", "PERMISSIVE")
-    df = _with_lineage(_decode(reader.csv(paths), columns, encoding), True)
+    # One column more than the source has shows fields that would be dropped.
+    wide = [*columns, _BEYOND]
+    reader = _reader(spark, sep, encoding, False).schema(_text(wide)).option("mode", "PERMISSIVE")
+    df = _with_lineage(_decode(reader.csv(paths), wide, encoding), True)
     is_header = F.lit(True)
     for name in columns:
         is_header = is_header & F.col(_quoted(name)).eqNullSafe(F.lit(name))

@@ -64,6 +64,13 @@ def test_titled_snapshot_keeps_all_other_rows(spark, tmp_path):
     assert src.titled_line_problems(spark, paths, ["a", "b"], "^Jun ").count() == 2
 
 
+def test_extra_fields_of_titled_files_are_reported(spark, tmp_path):
+    path = put(tmp_path, "long.csv", TITLED + "1,2,3\n4,5,6,7\n")
+    problems = src.titled_line_problems(spark, path, ["a", "b"], "^Report of ").collect()
+    assert [r["long_lines"] for r in problems] == [2]
+    assert src.read_titled_snapshot(spark, path, ["a", "b"], "^Report of ").columns == ["a", "b", "source_file"]
+
+
 def test_missing_inputs(spark, tmp_path):
     here = put(tmp_path, "a.csv", "a\n1\n")
     src.require_inputs(spark, [here])
