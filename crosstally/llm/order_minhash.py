@@ -5,17 +5,20 @@ sketch holds the ORDER k-mers of smallest hash in the order of the text, so text
 a table if they share those k-mers in that order, which follows edit similarity rather
 than set similarity. Two texts are near duplicates if a banded alignment of their words
 needs edits for at most 1 - SIMILARITY of the longer one. With J the shared part of the
-k-mers a pair is found with probability 1 - (1 - J**ORDER)**TABLES: above 0.999999 for
-J = 0.8, 0.986 for J = 0.5.
+k-mers a table agrees with probability J**ORDER, so a pair agrees in AGREE tables with
+probability above 0.999999 for J = 0.8, 0.97 for J = 0.6 and 0.76 for J = 0.5.
 
 Equal texts are one class from the start, and only their first document goes on. Sketch
-tables join by equality. In a bucket of at most SMALL texts all pairs are candidates. A
-larger one is taken in rounds: all its texts are compared with one leader, those that
-align with it leave, and the rest choose the next leader, until nothing is left; no
-bucket is cut off and no group is expanded into all its pairs. Four families of tables
-choose different leaders, so a text that its leader does not take along can meet the
-group again. Linked texts form classes by contraction rounds on the edge table. Every
-round is written to the shared folder; the driver sees counts only.
+tables join by equality. In a bucket the first text left leads: texts that agree with it
+in at least AGREE tables are its candidates, those that agree in CLOSE tables leave with
+it, and the next one left leads. So a group of copies costs a pair or two for each copy,
+not all its pairs, and texts that share no more than a common passage are told apart by
+their signatures before any text moves. As each table has an order of its own, a text
+meets its group under many leaders. A bucket of more than CHUNK texts is cut into chunks
+by hash; the leaders of the chunks meet in the next round, chunk by chunk, and once they
+no longer thin out, each chunk is compared with each other one, so no bucket is cut off.
+Linked texts form classes by contraction rounds on the edge table. Every round is written
+to the shared folder; the driver sees counts only.
 
 Results for odd input: a null text counts as empty; texts without words are near nothing
 and equal only to the same text; texts of fewer than K words are compared as one k-mer;
@@ -29,6 +32,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -40,12 +44,12 @@ K = 5
 ORDER = 3
 TABLES = 32
 SIMILARITY = 0.8
-#: Texts of a bucket that are compared pair by pair.
-SMALL = 12
-#: Families of tables with leaders of their own.
-FAMILIES = 4
+#: Tables in which candidates agree, and in which a text leaves with its leader.
+AGREE, CLOSE = 3, 6
+#: Texts of a bucket that one task compares.
+CHUNK = 8192
 #: Bytes of text hashed at once.
-CHUNK = 1 << 20
+BLOCK = 1 << 20
 #: Table entries worked on at once for a long text.
 CELLS = 1 << 21
 NULL_ID = -(1 << 63)
@@ -208,11 +212,11 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return found if edits.sum() <= band else 0.0
 
 
-def _chunks(sizes: Sequence[int]) -> Iterator[tuple[int, int]]:
+def _blocks(sizes: Sequence[int]) -> Iterator[tuple[int, int]]:
     begin = total = 0
     for i, size in enumerate(sizes):
         total += size
-        if total > CHUNK:
+        if total > BLOCK:
             yield begin, i + 1
             begin, total = i + 1, 0
     if begin < len(sizes):
@@ -220,17 +224,22 @@ def _chunks(sizes: Sequence[int]) -> Iterator[tuple[int, int]]:
 
 
 def sketch_texts(docs: DataFrame) -> DataFrame:
-    """(id, text_hash, buckets) of each row of (id, text_hash, text as binary)."""
+    """(id, text_hash, buckets, signature) of each row of (id, text_hash, text as binary).
+
+    The signature holds 16 bits of each bucket.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [bytes(t) for t in batch["text"]]
             found = []
-            for a, b in _chunks([len(t) for t in texts]):
+            for a, b in _blocks([len(t) for t in texts]):
                 found += [sketches(w).view(np.int64) for w in word_hashes(texts[a:b])]
-            yield pd.DataFrame({"id": batch["id"], "text_hash": batch["text_hash"], "buckets": found})
+            signatures = [x.astype("<u2").tobytes() for x in found]
+            out = {"id": batch["id"], "text_hash": batch["text_hash"], "buckets": found, "signature": signatures}
+            yield pd.DataFrame(out)
 
-    return docs.mapInPandas(run, "id long, text_hash binary, buckets array<long>")
+    return docs.mapInPandas(run, "id long, text_hash binary, buckets array<long>, signature binary")
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -240,7 +249,7 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in batches:
             one, two = [bytes(t) for t in batch["text_a"]], [bytes(t) for t in batch["text_b"]]
             found = []
-            for x, y in _chunks([len(s) + len(t) for s, t in zip(one, two)]):
+            for x, y in _blocks([len(s) + len(t) for s, t in zip(one, two)]):
                 words = word_hashes(one[x:y] + two[x:y])
                 found += [similarity(s, t) for s, t in zip(words[: y - x], words[y - x :])]
             yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "similarity": found})
@@ -278,39 +287,132 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def candidate_rows(sketched: DataFrame) -> DataFrame:
-    """(bucket, family, id, n) of the buckets with several texts."""
-    rows = sketched.select("id", F.posexplode("buckets").alias("place", "bucket"))
-    rows = rows.select("bucket", (F.col("place") % FAMILIES).alias("family"), "id")
+    """(bucket, id, n, signature) of the buckets with several texts."""
+    rows = sketched.select("id", F.explode("buckets").alias("bucket"))
     live = saved(rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "live_buckets")
-    return saved(rows.join(live, "bucket"), "bucket_rows")
+    shared = saved(rows.join(live, "bucket"), "shared_rows")
+    return saved(shared.join(sketched.select("id", "signature"), "id"), "bucket_rows")
+
+
+def follow(ids: np.ndarray, signatures: np.ndarray) -> tuple[list[tuple[int, int]], list[int]]:
+    """Candidate pairs of one bucket, each with a leader, and the places of the leaders."""
+    pairs, leaders = [], []
+    left = np.arange(len(ids))
+    while len(left):
+        leader, left = left[0], left[1:]
+        leaders.append(int(leader))
+        agreed = (signatures[left] == signatures[leader]).sum(1)
+        pairs += [(int(ids[leader]), int(i)) for i in ids[left[agreed >= AGREE]]]
+        left = left[agreed < CLOSE]
+    return pairs, leaders
+
+
+def across(ids: np.ndarray, signatures: np.ndarray, others: np.ndarray, theirs: np.ndarray) -> list[tuple[int, int]]:
+    """Candidate pairs between two chunks of one bucket."""
+    pairs = []
+    for i, signature in zip(ids.tolist(), signatures):
+        pairs += [(i, int(j)) for j in others[(theirs == signature).sum(1) >= AGREE]]
+    return pairs
+
+
+def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows of equal keys out of sorted batches; a group may reach over several batches."""
+    rest = None
+    for batch in batches:
+        if rest is not None:
+            batch = pd.concat([rest, batch], ignore_index=True)
+        values = batch[keys].to_numpy()
+        if not len(values):
+            continue
+        first = np.flatnonzero(np.concatenate(([True], (values[1:] != values[:-1]).any(1))))
+        for a, b in zip(first[:-1], first[1:]):
+            yield batch.iloc[a:b]
+        rest = batch.iloc[first[-1] :]
+    if rest is not None:
+        yield rest
+
+
+def _signatures(group: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(group["signature"]), "<u2").reshape(len(group), TABLES)
+
+
+def _led(rows: DataFrame, seed: int, chunk: int) -> DataFrame:
+    """One round: pairs (bucket, a, b), and (bucket, a, null) for leaders of buckets in several chunks."""
+    chunks = F.ceil(F.col("n") / chunk).cast("long")
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64(F.lit(seed), "id"), chunks))
+    # The order decides who leads: another one for each bucket.
+    dealt = dealt.withColumn("turn", F.xxhash64("bucket", "id"))
+    dealt = dealt.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "turn", "id")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[tuple[int, int, int | None]] = []
+        for group in _groups(batches, ["bucket", "chunk"]):
+            ids, bucket = group["id"].to_numpy(), int(group["bucket"].iloc[0])
+            pairs, leaders = follow(ids, _signatures(group))
+            out += [(bucket, a, b) for a, b in pairs]
+            if group["n"].iloc[0] > chunk:
+                out += [(bucket, int(ids[i]), None) for i in leaders]
+            if len(out) > 50_000:
+                yield _pair_frame(out)
+                out = []
+        yield _pair_frame(out)
+
+    return dealt.select("bucket", "chunk", "id", "n", "signature").mapInPandas(run, "bucket long, a long, b long")
+
+
+def _pair_frame(rows: list) -> pd.DataFrame:
+    frame = pd.DataFrame(rows, columns=["bucket", "a", "b"])
+    return frame.astype({"bucket": "int64", "a": "int64", "b": "Int64"})
+
+
+def _grid(rows: DataFrame, chunk: int) -> DataFrame:
+    """Pairs (a, b) between all chunks of each bucket; each pair of chunks is a task's work."""
+    chunks = F.ceil(F.col("n") / chunk).cast("long")
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64(F.lit(-1), "id"), chunks))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
+    cell = dealt.select(
+        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "signature"
+    )
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        i, j = part["i"].iloc[0], part["j"].iloc[0]
+        one, two = part[part["own"] == i], part[part["own"] == j]
+        if i == j:
+            pairs = follow(one["id"].to_numpy(), _signatures(one))[0]
+        elif len(one) and len(two):
+            pairs = across(one["id"].to_numpy(), _signatures(one), two["id"].to_numpy(), _signatures(two))
+        else:
+            pairs = []
+        return pd.DataFrame(pairs, columns=["a", "b"])
+
+    return cell.groupBy("bucket", "i", "j").applyInPandas(run, "a long, b long")
+
+
+def candidate_pairs(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Distinct (a, b), a < b, that agree in AGREE tables, out of (bucket, id, n, signature)."""
+    found, seed, size = [], 0, None
+    while True:
+        led = saved(_led(rows, seed, chunk), "led_pairs")
+        found.append(led.filter("b IS NOT NULL").select("a", "b"))
+        leaders = led.filter("b IS NULL").select("bucket", F.col("a").alias("id"))
+        if leaders.isEmpty():
+            break
+        counts = leaders.groupBy("bucket").agg(F.count("*").alias("n"))
+        again = leaders.join(counts, "bucket").join(rows.select("bucket", "id", "signature"), ["bucket", "id"])
+        rows, seed, last, size = saved(again, "leader_rows"), seed + 1, size, leaders.count()
+        if last is not None and size > last / 2:
+            found.append(_grid(rows, chunk))
+            break
+    pairs = reduce(DataFrame.unionByName, found)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
 
 def near_links(sketched: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b, similarity) of near texts with a < b, found through their buckets."""
-    open_rows = candidate_rows(sketched)
-    needed = texts.join(saved(open_rows.select("id").distinct(), "needed_ids"), "id", "left_semi")
-    texts = saved(needed, "needed_texts")
-    judged = None
-    while not open_rows.isEmpty():
-        few = open_rows.filter(F.col("n") <= SMALL).select("bucket", "id")
-        pairs = few.withColumnRenamed("id", "a").join(few.withColumnRenamed("id", "b"), "bucket").filter("a < b")
-        many = open_rows.filter(F.col("n") > SMALL)
-        order = F.struct(F.xxhash64("family", "id"), "id")
-        leaders = saved(many.groupBy("bucket").agg(F.min_by("id", order).alias("leader")), "leaders")
-        led = saved(many.join(leaders, "bucket").filter("id <> leader").drop("n"), "led_rows")
-        led = led.withColumns({"a": F.least("id", "leader"), "b": F.greatest("id", "leader")})
-        asked = pairs.select("a", "b").union(led.select("a", "b")).distinct()
-        if judged is not None:
-            asked = asked.join(judged.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = saved(verify(saved(asked, "pairs"), texts), "judged_pairs")
-        judged = fresh if judged is None else judged.unionByName(fresh)
-        refused = led.join(judged.filter("similarity > 0").select("a", "b"), ["a", "b"], "left_anti")
-        refused = saved(refused.select("bucket", "family", "id"), "refused_rows")
-        live = saved(refused.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "live_buckets")
-        open_rows = saved(refused.join(live, "bucket"), "bucket_rows")
-    if judged is None:
-        return sketched.sparkSession.createDataFrame([], "a long, b long, similarity double")
-    return judged.filter("similarity > 0")
+    pairs = saved(candidate_pairs(candidate_rows(sketched)), "pairs")
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    needed = saved(texts.join(saved(ends, "needed_ids"), "id", "left_semi"), "needed_texts")
+    return saved(verify(pairs, needed).filter("similarity > 0"), "links")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -326,7 +428,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     # One row for each distinct text; of rows that repeat id and text any will do.
     heads = first.select(F.col("first_id").alias("id"), "text_hash")
     alone = sketched.join(heads, ["id", "text_hash"], "left_semi").dropDuplicates(["id", "text_hash"])
-    unique = saved(alone.select("id", "buckets"), "alone")
+    unique = saved(alone.select("id", "buckets", "signature"), "alone")
     rep_texts = plain.join(heads, ["id", "text_hash"], "left_semi").select("id", "text")
     links = near_links(unique, rep_texts)
     classes = components(links)

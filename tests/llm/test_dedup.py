@@ -139,6 +139,39 @@ class TestOrderMinHash:
     def test_empty(self, documents):
         assert order_minhash.near_duplicates(documents([])).count() == 0
 
+    @pytest.mark.parametrize("chunk", [3, 8, 1000])
+    def test_chunks_lose_no_group(self, spark, chunk):
+        """One bucket with a dense group, and many texts that are near nothing; whatever the chunks."""
+        rng = np.random.default_rng(2)
+        dense = rng.integers(0, 1 << 16, order_minhash.TABLES).astype("<u2")
+        rows = []
+        for i in range(40):
+            own = dense.copy()
+            own[rng.integers(0, order_minhash.TABLES, 8)] = i
+            rows.append((7, i, 80, own.tobytes()))
+        rows += [(7, 100 + i, 80, rng.integers(0, 1 << 16, order_minhash.TABLES).astype("<u2").tobytes()) for i in range(38)]
+        twin = rng.integers(0, 1 << 16, order_minhash.TABLES).astype("<u2")
+        twins = [twin.copy(), twin.copy()]
+        twins[1][4:] = 1 << 15  # agree in four tables
+        rows += [(7, 200 + i, 80, t.tobytes()) for i, t in enumerate(twins)]
+        frame = spark.createDataFrame(rows, "bucket long, id long, n long, signature binary")
+        pairs = {tuple(r) for r in order_minhash.candidate_pairs(frame, chunk).collect()}
+        signature = {r[1]: np.frombuffer(r[3], "<u2") for r in rows}
+        assert all(a < b and (signature[a] == signature[b]).sum() >= order_minhash.AGREE for a, b in pairs)
+        assert (200, 201) in pairs
+        links = spark.createDataFrame(sorted(pairs), "a long, b long")
+        classes = {r["id"]: r["class_id"] for r in order_minhash.components(links).collect()}
+        assert {classes[i] for i in range(40)} == {0} and classes[201] == 200
+
+    def test_groups_reach_over_batches(self):
+        import pandas as pd
+
+        rows = pd.DataFrame({"k": [1, 1, 2, 2, 2, 3, 4, 4], "v": range(8)})
+        for size in (1, 2, 3, 8):
+            batches = [rows.iloc[i : i + size] for i in range(0, 8, size)]
+            found = [g["v"].tolist() for g in order_minhash._groups(iter([*batches, rows.iloc[:0]]), ["k"])]
+            assert found == [[0, 1], [2, 3, 4], [5], [6, 7]]
+
     def test_large_buckets_come_apart(self, documents):
         """Texts that share a long passage fill buckets but are no near duplicates."""
         passage = sentence(5, 60)
