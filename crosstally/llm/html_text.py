@@ -366,6 +366,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> D
             lines = [x.count("\n") + 1 if x else 0 for x in texts]
             yield pd.DataFrame({"page_id": batch["page_id"], "text": texts, "n_lines": lines})
 
-    kind = dict(pages.dtypes)[page_id]
-    named = pages.select(F.col(page_id).alias("page_id"), F.col(html).alias("html"))
-    return named.mapInPandas(run, f"page_id {kind}, text string, n_lines long")
+    # Ids travel as text: pandas would turn integers beside nulls into floats.
+    kind = pages.select(F.col(page_id)).dtypes[0][1]
+    named = pages.select(F.col(page_id).cast("string").alias("page_id"), F.col(html).alias("html"))
+    found = named.mapInPandas(run, "page_id string, text string, n_lines long")
+    return found.withColumn("page_id", F.col("page_id").cast(kind))
