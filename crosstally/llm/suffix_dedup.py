@@ -44,7 +44,7 @@ TOKEN = 16
 HOT = 1000
 BATCH_BYTES = 2 << 20
 #: Little text is not cut further: each batch sends a row to each bucket.
-LEAST_BATCH, LEAST_BUCKET = 1 << 16, 1 << 18
+LEAST_BATCH, LEAST_BUCKET = 1 << 16, 1 << 19
 #: Documents, and tokens of each, that the splitters are sampled from.
 SAMPLE_DOCS = 600
 SAMPLE_TOKENS = 48
