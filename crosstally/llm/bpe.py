@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame, functions as F
 from crosstally.llm.common import ship_package
 
 #: Pre-tokens a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
+#: Bytes of ids that a worker hands back at once.
+BLOCK = 1 << 21
 
 
 def byte_characters() -> list[str]:
@@ -116,24 +118,34 @@ def load_codec(vocabulary: str, pattern: str) -> Codec:
 def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, with_ids: bool = False) -> DataFrame:
     """Encode and decode each text: doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked, ids.
 
+    `ids` holds the ids as little-endian unsigned 32-bit integers, in one binary value.
     `vocabulary` is the path of a rank file that every executor can open.
     """
 
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 4 + with_ids]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = load_codec(vocabulary, pattern)
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
+            rows, size = [], 0
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 ids = codec.encode(text or "")
                 decoded = hashlib.sha256(codec.decode(ids)).hexdigest()
-                row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded)
-                rows.append((*row, np.frombuffer(ids, "<i4")) if with_ids else row)
-            names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 3 + with_ids]
-            out = pd.DataFrame(rows, columns=names)
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
+                rows.append((doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded, ids)[: len(names)])
+                size += len(ids)
+                if size > BLOCK:
+                    yield _frame(rows, names)
+                    rows, size = [], 0
+            yield _frame(rows, names)
 
     ship_package(docs.sparkSession)
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    return texts.mapInPandas(run, schema + ", ids array<int>" * with_ids)
+    schema = "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    # Ids travel as text: pandas would turn integers beside nulls into floats.
+    texts = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.col("text").alias("text"))
+    encoded = texts.mapInPandas(run, schema + ", ids binary" * with_ids)
+    return encoded.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
+    frame = pd.DataFrame(rows, columns=names)
+    return frame.astype({"doc_id": object, "n_tokens": "int64"})
