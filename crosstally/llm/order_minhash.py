@@ -1,27 +1,30 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
-A text is a sequence of words, a k-mer a run of K words with its occurrence number. A
-sketch holds the ORDER k-mers of smallest hash in the order of the text, so texts meet in
-a table if they share those k-mers in that order, which follows edit similarity rather
+A text is a sequence of words, a shingle a run of SHINGLE words with its occurrence number.
+A sketch holds the ORDER shingles of smallest hash in the order of the text, so texts meet
+in a table if they share those shingles in that order, which follows edit similarity rather
 than set similarity. Two texts are near duplicates if a banded alignment of their words
 needs edits for at most 1 - SIMILARITY of the longer one. With J the shared part of the
-k-mers a table agrees with probability J**ORDER, so a pair agrees in AGREE tables with
-probability above 0.999999 for J = 0.8, 0.97 for J = 0.6 and 0.76 for J = 0.5.
-
-Equal texts are one class from the start, and only their first document goes on. Sketch
-tables join by equality. In a bucket the first text left leads: texts that agree with it
-in at least AGREE tables are its candidates, those that agree in CLOSE tables leave with
-it, and the next one left leads. So a group of copies costs a pair or two for each copy,
-not all its pairs, and texts that share no more than a common passage are told apart by
-their signatures before any text moves. As each table has an order of its own, a text
-meets its group under many leaders. A bucket of more than CHUNK texts is cut into chunks
-by hash; the leaders of the chunks meet in the next round, chunk by chunk, and once they
-no longer thin out, each chunk is compared with each other one, so no bucket is cut off.
+shingles a table agrees with probability J**ORDER: for edits of 20% of the words, scattered
+evenly, J is 0.47, and a pair agrees in AGREE of the tables with probability 0.99. For texts
+of fewer than BRIEF words one table is enough. Texts of at most TINY words also meet by what
+is left of them after as many words are taken out as they may differ in, which misses no pair.
+
+Equal texts are one class from the start, and only their first document goes on. Tables join
+by equality, in three passes; each one verifies its pairs and contracts classes. First, the
+texts of a bucket that agree with one of its first texts in CLOSE tables are compared with
+it, so a group of copies costs a pair or two for each copy and is one class from then on.
+Second, each text is compared with the one of another class that agrees with it most. Third,
+all pairs that agree and are still of different classes are compared, so no link between
+classes is left out. Within a bucket, texts outside its largest class are compared with all
+others: a bucket of more than CHUNK texts is cut into cells of at most about CHUNK such texts
+and CHUNK others, each a task's work, so no bucket is cut off. Signatures decide what agrees
+before any text moves.
 Linked texts form classes by contraction rounds on the edge table. Every round is written
 to the shared folder; the driver sees counts only.
 
 Results for odd input: a null text counts as empty; texts without words are near nothing
-and equal only to the same text; texts of fewer than K words are compared as one k-mer;
+and equal only to the same text; texts of one word have that word as their only shingle;
 rows that repeat an id are one document each, with the same class if their texts are
 near; a null id is the smallest one of its class; the smallest id of a class stays, of
 repeated rows with that id each stays; an empty table gives an empty result; other
@@ -32,20 +35,27 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
-from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from crosstally.llm.common import mix64, saved, ship_package
 
-K = 5
+#: Words of a shingle that sketches hold, and of a k-mer that alignments start from.
+SHINGLE, K = 2, 5
 ORDER = 3
-TABLES = 32
+TABLES = 64
 SIMILARITY = 0.8
-#: Tables in which candidates agree, and in which a text leaves with its leader.
-AGREE, CLOSE = 3, 6
+#: Tables in which candidates agree, and in which texts are compared first.
+AGREE, CLOSE = 2, 12
+#: Texts below this many words are candidates if they agree in one table.
+BRIEF = 64
+#: Texts of at most this many words also meet by what is left without some of their words.
+TINY = 14
+#: Texts of a bucket that lead in the first pass.
+LEADERS = 8
 #: Texts of a bucket that one task compares.
 CHUNK = 8192
 #: Bytes of text hashed at once.
@@ -76,9 +86,9 @@ def word_hashes(texts: Sequence[bytes]) -> list[np.ndarray]:
     return np.split(hashes, np.searchsorted(begins, limits))
 
 
-def kmers(words: np.ndarray) -> np.ndarray:
-    """Hashes of the runs of K words; a shorter text has one k-mer, an empty one none."""
-    k = min(K, len(words))
+def kmers(words: np.ndarray, size: int = K) -> np.ndarray:
+    """Hashes of the runs of `size` words; a shorter text has one k-mer, an empty one none."""
+    k = min(size, len(words))
     if not k:
         return words
     out = words[: len(words) - k + 1].copy()
@@ -87,6 +97,25 @@ def kmers(words: np.ndarray) -> np.ndarray:
     return mix64(out)
 
 
+def remainders(words: np.ndarray) -> np.ndarray:
+    """One 64-bit bucket for each rest of a tiny text without as many words as it may differ in.
+
+    Texts of at most TINY words that align within their edits share one: what the alignment matches.
+    """
+    n = len(words)
+    most = int((1 - SIMILARITY) * min(TINY, int(n / SIMILARITY + 1e-9)) + 1e-9)
+    if n > TINY or not most:
+        return np.empty(0, np.uint64)
+    out = []
+    for left in range(max(1, n - most), n + 1):
+        picked = words[np.array(list(combinations(range(n), left)))]
+        hashes = np.full(len(picked), TABLES, np.uint64)
+        for j in range(left):
+            hashes = mix64(hashes * PRIME + picked[:, j])
+        out.append(hashes)
+    return np.unique(np.concatenate(out))
+
+
 def labelled(grams: np.ndarray) -> np.ndarray:
     """Each k-mer with its occurrence number mixed in, so that all are distinct."""
     order = np.argsort(grams, kind="stable")
@@ -105,12 +134,12 @@ SHIFTS = _RANDOM.random(TABLES)
 
 
 def sketches(words: np.ndarray) -> np.ndarray:
-    """One 64-bit bucket for each table: its ORDER smallest labelled k-mers, in text order.
+    """One 64-bit bucket for each table: its ORDER smallest labelled shingles, in text order.
 
     Lengths are part of a bucket: table t cuts the scale of log length at random places
     three times as wide as similar lengths may differ.
     """
-    grams = kmers(words)
+    grams = kmers(words, SHINGLE)
     n = len(grams)
     if not n:
         return np.empty(0, np.uint64)
@@ -184,29 +213,27 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     band = int((1 - SIMILARITY) * longest + 1e-9)
     if not n or not m or abs(n - m) > band:
         return 0.0
-    one, two = kmers(a), kmers(b)
-    size_one, size_two = n - len(one) + 1, m - len(two) + 1
-    if size_one != size_two:
-        return 0.0
+    size = min(K, n, m)
+    one, two = kmers(a, size), kmers(b, size)
     _, i, j = np.intersect1d(labelled(one), labelled(two), assume_unique=True, return_indices=True)
     near = np.abs(i - j) <= band
     order = np.argsort(i[near])
     i, j = i[near][order], j[near][order]
     chain = longest_chain(j)
     # The ends of the texts close the chain: empty matches before and after them.
-    i = np.concatenate(([-size_one], i[chain], [n]))
-    j = np.concatenate(([-size_one], j[chain], [m]))
+    i = np.concatenate(([-size], i[chain], [n]))
+    j = np.concatenate(([-size], j[chain], [m]))
     di, dj = np.diff(i), np.diff(j)
-    edits = np.abs(di - dj) + np.maximum(np.minimum(di, dj) - size_one, 0)
+    edits = np.abs(di - dj) + np.maximum(np.minimum(di, dj) - size, 0)
     if edits.sum() > band:
         words_one, count_one = np.unique(a, return_counts=True)
         words_two, count_two = np.unique(b, return_counts=True)
         _, x, y = np.intersect1d(words_one, words_two, assume_unique=True, return_indices=True)
         if longest - np.minimum(count_one[x], count_two[y]).sum() > band:
             return 0.0
-        for g in np.flatnonzero(np.minimum(di, dj) > size_one).tolist():
-            inner_one = a[i[g] + size_one : i[g + 1]]
-            inner_two = b[j[g] + size_one : j[g + 1]]
+        for g in np.flatnonzero(np.minimum(di, dj) > size).tolist():
+            inner_one = a[i[g] + size : i[g + 1]]
+            inner_two = b[j[g] + size : j[g + 1]]
             edits[g] = banded_distance(inner_one, inner_two, min(band, int(edits[g])))
     found = 1 - int(edits.sum()) / longest
     return found if edits.sum() <= band else 0.0
@@ -224,22 +251,25 @@ def _blocks(sizes: Sequence[int]) -> Iterator[tuple[int, int]]:
 
 
 def sketch_texts(docs: DataFrame) -> DataFrame:
-    """(id, text_hash, buckets, signature) of each row of (id, text_hash, text as binary).
+    """(id, text_hash, buckets, signature, words) of each row of (id, text_hash, text as binary).
 
-    The signature holds 16 bits of each bucket.
+    The signature holds 16 bits of the bucket of each table; `words` is their number.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [bytes(t) for t in batch["text"]]
-            found = []
+            found, signatures, sizes = [], [], []
             for a, b in _blocks([len(t) for t in texts]):
-                found += [sketches(w).view(np.int64) for w in word_hashes(texts[a:b])]
-            signatures = [x.astype("<u2").tobytes() for x in found]
+                for words in word_hashes(texts[a:b]):
+                    tables = sketches(words)
+                    found.append(np.concatenate((tables, remainders(words))).view(np.int64))
+                    signatures.append(tables.astype("<u2").tobytes())
+                    sizes.append(len(words))
             out = {"id": batch["id"], "text_hash": batch["text_hash"], "buckets": found, "signature": signatures}
-            yield pd.DataFrame(out)
+            yield pd.DataFrame(out | {"words": sizes})
 
-    return docs.mapInPandas(run, "id long, text_hash binary, buckets array<long>, signature binary")
+    return docs.mapInPandas(run, "id long, text_hash binary, buckets array<long>, signature binary, words int")
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -287,32 +317,21 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def candidate_rows(sketched: DataFrame) -> DataFrame:
-    """(bucket, id, n, signature) of the buckets with several texts."""
+    """(bucket, id, n, signature, words) of the buckets with several texts."""
     rows = sketched.select("id", F.explode("buckets").alias("bucket"))
     live = saved(rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "live_buckets")
     shared = saved(rows.join(live, "bucket"), "shared_rows")
-    return saved(shared.join(sketched.select("id", "signature"), "id"), "bucket_rows")
-
-
-def follow(ids: np.ndarray, signatures: np.ndarray) -> tuple[list[tuple[int, int]], list[int]]:
-    """Candidate pairs of one bucket, each with a leader, and the places of the leaders."""
-    pairs, leaders = [], []
-    left = np.arange(len(ids))
-    while len(left):
-        leader, left = left[0], left[1:]
-        leaders.append(int(leader))
-        agreed = (signatures[left] == signatures[leader]).sum(1)
-        pairs += [(int(ids[leader]), int(i)) for i in ids[left[agreed >= AGREE]]]
-        left = left[agreed < CLOSE]
-    return pairs, leaders
+    return saved(shared.join(sketched.select("id", "signature", "words"), "id"), "bucket_rows")
 
 
-def across(ids: np.ndarray, signatures: np.ndarray, others: np.ndarray, theirs: np.ndarray) -> list[tuple[int, int]]:
-    """Candidate pairs between two chunks of one bucket."""
-    pairs = []
-    for i, signature in zip(ids.tolist(), signatures):
-        pairs += [(i, int(j)) for j in others[(theirs == signature).sum(1) >= AGREE]]
-    return pairs
+def agreeing(
+    signature: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """In how many tables each of the others agrees, and whether it is a candidate by that and its words."""
+    agreed = (others == signature).sum(1)
+    longest = np.maximum(sizes, size)
+    least = np.where(longest <= TINY, 0, np.where(longest < BRIEF, 1, AGREE))
+    return agreed, (agreed >= least) & (np.abs(sizes - size) <= (1 - SIMILARITY) * longest + 1e-9)
 
 
 def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -336,83 +355,125 @@ def _signatures(group: pd.DataFrame) -> np.ndarray:
     return np.frombuffer(b"".join(group["signature"]), "<u2").reshape(len(group), TABLES)
 
 
-def _led(rows: DataFrame, seed: int, chunk: int) -> DataFrame:
-    """One round: pairs (bucket, a, b), and (bucket, a, null) for leaders of buckets in several chunks."""
+def close_pairs(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Distinct (a, b), a < b, of texts and a leader of their bucket that agree in CLOSE tables.
+
+    Only saves the later passes work: texts that follow no leader here meet there.
+    """
     chunks = F.ceil(F.col("n") / chunk).cast("long")
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64(F.lit(seed), "id"), chunks))
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks))
     # The order decides who leads: another one for each bucket.
     dealt = dealt.withColumn("turn", F.xxhash64("bucket", "id"))
     dealt = dealt.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "turn", "id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out: list[tuple[int, int, int | None]] = []
-        for group in _groups(batches, ["bucket", "chunk"]):
-            ids, bucket = group["id"].to_numpy(), int(group["bucket"].iloc[0])
-            pairs, leaders = follow(ids, _signatures(group))
-            out += [(bucket, a, b) for a, b in pairs]
-            if group["n"].iloc[0] > chunk:
-                out += [(bucket, int(ids[i]), None) for i in leaders]
-            if len(out) > 50_000:
-                yield _pair_frame(out)
-                out = []
-        yield _pair_frame(out)
+        for batch in batches:
+            ids, keys, signatures = batch["id"].to_numpy(), batch[["bucket", "chunk"]].to_numpy(), _signatures(batch)
+            left = np.arange(len(batch))
+            for _ in range(LEADERS):
+                if not len(left):
+                    break
+                first = np.concatenate(([True], (keys[left[1:]] != keys[left[:-1]]).any(1)))
+                leader = left[np.maximum.accumulate(np.where(first, np.arange(len(left)), 0))]
+                agreed = (signatures[left] == signatures[leader]).sum(1)
+                close = ~first & (agreed >= CLOSE)
+                yield _pair_frame(ids[leader[close]], ids[left[close]])
+                left = left[~first & ~close]
 
-    return dealt.select("bucket", "chunk", "id", "n", "signature").mapInPandas(run, "bucket long, a long, b long")
+    return dealt.select("bucket", "chunk", "id", "signature").mapInPandas(run, "a long, b long").distinct()
 
 
-def _pair_frame(rows: list) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=["bucket", "a", "b"])
-    return frame.astype({"bucket": "int64", "a": "int64", "b": "Int64"})
+def _pair_frame(one: np.ndarray, two: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"a": np.minimum(one, two), "b": np.maximum(one, two)}, dtype="int64")
 
 
-def _grid(rows: DataFrame, chunk: int) -> DataFrame:
-    """Pairs (a, b) between all chunks of each bucket; each pair of chunks is a task's work."""
-    chunks = F.ceil(F.col("n") / chunk).cast("long")
-    dealt = rows.withColumn("own", F.pmod(F.xxhash64(F.lit(-1), "id"), chunks))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
-    cell = dealt.select(
-        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "signature"
+def candidate_pairs(
+    rows: DataFrame, chunk: int = CHUNK, classes: DataFrame | None = None, best: bool = False
+) -> DataFrame:
+    """Distinct (a, b), a < b, of candidates of different classes, out of (bucket, id, n, signature, words).
+
+    Without `classes` each text is one of its own; if `best`, each text proposes one other
+    at most. Rows without `words` are taken for long texts of equal length.
+    """
+    if "words" not in rows.columns:
+        rows = rows.withColumn("words", F.lit(BRIEF))
+    marked = rows.drop("n").withColumn("class_id", F.col("id"))
+    if classes is not None:
+        marked = rows.drop("n").join(classes, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
+    held = marked.groupBy("bucket", "class_id").agg(F.count("*").alias("held"))
+    sizes = held.groupBy("bucket").agg(
+        F.sum("held").alias("n"), F.max(F.struct("held", "class_id")).alias("most"), F.count("*").alias("classes")
     )
+    sizes = saved(sizes.filter("classes > 1").select("bucket", "n", "most.*"), "mixed_buckets")
+    sizes = sizes.withColumnRenamed("class_id", "major")
+    # Texts outside the largest class are guests; each meets every text of the bucket once.
+    dealt = marked.join(sizes, "bucket").withColumn("guest", F.col("class_id") != F.col("major"))
+    dealt = dealt.withColumn("hosts", F.ceil(F.col("n") / chunk).cast("long"))
+    dealt = dealt.withColumn("guests", F.ceil((F.col("n") - F.col("held")) / chunk).cast("long"))
+    zero, turn = F.lit(0).cast("long"), F.xxhash64("id")
+
+    def cell(i: Column, j: Column, host: Column, guest: Column) -> Column:
+        return F.struct(i.alias("i"), j.alias("j"), host.alias("host"), guest.alias("guest"))
+
+    yes, no = F.lit(True), F.lit(False)
+    as_host = F.transform(F.sequence(zero, F.col("guests") - 1), lambda j: cell(F.pmod(turn, "hosts"), j, yes, no))
+    as_guest = F.transform(F.sequence(zero, F.col("hosts") - 1), lambda i: cell(i, F.pmod(turn, "guests"), no, yes))
+    several = F.when(F.col("guest"), F.concat(as_host, as_guest)).otherwise(as_host)
+    alone = (F.col("hosts") == 1) & (F.col("guests") == 1)
+    cells = F.when(alone, F.array(cell(zero, zero, yes, F.col("guest")))).otherwise(several)
+    dealt = dealt.select("bucket", "id", "class_id", "signature", "words", F.explode(cells).alias("cell"))
+    dealt = dealt.select("bucket", "cell.*", "id", "class_id", "signature", "words")
+    dealt = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        i, j = part["i"].iloc[0], part["j"].iloc[0]
-        one, two = part[part["own"] == i], part[part["own"] == j]
-        if i == j:
-            pairs = follow(one["id"].to_numpy(), _signatures(one))[0]
-        elif len(one) and len(two):
-            pairs = across(one["id"].to_numpy(), _signatures(one), two["id"].to_numpy(), _signatures(two))
-        else:
-            pairs = []
-        return pd.DataFrame(pairs, columns=["a", "b"])
-
-    return cell.groupBy("bucket", "i", "j").applyInPandas(run, "a long, b long")
-
-
-def candidate_pairs(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Distinct (a, b), a < b, that agree in AGREE tables, out of (bucket, id, n, signature)."""
-    found, seed, size = [], 0, None
-    while True:
-        led = saved(_led(rows, seed, chunk), "led_pairs")
-        found.append(led.filter("b IS NOT NULL").select("a", "b"))
-        leaders = led.filter("b IS NULL").select("bucket", F.col("a").alias("id"))
-        if leaders.isEmpty():
-            break
-        counts = leaders.groupBy("bucket").agg(F.count("*").alias("n"))
-        again = leaders.join(counts, "bucket").join(rows.select("bucket", "id", "signature"), ["bucket", "id"])
-        rows, seed, last, size = saved(again, "leader_rows"), seed + 1, size, leaders.count()
-        if last is not None and size > last / 2:
-            found.append(_grid(rows, chunk))
-            break
-    pairs = reduce(DataFrame.unionByName, found)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
-
-
-def near_links(sketched: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, similarity) of near texts with a < b, found through their buckets."""
-    pairs = saved(candidate_pairs(candidate_rows(sketched)), "pairs")
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    needed = saved(texts.join(saved(ends, "needed_ids"), "id", "left_semi"), "needed_texts")
-    return saved(verify(pairs, needed).filter("similarity > 0"), "links")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in _groups(batches, ["bucket", "i", "j"]):
+            ids, own, signatures = part["id"].to_numpy(), part["class_id"].to_numpy(), _signatures(part)
+            words, host = part["words"].to_numpy(), np.flatnonzero(part["host"].to_numpy())
+            out, waiting = [], 0
+            for g in np.flatnonzero(part["guest"].to_numpy()).tolist():
+                agreed, wanted = agreeing(signatures[g], int(words[g]), signatures[host], words[host])
+                wanted &= own[host] != own[g]
+                if not wanted.any():
+                    continue
+                if best:
+                    at = np.array([np.where(wanted, agreed, -1).argmax()])
+                else:
+                    at = np.flatnonzero(wanted)
+                out.append((np.full(len(at), ids[g]), ids[host[at]], agreed[at]))
+                waiting += len(at)
+                if waiting > 50_000:
+                    yield _agreed_frame(out)
+                    out, waiting = [], 0
+            if out:
+                yield _agreed_frame(out)
+
+    found = dealt.mapInPandas(run, "one long, two long, agreed int")
+    if best:
+        found = found.groupBy("one").agg(F.max_by("two", F.struct("agreed", "two")).alias("two"))
+    return found.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
+
+
+def _agreed_frame(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    one, two, agreed = (np.concatenate(x) for x in zip(*parts))
+    return pd.DataFrame({"one": one, "two": two, "agreed": agreed.astype(np.int32)})
+
+
+def near_links(sketched: DataFrame, texts: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """(a, b, similarity) of near texts with a < b: as many as hold their classes together."""
+    rows = candidate_rows(sketched)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        needed = saved(texts.join(saved(ends, "needed_ids"), "id", "left_semi"), "needed_texts")
+        return saved(verify(pairs, needed).filter("similarity > 0"), "links")
+
+    tested = saved(close_pairs(rows, chunk), "pairs")
+    links = verified(tested)
+    for best in (True, False):
+        fresh = candidate_pairs(rows, chunk, components(links), best).join(tested, ["a", "b"], "left_anti")
+        fresh = saved(fresh, "pairs")
+        links, tested = links.unionByName(verified(fresh)), tested.unionByName(fresh)
+    return links
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -428,7 +489,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     # One row for each distinct text; of rows that repeat id and text any will do.
     heads = first.select(F.col("first_id").alias("id"), "text_hash")
     alone = sketched.join(heads, ["id", "text_hash"], "left_semi").dropDuplicates(["id", "text_hash"])
-    unique = saved(alone.select("id", "buckets", "signature"), "alone")
+    unique = saved(alone.select("id", "buckets", "signature", "words"), "alone")
     rep_texts = plain.join(heads, ["id", "text_hash"], "left_semi").select("id", "text")
     links = near_links(unique, rep_texts)
     classes = components(links)

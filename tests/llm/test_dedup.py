@@ -180,6 +180,17 @@ class TestOrderMinHash:
         found = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(documents(rows)).collect()}
         assert all(found[i] == i and found[100 + i] == i for i in range(40))
 
+    def test_star_family_is_one_class(self, documents):
+        """Variants near a base that are not near each other, many enough to fill its buckets."""
+        rng = random.Random(3)
+        base = [sentence(2000 + i, 10) for i in range(100)]
+        rows = [(1000, " ".join(base))]
+        for v in range(80):
+            own = set(rng.sample(range(100), 15))
+            rows.append((v, " ".join(sentence(10_000 + 100 * v + i, 10) if i in own else x for i, x in enumerate(base))))
+        found = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(documents(rows)).collect()}
+        assert set(found.values()) == {0}
+
 
 def brute_repeats(rows):
     """The contract, passage by passage."""
