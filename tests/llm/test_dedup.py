@@ -191,6 +191,25 @@ class TestOrderMinHash:
         found = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(documents(rows)).collect()}
         assert set(found.values()) == {0}
 
+    @pytest.mark.parametrize("words, least", [(5, 1.0), (8, 1.0), (14, 1.0), (20, 0.95), (60, 0.95), (300, 0.97)])
+    def test_finds_pairs_by_edit_similarity(self, documents, words, least):
+        """Pairs with scattered edits, held against brute-force alignment."""
+        rng = random.Random(words)
+        rows, near = [], set()
+        for i in range(120):
+            text = sentence(30_000 + 1000 * words + i, words).split()
+            other = list(text)
+            for at in rng.sample(range(words), max(1, int(words * rng.choice([0.05, 0.1, 0.15, 0.2])))):
+                other[at] = rng.choice([f"edit{at}", ""])
+            other = " ".join(other).split()
+            rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(other))]
+            if levenshtein(text, other) <= 0.2 * max(len(text), len(other)):
+                near.add(i)
+        found = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(documents(rows)).collect()}
+        linked = {i for i in range(120) if found[2 * i + 1] == found[2 * i]}
+        assert linked <= near and len(near) > 100
+        assert len(linked) >= least * len(near)
+
 
 def brute_repeats(rows):
     """The contract, passage by passage."""
