@@ -8,8 +8,11 @@ verdict. An inverted index holds each rule under its rarest token; a URL looks i
 up there and is blocked if all tokens of a rule found are its own. Without such a rule
 it is allowed.
 
-A URL has at most nine tokens, so the itemsets of one URL are bounded; the rules mined
-number at most 2**9 / MIN_SUPPORT, whatever the corpus holds, and few in practice.
+Rules are mined twice. The first pass sees nine parts of a URL with their places. The
+second sees every host label, path segment, query key and key with value too, after tokens
+were dropped that too few blocked URLs hold to be in any rule; of its rules those stay that
+block a labelled URL which the first pass leaves. So the rules of the first pass number at
+most 2**9 / MIN_SUPPORT; those of the second depend on how many frequent tokens a URL holds.
 
 Results for odd input: a null URL or one without `://` has an empty host, an empty path,
 no tokens and the verdict allow; without labelled or without blocked URLs nothing is
@@ -86,18 +89,74 @@ def tokens_of(url: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(found, lambda t: t.isNotNull())))
 
 
+def all_tokens(url: Column) -> Column:
+    """The tokens of `tokens_of`, and every host label, path segment, query key and key with value."""
+    query = F.regexp_extract(url, r"(?s)^.*?://[^?#]*\?([^#]*)", 1)
+
+    def named(place: str, values: Column) -> Column:
+        found = F.transform(F.filter(values, lambda v: v != ""), lambda v: F.concat(F.lit(place + "="), v))
+        return F.coalesce(found, F.array().cast("array<string>"))
+
+    pairs = F.split(query, "&")
+    more = F.concat(
+        named("label", F.split(host_of(url), r"\.")),
+        named("segment", F.split(path_of(url), "/")),
+        named("key", F.transform(pairs, lambda v: F.substring_index(v, "=", 1))),
+        named("pair", F.filter(pairs, lambda v: v.contains("="))),
+    )
+    return F.array_sort(F.array_distinct(F.concat(tokens_of(url), more)))
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Rules (tokens, confidence, support) for blocking, from (url, verdict) rows."""
     label = F.when(F.col("verdict") == BLOCK, F.array(F.lit(LABEL))).otherwise(F.array().cast("array<string>"))
-    baskets = saved(labelled.select(F.concat(tokens_of(F.col("url")), label).alias("items")), "url_baskets")
-    spark = labelled.sparkSession
-    schema = "tokens array<string>, confidence double, support double"
-    if baskets.filter(F.array_contains("items", LABEL)).isEmpty():
-        return spark.createDataFrame([], schema)
+    url = F.col("url")
+    baskets = labelled.select(F.concat(tokens_of(url), label).alias("items"), F.concat(all_tokens(url), label).alias("all"))
+    baskets = saved(baskets, "url_baskets")
+    blocked = baskets.filter(F.array_contains("items", LABEL))
+    if blocked.isEmpty():
+        return labelled.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double")
+    first = minimal(_rules(baskets.select("items"), min_support, min_confidence))
+    # A rule's support counts blocked URLs, so no token that too few of them hold is in one.
+    # Tokens of the same labelled URLs stand for each other: one is mined, then all replace it.
+    rows = saved(baskets.withColumn("row", F.monotonically_increasing_id()), "url_rows")
+    is_blocked = F.array_contains("items", LABEL).cast("long")
+    held = rows.select("row", is_blocked.alias("blocked"), F.explode("all").alias("token")).groupBy("token").agg(
+        F.sum("blocked").alias("blocked"), F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("row")).alias("one"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("two"),
+    )
+    held = held.filter((F.col("blocked") >= min_support * rows.count()) & (F.col("token") != LABEL))
+    alike = held.groupBy("blocked", "n", "one", "two").agg(F.min("token").alias("token"), F.collect_list("token").alias("alike"))
+    alike = saved(alike.select("token", "alike"), "url_alike")
+    mined = alike.agg(F.concat(F.collect_list("token"), F.array(F.lit(LABEL))).alias("mined"))
+    thinned = rows.crossJoin(F.broadcast(mined)).select("all", F.array_intersect("all", "mined").alias("items"))
+    thinned = saved(thinned, "url_baskets")
+    second = saved(minimal(_rules(thinned.select("items"), min_support, min_confidence)), "url_rules")
+    kinds = thinned.filter(F.array_contains("items", LABEL)).select(F.col("all").alias("tokens"), "items").distinct()
+    left = kinds.join(fitting(kinds, first), "tokens", "left_anti").select(F.col("items").alias("tokens")).distinct()
+    new = saved(fitting(left, second).select(F.col("rule_tokens").alias("tokens")).distinct(), "url_rules")
+    choices = new.select("tokens", F.explode("tokens").alias("token")).join(alike, "token")
+    choices = choices.groupBy("tokens").agg(F.collect_list("alike").alias("choices"))
+    none = F.array(F.array().cast("array<string>"))
+    every = F.aggregate("choices", none, lambda done, more: F.flatten(
+        F.transform(done, lambda d: F.transform(more, lambda t: F.concat(d, F.array(t))))
+    ))
+    second = second.join(choices, "tokens").select(F.explode(every).alias("tokens"), "confidence", "support")
+    second = second.withColumn("tokens", F.array_sort("tokens"))
+    return minimal(saved(first.unionByName(second).dropDuplicates(["tokens"]), "url_rules"))
+
+
+def _rules(baskets: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     found = model.associationRules.filter(F.col("consequent") == F.array(F.lit(LABEL)))
-    found = found.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
-    return minimal(saved(found, "url_rules"))
+    return saved(found.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"), "url_rules")
+
+
+def fitting(kinds: DataFrame, rules: DataFrame) -> DataFrame:
+    """(tokens, rule_tokens): the rules whose tokens a row of `kinds` holds, by the inverted index."""
+    index = inverted_index(rules).select("token", F.col("tokens").alias("rule_tokens"))
+    looked_up = kinds.select("tokens", F.explode("tokens").alias("token")).join(index, "token")
+    return looked_up.filter(F.size(F.array_except("rule_tokens", "tokens")) == 0).select("tokens", "rule_tokens")
 
 
 def minimal(rules: DataFrame) -> DataFrame:
@@ -123,20 +182,14 @@ def judge(pages: DataFrame, rules: Sequence[Rule], mined: DataFrame, page_id: st
     name, verdict = listed_rule(host, path, rules)
     own = pages.select(
         F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"), name.alias("rule"),
-        verdict.alias("listed"), F.when(name.isNull(), tokens_of(F.col(url))).alias("tokens"),
+        verdict.alias("listed"), F.when(name.isNull(), all_tokens(F.col(url))).alias("tokens"),
     )
     own = saved(own, "url_parts")
     # Pages with the same tokens are looked up once.
     kinds = own.filter("tokens IS NOT NULL").select("tokens").distinct()
-    index = inverted_index(saved(mined, "url_minimal")).select("token", F.col("tokens").alias("rule_tokens"))
-    fitting = (
-        kinds.select("tokens", F.explode("tokens").alias("token"))
-        .join(index, "token")
-        .filter(F.size(F.array_except("rule_tokens", "tokens")) == 0)
-        .groupBy("tokens")
-        .agg(F.min(F.array_join("rule_tokens", " ")).alias("mined_rule"))
-    )
-    judged = own.join(saved(fitting, "url_fitting"), "tokens", "left")
+    found = fitting(kinds, saved(mined, "url_minimal"))
+    found = found.groupBy("tokens").agg(F.min(F.array_join("rule_tokens", " ")).alias("mined_rule"))
+    judged = own.join(saved(found, "url_fitting"), "tokens", "left")
     method = F.when(F.col("mined_rule").isNotNull(), F.lit(BLOCK)).otherwise(F.lit(ALLOW))
     return judged.select(
         "page_id", "host", "path", "rule", F.coalesce("listed", method).alias("verdict"), "mined_rule"

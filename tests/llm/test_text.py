@@ -133,6 +133,22 @@ class TestUrlRules:
             labelled = spark.createDataFrame(rows, "url string, verdict string")
             assert url_rules.mine(labelled).count() == 0
 
+    def test_patterns_beyond_the_first_parts(self, spark):
+        """A later parameter, a deep directory and a site label over several domains and prefixes."""
+        rng = random.Random(8)
+        urls, bad = [], []
+        for i in range(400):
+            kind = i % 8
+            host = f"{rng.choice(['m.', 'blog.', ''])}{'casino' if kind == 0 else 's' + str(i % 90)}.example{i % 100}.{rng.choice(['com', 'net', 'org'])}"
+            third = "buy" if kind == 1 else f"t{i}"
+            query = "?page=2&ref=x" if kind == 2 else "?page=2&ref=y"
+            urls.append(f"http://{host}/d{i % 5}/e{i % 7}/{third}/{i}{query}")
+            bad.append(kind < 3)
+        rows = [(u, "block" if b else "allow") for u, b in zip(urls, bad)]
+        mined = url_rules.mine(spark.createDataFrame(rows, "url string, verdict string"), 0.05, 0.8)
+        judged = url_rules.judge(self.pages(spark, urls), [], mined).collect()
+        assert {r["page_id"]: r["verdict"] for r in judged} == {i: "block" if b else "allow" for i, b in enumerate(bad)}
+
     def test_tokens_are_few(self, spark):
         url = "http://" + ".".join("abcdefgh" * 20) + "/x" * 500 + "?" + "&".join(f"k{i}=1" for i in range(500))
         frame = self.pages(spark, [url])
