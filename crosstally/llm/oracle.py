@@ -133,5 +133,136 @@ SELECT conv_id, call_id, level, position, name, status, errors, CAST(0 AS BIGINT
        || CAST(to_json(list_sort(deps)) AS VARCHAR) || ',"name":' || coalesce('"' || name || '"', 'null') || ',"result":'
        || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || ',"status":"' || status || '"}' AS json
 FROM records
+""",
+    "op11_phrases": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+listed AS (SELECT lang, row_number() OVER () AS piece_no, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+words AS (SELECT lang, piece_no, unnest(w) AS one, unnest(range(1, len(w) + 1)) AS i FROM listed),
+runs AS (
+  SELECT lang, one, lead(one, 1) OVER p AS two, lead(one, 2) OVER p AS three FROM words
+  WINDOW p AS (PARTITION BY piece_no ORDER BY i)
+),
+grams AS (
+  SELECT lang, 1 AS k, one AS phrase FROM runs
+  UNION ALL SELECT lang, 2, one || ' ' || two FROM runs WHERE two IS NOT NULL
+  UNION ALL SELECT lang, 3, one || ' ' || two || ' ' || three FROM runs WHERE three IS NOT NULL
+),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT c.*, cut, array_to_string(w[1 : cut], ' ') AS left_part, array_to_string(w[cut + 1 :], ' ') AS right_part
+  FROM c JOIN (VALUES (1), (2)) AS x(cut) ON cut < k
+),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, cut, fl.f AS l, fr.f AS r,
+         CAST(1000000 * a::HUGEINT * a // (fl.f::HUGEINT * fr.f) AS BIGINT) AS score
+  FROM cuts JOIN f fl ON fl.lang = cuts.lang AND fl.phrase = left_part AND fl.k = cut
+            JOIN f fr ON fr.lang = cuts.lang AND fr.phrase = right_part AND fr.k = cuts.k - cut
+),
+weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+),
+around AS (
+  SELECT lang, phrase, max(a) AS a
+  FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM c WHERE k = 3) GROUP BY ALL
+),
+kept AS (
+  SELECT x.* FROM weakest x LEFT JOIN around o ON o.lang = x.lang AND o.phrase = x.phrase
+  WHERE o.a IS NULL OR 100 * o.a < 50 * x.a
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
+""",
+    "op12_cover_codes": r"""
+WITH v AS (
+  SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS t
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+),
+step AS (SELECT max(len(t)) // 16 AS d FROM v),
+parts AS (
+  SELECT vec_id, p, t[p * d + 1 : (p + 1) * d] AS x FROM v CROSS JOIN step CROSS JOIN range(16) AS r(p)
+),
+book0 AS (
+  SELECT p, dense_rank() OVER (ORDER BY vec_id) - 1 AS e, x FROM parts
+  WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT 64)
+),
+near0 AS (
+  SELECT vec_id, q.p, q.x, arg_min(b.e, list_sum([(i - b.x[n]) * (i - b.x[n]) FOR i, n IN q.x])::HUGEINT * 64 + b.e) AS e
+  FROM parts q JOIN book0 b ON b.p = q.p GROUP BY ALL
+),
+mean0 AS (
+  SELECT p, e, list(m ORDER BY place) AS x FROM (
+    SELECT p, e, place, CAST(floor(sum(x[place]) / count(*)) AS BIGINT) AS m
+    FROM near0 CROSS JOIN step CROSS JOIN range(1, 129) AS r(place) WHERE place <= d GROUP BY p, e, place
+  ) GROUP BY p, e
+),
+book1 AS (SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM book0 b LEFT JOIN mean0 m ON m.p = b.p AND m.e = b.e),
+near1 AS (
+  SELECT vec_id, q.p, q.x, arg_min(b.e, list_sum([(i - b.x[n]) * (i - b.x[n]) FOR i, n IN q.x])::HUGEINT * 64 + b.e) AS e
+  FROM parts q JOIN book1 b ON b.p = q.p GROUP BY ALL
+),
+mean1 AS (
+  SELECT p, e, list(m ORDER BY place) AS x FROM (
+    SELECT p, e, place, CAST(floor(sum(x[place]) / count(*)) AS BIGINT) AS m
+    FROM near1 CROSS JOIN step CROSS JOIN range(1, 129) AS r(place) WHERE place <= d GROUP BY p, e, place
+  ) GROUP BY p, e
+),
+book2 AS (SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM book1 b LEFT JOIN mean1 m ON m.p = b.p AND m.e = b.e),
+gaps AS (
+  SELECT vec_id, q.p, b.e, list_sum([(i - b.x[n]) * (i - b.x[n]) FOR i, n IN q.x]) AS gap
+  FROM parts q JOIN book2 b ON b.p = q.p
+),
+coded AS (
+  SELECT vec_id, p, arg_min(e, gap::HUGEINT * 64 + e) AS e, min(gap) AS gap FROM gaps GROUP BY ALL
+),
+codes AS (
+  SELECT vec_id, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, CAST(sum(gap) AS BIGINT) AS error
+  FROM coded GROUP BY vec_id
+),
+digest AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2)
+SELECT codes.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM codes JOIN v ON v.vec_id = codes.vec_id CROSS JOIN digest
+""",
+    "op13_decontaminate": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[i : i + size - 1], ' ') AS words
+  FROM (SELECT item_id, w, least(10, len(w)) AS size, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM b WHERE len(w) > 0)
+),
+places AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+stretches AS (
+  SELECT doc_id, i, size, string_agg(word, ' ') OVER run AS words, count(*) OVER run AS held
+  FROM places CROSS JOIN (SELECT DISTINCT size FROM windows)
+  WINDOW run AS (PARTITION BY doc_id, size ORDER BY i ROWS BETWEEN CURRENT ROW AND size - 1 FOLLOWING)
+),
+found AS (SELECT doc_id, i, item_id, windows.size FROM stretches JOIN windows USING (size, words) WHERE held = size),
+hits AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM found) GROUP BY doc_id
+),
+items AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hits ON hits.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
 """,
 }

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crosstally.llm import bpe, digest_index, html_text, language, mixing, order_minhash, suffix_dedup, tool_calls, topk, url_rules
+from crosstally.llm import (
+    bpe, cover_codes, decontaminate, digest_index, html_text, language, mixing, order_minhash, phrases, suffix_dedup,
+    tool_calls, topk, url_rules,
+)
 from crosstally.llm.common import table
 
 
@@ -67,6 +70,33 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_cover_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = cover_codes.compress(table(spark, sf_dir, "embeddings"))
+    return cover_codes.with_label_errors(done.codes).select(
+        "vec_id",
+        cover_codes.hex_code("code").alias("code"),
+        "error",
+        "label_error",
+        F.lit(done.codebooks_sha256()).alias("codebooks_sha256"),
+    )
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -80,5 +110,8 @@ QUERIES = {
         op8_url_rules,
         op9_byte_bpe,
         op10_html_text,
+        op11_phrases,
+        op12_cover_codes,
+        op13_decontaminate,
     )
 }
