@@ -30,6 +30,7 @@ from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -48,6 +49,7 @@ LEAST = 2
 WINDOW_WORDS = 2_000_000
 SLICE_BYTES = 1 << 22
 FILTER_BITS = 1 << 25
+_BLOCK_BYTES = 1 << 12
 _HASHES = 3
 
 _PIECE_ENDS = b".,;:!?\n\v\f\r"
@@ -203,27 +205,35 @@ def _pass(docs: DataFrame, longest: int, now: Proposals, before: Sequence[Propos
 
 
 def _filters(known: DataFrame) -> Proposals:
-    """Bloom filters of (lang, words, phrase) rows; tasks send the words of the filters they set."""
+    """Bloom filters of (lang, words, phrase) rows, put together block by block on the executors."""
+    block_bits = 8 * _BLOCK_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits: dict[int, np.ndarray] = {}
         for batch in batches:
-            frame = batch.to_pandas()
-            for (lang, words), part in frame.groupby(["lang", "words"]):
-                slots = np.unique(filter_slots(lang.encode(), [p.encode() for p in part["phrase"]]))
-                cells, first = np.unique(slots >> 6, return_index=True)
-                masks = np.bitwise_or.reduceat(np.left_shift(np.uint64(1), (slots & 63).astype(np.uint64)), first)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(cells), words, np.int32)), pa.array(cells), pa.array(masks.view(np.int64))],
-                    names=["words", "cell", "mask"],
-                )
-
-    set_cells = known.select("lang", "words", "phrase").mapInArrow(run, "words int, cell long, mask long")
-    cells = set_cells.groupBy("words", "cell").agg(F.bit_or("mask").alias("mask")).toPandas()
-    bits = {}
-    for words, part in cells.groupby("words"):  # at most FILTER_BITS / 64 cells each
-        bits[int(words)] = np.zeros(FILTER_BITS // 64, np.uint64)
-        bits[int(words)][part["cell"].to_numpy()] = part["mask"].to_numpy(np.int64).view(np.uint64)
-    return Proposals(bits)
+            for (lang, words), part in batch.to_pandas().groupby(["lang", "words"]):
+                field = bits.setdefault(int(words), np.zeros(FILTER_BITS, bool))
+                field[filter_slots(lang.encode(), [p.encode() for p in part["phrase"]])] = True
+        for words, field in bits.items():
+            blocks = np.packbits(field.reshape(-1, block_bits), axis=1, bitorder="little")
+            touched = np.flatnonzero(blocks.any(1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(touched), words, np.int32)), pa.array(touched),
+                 pa.array([blocks[i].tobytes() for i in touched], pa.binary())],
+                names=["words", "block", "bits"],
+            )
+
+    def merged(part: pd.DataFrame) -> pd.DataFrame:
+        bits = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in part["bits"]])
+        return part.head(1).assign(bits=[bits.tobytes()])
+
+    shape = "words int, block long, bits binary"
+    sent = known.select("lang", "words", "phrase").mapInArrow(run, shape)
+    whole: dict[int, np.ndarray] = {}
+    for row in sent.groupBy("words", "block").applyInPandas(merged, shape).collect():  # FILTER_BITS for each length
+        field = whole.setdefault(row["words"], np.zeros(FILTER_BITS // 8, np.uint8))
+        field[row["block"] * _BLOCK_BYTES :][:_BLOCK_BYTES] = np.frombuffer(row["bits"], np.uint8)
+    return Proposals({words: field.view(np.uint64) for words, field in whole.items()})
 
 
 def _any_missed(known: DataFrame, used: Proposals, longest: int) -> bool:
