@@ -16,7 +16,7 @@ only if no earlier pass did, by the filters that those used.
 
 Tasks number the words of a window of text, count phrases as integers and send each phrase
 of the window once, as text with its count; the shuffle adds them up by language and
-phrase. A window has a bounded number of words, whatever the length of a text.
+phrase. A window is bounded in bytes, whatever the length of a text.
 
 Results for odd input: a null text is empty; a null language is `und`, together with the
 language of that name; a text without words adds nothing; repeated rows and ids count each;
@@ -26,16 +26,16 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from crosstally.llm.common import saved, ship_package
+from crosstally.llm.common import mix64, saved, ship_package
 from crosstally.operators.skew import salted_join
 
 NO_LANG = "und"
@@ -45,9 +45,9 @@ SAMPLE_SHARE = 0.125
 #: The sample's threshold, as a share of the one that its size would ask for, and the least.
 LOWERED = 0.5
 LEAST = 2
-#: Words a task counts before it sends them, and bytes of text it splits at once.
-WINDOW_WORDS = 2_000_000
-SLICE_BYTES = 1 << 22
+#: Text of one window at most, and of all windows that a task holds.
+MOST_WINDOW_BYTES = 8 << 20
+HELD_BYTES = 32 << 20
 FILTER_BITS = 1 << 25
 _BLOCK_BYTES = 1 << 12
 _HASHES = 3
@@ -60,47 +60,61 @@ _PLAIN = bytes(
 _BREAK = 0
 
 
-class _Numbers(dict):
-    """Numbers words in the order they are asked for; a full stop is the break between pieces."""
-
-    def __init__(self):
-        super().__init__({b".": _BREAK})
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 class Proposals:
     """Bloom filters of phrases by their number of words; without filters everything is proposed."""
 
     def __init__(self, bits: dict[int, np.ndarray] | None = None):
         self.bits = bits
 
-    def holds(self, lang: bytes, words: int, phrases: Sequence[bytes]) -> np.ndarray:
+    def holds(self, words: int, hashes: np.ndarray) -> np.ndarray:
         if self.bits is None:
-            return np.ones(len(phrases), bool)
-        field = self.bits.get(words)
-        if field is None:
-            return np.zeros(len(phrases), bool)
-        return (field[(slots := filter_slots(lang, phrases)) >> 6] >> (slots & 63).astype(np.uint64) & np.uint64(1)).all(1)
+            return np.ones(len(hashes), bool)
+        held = np.full(len(hashes), words in self.bits)
+        if words in self.bits:
+            for slots in filter_slots(hashes):
+                held &= (self.bits[words][slots >> 3] >> (slots & 7).astype(np.uint8) & np.uint8(1)).astype(bool)
+        return held
+
+
+def word_hashes(lang: bytes, words: Sequence[bytes]) -> np.ndarray:
+    digest, key = xxhash.xxh3_64_intdigest, lang + b"\n"
+    return np.array([digest(key + w) for w in words], np.uint64)
+
+
+def longer_hashes(phrases: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hashes of phrases that go on with a word, from the hashes of both."""
+    return mix64(phrases * np.uint64(0x9E3779B97F4A7C15) + words)
+
+
+def filter_slots(hashes: np.ndarray) -> list[np.ndarray]:
+    """Places of phrases in a filter, an array for each hash function."""
+    low, high = hashes & np.uint64(0xFFFFFFFF), hashes >> np.uint64(32) | np.uint64(1)
+    return [((low + np.uint64(i) * high) % np.uint64(FILTER_BITS)).astype(np.int64) for i in range(_HASHES)]
+
 
+def phrase_hashes(lang: bytes, phrases: Sequence[bytes]) -> np.ndarray:
+    """Hashes of phrases of equally many words."""
+    columns = list(zip(*(p.split(b" ") for p in phrases)))
+    hashes = word_hashes(lang, columns[0])
+    for column in columns[1:]:
+        hashes = longer_hashes(hashes, word_hashes(lang, column))
+    return hashes
 
-def filter_slots(lang: bytes, phrases: Sequence[bytes]) -> np.ndarray:
-    """Places of each phrase in a filter (phrases x hashes)."""
-    key = lang + b"\n"
-    digest = xxhash.xxh3_64_intdigest
-    h = np.array([digest(key + p) for p in phrases], np.uint64)
-    low, high = h & np.uint64(0xFFFFFFFF), h >> np.uint64(32) | np.uint64(1)
-    steps = np.arange(_HASHES, dtype=np.uint64)
-    return ((low[:, None] + steps * high[:, None]) % np.uint64(FILTER_BITS)).astype(np.int64)
 
+def window_bytes(longest: int) -> int:
+    """Text a window may hold so that phrases fit 63 bits as numbers to the base of its distinct words.
 
-def _slices(text: bytes) -> Iterator[bytes]:
+    A word and its blank take two bytes, and there are too few words of one or two bytes for
+    a window of 2.5 bytes a word to hold more distinct ones than that.
+    """
+    return min(MOST_WINDOW_BYTES, int(2.5 * 2 ** (63 / longest)))
+
+
+def _slices(text: bytes, size: int) -> Iterator[bytes]:
     """A text in slices that end before a blank or a piece end, so that no word is cut."""
     start = 0
-    while len(text) - start > SLICE_BYTES:
-        end = start + SLICE_BYTES
+    while len(text) - start > size:
+        end = start + size
         while end < len(text) and text[end] not in b" .":
             end += 1
         yield text[start:end]
@@ -109,99 +123,123 @@ def _slices(text: bytes) -> Iterator[bytes]:
 
 
 class _Counter:
-    """Counts the phrases of a window of text of one language."""
+    """Counts the phrases of a window of text of one language.
+
+    `carried` words of the window before lead in; phrases within them were counted there.
+    """
+
+    def __init__(self, carried: Sequence[bytes] = ()):
+        self.parts = [b". ", *(w + b" " for w in carried)]
+        self.carried = len(self.parts)
+        self.size = 0
 
-    def __init__(self):
-        self.numbers = _Numbers()
-        self.stream = array("q", [_BREAK])
+    def add(self, part: bytes) -> None:
+        self.parts.append(part.replace(b".", b" . "))
+        self.size += len(part)
 
-    def add(self, text: bytes) -> None:
-        number = self.numbers.__getitem__
-        for part in _slices(text.translate(_PLAIN)):
-            self.stream.extend(map(number, part.replace(b".", b" . ").split()))
-        self.stream.append(_BREAK)
+    def _split(self) -> pa.DictionaryArray:
+        """The window's words; a full stop, the first of them, stands between pieces."""
+        text = pa.array([b"".join([*self.parts, b" ."])], pa.binary()).cast(pa.string())
+        return pc.ascii_split_whitespace(text).flatten().dictionary_encode()
+
+    def last(self, words: int) -> list[bytes]:
+        return [w.as_py().encode() for w in self._split()[:-1][-words:]] if words else []
 
     def counts(
-        self, lang: bytes, longest: int, now: Proposals, before: Sequence[Proposals]
-    ) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+        self, longest: int, lang: bytes, now: Proposals, before: Sequence[Proposals]
+    ) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
         """(words, phrases, counts) by number of words; words themselves count in the first pass alone."""
-        stream = np.frombuffer(self.stream, np.int64)
-        words = list(self.numbers)
-        totals = np.bincount(stream, minlength=len(words))
+        split = self._split()
+        words, stream = split.dictionary, split.indices.to_numpy().astype(np.int64)
         if not before:
-            yield 1, words[1:], totals[1:]
-        passes = [now, *before]
-        proposed = [p.holds(lang, 1, words) for p in passes]
-        for held in proposed:
+            totals = np.bincount(stream[self.carried :], minlength=len(words))
+            totals[_BREAK] = 0
+            used = np.flatnonzero(totals)
+            yield 1, words.take(pa.array(used)), totals[used]
+        # For each place of the stream the phrase that starts there, its hash, and which pass proposed it.
+        of_word = word_hashes(lang, [w.encode() for w in words.to_pylist()])
+        kind, hashes = stream, of_word[stream]
+        held_at = []
+        for p in [now, *before]:
+            held = p.holds(1, of_word)
             held[_BREAK] = False
-        # One entry for each place of the stream: the phrase that starts there, and whether a pass proposed it.
-        kind, phrases = stream, words
-        held_at = [held[stream] for held in proposed]
+            held_at.append(held[stream])
         for size in range(2, longest + 1):
             fits = [h[:-1] & h[1:] for h in held_at]
-            place = np.flatnonzero(np.logical_or.reduce(fits))
-            key = kind[place] * len(words) + stream[place + size - 1]
-            found, first, which, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-            phrases = [phrases[a] + b" " + words[b] for a, b in zip((found // len(words)).tolist(), (found % len(words)).tolist())]
-            counted = [fit[place[first]] for fit in fits]
-            new = counted[0] & ~np.logical_or.reduce([*counted[1:], np.zeros(len(found), bool)])
-            yield size, [phrases[i] for i in np.flatnonzero(new).tolist()], n[new]
-            if size == longest:
+            if not len(fits[0]):
                 return
-            following = []
-            for fit, p in zip(counted, passes):
-                at = np.zeros(len(fits[0]), bool)
-                at[place] = (fit & p.holds(lang, size, phrases))[which]
-                following.append(at)
-            kind = np.zeros(len(fits[0]), np.int64)
-            kind[place] = which
-            held_at = following
+            counted = fits[0] & ~np.logical_or.reduce([*fits[1:], np.zeros(len(fits[0]), bool)])
+            counted[: max(0, self.carried - size + 1)] = False
+            following = stream[size - 1 :]
+            kind = kind[: len(following)] * len(words) + following
+            found, n = np.unique(kind[counted], return_counts=True)
+            yield size, self._texts(found, size, words), n
+            if size < longest:
+                hashes = longer_hashes(hashes[: len(following)], of_word[following])
+                held_at = []
+                for fit, p in zip(fits, [now, *before]):
+                    places = np.flatnonzero(fit)
+                    at = np.zeros(len(fit), bool)
+                    at[places] = p.holds(size, hashes[places])
+                    held_at.append(at)
+
+    def _texts(self, kinds: np.ndarray, size: int, words: pa.Array) -> pa.Array:
+        columns = []
+        for _ in range(size):
+            kinds, last = np.divmod(kinds, len(words))
+            columns.append(words.take(pa.array(last)))
+        return pc.binary_join_element_wise(*reversed(columns), " ")
 
 
 def _pass(docs: DataFrame, longest: int, now: Proposals, before: Sequence[Proposals]) -> DataFrame:
-    """Exact counts (lang, words, phrase, f) of what `now` proposes and borders on, without what came before.
+    """Exact counts (key, f) of what `now` proposes and borders on, without what came before.
 
-    The row with words = 0 and an empty phrase holds the number of words of a language.
+    A key is the language, a line feed and the phrase; an empty phrase goes with the number
+    of words of the language.
     """
     shared = docs.sparkSession.sparkContext.broadcast((now, list(before)))
+    window = window_bytes(longest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        proposals, earlier = shared.value
         counters: dict[bytes, _Counter] = {}
         held = 0
         for batch in batches:
             for lang, text in zip(batch.column("lang"), batch.column("text")):
-                counter = counters.setdefault(lang.as_py().encode(), _Counter())
-                size = len(counter.stream)
-                counter.add(text.as_py())
-                held += len(counter.stream) - size
-                if held >= WINDOW_WORDS:
-                    yield from sent(counters, proposals, earlier)
+                lang = lang.as_py().encode()
+                for part in _slices(text.as_py().translate(_PLAIN), window // 8):
+                    counter = counters.setdefault(lang, _Counter())
+                    counter.add(part)
+                    held += len(part)
+                    if counter.size >= window - window // 8:
+                        yield from sent(lang, counter)
+                        held -= counter.size
+                        counters[lang] = _Counter(counter.last(longest - 1))
+                counters[lang].add(b".")
+                if held >= HELD_BYTES:
+                    for name, counter in counters.items():
+                        yield from sent(name, counter)
                     counters, held = {}, 0
-        yield from sent(counters, proposals, earlier)
-
-    def sent(counters, proposals, earlier) -> Iterator[pa.RecordBatch]:
-        for lang, counter in counters.items():
-            for words, phrases, n in counter.counts(lang, longest, proposals, earlier):
-                if words == 1:
-                    yield made(lang, 0, [b""], np.array([n.sum()]))
-                for at in range(0, len(phrases), 1 << 18):
-                    yield made(lang, words, phrases[at : at + (1 << 18)], n[at : at + (1 << 18)])
-
-    def made(lang: bytes, words: int, phrases: list[bytes], n: np.ndarray) -> pa.RecordBatch:
-        size = len(phrases)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([lang.decode()] * size, pa.string()),
-                pa.array(np.full(size, words, np.int32)),
-                pa.array(phrases, pa.binary()).cast(pa.string()),
-                pa.array(n.astype(np.int64)),
-            ],
-            names=["lang", "words", "phrase", "n"],
-        )
-
-    sent_counts = docs.mapInArrow(run, "lang string, words int, phrase string, n long")
-    return sent_counts.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
+        for name, counter in counters.items():
+            yield from sent(name, counter)
+
+    def sent(lang: bytes, counter: _Counter) -> Iterator[pa.RecordBatch]:
+        key = pa.scalar(lang.decode() + "\n")
+        for words, phrases, n in counter.counts(longest, lang, *shared.value):
+            if words == 1:
+                yield pa.RecordBatch.from_arrays([pa.array([key.as_py()]), pa.array([int(n.sum())])], names=["key", "n"])
+            keys, n = pc.binary_join_element_wise(key, phrases, ""), pa.array(n.astype(np.int64))
+            for at in range(0, len(keys), 1 << 18):
+                yield pa.RecordBatch.from_arrays([keys[at : at + (1 << 18)], n[at : at + (1 << 18)]], names=["key", "n"])
+
+    return docs.mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("f"))
+
+
+def _named(counted: DataFrame) -> DataFrame:
+    """(lang, words, phrase, f) from counts by key. A phrase has no line feed, so the last one parts the key."""
+    key, phrase = F.col("key"), F.substring_index("key", "\n", -1)
+    words = F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " ")))
+    lang = F.substring(key, F.lit(1), F.length(key) - F.length(phrase) - 1)
+    return counted.select(lang.alias("lang"), words.alias("words"), phrase.alias("phrase"), "f")
 
 
 def _filters(known: DataFrame) -> Proposals:
@@ -213,7 +251,8 @@ def _filters(known: DataFrame) -> Proposals:
         for batch in batches:
             for (lang, words), part in batch.to_pandas().groupby(["lang", "words"]):
                 field = bits.setdefault(int(words), np.zeros(FILTER_BITS, bool))
-                field[filter_slots(lang.encode(), [p.encode() for p in part["phrase"]])] = True
+                for slots in filter_slots(phrase_hashes(lang.encode(), [p.encode() for p in part["phrase"]])):
+                    field[slots] = True
         for words, field in bits.items():
             blocks = np.packbits(field.reshape(-1, block_bits), axis=1, bitorder="little")
             touched = np.flatnonzero(blocks.any(1))
@@ -233,7 +272,7 @@ def _filters(known: DataFrame) -> Proposals:
     for row in sent.groupBy("words", "block").applyInPandas(merged, shape).collect():  # FILTER_BITS for each length
         field = whole.setdefault(row["words"], np.zeros(FILTER_BITS // 8, np.uint8))
         field[row["block"] * _BLOCK_BYTES :][:_BLOCK_BYTES] = np.frombuffer(row["bits"], np.uint8)
-    return Proposals({words: field.view(np.uint64) for words, field in whole.items()})
+    return Proposals(whole)
 
 
 def _any_missed(known: DataFrame, used: Proposals, longest: int) -> bool:
@@ -243,7 +282,7 @@ def _any_missed(known: DataFrame, used: Proposals, longest: int) -> bool:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for (lang, words), part in batch.to_pandas().groupby(["lang", "words"]):
-                held = shared.value.holds(lang.encode(), words, [p.encode() for p in part["phrase"]])
+                held = shared.value.holds(words, phrase_hashes(lang.encode(), [p.encode() for p in part["phrase"]]))
                 if not held.all():
                     yield pa.RecordBatch.from_arrays([pa.array([int((~held).sum())])], names=["missed"])
 
@@ -266,12 +305,13 @@ def frequent_phrases(
     dealt = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(taken * (1 << 20))
     sampled = _pass(own.filter(dealt), longest, Proposals(), ())
     lowered = max(LEAST, LOWERED * min_count * taken)
-    now = _filters(sampled.filter((F.col("f") >= lowered) & F.col("words").between(1, longest - 1)))
+    now = _filters(_named(sampled.filter(F.col("f") >= lowered)).filter(F.col("words").between(1, longest - 1)))
     before: list[Proposals] = []
     known = None
     while True:
         counted = _pass(own, longest, now, before)
-        found = saved(counted.filter((F.col("f") >= min_count) | (F.col("words") == 0)), f"phrases_{len(before)}")
+        found = counted.filter((F.col("f") >= min_count) | F.col("key").endswith("\n"))
+        found = saved(_named(found), f"phrases_{len(before)}")
         known = found if known is None else known.unionByName(found)
         if not _any_missed(known, now, longest):
             return known
@@ -306,7 +346,7 @@ def collocations(
             F.struct(F.lit("r").alias("side"), part(cut + 1, F.col("words") - cut).alias("part")),
         )).alias("x"),
     ).select("lang", "phrase", "a", "cut", "x.side", "x.part")
-    counted = salted_join(sides, f, ["lang", "part"], "inner")
+    counted = salted_join(sides, f, ["lang", "part"], "inner", salts=4)
     both = counted.groupBy("lang", "phrase", "a", "cut").agg(
         F.max(F.when(F.col("side") == "l", F.col("f"))).alias("l"), F.max(F.when(F.col("side") == "r", F.col("f"))).alias("r")
     )
