@@ -1,10 +1,12 @@
 """Cardinality-safe matching of engine events with provider events.
 
 Amounts are never keys, so that monetary differences stay visible, and a NULL key
-matches nothing. All rules work from a key profile: both sides are tagged, unioned and
-counted per key in one shuffle. Tasks count before they send, so a key that holds a
-large share of the rows sends one row per task, and no rule ever pairs every engine
-row with every provider row of a key. Nothing runs until the result is asked for.
+matches nothing. All rules work from one key profile: each row is tagged once for every
+rule that takes it, both sides are unioned and counted per rule and key in one shuffle.
+Tasks count before they send, so a key that holds a large share of the rows sends one row
+per task, and no rule ever pairs every engine row with every provider row of a key. Keys
+with one row on either side are settled by the profile alone; rows of other keys that both
+sides hold are looked up in one join. Nothing runs until the result is asked for.
 """
 
 from __future__ import annotations
@@ -13,14 +15,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from crosstally.operators.adapters import union_matches
 from crosstally.operators.contracts import MATCH, conform
 from crosstally.operators.skew import salted_join
 
 ENGINE_ID = "engine_txn_id"
 PROVIDER_ID = "provider_event_id"
+MATCHED, UNCLEAR = "match", "unclear"
+
+_RULE_KEY = ["_rule", "psp", "_key"]
 
 
 @dataclass(frozen=True)
@@ -42,20 +46,51 @@ class MatchRule:
 
 def match(engine: DataFrame, provider: DataFrame, rule: MatchRule) -> DataFrame:
     """Matches (psp, engine_txn_id, provider_event_id, match_method) of one rule."""
-    sides = _sides(engine, provider, rule)
-    profile = _profile(sides, rule.keys)
-    pairs = profile.filter("engine_rows = 1 AND provider_rows = 1").select("psp", ENGINE_ID, PROVIDER_ID)
-    if rule.one_to_one:
-        pairs = _each_id_once(pairs)
-    else:
-        lopsided = profile.filter("least(engine_rows, provider_rows) = 1 AND engine_rows <> provider_rows")
-        pairs = pairs.unionByName(_lopsided_pairs(sides, lopsided, rule.keys))
-    return conform(pairs.withColumn("match_method", F.lit(rule.method)), MATCH)
+    return match_all(engine, provider, [rule])
 
 
 def match_all(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchRule]) -> DataFrame:
-    """Union of the matches of all rules."""
-    return union_matches(*(match(engine, provider, rule) for rule in rules))
+    """Matches (psp, engine_txn_id, provider_event_id, match_method) of all rules."""
+    return matches_of(link(engine, provider, rules, unclear=False))
+
+
+def link(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchRule], unclear: bool = True) -> DataFrame:
+    """What the rules say about both ledgers: matches, and rows whose key repeats on both sides.
+
+    Rows are (outcome, psp, engine_txn_id, provider_event_id, match_method). A `match` has
+    both IDs. An `unclear` row has one and matches nothing, but is not missing on the other
+    side either; rules that demand one-to-one candidates have none, as ambiguity is an
+    outcome there. `matches_of` and `unclear_of` take it apart; write it once for both.
+    """
+    rows = _tagged(engine, provider, rules)
+    profile = _profile(rows)
+    strict = [n for n, rule in enumerate(rules) if rule.one_to_one]
+    loose = [n for n, rule in enumerate(rules) if not rule.one_to_one]
+    pairs = profile.filter("engine_rows = 1 AND provider_rows = 1").select("_rule", "psp", ENGINE_ID, PROVIDER_ID)
+    parts = []
+    if strict:
+        parts.append(_each_id_once(pairs.filter(F.col("_rule").isin(*strict))).withColumn("outcome", F.lit(MATCHED)))
+    if loose:
+        parts.append(pairs.filter(F.col("_rule").isin(*loose)).withColumn("outcome", F.lit(MATCHED)))
+        uneven = profile.filter("least(engine_rows, provider_rows) >= 1 AND engine_rows + provider_rows > 2")
+        uneven = uneven.filter(F.col("_rule").isin(*loose))
+        parts.append(_of_uneven_keys(rows, uneven if unclear else uneven.filter("least(engine_rows, provider_rows) = 1")))
+    found = reduce(DataFrame.unionByName, parts)
+    method = F.element_at(F.array(*(F.lit(rule.method) for rule in rules)), F.col("_rule") + 1)
+    return found.select("outcome", "psp", ENGINE_ID, PROVIDER_ID, method.alias("match_method"))
+
+
+def matches_of(links: DataFrame) -> DataFrame:
+    return conform(links.filter(F.col("outcome") == MATCHED), MATCH)
+
+
+def unclear_of(links: DataFrame) -> DataFrame:
+    """(psp, side, id) of the rows whose key repeats on both sides: side E or P, each row once."""
+    is_engine = F.col(ENGINE_ID).isNotNull()
+    named = links.filter(F.col("outcome") == UNCLEAR).select(
+        "psp", F.when(is_engine, "E").otherwise("P").alias("side"), F.coalesce(ENGINE_ID, PROVIDER_ID).alias("id")
+    )
+    return named.distinct()
 
 
 def ambiguous_rows(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchRule]) -> DataFrame:
@@ -64,16 +99,7 @@ def ambiguous_rows(engine: DataFrame, provider: DataFrame, rules: Sequence[Match
     They match nothing, but they are not missing on the other side either. Rules that
     demand one-to-one candidates do not count: ambiguity is an outcome there.
     """
-    parts = []
-    for rule in rules:
-        if not rule.one_to_one:
-            sides = _sides(engine, provider, rule)
-            repeated = _profile(sides, rule.keys).filter("engine_rows > 1 AND provider_rows > 1").select(*rule.keys)
-            found = salted_join(sides, repeated, rule.keys, "inner")
-            parts.append(found.select("psp", F.col("_side").alias("side"), F.col("_id").alias("id")))
-    if not parts:
-        return engine.select("psp", F.lit("E").alias("side"), F.col(ENGINE_ID).alias("id")).limit(0)
-    return reduce(DataFrame.unionByName, parts).distinct()
+    return unclear_of(link(engine, provider, rules))
 
 
 def repeated_keys(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchRule]) -> DataFrame:
@@ -81,45 +107,52 @@ def repeated_keys(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchR
 
     Rules that demand one-to-one candidates do not count: ambiguity is an outcome there.
     """
-    parts = []
-    for rule in rules:
-        if rule.one_to_one:
-            continue
-        profile = _profile(_sides(engine, provider, rule), rule.keys)
-        parts.append(
-            profile.filter("engine_rows > 1 AND provider_rows > 1").select(
-                "psp",
-                F.lit(rule.method).alias("match_method"),
-                F.concat_ws("|", *(F.col(k).cast("string") for k in rule.keys)).alias("key"),
-                "engine_rows",
-                "provider_rows",
-                (F.col("engine_rows") * F.col("provider_rows")).alias("pairs"),
-            )
-        )
-    if not parts:
+    loose = [rule for rule in rules if not rule.one_to_one]
+    if not loose:
         raise ValueError("no rule accepts repeated keys")
-    return reduce(DataFrame.unionByName, parts)
+    method = F.element_at(F.array(*(F.lit(rule.method) for rule in loose)), F.col("_rule") + 1)
+    profile = _profile(_tagged(engine, provider, loose))
+    return profile.filter("engine_rows > 1 AND provider_rows > 1").select(
+        "psp",
+        method.alias("match_method"),
+        F.array_join("_key", "|").alias("key"),
+        "engine_rows",
+        "provider_rows",
+        (F.col("engine_rows") * F.col("provider_rows")).alias("pairs"),
+    )
 
 
-def _sides(engine: DataFrame, provider: DataFrame, rule: MatchRule) -> DataFrame:
-    """Both ledgers as (keys, side, id), rows that can match only."""
-    if rule.psps:
-        engine = engine.filter(F.col("psp").isin(*rule.psps))
-        provider = provider.filter(F.col("psp").isin(*rule.psps))
-    if rule.provider_operations:
-        provider = provider.filter(F.col("operation_type").isin(*rule.provider_operations))
+def _tagged(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchRule]) -> DataFrame:
+    """Both ledgers as (psp, _side, _id, _rule, _key): a row for each rule that takes it and whose keys it has."""
+    for rule in rules:
+        if "psp" not in rule.keys:
+            raise ValueError(f"rule {rule.method} lacks the key psp")
+        for key in rule.keys:
+            if engine.schema[key].dataType != provider.schema[key].dataType:
+                raise ValueError(f"key {key} has another type in the provider's ledger")
 
     def tagged(df: DataFrame, row_id: str, side: str) -> DataFrame:
-        return df.select(*rule.keys, F.lit(side).alias("_side"), F.col(row_id).alias("_id"))
+        taken = []
+        for number, rule in enumerate(rules):
+            fits = reduce(Column.__and__, (F.col(k).isNotNull() for k in rule.keys))
+            if rule.psps:
+                fits = fits & F.col("psp").isin(*rule.psps)
+            if rule.provider_operations and side == "P":
+                fits = fits & F.col("operation_type").isin(*rule.provider_operations)
+            key = F.array(*(F.col(k).cast("string") for k in rule.keys))
+            taken.append(F.when(fits, F.struct(F.lit(number).alias("_rule"), key.alias("_key"))))
+        rows = df.select("psp", F.lit(side).alias("_side"), F.col(row_id).alias("_id"), F.array(*taken).alias("_taken"))
+        return rows.select("psp", "_side", "_id", F.explode(F.array_compact("_taken")).alias("_t")).select(
+            "psp", "_side", "_id", "_t._rule", "_t._key"
+        )
 
-    both = tagged(engine, ENGINE_ID, "E").unionByName(tagged(provider, PROVIDER_ID, "P"))
-    return both.dropna(subset=list(rule.keys))
+    return tagged(engine, ENGINE_ID, "E").unionByName(tagged(provider, PROVIDER_ID, "P"))
 
 
-def _profile(sides: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: row count and smallest ID of each side."""
+def _profile(rows: DataFrame) -> DataFrame:
+    """One row per rule and key: row count and smallest ID of each side."""
     is_engine, is_provider = F.col("_side") == "E", F.col("_side") == "P"
-    return sides.groupBy(*keys).agg(
+    return rows.groupBy(*_RULE_KEY).agg(
         F.count_if(is_engine).alias("engine_rows"),
         F.count_if(is_provider).alias("provider_rows"),
         F.min(F.when(is_engine, F.col("_id"))).alias(ENGINE_ID),
@@ -129,21 +162,23 @@ def _profile(sides: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _each_id_once(pairs: DataFrame) -> DataFrame:
     """Pairs whose IDs occur in no other pair of the rule."""
-    by_engine, by_provider = Window.partitionBy("psp", ENGINE_ID), Window.partitionBy("psp", PROVIDER_ID)
+    by_engine = Window.partitionBy("_rule", "psp", ENGINE_ID)
+    by_provider = Window.partitionBy("_rule", "psp", PROVIDER_ID)
     counted = pairs.withColumn("_engine_uses", F.count("*").over(by_engine))
     counted = counted.withColumn("_provider_uses", F.count("*").over(by_provider))
     return counted.filter("_engine_uses = 1 AND _provider_uses = 1").select(*pairs.columns)
 
 
-def _lopsided_pairs(sides: DataFrame, lopsided: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Pairs of keys with one row on one side and several on the other, one for each of them."""
-    single = lopsided.select(
-        *keys, ENGINE_ID, PROVIDER_ID, F.when(F.col("engine_rows") > 1, "E").otherwise("P").alias("_many")
-    )
-    paired = salted_join(sides, single, keys, "inner")
-    many_is_engine = F.col("_many") == "E"
-    return paired.filter(F.col("_side") == F.col("_many")).select(
+def _of_uneven_keys(rows: DataFrame, uneven: DataFrame) -> DataFrame:
+    """Outcomes of keys with several rows on a side: a pair for each of many rows and the single one, else unclear."""
+    found = salted_join(rows, uneven, _RULE_KEY, "inner")
+    is_engine, clear = F.col("_side") == "E", F.least("engine_rows", "provider_rows") == 1
+    many = F.when(F.col("engine_rows") > 1, "E").otherwise("P")
+    found = found.filter(~clear | (F.col("_side") == many))
+    return found.select(
+        "_rule",
         "psp",
-        F.when(many_is_engine, F.col("_id")).otherwise(F.col(ENGINE_ID)).alias(ENGINE_ID),
-        F.when(many_is_engine, F.col(PROVIDER_ID)).otherwise(F.col("_id")).alias(PROVIDER_ID),
+        F.when(is_engine, F.col("_id")).when(clear, F.col(ENGINE_ID)).alias(ENGINE_ID),
+        F.when(~is_engine, F.col("_id")).when(clear, F.col(PROVIDER_ID)).alias(PROVIDER_ID),
+        F.when(clear, MATCHED).otherwise(UNCLEAR).alias("outcome"),
     )

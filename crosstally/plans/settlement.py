@@ -15,7 +15,7 @@ from crosstally.functions.times import iso_z
 from crosstally.operators import adapters, fees as fee_ops, quality as q, reconcile as rec
 from crosstally.operators.asof import latest_revision, value_in_usd
 from crosstally.operators.contracts import FX_RATE, conform
-from crosstally.operators.matching import ambiguous_rows, match_all, repeated_keys
+from crosstally.operators.matching import link, match_all, matches_of, repeated_keys, unclear_of
 from crosstally.plans import feeds
 from crosstally.session import concurrently, pin_utc
 from crosstally.sources.sinks import Report, materialise, publish
@@ -107,15 +107,15 @@ def settle(
         "intermediate",
         {
             "provider_events": value_in_usd(unvalued, rates),
-            "provider_matches": match_all(engine, unvalued, feeds.MATCH_RULES),
-            "ambiguous_rows": ambiguous_rows(engine, unvalued, feeds.MATCH_RULES),
+            "links": link(engine, unvalued, feeds.MATCH_RULES),
         },
     )
-    events, matches = matched["provider_events"], matched["provider_matches"]
+    events, links = matched["provider_events"], matched["links"]
+    matches, unclear = matches_of(links), unclear_of(links)
     details = keep(
         "marts",
         {
-            "reconciliation_detail": rec.reconcile(engine, events, matches, months, ambiguous=matched["ambiguous_rows"]),
+            "reconciliation_detail": rec.reconcile(engine, events, matches, months, ambiguous=unclear),
             "fee_reconciliation_detail": fee_ops.reconcile_fees(
                 events, fees, staged["fee_schedule"], months, rounding
             ),

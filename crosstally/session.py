@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
@@ -40,16 +39,14 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach: the cluster's `spark.checkpoint.dir`.
 
-    Only a local-mode session without that setting gets a folder of its own.
+    A local-mode session without that setting uses a folder below its warehouse.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="crosstally-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/crosstally_runs"
 
 
 def concurrently(calls: Sequence[Callable[[], T]], at_once: int = 8) -> list[T]:

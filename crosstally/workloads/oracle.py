@@ -62,15 +62,20 @@ rates AS (
       * (1 + CAST((24 - n_nationkey) // 4 AS DECIMAL(6,0)) * 0.001) AS DECIMAL(12,8)) AS usd_rate
   FROM nation
 ),
-quoted AS (SELECT *, CAST(event_ts AS DATE) AS event_day FROM u),
+rated AS (
+  SELECT u.*, r.rate_date AS fx_date_selected, r.usd_rate
+  FROM u ASOF LEFT JOIN rates r ON u.currency = r.currency AND CAST(u.event_ts AS DATE) >= r.rate_date
+),
+in_dollars AS (
+  SELECT * EXCLUDE (usd_rate), CAST(1 AS DECIMAL(12,8)) AS fx_rate_selected FROM rated WHERE currency = 'USD'
+),
+in_other_currency AS (
+  SELECT * EXCLUDE (usd_rate), CAST(usd_rate AS DECIMAL(12,8)) AS fx_rate_selected FROM rated WHERE currency <> 'USD'
+),
 p AS (
-  SELECT * EXCLUDE (found_rate), CAST(greatest(found_rate, usd_alone) AS DECIMAL(12,8)) AS fx_rate_selected,
-    ifnull(CAST(amount_usd_reported AS DECIMAL(32,10)),
-      amount_local_signed * CAST(greatest(found_rate, usd_alone) AS DECIMAL(12,8))) AS amount_usd_normalized
-  FROM (
-    SELECT quoted.*, rates.rate_date AS fx_date_selected,
-      if(quoted.currency <> 'USD', rates.usd_rate, NULL) AS found_rate, if(quoted.currency = 'USD', 1, NULL) AS usd_alone
-    FROM quoted ASOF LEFT JOIN rates ON quoted.currency = rates.currency AND quoted.event_day >= rates.rate_date)
+  SELECT *, coalesce(CAST(amount_usd_reported AS DECIMAL(32,10)), amount_local_signed * fx_rate_selected)
+    AS amount_usd_normalized
+  FROM (SELECT * FROM in_dollars UNION ALL SELECT * FROM in_other_currency)
 )"""
 
 _PAIRS = """
@@ -109,37 +114,55 @@ scoped AS (
 _JUNE = "DATE '2026-06-01'"
 _THREE = "DATE '2026-05-01', DATE '2026-06-01', DATE '2026-07-01'"
 
-# Each row collects the codes of all causes that fit it; the lowest code names the cause.
+# Each side's money and the facts of a link are found on their own; a row's cause is the first in a table of causes.
 _DETAIL = """
-recognised AS (
-  SELECT *,
-    if(list_contains([e_in, e_fin], false), 0, CAST(e_usd AS DECIMAL(28,2))) AS e_rec,
-    if(list_contains([p_in, p_fin], false), 0, CAST(round(p_usd, 2) AS DECIMAL(28,2))) AS p_rec,
-    if(match_status = 'matched', NOT (e_op IS NOT DISTINCT FROM p_op), NULL) AS op_differs,
-    if(match_status = 'matched', NOT (e_status IS NOT DISTINCT FROM p_status), NULL) AS status_differs,
-    if(match_status = 'matched', NOT (e_ccy IS NOT DISTINCT FROM p_ccy), NULL) AS ccy_differs,
-    if(e_ccy = p_ccy, p_local - e_local, NULL) AS local_difference,
-    e_rate IS NOT DISTINCT FROM ifnull(p_rate_reported, p_rate) AS same_rate
-  FROM scoped
+rows AS (SELECT concat_ws('/', report_month, engine_txn_id, provider_event_id) AS id, * FROM scoped),
+engine_money AS (
+  SELECT id, CAST(0 AS DECIMAL(28,2)) AS e_rec FROM rows WHERE e_in = false OR e_fin = false
+  UNION ALL
+  SELECT id, CAST(e_usd AS DECIMAL(28,2)) FROM rows WHERE (e_in = false OR e_fin = false) IS NOT TRUE
+),
+provider_money AS (
+  SELECT id, CAST(0 AS DECIMAL(28,2)) AS p_rec FROM rows WHERE p_in = false OR p_fin = false
+  UNION ALL
+  SELECT id, CAST(round(p_usd, 2) AS DECIMAL(28,2)) FROM rows WHERE (p_in = false OR p_fin = false) IS NOT TRUE
+),
+link_facts AS (
+  SELECT id, e_op IS DISTINCT FROM p_op AS op_differs, e_status IS DISTINCT FROM p_status AS status_differs,
+    e_ccy IS DISTINCT FROM p_ccy AS ccy_differs
+  FROM rows WHERE match_status = 'matched'
+),
+local_facts AS (SELECT id, p_local - e_local AS local_difference FROM rows WHERE e_ccy = p_ccy),
+facts AS (
+  SELECT rows.*, e_rec, p_rec, p_rec - e_rec AS gap, abs(p_rec - e_rec) AS abs_gap,
+    op_differs, status_differs, ccy_differs, local_difference
+  FROM rows JOIN engine_money USING (id) JOIN provider_money USING (id)
+    LEFT JOIN link_facts USING (id) LEFT JOIN local_facts USING (id)
+),
+causes(priority, cause) AS (
+  VALUES (1, 'unexplained'), (2, 'engine_only'), (3, 'refund_missing_in_engine'), (4, 'reversal_missing_in_engine'),
+    (5, 'chargeback_missing_in_engine'), (6, 'provider_only'), (7, 'unexplained'), (8, 'status_lifecycle_difference'),
+    (9, 'cutoff_timing'), (10, 'fx_difference'), (11, 'rounding_difference'), (12, 'amount_difference'), (13, 'matched')
 ),
-gaps AS (SELECT *, p_rec - e_rec AS gap, greatest(p_rec - e_rec, e_rec - p_rec) AS abs_gap FROM recognised),
-fitting AS (
-  SELECT *, [
-      if(len(list_filter([e_in, p_in, e_fin, p_fin], lambda x: x IS NULL)) > 0 OR gap IS NULL, '01unexplained', NULL),
-      if(match_status = 'engine_only', '02engine_only', NULL),
-      if(match_status = 'provider_only' AND p_op IN ('REFUND', 'REVERSAL', 'CHARGEBACK'),
-         '03' || lower(p_op) || '_missing_in_engine', NULL),
-      if(match_status = 'provider_only', '04provider_only', NULL),
-      if(op_differs OR ccy_differs, '05unexplained', NULL),
-      if(status_differs, '06status_lifecycle_difference', NULL),
-      if(e_fin AND p_fin AND e_in <> p_in, '07cutoff_timing', NULL),
-      if(gap <> 0 AND local_difference = 0 AND NOT same_rate, '08fx_difference', NULL),
-      if(gap <> 0 AND local_difference = 0 AND same_rate AND abs_gap <= 0.01, '09rounding_difference', NULL),
-      if(gap <> 0, '10amount_difference', NULL),
-      '11matched'] AS codes
-  FROM gaps
+found AS (
+  SELECT id, 1 AS priority FROM facts
+  WHERE e_in IS NULL OR p_in IS NULL OR e_fin IS NULL OR p_fin IS NULL OR gap IS NULL
+  UNION ALL SELECT id, 2 FROM facts WHERE match_status = 'engine_only'
+  UNION ALL SELECT id, 3 FROM facts WHERE match_status = 'provider_only' AND p_op = 'REFUND'
+  UNION ALL SELECT id, 4 FROM facts WHERE match_status = 'provider_only' AND p_op = 'REVERSAL'
+  UNION ALL SELECT id, 5 FROM facts WHERE match_status = 'provider_only' AND p_op = 'CHARGEBACK'
+  UNION ALL SELECT id, 6 FROM facts WHERE match_status = 'provider_only'
+  UNION ALL SELECT id, 7 FROM facts WHERE op_differs OR ccy_differs
+  UNION ALL SELECT id, 8 FROM facts WHERE status_differs
+  UNION ALL SELECT id, 9 FROM facts WHERE e_fin AND p_fin AND e_in <> p_in
+  UNION ALL SELECT id, 10 FROM facts
+    WHERE gap <> 0 AND local_difference = 0 AND e_rate IS DISTINCT FROM coalesce(p_rate_reported, p_rate)
+  UNION ALL SELECT id, 11 FROM facts WHERE gap <> 0 AND local_difference = 0 AND abs_gap <= 0.01
+  UNION ALL SELECT id, 12 FROM facts WHERE gap <> 0
+  UNION ALL SELECT id, 13 FROM facts
 ),
-detail AS (SELECT * EXCLUDE (codes, same_rate), substr(list_min(codes), 3) AS cause FROM fitting)"""
+first_cause AS (SELECT id, min(priority) AS priority FROM found GROUP BY id),
+detail AS (SELECT facts.* EXCLUDE (id), cause FROM facts JOIN first_cause USING (id) JOIN causes USING (priority))"""
 
 _TOTALS = """
 totals AS (

@@ -505,14 +505,26 @@ def match_union(spark, sf):
 # -- payment reconciliation ---------------------------------------------------------
 
 
+def _ledger_layers(spark, sf):
+    """Both ledgers as written layers: several steps of a reconciliation read them."""
+    keep = settlement.written_layers()
+    sides = keep("ledgers", {"engine": lg.engine(spark, sf), "events": lg.provider(spark, sf)})
+    return keep, sides["engine"], sides["events"]
+
+
 def _two_sides(spark, sf):
     """Engine, valued events and matches."""
-    engine, events = lg.engine(spark, sf), lg.provider(spark, sf)
-    return engine, events, matching.match(engine, events, RULE)
+    keep, engine, events = _ledger_layers(spark, sf)
+    return engine, events, keep("links", {"matches": matching.match(engine, events, RULE)})["matches"]
+
+
+def _detail(spark, sf, months=(MONTH,)):
+    return rec.reconcile(*_two_sides(spark, sf), list(months))
 
 
-def _detail(spark, sf):
-    return rec.reconcile(*_two_sides(spark, sf), [MONTH])
+def _written_detail(spark, sf):
+    """The detail as a layer, for checks that read it more than once."""
+    return settlement.written_layers()("marts", {"detail": _detail(spark, sf)})["detail"]
 
 
 @query
@@ -540,12 +552,12 @@ def recon_detail(spark, sf):
 @query
 def recon_ambiguous(spark, sf):
     """References that repeat on both sides are unexplained, not missing; none is lost."""
-    engine, events = lg.engine(spark, sf), lg.provider(spark, sf)
+    keep, engine, events = _ledger_layers(spark, sf)
     shared = F.expr("IF(psp_reference LIKE '%7', 'shared', psp_reference)")
     engine, events = (df.withColumn("psp_reference", shared) for df in (engine, events))
-    matches = matching.match(engine, events, RULE)
-    ambiguous = matching.ambiguous_rows(engine, events, [RULE])
-    detail = rec.reconcile(engine, events, matches, [MONTH], ambiguous=ambiguous)
+    links = keep("links", {"links": matching.link(engine, events, [RULE])})["links"]
+    matches, unclear = matching.matches_of(links), matching.unclear_of(links)
+    detail = rec.reconcile(engine, events, matches, [MONTH], ambiguous=unclear)
     return detail.groupBy("psp", "match_status", "cause").agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -562,14 +574,13 @@ def recon_summary(spark, sf):
 @query
 def recon_months(spark, sf):
     """Several report months in one pass."""
-    detail = rec.reconcile(*_two_sides(spark, sf), FEE_MONTHS)
-    return comparable(rec.cause_totals(detail))
+    return comparable(rec.cause_totals(_detail(spark, sf, FEE_MONTHS)))
 
 
 @query
 def recon_share(spark, sf):
     """Share of each provider and cause in the month's absolute impact; NULL if there is none."""
-    detail = _detail(spark, sf)
+    detail = _written_detail(spark, sf)
     shares = rec.summarise(detail).select("psp", "cause", "absolute_impact_share_pct")
     quiet = rec.summarise(detail.filter("signed_usd_impact = 0")).selectExpr(
         "concat('quiet_', psp) AS psp", "cause", "absolute_impact_share_pct"
@@ -857,8 +868,8 @@ def check_lifecycle(spark, sf):
 
 @query
 def check_match_rederive(spark, sf):
-    engine, events = lg.engine(spark, sf), lg.provider_unvalued(spark, sf)
-    actual = matching.match_all(engine, events, TWO_RULES)
+    keep, engine, events = _ledger_layers(spark, sf)
+    actual = keep("links", {"matches": matching.match_all(engine, events, TWO_RULES)})["matches"]
     by_reference = matching.match(engine, events, RULE)
     return q.all_checks(
         q.counted("same", q.multiset_differences(matching.match_all(engine, events, TWO_RULES), actual), "excess"),
@@ -899,7 +910,7 @@ def check_summary(spark, sf):
 
 @query
 def check_multiset(spark, sf):
-    detail = _detail(spark, sf)
+    detail = _written_detail(spark, sf)
     summary = rec.summarise(detail)
     fewer = detail.filter("match_status <> 'engine_only'")
     return q.all_checks(
@@ -912,7 +923,8 @@ def check_multiset(spark, sf):
 def check_three_way(spark, sf):
     """Engine, provider and detail totals; unsupported events make a total unknown on both ends."""
     engine, events, matches = _two_sides(spark, sf)
-    detail = rec.reconcile(engine, events, matches, [MONTH])
+    keep = settlement.written_layers()
+    detail = keep("marts", {"detail": rec.reconcile(engine, events, matches, [MONTH])})["detail"]
     moved = detail.filter("cause <> 'cutoff_timing'")
     decided = events.withColumn("is_financial_event", F.expr("ifnull(is_financial_event, false)"))
     supported = rec.reconcile(engine, decided, matches, [MONTH])
