@@ -24,8 +24,6 @@ ENGINE_ID = "engine_txn_id"
 PROVIDER_ID = "provider_event_id"
 MATCHED, UNCLEAR = "match", "unclear"
 
-_RULE_KEY = ["_rule", "psp", "_key"]
-
 
 @dataclass(frozen=True)
 class MatchRule:
@@ -112,10 +110,13 @@ def repeated_keys(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchR
         raise ValueError("no rule accepts repeated keys")
     method = F.element_at(F.array(*(F.lit(rule.method) for rule in loose)), F.col("_rule") + 1)
     profile = _profile(_tagged(engine, provider, loose))
+    # The key as its rule lists it: psp and the slots in their places.
+    slots = [iter(f"_k{i}" for i in range(len(rule.keys) - 1)) for rule in loose]
+    written = [F.concat_ws("|", *(k if k == "psp" else next(own) for k in rule.keys)) for rule, own in zip(loose, slots)]
     return profile.filter("engine_rows > 1 AND provider_rows > 1").select(
         "psp",
         method.alias("match_method"),
-        F.array_join("_key", "|").alias("key"),
+        F.element_at(F.array(*written), F.col("_rule") + 1).alias("key"),
         "engine_rows",
         "provider_rows",
         (F.col("engine_rows") * F.col("provider_rows")).alias("pairs"),
@@ -123,7 +124,7 @@ def repeated_keys(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchR
 
 
 def _tagged(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchRule]) -> DataFrame:
-    """Both ledgers as (psp, _side, _id, _rule, _key): a row for each rule that takes it and whose keys it has."""
+    """Both ledgers as (psp, _side, _id, _rule, _k0...): a row for each rule that takes it and whose keys it has."""
     for rule in rules:
         if "psp" not in rule.keys:
             raise ValueError(f"rule {rule.method} lacks the key psp")
@@ -131,6 +132,8 @@ def _tagged(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchRule])
             if engine.schema[key].dataType != provider.schema[key].dataType:
                 raise ValueError(f"key {key} has another type in the provider's ledger")
 
+    width = max(len(rule.keys) for rule in rules) - 1
+
     def tagged(df: DataFrame, row_id: str, side: str) -> DataFrame:
         taken = []
         for number, rule in enumerate(rules):
@@ -139,20 +142,29 @@ def _tagged(engine: DataFrame, provider: DataFrame, rules: Sequence[MatchRule])
                 fits = fits & F.col("psp").isin(*rule.psps)
             if rule.provider_operations and side == "P":
                 fits = fits & F.col("operation_type").isin(*rule.provider_operations)
-            key = F.array(*(F.col(k).cast("string") for k in rule.keys))
-            taken.append(F.when(fits, F.struct(F.lit(number).alias("_rule"), key.alias("_key"))))
-        rows = df.select("psp", F.lit(side).alias("_side"), F.col(row_id).alias("_id"), F.array(*taken).alias("_taken"))
-        return rows.select("psp", "_side", "_id", F.explode(F.array_compact("_taken")).alias("_t")).select(
-            "psp", "_side", "_id", "_t._rule", "_t._key"
-        )
+            # A rule has so many keys; a blank fills the slots that only other rules need.
+            keys = [F.col(k).cast("string") for k in rule.keys if k != "psp"]
+            keys += [F.lit("")] * (width - len(keys))
+            tag = {"_rule": F.lit(number), **{f"_k{i}": key for i, key in enumerate(keys)}}
+            taken.append((fits, [value.alias(name) for name, value in tag.items()]))
+        own = ["psp", F.lit(side).alias("_side"), F.col(row_id).alias("_id")]
+        if len(taken) == 1:
+            fits, tag = taken[0]
+            return df.filter(fits).select(*own, *tag)
+        tags = F.array_compact(F.array(*(F.when(fits, F.struct(*tag)) for fits, tag in taken)))
+        return df.select(*own, F.explode(tags).alias("_t")).select("psp", "_side", "_id", "_t.*")
 
     return tagged(engine, ENGINE_ID, "E").unionByName(tagged(provider, PROVIDER_ID, "P"))
 
 
+def _rule_key(rows: DataFrame) -> list[str]:
+    return ["_rule", "psp", *(c for c in rows.columns if c.startswith("_k"))]
+
+
 def _profile(rows: DataFrame) -> DataFrame:
     """One row per rule and key: row count and smallest ID of each side."""
     is_engine, is_provider = F.col("_side") == "E", F.col("_side") == "P"
-    return rows.groupBy(*_RULE_KEY).agg(
+    return rows.groupBy(*_rule_key(rows)).agg(
         F.count_if(is_engine).alias("engine_rows"),
         F.count_if(is_provider).alias("provider_rows"),
         F.min(F.when(is_engine, F.col("_id"))).alias(ENGINE_ID),
@@ -171,7 +183,7 @@ def _each_id_once(pairs: DataFrame) -> DataFrame:
 
 def _of_uneven_keys(rows: DataFrame, uneven: DataFrame) -> DataFrame:
     """Outcomes of keys with several rows on a side: a pair for each of many rows and the single one, else unclear."""
-    found = salted_join(rows, uneven, _RULE_KEY, "inner")
+    found = salted_join(rows, uneven, _rule_key(rows), "inner")
     is_engine, clear = F.col("_side") == "E", F.least("engine_rows", "provider_rows") == 1
     many = F.when(F.col("engine_rows") > 1, "E").otherwise("P")
     found = found.filter(~clear | (F.col("_side") == many))

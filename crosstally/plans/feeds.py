@@ -82,7 +82,8 @@ class Inputs:
 
     The Google Play reports do not name their merchant account, so it is an input.
     `multiline` lists snapshots whose quoted fields hold line breaks; each of their files
-    is read by one task. `google_title` is a pattern of the title line.
+    is read by one task. `google_title` is a pattern of title lines; without it a file's first
+    line is its title.
     """
 
     engine: str
@@ -94,7 +95,7 @@ class Inputs:
     fx_rates: str
     fee_schedule: str
     google_account: str = "LumoPlayMain"
-    google_title: str = GOOGLE_TITLE
+    google_title: str | None = None
     multiline: Sequence[str] = ()
 
     def all_paths(self) -> list[str]:

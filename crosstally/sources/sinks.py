@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
@@ -10,6 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from crosstally.session import concurrently, shared_folder
 
+MANIFEST = "published"
+_MANIFEST_COLUMNS = "run string, reports array<string>"
+
 
 class PublicationBlocked(RuntimeError):
     """At least one check found violations; nothing was written."""
@@ -47,11 +52,34 @@ def materialise(df: DataFrame, layer: str, name: str, root: str | None = None) -
     return spark.read.schema(df.schema).parquet(path)
 
 
-def save_table(df: DataFrame, layer: str, name: str) -> DataFrame:
-    """The same as a catalog table `layer.name`."""
+def save_table(
+    df: DataFrame,
+    layer: str,
+    name: str,
+    *,
+    bucket_by: Sequence[str] = (),
+    buckets: int | None = None,
+    month_of: str | None = None,
+) -> DataFrame:
+    """The same as a catalog table `layer.name`.
+
+    `bucket_by` names the columns that later joins compare: tables bucketed alike are joined
+    without a shuffle. `month_of` is a time column; the table is partitioned by its month in
+    the column `month`, so that a run of one month reads that month's files only.
+    """
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
-    df.write.mode("overwrite").saveAsTable(f"`{layer}`.`{name}`")
+    if month_of is not None:
+        df = df.withColumn("month", F.date_format(month_of, "yyyy-MM"))
+    if bucket_by:
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(buckets, *bucket_by)  # a file for each bucket and month
+    writer = df.write.mode("overwrite")
+    if month_of is not None:
+        writer = writer.partitionBy("month")
+    if bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    writer.saveAsTable(f"`{layer}`.`{name}`")
     return spark.table(f"`{layer}`.`{name}`")
 
 
@@ -71,12 +99,33 @@ def failed_checks(checks: Sequence[DataFrame]) -> dict[str, int]:
     return {check: count for check, count in check_results(checks).items() if count != 0}
 
 
-def publish(reports: Mapping[str, Report], checks: Sequence[DataFrame], folder: str) -> None:
-    """Write all reports if every check passes, else raise and write none."""
+def publish(reports: Mapping[str, Report], checks: Sequence[DataFrame], folder: str) -> str:
+    """Publish all reports if every check passes, else raise and publish none.
+
+    Reports are written to a folder of their own; one line in the manifest makes all of
+    them visible at once. A run that fails on the way leaves the reports published before.
+    Returns the name of the run.
+    """
     failed = failed_checks(checks)
     if failed:
         raise PublicationBlocked(failed)
-    concurrently([partial(write_report, report, f"{folder}/{name}") for name, report in reports.items()])
+    run = f"run-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    concurrently([partial(write_report, report, f"{folder}/{run}/{name}") for name, report in reports.items()])
+    spark = next(iter(reports.values())).rows.sparkSession
+    listed = spark.createDataFrame([(run, sorted(reports))], _MANIFEST_COLUMNS)
+    listed.coalesce(1).write.mode("append").json(f"{folder}/{MANIFEST}")
+    return run
+
+
+def published_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """(run, reports) of all publications; the name that sorts last is the newest."""
+    return spark.read.schema(_MANIFEST_COLUMNS).json(f"{folder}/{MANIFEST}")
+
+
+def read_published(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A report of the newest publication."""
+    newest = published_runs(spark, folder).agg(F.max("run")).first()[0]
+    return read_report(spark, f"{folder}/{newest}/{name}")
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

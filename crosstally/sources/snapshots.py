@@ -57,16 +57,18 @@ def read_titled_snapshot(
     spark: SparkSession,
     paths: str | Sequence[str],
     columns: Sequence[str],
-    title: str,
+    title: str | None = None,
     *,
     sep: str = ",",
     encoding: str = "utf-8",
 ) -> DataFrame:
     """CSV files that open with a title line, then a header line.
 
-    `title` is a pattern only the title line's first field matches. Title and header
-    are recognised by content, so files stay splittable; all other rows are kept and
-    short rows are padded. `titled_line_problems` verifies one of each per file.
+    The title is the first line of a file, whatever it says: the first row of the split that
+    starts the file, so files stay splittable. With `title` it is instead every line whose
+    first field matches that pattern. The header is recognised by its names; all other rows
+    are kept, even if they look like a title, and short rows are padded.
+    `titled_line_problems` verifies one title and one header per file.
     """
     lines = _titled_lines(spark, paths, columns, title, sep, encoding)
     return lines.filter(F.col("_kind") == "row").drop("_kind", _BEYOND)
@@ -76,7 +78,7 @@ def titled_line_problems(
     spark: SparkSession,
     paths: str | Sequence[str],
     columns: Sequence[str],
-    title: str,
+    title: str | None = None,
     *,
     sep: str = ",",
     encoding: str = "utf-8",
@@ -99,13 +101,21 @@ def _titled_lines(spark, paths, columns, title, sep, encoding) -> DataFrame:
     # One column more than the source has shows fields that would be dropped.
     wide = [*columns, _BEYOND]
     reader = _reader(spark, sep, encoding, False).schema(_text(wide)).option("mode", "PERMISSIVE")
-    df = _with_lineage(_decode(reader.csv(paths), wide, encoding), True)
+    df = _decode(reader.csv(paths), wide, encoding)
+    place = {"_line": F.monotonically_increasing_id(), "_block": F.col("_metadata.file_block_start")}
+    df = df.select(*map(raw, wide), F.col("_metadata.file_path").alias(SOURCE_FILE), *(c.alias(n) for n, c in place.items()))
     is_header = F.lit(True)
     for name in columns:
         is_header = is_header & F.col(_quoted(name)).eqNullSafe(F.lit(name))
-    is_title = F.coalesce(F.col(_quoted(columns[0])).rlike(title), F.lit(False))
-    kind = F.when(is_header, "header").when(is_title, "title").otherwise("row")
-    return df.withColumn("_kind", kind)
+    if title is None:
+        # Row numbers rise within a split, and the split that starts a file holds its first row.
+        firsts = df.groupBy(F.col(SOURCE_FILE).alias("_file")).agg(F.min(F.when(F.col("_block") == 0, F.col("_line"))).alias("_first"))
+        df = df.join(firsts, F.col(SOURCE_FILE) == F.col("_file"), "left")
+        kind = F.when(F.col("_line") == F.col("_first"), "title").when(is_header, "header").otherwise("row")
+    else:
+        is_title = F.coalesce(F.col(_quoted(columns[0])).rlike(title), F.lit(False))
+        kind = F.when(is_header, "header").when(is_title, "title").otherwise("row")
+    return df.select(*map(raw, wide), SOURCE_FILE, kind.alias("_kind"))
 
 
 def _reader(spark: SparkSession, sep: str, encoding: str, multiline: bool):

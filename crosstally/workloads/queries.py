@@ -518,6 +518,13 @@ def _two_sides(spark, sf):
     return engine, events, keep("links", {"matches": matching.match(engine, events, RULE)})["matches"]
 
 
+def _narrow_sides(spark, sf):
+    """The same for queries of few columns: only the matches are kept."""
+    engine, events = lg.engine(spark, sf), lg.provider(spark, sf)
+    found = matching.match(engine, lg.provider_unvalued(spark, sf), RULE)
+    return engine, events, settlement.written_layers()("links", {"matches": found})["matches"]
+
+
 def _detail(spark, sf, months=(MONTH,)):
     return rec.reconcile(*_two_sides(spark, sf), list(months))
 
@@ -529,14 +536,14 @@ def _written_detail(spark, sf):
 
 @query
 def pair_set(spark, sf):
-    return rec.pair_set(*_two_sides(spark, sf)).select(
+    return rec.pair_set(*_narrow_sides(spark, sf)).select(
         "psp", "engine_txn_id", "provider_event_id", "match_method", "match_status"
     )
 
 
 @query
 def period_scope(spark, sf):
-    scoped = rec.attribute_period(rec.pair_set(*_two_sides(spark, sf)), FEE_MONTHS)
+    scoped = rec.attribute_period(rec.pair_set(*_narrow_sides(spark, sf)), FEE_MONTHS)
     return comparable(
         scoped.select("report_month", "engine_txn_id", "provider_event_id", "engine_in_period", "provider_in_period")
     )

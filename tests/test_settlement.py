@@ -9,7 +9,7 @@ import pytest
 import june
 from crosstally.operators import reconcile as rec
 from crosstally.plans import feeds, settlement
-from crosstally.sources.sinks import PublicationBlocked, check_results, read_report
+from crosstally.sources.sinks import PublicationBlocked, check_results, read_published
 from crosstally.sources.snapshots import MissingInputs, titled_line_problems
 
 JUNE = [date(2026, 6, 1)]
@@ -27,7 +27,7 @@ def text_rows(df, *columns):
 
 
 def test_payment_exceptions_are_the_published_rows(spark, result):
-    report = read_report(spark, str(result[1] / "reconciliation_details"))
+    report = read_published(spark, str(result[1]), "reconciliation_details")
     rows = text_rows(
         report, "psp", "engine_txn_id", "provider_event_id", "cause", "engine_amount_usd", "provider_amount_usd",
         "signed_usd_impact",
@@ -36,7 +36,7 @@ def test_payment_exceptions_are_the_published_rows(spark, result):
 
 
 def test_exception_times_and_local_amounts(spark, result):
-    report = read_report(spark, str(result[1] / "reconciliation_details"))
+    report = read_published(spark, str(result[1]), "reconciliation_details")
     row = report.filter("engine_txn_id = 'TXN-107968'").first()
     assert row["engine_event_timestamp_utc"] == "2026-06-28T18:46:00Z"
     assert row["provider_event_timestamp_utc"] == "2026-07-02T10:00:00Z"
@@ -47,7 +47,7 @@ def test_exception_times_and_local_amounts(spark, result):
 
 
 def test_fee_exceptions_are_the_published_rows(spark, result):
-    report = read_report(spark, str(result[1] / "fee_reconciliation_details"))
+    report = read_published(spark, str(result[1]), "fee_reconciliation_details")
     rows = text_rows(
         report, "provider_event_id", "provider_account", "fee_currency", "reported_fee_local", "expected_fee_local",
         "signed_fee_variance_local", "signed_fee_variance_usd",
@@ -56,7 +56,7 @@ def test_fee_exceptions_are_the_published_rows(spark, result):
 
 
 def test_summary_adds_up(spark, result):
-    summary = read_report(spark, str(result[1] / "reconciliation_summary"))
+    summary = read_published(spark, str(result[1]), "reconciliation_summary")
     share = summary.selectExpr("sum(cast(absolute_impact_share_pct as decimal(9,4)))").first()[0]
     assert abs(share - 100) < 0.01
     matched = summary.filter("cause = 'matched'").collect()

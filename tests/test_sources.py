@@ -107,8 +107,62 @@ def test_gate(spark, tmp_path):
     bad = counted("broken", spark.range(3))
     reports = {"r": report(spark, [("a", 1.0)])}
     sinks.publish(reports, [ok], str(tmp_path / "out"))
-    assert (tmp_path / "out" / "r").exists()
+    assert sinks.read_published(spark, str(tmp_path / "out"), "r").count() == 1
     with pytest.raises(sinks.PublicationBlocked) as blocked:
         sinks.publish(reports, [ok, bad], str(tmp_path / "other"))
     assert blocked.value.failed == {"broken": 3}
     assert not (tmp_path / "other").exists()
+
+
+def test_publication_replaces_all_reports_or_none(spark, tmp_path):
+    out = str(tmp_path / "out")
+    first = sinks.publish({n: report(spark, [(n, 1.0)]) for n in "abcd"}, [], out)
+    broken = {n: report(spark, [(n, 2.0)]) for n in "abcd"}
+    fails = F.raise_error(F.lit("third write")).cast("string")
+    broken["c"] = sinks.Report(spark.range(1).select(fails.alias("k")), [F.col("k")], ["k"])
+    with pytest.raises(Exception, match="third write"):
+        sinks.publish(broken, [], out)
+    for n in "abcd":
+        assert [tuple(r) for r in sinks.read_published(spark, out, n).collect()] == [(n, "1.00")]
+    second = sinks.publish({n: report(spark, [(n, 3.0)]) for n in "abcd"}, [], out)
+    assert [tuple(r) for r in sinks.read_published(spark, out, "d").collect()] == [("d", "3.00")]
+    assert sorted(r["run"] for r in sinks.published_runs(spark, out).collect()) == [first, second]
+
+
+def test_any_first_line_is_a_title(spark, tmp_path):
+    one = put(tmp_path, "one.csv", 'Whatever, "it" says\na,b\nReport of May,1\nx,2\n')
+    two = put(tmp_path, "two.csv", "a title,\na,b\nx,3\n")
+    bare = put(tmp_path, "bare.csv", "a,b\nx,4\n")
+    df = src.read_titled_snapshot(spark, [one, two], ["a", "b"])
+    assert sorted(tuple(r)[:2] for r in df.collect()) == [("Report of May", "1"), ("x", "2"), ("x", "3")]
+    assert src.titled_line_problems(spark, [one, two], ["a", "b"]).count() == 0
+    problems = src.titled_line_problems(spark, [one, two, bare], ["a", "b"]).collect()
+    assert [r["source_file"].rsplit("/", 1)[-1] for r in problems] == ["bare.csv"]
+
+
+def test_only_the_first_split_of_a_file_holds_its_title(spark, tmp_path):
+    lines = ["Title"] + ["a,b"] + [f"row {i},{i}" for i in range(4000)]
+    path = put(tmp_path, "long.csv", "\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = src.read_titled_snapshot(spark, path, ["a", "b"])
+        assert df.rdd.getNumPartitions() > 3
+        assert {int(r["b"]) for r in df.collect()} == set(range(4000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_tables_bucketed_alike_join_without_a_shuffle(spark):
+    left = spark.range(200).selectExpr("id AS k", "timestamp'2026-05-20' + make_interval(0, 0, 0, id % 40) AS ts")
+    right = spark.range(100).selectExpr("id AS k", "id * 2 AS v")
+    a = sinks.save_table(left, "bucketed_test", "a", bucket_by=["k"], buckets=4)
+    b = sinks.save_table(right, "bucketed_test", "b", bucket_by=["k"], buckets=4)
+    joined = a.hint("merge").join(b, "k")
+    assert joined.count() == 100
+    assert "Exchange" not in joined._jdf.queryExecution().sparkPlan().toString()
+    assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+    months = sinks.save_table(left, "bucketed_test", "m", bucket_by=["k"], buckets=4, month_of="ts")
+    june = months.filter("month = '2026-06'")
+    assert june.count() == left.filter("ts >= '2026-06-01'").count() > 0
+    assert all("month=2026-06" in f for f in june.inputFiles())
