@@ -221,7 +221,7 @@ def blocks_of(rows: DataFrame, width: int, parts: int) -> DataFrame:
                 dense = _dense(some.column("terms"), width)
                 trees = [build_tree(dense[:, p * step : (p + 1) * step]).pack() for p in range(parts)]
                 kind = np.result_type(np.min_scalar_type(min(0, dense.min(initial=0))),
-                                      np.min_scalar_type(-abs(int(dense.max(initial=0)))))
+                                      np.min_scalar_type(-int(dense.max(initial=0)) - 1))
                 yield pa.RecordBatch.from_arrays(
                     [
                         _list_of(some.column("vec_id")),
@@ -264,7 +264,7 @@ def _round(blocks: DataFrame, codebooks: np.ndarray, width: int) -> np.ndarray:
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(used), pa.array(counts.ravel()[used]),
-             pa.array(list(sums.reshape(-1, step)[used]), pa.list_(pa.int64()))],
+             pa.array(list(sums.reshape(parts * entries, step)[used]), pa.list_(pa.int64()))],
             names=["slot", "n", "sums"],
         )
 

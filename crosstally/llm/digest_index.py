@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from crosstally.llm.common import normalised, partitions, saved
 
@@ -71,7 +71,8 @@ def exact_dedup(docs: DataFrame, index: DigestIndex, loads: int = 2) -> DataFram
         index.add(own)
     else:
         width = (high - low) // loads + 1
-        load_no = F.coalesce(F.expr(f"(doc_id - {low}) div {width}"), F.lit(0))
+        above = F.col("doc_id").cast("decimal(20,0)") - F.lit(str(low)).cast("decimal(20,0)")
+        load_no = F.coalesce(F.call_function("div", above, F.lit(str(width)).cast("decimal(20,0)")), F.lit(0))
         for load in range(loads):
             index.add(own.filter(load_no == load))
     sizes = own.groupBy("digest").agg(F.count("*").alias("group_size"))
@@ -89,11 +90,17 @@ def exact_dedup(docs: DataFrame, index: DigestIndex, loads: int = 2) -> DataFram
 
 
 def drop_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns; repeated rows stay once."""
-    decisions = exact_dedup(docs, index).filter("kept").select(
-        F.col("doc_id").alias("_keep_id"), F.unhex("text_sha256").alias("_keep_digest")
-    )
-    own = docs.withColumn("_digest", F.unhex(F.sha2(normalised(F.col("text")).cast("binary"), 256)))
-    same = own["_digest"].eqNullSafe(F.col("_keep_digest")) & own["doc_id"].eqNullSafe(F.col("_keep_id"))
-    stay = own.join(saved(decisions, "kept_digests"), same, "left_semi")
-    return stay.dropDuplicates(["_digest", "doc_id"]).select(*docs.columns)
+    """The rows of `docs` that stay, with all their columns; repeated rows stay once.
+
+    Ids take part as two columns without nulls, so that the join and the removal of repeats
+    hash alike and texts are sent once.
+    """
+
+    def key(doc_id: Column, digest: Column) -> dict[str, Column]:
+        return {"_digest": digest, "_has_id": doc_id.isNotNull(), "_id": F.coalesce(doc_id.cast("string"), F.lit(""))}
+
+    decisions = exact_dedup(docs, index).filter("kept")
+    kept = decisions.select(*(c.alias(n) for n, c in key(F.col("doc_id"), F.unhex("text_sha256")).items()))
+    own = docs.withColumns(key(F.col("doc_id"), F.unhex(F.sha2(normalised(F.col("text")).cast("binary"), 256))))
+    names = ["_digest", "_has_id", "_id"]
+    return own.join(saved(kept, "kept_digests"), names, "left_semi").dropDuplicates(names).select(*docs.columns)

@@ -14,9 +14,10 @@ Positions in the permuted order come from running sums within hash buckets, so a
 with a third of all rows is summed by many tasks.
 
 Results for odd input: a null text has size 0; a null source is a source of its own and
-sorts last; documents of size 0 and sources without words are never taken; equal ids are
-ordered by size; an empty table gives an empty result; other columns are kept by
-`mixed_rows` and ignored by `draws`.
+sorts last; documents of size 0 and sources without words are never taken; rows of equal or
+null id are drawn each, ordered by size and then by a digest of their text, however long;
+an empty table gives an empty result; other columns are kept by `mixed_rows` and ignored by
+`draws`.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from fractions import Fraction
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from crosstally.llm.common import partitions, saved, word_count
+from crosstally.llm.common import saved, word_count
 
 MAX_SOURCES = 100_000
 BLOCKS = 1024
@@ -88,6 +89,12 @@ def _key(doc_id: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).cast("binary"))
 
 
+def row_key() -> Column:
+    """A digest of id, source and text: rows of equal key are interchangeable."""
+    marked = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in ("doc_id", "source", "text")]
+    return F.unhex(F.md5(F.concat_ws("\0", *marked).cast("binary")))
+
+
 def draws(
     docs: DataFrame,
     weights: Callable[[Sequence[str | None]], Sequence[int]] = cycling_weights,
@@ -95,7 +102,7 @@ def draws(
     shards: int = SHARDS,
     seed: int = 0,
 ) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target, order_key, shards.
+    """Per document: doc_id, source, size, source_size, target, order_key, row_key, shards.
 
     `shards` lists the shard of each time the document is drawn; its length times the
     size are the words taken. `weights` maps the sources in code-point order to weights.
@@ -106,6 +113,7 @@ def draws(
         F.col("source").cast("string").alias("source"),
         word_count(F.col("text")).alias("size"),
         _key("doc_id", seed).alias("order_key"),
+        row_key().alias("row_key"),
     )
     narrow = saved(narrow.withColumn("bucket", F.substring("order_key", 1, BUCKET_DIGITS)), "mix_sizes")
     sums = saved(narrow.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "mix_buckets")
@@ -124,7 +132,7 @@ def draws(
     # Words before a bucket, then words before a document within its bucket.
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = saved(sums.withColumn("offset", F.coalesce(F.sum("words").over(before), F.lit(0))), "mix_offsets")
-    running = Window.partitionBy("source", "bucket").orderBy("order_key", "doc_id", "size")
+    running = Window.partitionBy("source", "bucket").orderBy("order_key", "doc_id", "size", "row_key")
     running = running.rowsBetween(Window.unboundedPreceding, -1)
     placed = narrow.withColumn("inside", F.coalesce(F.sum("size").over(running), F.lit(0)))
     o = offsets.select(F.col("source").alias("o_source"), F.col("bucket").alias("o_bucket"), "offset")
@@ -141,7 +149,7 @@ def draws(
     return (
         placed.withColumn("_middle", middle)
         .withColumn("_block", F.least(block, F.lit(BLOCKS - 1)))
-        .select("doc_id", "source", "size", "source_size", "target", "order_key", shard_of.alias("shards"))
+        .select("doc_id", "source", "size", "source_size", "target", "order_key", "row_key", shard_of.alias("shards"))
     )
 
 
@@ -153,12 +161,16 @@ def taken(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """The rows of the mix with all columns of `docs`, once for each draw, shuffled within shards."""
+    """The rows of the mix with all columns of `docs`, once for each draw, shuffled within shards.
+
+    Texts are sent once, by the digest of their row; rows of equal digest take one draw list
+    each, so ids may repeat or be null.
+    """
     drawn = draws(docs, **options).filter(F.size("shards") > 0)
-    drawn = drawn.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "shards").distinct()
-    picked = saved(drawn, "mix_draws")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (word_count(F.col("text")) == F.col("_size"))
-    rows = docs.join(picked, same).withColumn("_shard", F.explode("shards"))
-    rows = rows.withColumn("_order", F.xxhash64("_shard", "doc_id", "_size"))
-    dealt = rows.repartition(partitions(docs.sparkSession), "_shard", F.pmod("_order", F.lit(64)))
-    return dealt.sortWithinPartitions("_shard", "_order").select(*docs.columns)
+    picked = saved(drawn.groupBy("row_key").agg(F.collect_list("shards").alias("_lists")), "mix_draws")
+    rows = docs.withColumn("_row_key", row_key()).join(picked, F.col("_row_key") == F.col("row_key"))
+    nth = F.row_number().over(Window.partitionBy("_row_key").orderBy("_row_key"))
+    rows = rows.withColumn("_nth", nth).filter(F.col("_nth") <= F.size("_lists"))
+    rows = rows.withColumn("_shard", F.explode(F.element_at("_lists", F.col("_nth"))))
+    rows = rows.withColumn("_order", F.xxhash64("_shard", "_row_key", "_nth"))
+    return rows.sortWithinPartitions("_shard", "_order").select(*docs.columns)

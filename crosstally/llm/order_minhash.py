@@ -19,16 +19,17 @@ all pairs that agree and are still of different classes are compared, so no link
 classes is left out. Within a bucket, texts outside its largest class are compared with all
 others: a bucket of more than CHUNK texts is cut into cells of at most about CHUNK such texts
 and CHUNK others, each a task's work, so no bucket is cut off. Signatures decide what agrees
-before any text moves.
+before any text moves, and pairs whose word counts alone ask for too many edits end there:
+documents that share a passage and little else send no pair.
 Linked texts form classes by contraction rounds on the edge table. Every round is written
 to the shared folder; the driver sees counts only.
 
 Results for odd input: a null text counts as empty; texts without words are near nothing
 and equal only to the same text; texts of one word have that word as their only shingle;
-rows that repeat an id are one document each, with the same class if their texts are
-near; a null id is the smallest one of its class; the smallest id of a class stays, of
-repeated rows with that id each stays; an empty table gives an empty result; other
-columns are ignored.
+rows that repeat an id are judged each by its text, whatever the others hold; a null id is
+the smallest one of its class; the smallest id of a class stays, of several texts with that
+id the one whose digest comes first, of rows that repeat id and text each; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -62,6 +63,8 @@ CHUNK = 8192
 BLOCK = 1 << 20
 #: Table entries worked on at once for a long text.
 CELLS = 1 << 21
+#: Bins of a text's word counts, one for four words.
+MIN_BINS, MAX_BINS = 16, 1024
 NULL_ID = -(1 << 63)
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -250,8 +253,35 @@ def _blocks(sizes: Sequence[int]) -> Iterator[tuple[int, int]]:
         yield begin, len(sizes)
 
 
+def word_bins(words: np.ndarray) -> bytes:
+    """How many words fall into each bin, by their hashes; counts beyond 255 are cut."""
+    bins = 1 << int(np.clip(len(words) // 4, MIN_BINS, MAX_BINS)).bit_length() - 1
+    return np.minimum(np.bincount((words & np.uint64(bins - 1)).astype(np.int64), minlength=bins), 255).astype(np.uint8).tobytes()
+
+
+def least_edits(bins: bytes, others: list[bytes]) -> np.ndarray:
+    """A lower bound of the edits between texts, by their bins.
+
+    An edit changes two counts by one at most. Adding up bins, or cutting counts, only lowers
+    the differences, so the bound holds for bins of different number too.
+    """
+    own = np.frombuffer(bins, np.uint8).astype(np.int32)
+    found = np.zeros(len(others), np.int64)
+    sizes = np.array([len(o) for o in others])
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        held = np.frombuffer(b"".join([others[i] for i in at.tolist()]), np.uint8).reshape(len(at), size).astype(np.int32)
+        least = min(size, len(own))
+        if (held == 255).any() or (own == 255).any():
+            if size != len(own):
+                continue  # cut counts can't be added up
+        gap = np.abs(held.reshape(len(at), -1, least).sum(1) - own.reshape(-1, least).sum(0)).sum(1)
+        found[at] = (gap + 1) // 2
+    return found
+
+
 def sketch_texts(docs: DataFrame) -> DataFrame:
-    """(id, text_hash, buckets, signature, words) of each row of (id, text_hash, text as binary).
+    """(id, text_hash, buckets, signature, bins, words) of each row of (id, text_hash, text as binary).
 
     The signature holds 16 bits of the bucket of each table; `words` is their number.
     """
@@ -259,17 +289,18 @@ def sketch_texts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [bytes(t) for t in batch["text"]]
-            found, signatures, sizes = [], [], []
+            found, signatures, bins, sizes = [], [], [], []
             for a, b in _blocks([len(t) for t in texts]):
                 for words in word_hashes(texts[a:b]):
                     tables = sketches(words)
                     found.append(np.concatenate((tables, remainders(words))).view(np.int64))
                     signatures.append(tables.astype("<u2").tobytes())
+                    bins.append(word_bins(words))
                     sizes.append(len(words))
             out = {"id": batch["id"], "text_hash": batch["text_hash"], "buckets": found, "signature": signatures}
-            yield pd.DataFrame(out | {"words": sizes})
+            yield pd.DataFrame(out | {"bins": bins, "words": sizes})
 
-    return docs.mapInPandas(run, "id long, text_hash binary, buckets array<long>, signature binary, words int")
+    return docs.mapInPandas(run, "id long, text_hash binary, buckets array<long>, signature binary, bins binary, words int")
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -317,11 +348,11 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def candidate_rows(sketched: DataFrame) -> DataFrame:
-    """(bucket, id, n, signature, words) of the buckets with several texts."""
+    """(bucket, id, n, signature, bins, words) of the buckets with several texts."""
     rows = sketched.select("id", F.explode("buckets").alias("bucket"))
     live = saved(rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "live_buckets")
     shared = saved(rows.join(live, "bucket"), "shared_rows")
-    return saved(shared.join(sketched.select("id", "signature", "words"), "id"), "bucket_rows")
+    return saved(shared.join(sketched.select("id", "signature", "bins", "words"), "id"), "bucket_rows")
 
 
 def agreeing(
@@ -393,10 +424,13 @@ def candidate_pairs(
     """Distinct (a, b), a < b, of candidates of different classes, out of (bucket, id, n, signature, words).
 
     Without `classes` each text is one of its own; if `best`, each text proposes one other
-    at most. Rows without `words` are taken for long texts of equal length.
+    at most. A pair whose word counts alone ask for too many edits stays in its cell. Rows
+    without `words` are taken for long texts of equal length, without `bins` for equal ones.
     """
     if "words" not in rows.columns:
         rows = rows.withColumn("words", F.lit(BRIEF))
+    if "bins" not in rows.columns:
+        rows = rows.withColumn("bins", F.lit(b"\0"))
     marked = rows.drop("n").withColumn("class_id", F.col("id"))
     if classes is not None:
         marked = rows.drop("n").join(classes, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
@@ -421,18 +455,25 @@ def candidate_pairs(
     several = F.when(F.col("guest"), F.concat(as_host, as_guest)).otherwise(as_host)
     alone = (F.col("hosts") == 1) & (F.col("guests") == 1)
     cells = F.when(alone, F.array(cell(zero, zero, yes, F.col("guest")))).otherwise(several)
-    dealt = dealt.select("bucket", "id", "class_id", "signature", "words", F.explode(cells).alias("cell"))
-    dealt = dealt.select("bucket", "cell.*", "id", "class_id", "signature", "words")
+    dealt = dealt.select("bucket", "id", "class_id", "signature", "bins", "words", F.explode(cells).alias("cell"))
+    dealt = dealt.select("bucket", "cell.*", "id", "class_id", "signature", "bins", "words")
     dealt = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in _groups(batches, ["bucket", "i", "j"]):
             ids, own, signatures = part["id"].to_numpy(), part["class_id"].to_numpy(), _signatures(part)
             words, host = part["words"].to_numpy(), np.flatnonzero(part["host"].to_numpy())
+            bins = part["bins"].tolist()
             out, waiting = [], 0
             for g in np.flatnonzero(part["guest"].to_numpy()).tolist():
                 agreed, wanted = agreeing(signatures[g], int(words[g]), signatures[host], words[host])
                 wanted &= own[host] != own[g]
+                if not wanted.any():
+                    continue
+                maybe = np.flatnonzero(wanted)
+                longest = np.maximum(words[host[maybe]], words[g])
+                edits = least_edits(bins[g], [bins[i] for i in host[maybe].tolist()])
+                wanted[maybe] = edits <= (1 - SIMILARITY) * longest + 1e-9
                 if not wanted.any():
                     continue
                 if best:
@@ -464,7 +505,8 @@ def near_links(sketched: DataFrame, texts: DataFrame, chunk: int = CHUNK) -> Dat
 
     def verified(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        needed = saved(texts.join(saved(ends, "needed_ids"), "id", "left_semi"), "needed_texts")
+        needed = texts.join(saved(ends, "needed_ids"), "id", "left_semi").dropDuplicates(["id"])
+        needed = saved(needed, "needed_texts")
         return saved(verify(pairs, needed).filter("similarity > 0"), "links")
 
     tested = saved(close_pairs(rows, chunk), "pairs")
@@ -485,26 +527,33 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     )
     plain = plain.withColumn("text_hash", F.unhex(F.sha2("text", 256)))
     sketched = saved(sketch_texts(plain.select("id", "text_hash", "text")), "sketches")
-    first = saved(sketched.groupBy("text_hash").agg(F.min("id").alias("first_id")), "first_ids")
-    # One row for each distinct text; of rows that repeat id and text any will do.
-    heads = first.select(F.col("first_id").alias("id"), "text_hash")
-    alone = sketched.join(heads, ["id", "text_hash"], "left_semi").dropDuplicates(["id", "text_hash"])
-    unique = saved(alone.select("id", "buckets", "signature", "words"), "alone")
-    rep_texts = plain.join(heads, ["id", "text_hash"], "left_semi").select("id", "text")
-    links = near_links(unique, rep_texts)
-    classes = components(links)
-    own = sketched.select("id", "text_hash").join(first, "text_hash")
-    own = own.join(classes.withColumnRenamed("id", "c_id"), F.col("first_id") == F.col("c_id"), "left")
-    class_id = F.coalesce("class_id", "first_id")
+    # A node for each distinct text; ids only name the result.
+    first = sketched.groupBy("text_hash").agg(F.min("id").alias("first_id"))
+    first = saved(first.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    heads = first.select(F.col("first_id").alias("id"), "text_hash", "node")
+    alone = sketched.join(heads, ["id", "text_hash"]).dropDuplicates(["node"])
+    unique = saved(alone.select(F.col("node").alias("id"), "buckets", "signature", "bins", "words"), "alone")
+    # Rows that repeat id and text are several here; `near_links` takes one of those it needs.
+    node_texts = plain.join(heads, ["id", "text_hash"]).select(F.col("node").alias("id"), "text")
+    classes = components(near_links(unique, node_texts)).withColumnRenamed("id", "node")
+    named = first.join(classes, "node", "left").withColumn("class_id", F.coalesce("class_id", "node"))
+    # A class goes by its smallest id; of texts that share it, the one whose digest comes first stays.
+    lowest = named.groupBy("class_id").agg(F.min(F.struct("first_id", "text_hash")).alias("low"))
+    of_text = named.join(lowest, "class_id").select("text_hash", "low")
+    own = sketched.select("id", "text_hash").join(of_text, "text_hash")
+    is_low = (F.col("id") == F.col("low.first_id")) & (F.col("text_hash") == F.col("low.text_hash"))
     return own.select(
         F.nullif("id", F.lit(NULL_ID)).alias("doc_id"),
-        F.nullif(class_id, F.lit(NULL_ID)).alias("class_id"),
-        (F.col("id") == class_id).alias("kept"),
+        F.nullif("low.first_id", F.lit(NULL_ID)).alias("class_id"),
+        is_low.alias("kept"),
+        "text_hash",
     )
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns: one document of each class."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept_id"))
+    """The rows of `docs` that stay, with all their columns: the rows that `near_duplicates` keeps."""
+    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_text"))
     kept = saved(kept.distinct(), "kept_ids")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    digest = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")) & (digest == F.col("_kept_text"))
+    return docs.join(kept, same, "left_semi")

@@ -12,7 +12,8 @@ from crosstally.llm.common import table
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    found = order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "kept")
 
 
 def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:

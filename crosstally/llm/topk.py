@@ -46,7 +46,7 @@ def _pack(part: pd.DataFrame) -> tuple[int, int, str, bytes]:
     dense = np.zeros((len(part), width), np.int64)
     for i, terms in enumerate(part["terms"]):
         dense[i, : len(terms)] = terms
-    small = np.result_type(np.min_scalar_type(min(0, dense.min())), np.min_scalar_type(-abs(int(dense.max()))))
+    small = np.result_type(np.min_scalar_type(min(0, dense.min())), np.min_scalar_type(-max(0, int(dense.max())) - 1))
     return len(part), width, small.str, part["vec_id"].to_numpy(np.int64).tobytes() + dense.astype(small).tobytes()
 
 
