@@ -19,10 +19,12 @@ def connection():
 
 
 def test_every_ledger_query_has_sql():
+    from crosstally.workloads import files
     from crosstally.workloads.oracle import ORACLE
     from crosstally.workloads.queries import QUERIES
 
     assert set(QUERIES) == set(ORACLE)
+    assert set(files.QUERIES) == set(files.ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(set(queries()) & set(oracle_sql())))
