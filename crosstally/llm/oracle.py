@@ -75,20 +75,23 @@ FROM cut
 """,
     "op2_tool_calls": """
 WITH RECURSIVE t AS (
-  SELECT conv_id, turn, role, text, string_split(coalesce(text, ''), ' ') AS words,
-         length(coalesce(text, '')) % 4 AS kind
+  SELECT conv_id, turn, role, text, len(string_split(coalesce(text, ''), ' ')) AS n,
+         CAST(to_json(coalesce(text, '')) AS VARCHAR) AS quoted, length(coalesce(text, '')) % 4 AS kind
   FROM conversations
 ),
 calls AS (
-  SELECT conv_id, 'call-' || turn AS call_id, turn AS position, len(words) AS n, words, kind, text, turn,
+  SELECT conv_id, 'call-' || turn AS call_id, turn AS position, n, quoted, kind, turn,
          CASE WHEN kind = 0 THEN 'search' WHEN kind = 1 THEN 'lookup' WHEN kind = 2 THEN 'translate'
-              WHEN len(words) % 3 = 0 THEN 'forget' ELSE 'convert' END AS name,
+              WHEN n % 3 = 0 THEN 'forget' ELSE 'convert' END AS name,
          [x FOR x IN list_distinct(['call-' || (turn // 2), 'call-' || (turn // 3)]) IF x <> 'call-' || turn] AS deps
   FROM t WHERE role = 'assistant'
 ),
 results AS (
   SELECT conv_id, 'call-' || (turn - 1) AS call_id, turn AS position, text AS content
   FROM t WHERE role = 'user' AND turn > 0
+  UNION ALL
+  SELECT conv_id, coalesce(role, 'turn') || '-' || turn, turn, text
+  FROM t WHERE role IS NULL OR role NOT IN ('assistant', 'user') OR role = 'user' AND turn <= 0
 ),
 edges AS (
   SELECT e.conv_id, e.call_id, e.dep
@@ -105,11 +108,13 @@ judged AS (
   SELECT c.*, p.level, r.content, r.call_id IS NOT NULL AS answered,
     CASE name
       WHEN 'search' THEN '{"limit":' || CASE WHEN n % 7 = 0 THEN '"many"' ELSE CAST(n % 20 AS VARCHAR) END
-                         || ',"query":' || CAST(to_json(array_to_string(words[1:5], ' ')) AS VARCHAR) || '}'
-      WHEN 'lookup' THEN '{"fields":["b","a"]' || CASE WHEN n % 5 = 0 THEN '' ELSE ',"id":' || turn END || '}'
-      WHEN 'translate' THEN '{"formal":true,"target":"de","text":' || CAST(to_json(text) AS VARCHAR)
+                         || ',"query":' || quoted || '}'
+      WHEN 'lookup' THEN '{"fields":["b","a"]' || CASE WHEN n % 5 = 0 THEN '' ELSE ',"id":' || turn END
+                         || ',"note":' || quoted || '}'
+      WHEN 'translate' THEN '{"formal":true,"target":"de","text":' || quoted
                             || CASE WHEN n % 6 = 0 THEN ',"tone":"dry"' ELSE '' END || '}'
-      ELSE CASE WHEN n % 2 = 0 THEN 'null' ELSE '{"value":2.5}' END END AS arguments,
+      ELSE CASE WHEN n % 2 = 0 THEN CAST(to_json('{"note": ' || quoted || ', "value": ') AS VARCHAR)
+                ELSE '{"note":' || quoted || ',"value":2.5}' END END AS arguments,
     CASE WHEN name = 'search' AND n % 7 = 0 THEN 'limit is not integer'
          WHEN name = 'lookup' AND n % 5 = 0 THEN 'missing id'
          WHEN name = 'translate' AND n % 6 = 0 THEN 'unexpected tone'

@@ -3,18 +3,24 @@
 Calls and results meet in a hash join on (conversation, call id), after each side was
 reduced to one row per id, so a repeated id costs a row per task. Calls are ordered
 topologically: a call's level is one more than the highest level of the calls it depends
-on. Levels are found in rounds that each touch only the calls the last round released, so
-there are as many rounds as the longest chain of dependencies is long; each round is
-written to the shared folder. (level, position) orders a conversation, which needs no
-task that holds a whole conversation. Arguments are checked against a schema for each
-tool, and each record is written as canonical JSON: keys sorted, no spaces, explicit
-nulls. Native DataFrame code; schemas are a small table given by the caller.
+on. Levels are found in rounds, as many as the longest chain of dependencies is long; each
+round joins the calls released last with the edges and writes the calls still waiting to
+the shared folder. (level, position) orders a conversation, which needs no task that holds
+a whole conversation. Arguments are checked against a schema for each tool, and each record
+is written as canonical JSON: keys sorted, no spaces, explicit nulls, one form for each
+number. Native DataFrame code; schemas are a small table given by the caller.
+
+Numbers: whole ones are written as digits without fraction or exponent (`1e2` and `100.0`
+become `100`), integers with all their digits; others with the digits that the JVM writes for
+the double (the fewest that give it, but for rare values of JVMs before 19), with an exponent
+below 1e-6 and from 1e21.
 
 Results for odd input: of calls that repeat an id the first by position, name and
 arguments counts, and of results the first by position and content; `repeats` counts the
 others of both. A result without a call is a record of its own (status orphan), a call
 without a result is pending; calls on a cycle, or behind one, have no level (status
-cycle). Dependencies on unknown calls are listed but do not order. Null ids of a
+cycle). Arguments that are no JSON are kept as a string. Dependencies on unknown calls are
+listed but do not order. Null ids of a
 conversation are one conversation; calls and results with a null call id are left out,
 as nothing can refer to them. Empty tables give an empty result; other columns are ignored.
 """
@@ -155,11 +161,54 @@ def link(calls: DataFrame, results: DataFrame, tools: Mapping[str, Mapping[str,
     )
 
 
+def canonical_number(number: Column) -> Column:
+    """The one form of a JSON number."""
+    value = number.cast("double")
+    size = F.abs(value)
+    whole = (value == F.rint(value)) & (size < 1e21)
+    fraction = F.when(size < 1, value.cast("decimal(38,25)").cast("string")).otherwise(
+        value.cast("decimal(38,18)").cast("string")
+    )
+    scientific = F.replace(value.cast("string"), F.lit(".0E"), F.lit("E"))
+    scientific = F.regexp_replace(F.replace(scientific, F.lit("E-"), F.lit("e-")), "E", "e+")
+    return (
+        F.when(number.rlike("^-?0+$"), "0")
+        .when(number.rlike("^-?[0-9]+$"), number)
+        .when(value == 0, "0")
+        .when(whole, value.cast("decimal(22,0)").cast("string"))
+        .when((size >= 1e-6) & (size < 1e21), F.regexp_replace(fraction, r"\.?0+$", ""))
+        .otherwise(scientific)
+    )
+
+
+def canonical_numbers(json: Column) -> Column:
+    """A JSON text with all its numbers in their one form; strings are left alone.
+
+    Two control characters, which JSON never holds bare, stand for escaped backslashes and
+    quotes while the text is cut at quotes: every second piece is then a string.
+    """
+    backslash, quote = ("\\\\", "\1"), ('\\"', "\2")
+    plain = json
+    for escaped, sign in (backslash, quote):
+        plain = F.replace(plain, F.lit(escaped), F.lit(sign))
+
+    def outside(piece: Column) -> Column:
+        tokens = F.regexp_extract_all(piece, F.lit("-?[0-9][0-9.eE+-]*|[^0-9-]+"), 0)
+        return F.array_join(F.transform(tokens, lambda t: F.when(t.rlike("^-?[0-9]"), canonical_number(t)).otherwise(t)), "")
+
+    pieces = F.transform(F.split(plain, '"'), lambda piece, i: F.when(i % 2 == 0, outside(piece)).otherwise(piece))
+    done = F.array_join(pieces, '"')
+    for escaped, sign in (quote, backslash):
+        done = F.replace(done, F.lit(sign), F.lit(escaped))
+    return done
+
+
 def canonical_json() -> Column:
-    """The record as canonical JSON; arguments that are no JSON become null, keys of objects are sorted."""
+    """The record as canonical JSON; arguments that are no JSON become a string, keys of objects are sorted."""
     depends = F.array_sort(F.filter("depends_on", lambda d: d.isNotNull()))
+    arguments = canonical_numbers(F.to_json(F.try_parse_json("arguments")))
     return F.concat(
-        F.lit('{"arguments":'), F.coalesce(F.to_json(F.try_parse_json("arguments")), F.lit("null")),
+        F.lit('{"arguments":'), F.coalesce(arguments, json_text(F.col("arguments"))),
         F.lit(',"call_id":'), json_text(F.col("call_id")),
         F.lit(',"depends_on":'), F.coalesce(F.to_json(depends), F.lit("[]")),
         F.lit(',"name":'), json_text(F.col("name")),
@@ -171,9 +220,9 @@ def canonical_json() -> Column:
 #: Tools of the calls that `derived_calls` makes.
 TOOLS: Mapping[str, Mapping[str, Parameter]] = {
     "search": {"query": Parameter("string"), "limit": Parameter("integer")},
-    "lookup": {"id": Parameter("integer"), "fields": Parameter("array", False)},
+    "lookup": {"id": Parameter("integer"), "fields": Parameter("array", False), "note": Parameter("string", False)},
     "translate": {"text": Parameter("string"), "target": Parameter("string"), "formal": Parameter("boolean", False)},
-    "convert": {"value": Parameter("number")},
+    "convert": {"value": Parameter("number"), "note": Parameter("string", False)},
 }
 
 
@@ -181,21 +230,22 @@ def derived_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results read from the turns (conv_id, turn, role, text) of conversations.
 
     Each assistant turn is a call whose tool follows from the length of its text and whose
-    arguments quote the text; each user turn is the result of the call one turn before.
-    A call depends on the calls at half and a third of its turn.
+    arguments hold the whole text. A call depends on the calls at half and a third of its
+    turn. Each user turn is the result of the call one turn before; opening turns and those
+    of other roles answer no call and are results under an id of their own.
     """
-    words = F.split(F.coalesce("text", F.lit("")), " ")
-    n = F.size(words)
-    length = F.length(F.coalesce("text", F.lit("")))
-    query = F.array_join(F.slice(words, 1, 5), " ")
+    text = F.coalesce("text", F.lit(""))
+    quoted = json_text(text)
+    n = F.size(F.split(text, " "))
     limit = F.when(n % 7 == 0, F.lit('"many"')).otherwise((n % 20).cast("string"))
-    search = F.concat(F.lit('{"query": '), json_text(query), F.lit(', "limit": '), limit, F.lit("}"))
+    search = F.concat(F.lit('{"query": '), quoted, F.lit(', "limit": '), limit, F.lit("}"))
     number = F.when(n % 5 == 0, F.lit("")).otherwise(F.concat(F.lit(', "id": '), F.col("turn").cast("string")))
-    lookup = F.concat(F.lit('{"fields": ["b", "a"]'), number, F.lit("}"))
+    lookup = F.concat(F.lit('{"note": '), quoted, F.lit(', "fields": ["b", "a"]'), number, F.lit("}"))
     tone = F.when(n % 6 == 0, F.lit(', "tone": "dry"')).otherwise(F.lit(""))
-    translate = F.concat(F.lit('{"text": '), json_text(F.col("text")), tone, F.lit(', "formal": true, "target": "de"}'))
-    convert = F.when(n % 2 == 0, F.lit('{"value": ')).otherwise(F.lit('{"value": 2.5}'))
-    kind = length % 4
+    translate = F.concat(F.lit('{"text": '), quoted, tone, F.lit(', "formal": true, "target": "de"}'))
+    value = F.when(n % 2 == 0, F.lit(', "value": ')).otherwise(F.lit(', "value": 2.50}'))
+    convert = F.concat(F.lit('{"note": '), quoted, value)
+    kind = F.length(text) % 4
     name = F.when(kind == 0, "search").when(kind == 1, "lookup").when(kind == 2, "translate")
     name = name.otherwise(F.when(n % 3 == 0, "forget").otherwise("convert"))
     arguments = F.when(kind == 0, search).when(kind == 1, lookup).when(kind == 2, translate).otherwise(convert)
@@ -205,8 +255,8 @@ def derived_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.expr("array_distinct(array(concat('call-', turn div 2), concat('call-', turn div 3)))").alias("depends_on"),
     )
     calls = calls.withColumn("depends_on", F.array_remove("depends_on", F.col("call_id")))
-    results = turns.filter("role = 'user' AND turn > 0").select(
-        "conv_id", F.expr("concat('call-', turn - 1)").alias("call_id"), F.col("turn").alias("position"),
-        F.col("text").alias("content"),
-    )
+    answered = F.expr("IF(role = 'user' AND turn > 0, concat('call-', turn - 1), concat(coalesce(role, 'turn'), '-', turn))")
+    results = turns.filter("coalesce(role, '') <> 'assistant'").select(
+        "conv_id", answered.alias("call_id"), F.col("turn").alias("position"), F.col("text").alias("content")
+    )
     return calls, results

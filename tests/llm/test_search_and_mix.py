@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 import random
+from decimal import Decimal
 from fractions import Fraction
 
 import numpy as np
@@ -210,3 +211,50 @@ def test_json_types(spark, kind):
 
     fine = frame.filter(F.size(tool_calls.argument_errors(F.lit("t"), F.col("a"), tools)) == 0).collect()
     assert {r["k"] for r in fine} == ({"integer", "number"} if kind == "number" else {kind})
+
+
+def one_form(text: str) -> str:
+    """The form of a number that the docstring of tool_calls states, by Python's shortest digits."""
+    if text.lstrip("-").isdigit():
+        return str(int(text))
+    value = float(text)
+    if value == int(value) and abs(value) < 1e21:
+        return str(int(Decimal(repr(value))))
+    if 1e-6 <= abs(value) < 1e21:
+        return format(Decimal(repr(value)), "f")
+    digits, exponent = f"{Decimal(repr(value)).normalize():e}".split("e")
+    return f"{digits}e{int(exponent):+d}"
+
+
+def test_numbers_have_one_form(spark):
+    numbers = (
+        "0 -0 0.0 -0.0 1 100 1e2 1E+2 100.0 100.50 2.50 -2.5 1e-2 0.000001 1e-7 1.5e-7 -3.25E-9 1e21 1.5e22 1e20"
+        " 123456789012345678901234567890 9007199254740993 12345678.5 0.001 0.30000000000000004 1234567890123456.7 2.5e-300"
+    ).split()
+    quoted = {n: json.dumps(f'{n} \\ "{n}" \\') for n in numbers}
+    rows = [(i, f'{{"b": [{n}, {quoted[n]}], "a{n}": {{"x": {n}}}}}') for i, n in enumerate(numbers)]
+    rows.append((len(rows), json.dumps({"s": '1.50 \\"2.50\\ ' * 50_000, "n": [1.50] * 20_000}) + " "))
+    frame = spark.createDataFrame(rows, "i int, a string")
+    from pyspark.sql import functions as F
+
+    done = F.to_json(F.try_parse_json("a"))
+    got = {r["i"]: r for r in frame.select("i", "a", done.alias("json"), tool_calls.canonical_numbers(done).alias("c")).collect()}
+    for i, n in enumerate(numbers):
+        own = one_form(n)
+        assert got[i]["c"] == f'{{"a{n}":{{"x":{own}}},"b":[{own},{quoted[n]}]}}'
+    last = got[len(numbers)]
+    assert json.loads(last["c"]) == json.loads(last["a"])
+
+
+def test_every_turn_reaches_a_record(spark):
+    turns = [(c, t, role, f"{role} says {c} \"{t}\" 1.50" * (t + 1)) for c in (1, 2) for t, role in enumerate(
+        ["system", "user", "assistant", "user", "assistant", "assistant", "tool", None])]
+    turns += [(3, 0, "user", "opens"), (3, 1, "assistant", None), (None, 0, "user", None)]
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    records = tool_calls.link(*tool_calls.derived_calls(frame), tool_calls.TOOLS).collect()
+    written = [r["json"] for r in records]
+    for conversation, turn, role, text in turns:
+        quoted = json.dumps(text, ensure_ascii=False)
+        again = json.dumps(quoted[1:-1])[1:-1]  # inside arguments kept as a string
+        assert text is None or any(quoted in w or again in w for w in written), (conversation, turn, role)
+    assert len({(r["conv_id"], r["call_id"]) for r in records}) == len(records)
