@@ -4,8 +4,15 @@ A tokenizer and tree builder (implied start and end tags, void elements, raw tex
 a page into properly nested start, text and end events. A renderer keeps a stack of text
 flows: blocks are set apart, list items get markers and indentation, table cells are
 collected and aligned in columns, preformatted text keeps its spaces. Elements that a
-browser does not show are left out with all they hold. No step recurses, and the work is
-linear in the page but for the padding of cells, which is bounded by PAD.
+browser does not show are left out with all they hold. No step recurses. Places of open
+elements are kept by name, so that a tag costs the same at any depth; up to DEEP nested
+items and cells are laid out in each other, those further in are lines of the last; columns
+are at most WIDE characters and a cell is carried down in the first COLUMNS columns. So the
+work is linear in the page, by factors that these bound.
+
+Tables: cells line up by column, over `colspan` and `rowspan`. A cell that others follow is
+wrapped at spaces beyond WIDE characters; a longer word stays whole and moves what follows
+it on its line. The last cell of a row keeps its lines.
 
 Results for odd input: a null or empty page gives an empty text; unclosed, misnested and
 unknown tags are repaired; a page without tags is one paragraph; repeated rows are
@@ -15,6 +22,7 @@ rendered alike, row by row; other columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -57,8 +65,12 @@ BOUNDARY = {
 P_SCOPE = frozenset("table td th caption button object template html body".split())
 TABLE_PARTS = frozenset("caption colgroup col thead tbody tfoot tr td th".split())
 
-#: Cells longer than this do not widen their column.
-PAD = 60
+#: Characters at which the cells of a table wrap, but for the last of a row.
+WIDE = 60
+#: Items, quotes and cells that are laid out in each other.
+DEEP = 32
+#: Columns in which `rowspan` counts, and the columns and rows that a cell may span: limits of HTML.
+COLUMNS, ROWS = 1000, 65534
 
 #: A tag or comment that never ends takes the rest of the page.
 _TOKEN = re.compile(
@@ -114,48 +126,40 @@ def _is_hidden(name: str, attributes: dict[str, str]) -> bool:
 def events(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
     """The tree in order of its text: properly nested starts and ends, with implied tags put in."""
     stack: list[str] = []
-    counts: dict[str, int] = {}
+    places: dict[str, list[int]] = {}  # of the open elements of a name, ascending
 
     def push(name: str, attributes: dict[str, str]) -> tuple[str, str, dict[str, str]]:
+        places.setdefault(name, []).append(len(stack))
         stack.append(name)
-        counts[name] = counts.get(name, 0) + 1
         return "start", name, attributes
 
     def pop_to(depth: int) -> Iterator[tuple[str, str, dict[str, str]]]:
         while len(stack) > depth:
             name = stack.pop()
-            counts[name] -= 1
+            places[name].pop()
             yield "end", name, {}
 
+    def last(names) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
+
     def innermost(names, boundary) -> int | None:
         """Place of the innermost open element of `names`, none beyond a boundary."""
-        if not any(counts.get(n) for n in names):
-            return None
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i] in names:
-                return i
-            if stack[i] in boundary:
-                return None
-        return None
+        at = last(names)
+        return at if at >= 0 and at >= last(boundary) else None
 
     def outermost(names, boundary) -> int | None:
         """The same for the outermost such element within the boundary."""
-        found = None
-        if any(counts.get(n) for n in names):
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i] in boundary:
-                    break
-                if stack[i] in names:
-                    found = i
-        return found
+        limit = last(boundary)
+        held = (places[n] for n in names if places.get(n) and places[n][-1] > limit)
+        return min((at[bisect_right(at, limit)] for at in held), default=None)
 
     for kind, value, raw in _tokens(page):
         if kind == "text":
-            if counts.get("head") and stack[-1] == "head" and value.strip():
-                yield from pop_to(stack.index("head"))
+            if places.get("head") and stack[-1] == "head" and value.strip():
+                yield from pop_to(places["head"][0])
             yield "text", value, {}
         elif kind == "end":
-            if value in ("p", "br") and not counts.get(value):
+            if value in ("p", "br") and not places.get(value):
                 yield "start", value, {}
                 yield "end", value, {}
                 continue
@@ -173,10 +177,10 @@ def events(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
                 if at is not None:
                     yield from pop_to(at)
         else:
-            in_raw = any(counts.get(n) for n in RAW | {"template", "noscript"})
-            if counts.get("head") and value not in HEAD_ONLY and not in_raw:
-                yield from pop_to(stack.index("head"))
-            if value in ("html", "body", "head") and counts.get(value):
+            in_raw = any(places.get(n) for n in RAW | {"template", "noscript"})
+            if places.get("head") and value not in HEAD_ONLY and not in_raw:
+                yield from pop_to(places["head"][0])
+            if value in ("html", "body", "head") and places.get(value):
                 continue
             if value in BLOCKS and (at := innermost(("p",), P_SCOPE)) is not None:
                 yield from pop_to(at)
@@ -184,7 +188,7 @@ def events(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
                 yield from pop_to(len(stack) - 1)
             if value in CLOSES and (at := outermost(CLOSES[value], BOUNDARY[value])) is not None:
                 yield from pop_to(at)
-            if value in ("td", "th") and counts.get("table") and (not stack or stack[-1] != "tr"):
+            if value in ("td", "th") and places.get("table") and (not stack or stack[-1] != "tr"):
                 if innermost(("tr",), {"table"}) is None:
                     yield push("tr", {})
             attributes = _attributes(raw) if raw.strip(" /\n\t") else {}
@@ -247,37 +251,92 @@ class _Flow:
         return self.lines
 
 
-def aligned(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Lines of a table; a cell is its lines and the number of columns that it spans."""
-    widths: dict[int, int] = {}
+def wrapped(line: str) -> list[str]:
+    """The line cut at spaces into lines of at most WIDE characters, where it has such spaces."""
+    out, at = [], 0
+    while len(line) - at > WIDE:
+        cut = line.rfind(" ", at, at + WIDE + 1)
+        if cut < 0 or not line[at:cut].strip():
+            cut = line.find(" ", at + WIDE)
+        if cut < 0:
+            break
+        out.append(line[at:cut].rstrip())
+        at = cut + 1
+    return [*out, line[at:]]
+
+
+Cell = tuple[list[str], int, int]  # lines, columns and rows that it spans
+
+
+def in_columns(rows: list[list[Cell]]) -> Iterator[list[tuple[list[str], int]]]:
+    """The rows with an empty cell wherever a cell of an earlier row reaches down."""
+    held: dict[int, tuple[int, int]] = {}  # by first column: columns, rows to come
     for row in rows:
+        out: list[tuple[list[str], int]] = []
+        begun, at = {}, 0
+        for lines, span, down in row:
+            while at in held:
+                out.append(([], held[at][0]))
+                at += held[at][0]
+            out.append((lines, span))
+            if down > 1 and at < COLUMNS:
+                begun[at] = (span, down - 1)
+            at += span
+        held = {at: (span, left - 1) for at, (span, left) in held.items() if left > 1} | begun
+        yield out
+
+
+def aligned(rows: list[list[Cell]]) -> list[str]:
+    """Lines of a table."""
+    placed = [
+        [([part for line in lines for part in wrapped(line)], span) for lines, span in row[:-1]] + row[-1:]
+        for row in in_columns(rows)
+    ]
+    widths: dict[int, int] = {}
+    for row in placed:
         at = 0
         for lines, span in row:
             if span == 1:
-                widths[at] = max([widths.get(at, 0), *(len(x) for x in lines if len(x) <= PAD)])
+                widths[at] = max([widths.get(at, 0), *(len(x) for x in lines if len(x) <= WIDE)])
             at += span
     out = []
-    for row in rows:
-        places, at = [], 0
+    for row in placed:
+        cells, at = [], 0
         for lines, span in row:
             width = sum(widths.get(i, 0) for i in range(at, at + span)) + 3 * (span - 1)
-            places.append((lines, width))
+            cells.append((lines, width))
             at += span
-        for i in range(max((len(lines) for lines, _ in places), default=0)):
-            cells = [(lines[i] if i < len(lines) else "").ljust(width) for lines, width in places]
-            line = " | ".join(cells).rstrip()
+        for i in range(max((len(lines) for lines, _ in cells), default=0)):
+            shown = [(lines[i] if i < len(lines) else "").ljust(width) for lines, width in cells]
+            line = " | ".join(shown).rstrip()
             if line.strip(" |"):
                 out.append(line)
     return out
 
 
+def _spanned(attributes: dict[str, str], name: str, most: int) -> int:
+    """How many columns or rows a cell spans; a rowspan of 0 reaches to the end."""
+    text = attributes.get(name, "1")
+    number = int(text) if re.fullmatch(r"\d{1,6}", text) else 1
+    return most if number == 0 and name == "rowspan" else max(1, min(number, most))
+
+
+def _marker(lists: list[list]) -> str:
+    """The marker of the next item of the innermost list."""
+    if not lists:
+        return "- "
+    numbered, number = lists[-1]
+    lists[-1][1] += 1
+    return f"{number}. " if numbered else "- "
+
+
 def render(page: str | None) -> str:
     """The visible text of a page, laid out in lines."""
     flows = [_Flow()]
     hidden = pre = 0
     lists: list[list] = []  # per open list: is it numbered, next number
     tables: list[list] = []  # per open table: its rows
-    spans: list[int] = []
+    own: list[tuple[int, int] | None] = []  # per open item, quote and cell: what it spans; none without a flow
     depth: list[tuple[str, bool]] = []
     for kind, name, attributes in events(page or ""):
         flow = flows[-1]
@@ -303,16 +362,23 @@ def render(page: str | None) -> str:
                 lists.append([name == "ol", int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1])
             elif name in ("li", "dd", "blockquote"):
                 flow.block(name == "blockquote")
-                flows.append(_Flow())
+                own.append((1, 1) if len(flows) <= DEEP else None)
+                if own[-1]:
+                    flows.append(_Flow())
+                elif name == "li":
+                    flow.text(_marker(lists))
             elif name == "table":
                 flow.block(True)
                 tables.append([])
             elif name == "tr" and tables:
                 tables[-1].append([])
             elif name in ("td", "th") and tables:
-                span = attributes.get("colspan", "1")
-                spans.append(max(1, min(int(span), 1000)) if re.fullmatch(r"\d{1,6}", span) else 1)
-                flows.append(_Flow())
+                spans = _spanned(attributes, "colspan", COLUMNS), _spanned(attributes, "rowspan", ROWS)
+                own.append(spans if len(flows) <= DEEP else None)
+                if own[-1]:
+                    flows.append(_Flow())
+                else:
+                    flow.newline()
             elif name in BLOCKS:
                 flow.block(name in SPACED)
             pre += name in ("pre", "xmp", "textarea")
@@ -326,18 +392,12 @@ def render(page: str | None) -> str:
             lists.pop()
             flow.block(not lists)
         elif name in ("li", "dd", "blockquote"):
-            lines = flows.pop().done()
-            marker = "  "
-            if name == "li":
-                marker = "- "
-                if lists and lists[-1][0]:
-                    marker = f"{lists[-1][1]}. "
-                if lists:
-                    lists[-1][1] += 1
-            if lines or name == "li":
+            if own.pop():
+                lines = flows.pop().done()
+                marker = _marker(lists) if name == "li" else "  "
                 pad = " " * len(marker)
-                shown = [(pad if i else marker) + x if x else "" for i, x in enumerate(lines or [""])]
-                flows[-1].add([x.rstrip() for x in shown] if lines else [])
+                shown = [(pad if i else marker) + x if x else "" for i, x in enumerate(lines)]
+                flows[-1].add([x.rstrip() for x in shown])
             flows[-1].block(name == "blockquote")
         elif name == "table":
             rows = [row for row in tables.pop() if row]
@@ -345,10 +405,14 @@ def render(page: str | None) -> str:
             flow.add(aligned(rows))
             flow.block(True)
         elif name in ("td", "th") and tables:
+            spans = own.pop()
+            if spans is None:
+                flow.newline()
+                continue
             lines = flows.pop().done()
             if not tables[-1]:
                 tables[-1].append([])
-            tables[-1][-1].append((lines, spans.pop()))
+            tables[-1][-1].append((lines, *spans))
         elif name in BLOCKS:
             flow.block(name in SPACED)
         elif name == "select" or name == "option":

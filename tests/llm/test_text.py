@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -172,6 +173,12 @@ class TestHtml:
             ("<table><td>x</table>", "x"),
             ("<table><tr><th colspan=2>wide head<tr><td>a<td>b</table>", "wide head\na | b"),
             ("<table><tr><td><table><tr><td>in</table><td>out</table>", "in | out"),
+            ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+            ("<table><tr><td>a<td rowspan=0 colspan=2>b<tr><td>c<td>d<tr><td>e</table>", "a | b\nc |     | d\ne"),
+            ("<table><tr><td rowspan=3>a<td>b<tr><tr><td>c</table><p>d", "a | b\n  | c\n\nd"),
+            (f"<table><tr><td>{'five ' * 13}<td>x<tr><td>b<td>{'y ' * 50}</table>",
+             f"{'five ' * 12}| x\n{'five':59} |\n{'b':59} | {('y ' * 50).strip()}"),
+            (f"<table><tr><td>{'w' * 70}<td>x<tr><td>b<td>y</table>", f"{'w' * 70} | x\nb | y"),
             ("<pre>a  b\n  c</pre>", "a  b\n  c"),
             ("<div hidden>x</div><div style='color:red; display : none'>y<p>z</div>w", "w"),
             ("<script>if (a<b) '</p>'</script>x<style>p{}</style><!-- c --><noscript>n</noscript>", "x"),
@@ -206,6 +213,26 @@ class TestHtml:
         assert html_text.render("<a \"" * 50_000) == ""
         assert len(html_text.render("word " * 300_000)) == 5 * 300_000 - 1
 
+    @pytest.mark.parametrize(
+        "page",
+        [
+            "<u><table><tr><td>" + "<b>" * 60_000 + "</u>" * 60_000 + "word",
+            "<ul><li>word" * 40_000,
+            "<ol><li>" * 40_000 + "word</ol>" * 40_000,
+            "<blockquote>word" * 40_000,
+            "<table><tr><td>word" * 30_000,
+            "<table><tr><td rowspan=0>" + "<td rowspan=9 colspan=9>word" * 20_000 + "<tr><td>word" * 2_000,
+            "<table>" + "<tr><td>" + "word " * 50_000 + "<td>x" + "<tr><td>word<td>y" * 20_000,
+            "<p>word" * 100_000 + "</td></p>" * 50_000,
+        ],
+        ids=range(8),
+    )
+    def test_work_is_linear(self, page):
+        start = time.process_time()
+        text = html_text.render(page)
+        assert time.process_time() - start < 20
+        assert text.count("word") == page.count("word") and len(text) < 100 * len(page)
+
     def test_rows(self, spark):
         rows = [(1, "<p>a", "t"), (1, "<p>a", "t"), (2, None, "t"), (None, "<ul><li>x", "t")]
         pages = spark.createDataFrame(rows, "page_id long, html string, text string")
