@@ -2,17 +2,18 @@
 
 Listed rules name a host and the start of a path; the longest that fits decides. All
 other URLs are judged by association rules: Spark's FP-growth mines combinations of URL
-tokens that go with the label `block` in labelled URLs. Rules below the support or the
-confidence are pruned, and so is every rule that contains another one, as it adds no
-verdict. An inverted index holds each rule under its rarest token; a URL looks its tokens
-up there and is blocked if all tokens of a rule found are its own. Without such a rule
-it is allowed.
-
-Rules are mined twice. The first pass sees nine parts of a URL with their places. The
-second sees every host label, path segment, query key and key with value too, after tokens
-were dropped that too few blocked URLs hold to be in any rule; of its rules those stay that
-block a labelled URL which the first pass leaves. So the rules of the first pass number at
-most 2**9 / MIN_SUPPORT; those of the second depend on how many frequent tokens a URL holds.
+tokens that go with the label `block` in labelled URLs: parts of host, path and query with
+their places, and every host label, path segment, query key and key with value. Rules below
+the support or the confidence are pruned, and so is every rule that contains another one, as
+it adds no verdict; all others are kept. An inverted index holds each rule under its rarest
+token; a URL looks its tokens up there and is blocked if all tokens of a rule found are its
+own. Without such a rule it is allowed.
+
+Two reductions keep mining small and lose no rule. Tokens that too few blocked URLs hold to
+be in any rule are dropped, which leaves at most 1 / MIN_SUPPORT times the tokens of a URL.
+Tokens of the same labelled URLs form a class: one stands for all in mining and in rules,
+and a URL holds the class if it holds any token of it. How many rules there are depends on
+how many independent frequent tokens a URL holds.
 
 Results for odd input: a null URL or one without `://` has an empty host, an empty path,
 no tokens and the verdict allow; without labelled or without blocked URLs nothing is
@@ -107,43 +108,37 @@ def all_tokens(url: Column) -> Column:
     return F.array_sort(F.array_distinct(F.concat(tokens_of(url), more)))
 
 
+_MINED = "tokens array<string>, confidence double, support double, classes array<struct<token: string, alike: array<string>>>"
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules (tokens, confidence, support) for blocking, from (url, verdict) rows."""
-    label = F.when(F.col("verdict") == BLOCK, F.array(F.lit(LABEL))).otherwise(F.array().cast("array<string>"))
-    url = F.col("url")
-    baskets = labelled.select(F.concat(tokens_of(url), label).alias("items"), F.concat(all_tokens(url), label).alias("all"))
-    baskets = saved(baskets, "url_baskets")
-    blocked = baskets.filter(F.array_contains("items", LABEL))
-    if blocked.isEmpty():
-        return labelled.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double")
-    first = minimal(_rules(baskets.select("items"), min_support, min_confidence))
-    # A rule's support counts blocked URLs, so no token that too few of them hold is in one.
-    # Tokens of the same labelled URLs stand for each other: one is mined, then all replace it.
-    rows = saved(baskets.withColumn("row", F.monotonically_increasing_id()), "url_rows")
-    is_blocked = F.array_contains("items", LABEL).cast("long")
-    held = rows.select("row", is_blocked.alias("blocked"), F.explode("all").alias("token")).groupBy("token").agg(
-        F.sum("blocked").alias("blocked"), F.count("*").alias("n"),
+    """Rules (tokens, confidence, support, classes) for blocking, from (url, verdict) rows.
+
+    `tokens` are those that stand for their classes; `classes` lists all tokens of each.
+    """
+    blocks = F.col("verdict").eqNullSafe(BLOCK)
+    rows = labelled.select(all_tokens(F.col("url")).alias("all"), blocks.alias("blocks"))
+    rows = saved(rows.withColumn("row", F.monotonically_increasing_id()), "url_rows")
+    n_rows, n_blocked = rows.agg(F.count("*"), F.count_if("blocks")).first()
+    if not n_blocked:
+        return labelled.sparkSession.createDataFrame([], _MINED)
+    each = rows.select("row", "blocks", F.explode("all").alias("token"))
+    held = each.groupBy("token").agg(
+        F.count_if("blocks").alias("blocked"), F.count("*").alias("n"),
         F.bit_xor(F.xxhash64("row")).alias("one"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("two"),
     )
-    held = held.filter((F.col("blocked") >= min_support * rows.count()) & (F.col("token") != LABEL))
-    alike = held.groupBy("blocked", "n", "one", "two").agg(F.min("token").alias("token"), F.collect_list("token").alias("alike"))
-    alike = saved(alike.select("token", "alike"), "url_alike")
-    mined = alike.agg(F.concat(F.collect_list("token"), F.array(F.lit(LABEL))).alias("mined"))
-    thinned = rows.crossJoin(F.broadcast(mined)).select("all", F.array_intersect("all", "mined").alias("items"))
-    thinned = saved(thinned, "url_baskets")
-    second = saved(minimal(_rules(thinned.select("items"), min_support, min_confidence)), "url_rules")
-    kinds = thinned.filter(F.array_contains("items", LABEL)).select(F.col("all").alias("tokens"), "items").distinct()
-    left = kinds.join(fitting(kinds, first), "tokens", "left_anti").select(F.col("items").alias("tokens")).distinct()
-    new = saved(fitting(left, second).select(F.col("rule_tokens").alias("tokens")).distinct(), "url_rules")
-    choices = new.select("tokens", F.explode("tokens").alias("token")).join(alike, "token")
-    choices = choices.groupBy("tokens").agg(F.collect_list("alike").alias("choices"))
-    none = F.array(F.array().cast("array<string>"))
-    every = F.aggregate("choices", none, lambda done, more: F.flatten(
-        F.transform(done, lambda d: F.transform(more, lambda t: F.concat(d, F.array(t))))
-    ))
-    second = second.join(choices, "tokens").select(F.explode(every).alias("tokens"), "confidence", "support")
-    second = second.withColumn("tokens", F.array_sort("tokens"))
-    return minimal(saved(first.unionByName(second).dropDuplicates(["tokens"]), "url_rules"))
+    held = held.filter(F.col("blocked") >= min_support * n_rows)
+    alike = held.groupBy("blocked", "n", "one", "two").agg(F.min("token").alias("rep"), F.sort_array(F.collect_list("token")).alias("alike"))
+    alike = saved(alike.select("rep", "alike"), "url_alike")
+    stands = alike.select("rep", F.explode("alike").alias("token")).filter("rep = token")
+    reps = each.join(stands, "token").groupBy("row").agg(F.collect_set("token").alias("items"))
+    label = F.when(F.col("blocks"), F.array(F.lit(LABEL))).otherwise(F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    baskets = rows.select("row", "blocks").join(reps, "row", "left").select(F.concat(F.coalesce("items", none), label).alias("items"))
+    rules = saved(minimal(_rules(saved(baskets, "url_baskets"), min_support, min_confidence)), "url_rules")
+    named = rules.select("tokens", F.explode("tokens").alias("rep")).join(alike, "rep")
+    named = named.groupBy("tokens").agg(F.sort_array(F.collect_list(F.struct(F.col("rep").alias("token"), "alike"))).alias("classes"))
+    return saved(rules.join(named, "tokens").select("tokens", "confidence", "support", "classes"), "url_rules")
 
 
 def _rules(baskets: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
@@ -153,10 +148,14 @@ def _rules(baskets: DataFrame, min_support: float, min_confidence: float) -> Dat
 
 
 def fitting(kinds: DataFrame, rules: DataFrame) -> DataFrame:
-    """(tokens, rule_tokens): the rules whose tokens a row of `kinds` holds, by the inverted index."""
-    index = inverted_index(rules).select("token", F.col("tokens").alias("rule_tokens"))
-    looked_up = kinds.select("tokens", F.explode("tokens").alias("token")).join(index, "token")
-    return looked_up.filter(F.size(F.array_except("rule_tokens", "tokens")) == 0).select("tokens", "rule_tokens")
+    """(tokens, rule_tokens): the rules that a row of `kinds` fulfils, by the inverted index."""
+    index = inverted_index(rules).select(F.col("token").alias("rep"), F.col("tokens").alias("rule_tokens"))
+    classes = rules.select(F.explode("classes").alias("c")).distinct()
+    members = classes.select(F.col("c.token").alias("rep"), F.explode("c.alike").alias("token"))
+    own = kinds.select("tokens", F.explode("tokens").alias("token")).join(members, "token")
+    own = own.groupBy("tokens").agg(F.collect_set("rep").alias("reps"))
+    looked_up = own.select("tokens", "reps", F.explode("reps").alias("rep")).join(index, "rep")
+    return looked_up.filter(F.size(F.array_except("rule_tokens", "reps")) == 0).select("tokens", "rule_tokens")
 
 
 def minimal(rules: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import itertools
 import random
 import re
 import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -100,7 +101,7 @@ class TestUrlRules:
         return spark.createDataFrame([(i, u, "h", "r", "v") for i, u in enumerate(urls)], "page_id long, url string, host string, rule string, tokens string")
 
     def test_listed_rules(self, spark):
-        none = spark.createDataFrame([], "tokens array<string>, confidence double, support double")
+        none = url_rules.mine(spark.createDataFrame([], "url string, verdict string"))
         found = {r["page_id"]: r for r in url_rules.judge(self.pages(spark, self.URLS), URL_RULES, none).collect()}
         assert len(found) == len(self.URLS)
         for i, url in enumerate(self.URLS):
@@ -109,25 +110,44 @@ class TestUrlRules:
             assert (r["host"], r["path"], r["rule"]) == (host, path, rule and rule.name), url
             assert r["verdict"] == (rule.verdict if rule else "allow")
 
-    def test_mining_equals_brute_force(self, spark):
-        rng = random.Random(5)
-        urls = [f"http://{rng.choice('abc')}.{rng.choice(['one', 'two'])}.org/{rng.choice(['en', 'buy'])}/{i}?{rng.choice('pq')}=1" for i in range(150)]
-        rows = [(u, "block" if "/buy/" in u and "two" in u or rng.random() < 0.1 else "allow") for u in urls]
+    @pytest.mark.parametrize("seed", [5, 6])
+    def test_mining_equals_brute_force(self, spark, seed):
+        rng = random.Random(seed)
+        urls = [f"http://{rng.choice('ab')}.{rng.choice(['one', 'two'])}/{rng.choice(['en', 'buy'])}/{i}?{rng.choice('pq')}" for i in range(150)]
+        rows = [(u, "block" if "/buy/" in u and "two" in u or "b.one" in u or rng.random() < 0.1 else "allow") for u in urls]
         labelled = spark.createDataFrame(rows, "url string, verdict string")
-        frame = labelled.select(url_rules.tokens_of(labelled["url"]).alias("tokens"), "verdict").collect()
-        baskets = [(frozenset(r["tokens"]), r["verdict"]) for r in frame]
+        frame = labelled.select(url_rules.all_tokens(labelled["url"]).alias("tokens"), "verdict").collect()
+        blocked = Counter(t for r in frame for t in r["tokens"] if r["verdict"] == "block")
+        baskets = [(frozenset(t for t in r["tokens"] if blocked[t] >= 0.05 * len(rows)), r["verdict"]) for r in frame]
         good = set()
-        for tokens in {frozenset(s) for b, _ in baskets for n in range(1, len(b) + 1) for s in itertools.combinations(sorted(b), n)}:
+        for tokens in {frozenset(s) for b in {b for b, _ in baskets} for n in range(1, len(b) + 1) for s in itertools.combinations(sorted(b), n)}:
             held = [v for b, v in baskets if tokens <= b]
             if held.count("block") / len(baskets) >= 0.05 and held.count("block") / len(held) >= 0.8:
                 good.add(tokens)
-        smallest = {t for t in good if not any(o < t for o in good)}
+        smallest = {t for t in good if not any(t - {x} in good for x in t)}
         mined = url_rules.mine(labelled, 0.05, 0.8)
-        assert smallest and {frozenset(r["tokens"]) for r in mined.collect()} == smallest
-        judged = url_rules.judge(self.pages(spark, urls), [], mined).collect()
+        found = {frozenset(c) for r in mined.collect() for c in itertools.product(*(c["alike"] for c in r["classes"]))}
+        assert smallest and found == smallest
+        others = ["http://x.y/buy/9?q", "http://q.two/buy/1", "http://b.one/", "http://one/b", "http://a.two/en/buy?p", "http://b.two.one/x"]
+        judged = url_rules.judge(self.pages(spark, urls + others), [], mined).collect()
+        frame = spark.createDataFrame([(u,) for u in urls + others], "url string")
+        own = [frozenset(r["t"]) for r in frame.select(url_rules.all_tokens(frame["url"]).alias("t")).collect()]
         for r in judged:
-            tokens = baskets[r["page_id"]][0]
-            assert r["verdict"] == ("block" if any(t <= tokens for t in smallest) else "allow")
+            assert r["verdict"] == ("block" if any(t <= own[r["page_id"]] for t in smallest) else "allow")
+
+    def test_a_rule_that_labelled_urls_do_not_need_is_kept(self, spark):
+        urls = [(f"http://site.org/x/buy/{i}", "block") for i in range(20)] + [(f"http://s{i}.com/x/{i}", "allow") for i in range(60)]
+        mined = url_rules.mine(spark.createDataFrame(urls, "url string, verdict string"))
+        judged = url_rules.judge(self.pages(spark, ["http://other.net/a/buy/9", "http://other.net/a/9", "http://new.org/"]), [], mined)
+        assert {r["page_id"]: r["verdict"] for r in judged.collect()} == {0: "block", 1: "allow", 2: "block"}
+
+    def test_empty_pages_and_long_urls(self, spark):
+        urls = [("http://a.b/bad/" + "x" * 50_000, "block"), ("http://a.b/bad/?" + "k=v&" * 5_000, "block"), ("http://a.b/good", "allow")]
+        mined = url_rules.mine(spark.createDataFrame(urls, "url string, verdict string"), 0.5, 0.8)
+        assert url_rules.judge(self.pages(spark, []), URL_RULES, mined).count() == 0
+        long = ["http://z.z/bad/" + "/y" * 20_000, "http://z.z/?" + "&".join(f"k{i}=1" for i in range(5_000))]
+        judged = url_rules.judge(self.pages(spark, long), [], mined).collect()
+        assert {r["page_id"]: r["verdict"] for r in judged} == {0: "block", 1: "allow"}
 
     def test_nothing_to_mine(self, spark):
         for rows in ([], [("http://a.b/c", "allow")], [(None, "allow")]):
