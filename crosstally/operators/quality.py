@@ -46,7 +46,17 @@ def column_checks(
     accepted: Mapping[str, Sequence[str]] | None = None,
     rules: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """All NULL, accepted-value and row checks of a table in one aggregate.
+    """All NULL, accepted-value and row checks of a table in one aggregate."""
+    return counts_of(df, column_counts(table, not_null, accepted, rules))
+
+
+def column_counts(
+    table: str,
+    not_null: Sequence[str] = (),
+    accepted: Mapping[str, Sequence[str]] | None = None,
+    rules: Mapping[str, Column] | None = None,
+) -> dict[str, Column]:
+    """Violations by check, as aggregates over a table.
 
     NULL is an accepted value. `rules` names conditions that no row may fulfil.
     """
@@ -55,6 +65,11 @@ def column_checks(
         counts[f"accepted_values:{table}.{c}"] = F.count_if(~F.col(c).isin(*values))
     for name, broken in (rules or {}).items():
         counts[name] = F.count_if(broken)
+    return counts
+
+
+def counts_of(df: DataFrame, counts: Mapping[str, Column]) -> DataFrame:
+    """(check, violations) of a table in one aggregate."""
     slots = [f"c{i}" for i in range(len(counts))]
     row = df.agg(*(count.alias(slot) for slot, count in zip(slots, counts.values())))
     pairs = ", ".join(f"'{name}', {slot}" for slot, name in zip(slots, counts))
@@ -100,11 +115,11 @@ def unresolved(
 
 #: What may be missing or wrong in the value of a financial event, by name.
 VALUATION_RULES = {
-    "no_amount": "isnull(amount_local_signed)",
-    "no_value": "isnull(amount_usd_normalized)",
-    "no_rate": "currency <> 'USD' AND isnull(fx_rate_selected)",
-    "no_rate_date": "currency <> 'USD' AND isnull(fx_date_selected)",
-    "rate_of_a_later_day": "datediff(fx_date_selected, event_timestamp_utc) > 0",
+    "no_amount": "amount_local_signed IS NULL",
+    "no_value": "amount_usd_normalized IS NULL",
+    "no_rate": "currency <> 'USD' AND fx_rate_selected IS NULL",
+    "no_rate_date": "currency <> 'USD' AND fx_date_selected IS NULL",
+    "rate_of_a_later_day": "fx_date_selected > to_date(event_timestamp_utc)",
 }
 
 

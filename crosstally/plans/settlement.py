@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import date
 from functools import partial
 
@@ -18,13 +18,14 @@ from crosstally.operators.contracts import FX_RATE, conform
 from crosstally.operators.matching import link, match_all, matches_of, repeated_keys, unclear_of
 from crosstally.plans import feeds
 from crosstally.session import concurrently, pin_utc
-from crosstally.sources.sinks import Report, materialise, publish
+from crosstally.sources.sinks import Report, materialise, materialise_counted, publish
 from crosstally.sources.snapshots import raw, require_inputs, titled_line_problems
 
 PROVIDERS = ("paypal_us", "paypal_eu", "dlocal", "adyen", "google_play")
 
 Frames = dict[str, DataFrame]
 Keep = Callable[[str, Frames], Frames]
+Counts = Mapping[str, Column]
 
 
 @dataclass(frozen=True)
@@ -45,6 +46,8 @@ class Settlement:
     fee_detail: DataFrame
     fee_summary: DataFrame
     months: Sequence[date]
+    #: Violations counted while a layer was written, by layer table and check.
+    observed: Mapping[str, Mapping[str, int]] = field(default_factory=dict)
 
     def reports(self) -> dict[str, Report]:
         return {
@@ -55,17 +58,30 @@ class Settlement:
         }
 
 
-def written_layers(root: str | None = None) -> Keep:
+def written_layers(root: str | None = None, counts: Callable[[], Mapping[str, Counts]] | None = None) -> Keep:
     """Keep layers as tables of this run below `root`, by default the shared folder.
 
-    Tables of one call do not depend on each other and are written side by side.
+    Tables of one call do not depend on each other and are written side by side. `counts`
+    gives the violations to count in tables (`layer.name`) as they are written; the result's
+    `observed` holds them.
     """
     run = uuid.uuid4().hex
+    observed: dict[str, dict[str, int]] = {}
+
+    def write(layer: str, name: str, df: DataFrame, wanted: Counts | None) -> DataFrame:
+        if not wanted:
+            return materialise(df, f"run_{run}/{layer}", name, root)
+        table, found = materialise_counted(df, f"run_{run}/{layer}", name, wanted, root)
+        if found is not None:
+            observed[f"{layer}.{name}"] = found
+        return table
 
     def keep(layer: str, frames: Frames) -> Frames:
-        writes = [partial(materialise, df, f"run_{run}/{layer}", name, root) for name, df in frames.items()]
+        wanted = counts() if counts else {}
+        writes = [partial(write, layer, name, df, wanted.get(f"{layer}.{name}")) for name, df in frames.items()]
         return dict(zip(frames, concurrently(writes)))
 
+    keep.observed = observed
     return keep
 
 
@@ -87,7 +103,7 @@ def settle(
     whether they are written once or recomputed.
     """
     pin_utc(spark)
-    keep = keep or written_layers()
+    keep = keep or written_layers(counts=declared_counts)
     staged = keep("staging", {name: feeds.STAGES[name](df) for name, df in snapshots.items()})
 
     by_source = {n: adapters.provider_events(staged[n], feeds.EVENT_SPECS[n]) for n in PROVIDERS}
@@ -144,6 +160,7 @@ def settle(
         fee_detail=fee_detail,
         fee_summary=summaries["fee_reconciliation_summary"],
         months=list(months),
+        observed=getattr(keep, "observed", {}),
     )
 
 
@@ -216,7 +233,8 @@ def checks(s: Settlement) -> list[DataFrame]:
     return [*declared, *(q.all_checks(*group(s)) for group in groups)]
 
 
-def _declared_checks(s: Settlement) -> list[DataFrame]:
+def declared_counts() -> dict[str, Counts]:
+    """Violations of declared columns and rows, as aggregates by layer table."""
     balanced = {"paypal_us": ["Completed", "Refunded"], "paypal_eu": ["Completed", "Refunded", "Reversed"]}
     staged_rules = {
         name: {
@@ -228,10 +246,10 @@ def _declared_checks(s: Settlement) -> list[DataFrame]:
     }
     charge = F.col("transaction_type").isin("Charge", "Charge refund")
     staged_rules["google_play"] = {"events_usd:google_play": charge & (F.col("merchant_currency") != "USD")}
-    tables = [
-        q.column_checks(df, f"staging.{n}", REQUIRED_STAGED[n], ACCEPTED_STAGED.get(n), staged_rules.get(n))
-        for n, df in s.staged.items()
-    ]
+    tables = {
+        f"staging.{n}": q.column_counts(f"staging.{n}", required, ACCEPTED_STAGED.get(n), staged_rules.get(n))
+        for n, required in REQUIRED_STAGED.items()
+    }
     sold_back = F.expr(
         "(operation_type = 'SALE' AND amount_local_signed < 0) OR (operation_type = 'REFUND' AND amount_local_signed > 0)"
     )
@@ -242,17 +260,32 @@ def _declared_checks(s: Settlement) -> list[DataFrame]:
         & F.expr("provider_event_id IS NULL OR country IS NULL OR sku IS NULL"),
     }
     unlinked = {"google_play_fees_linked": F.expr("psp = 'google_play' AND provider_event_id IS NULL")}
-    return [
-        *tables,
-        q.column_checks(s.engine, "engine_events", ["is_financial_event"]),
-        q.column_checks(
-            s.events, "provider_events", ["provider_event_id", "psp", "is_financial_event"], rules=event_rules
+    return {
+        **tables,
+        "intermediate.engine_events": q.column_counts("engine_events", ["is_financial_event"]),
+        "intermediate.provider_events": q.column_counts(
+            "provider_events", ["provider_event_id", "psp", "is_financial_event"], rules=event_rules
         ),
-        q.column_checks(s.fees, "provider_fees", ["fee_amount"], rules=unlinked),
-        q.column_checks(s.matches, "provider_matches", ["engine_txn_id", "provider_event_id", "match_method"]),
-        q.column_checks(s.detail, "reconciliation_detail", REQUIRED_DETAIL),
-        q.column_checks(s.fee_detail, "fee_reconciliation_detail", REQUIRED_FEE_DETAIL),
-    ]
+        "intermediate.provider_fees": q.column_counts("provider_fees", ["fee_amount"], rules=unlinked),
+        "marts.reconciliation_detail": q.column_counts("reconciliation_detail", REQUIRED_DETAIL),
+        "marts.fee_reconciliation_detail": q.column_counts("fee_reconciliation_detail", REQUIRED_FEE_DETAIL),
+    }
+
+
+def _declared_checks(s: Settlement) -> list[DataFrame]:
+    """Counts taken while layers were written; tables without them are scanned."""
+    frames = {f"staging.{n}": df for n, df in s.staged.items()} | {
+        "intermediate.engine_events": s.engine,
+        "intermediate.provider_events": s.events,
+        "intermediate.provider_fees": s.fees,
+        "marts.reconciliation_detail": s.detail,
+        "marts.fee_reconciliation_detail": s.fee_detail,
+    }
+    scanned = [q.counts_of(frames[t], counts) for t, counts in declared_counts().items() if t not in s.observed]
+    known = [pair for counts in s.observed.values() for pair in counts.items()]
+    seen = [s.engine.sparkSession.createDataFrame(known, "check string, violations long")] if known else []
+    matches = q.column_checks(s.matches, "provider_matches", ["engine_txn_id", "provider_event_id", "match_method"])
+    return [*seen, *scanned, matches]
 
 
 def _staging_checks(s: Settlement) -> list[DataFrame]:

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from crosstally.session import concurrently, shared_folder
 
@@ -52,6 +52,23 @@ def materialise(df: DataFrame, layer: str, name: str, root: str | None = None) -
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialise_counted(
+    df: DataFrame, layer: str, name: str, counts: Mapping[str, Column], root: str | None = None
+) -> tuple[DataFrame, dict[str, int] | None]:
+    """The same, with aggregates over the rows that are taken while they are written.
+
+    Checks of a layer thus need no scan of their own. The write is the last step of its job,
+    so rows of tasks that ran twice count once. None stands for the counts if Spark reports
+    none, as it may for a table that it knows to be empty; count the written table then.
+    """
+    slots = {f"c{i}": check for i, check in enumerate(counts)}
+    seen = Observation(f"{layer}_{name}_{uuid.uuid4().hex}")
+    observed = df.observe(seen, *(count.alias(slot) for slot, count in zip(slots, counts.values())))
+    table = materialise(observed, layer, name, root)
+    found = seen.get
+    return table, {check: found[slot] for slot, check in slots.items()} if found.keys() == slots.keys() else None
+
+
 def save_table(
     df: DataFrame,
     layer: str,

@@ -216,3 +216,21 @@ def gated_publication(spark, sf):
     blocked = spark.createDataFrame([("blocked", k, str(v)) for k, v in failed.items()], "kind string, name string, value string")
     runs = sinks.published_runs(spark, folder).selectExpr("'runs' AS kind", "'published' AS name", "CAST(count(*) AS STRING) AS value")
     return report.unionByName(blocked).unionByName(runs)
+
+
+@query("""
+    SELECT unnest(['not_null:orders.o_custkey', 'accepted_values:orders.o_orderstatus', 'cheap', 'rows']) AS "check",
+        unnest([count(*) FILTER (o_custkey IS NULL), count(*) FILTER (o_orderstatus NOT IN ('F', 'O')),
+                count(*) FILTER (o_totalprice < 5000), count(*)]) AS violations
+    FROM orders
+""")
+def counted_layer(spark, sf):
+    """Violations counted while a layer is written, beside the rows that it then holds."""
+    orders = table(spark, sf, "orders")
+    cheap = {"cheap": F.col("o_totalprice") < 5000}
+    counts = q.column_counts("orders", ["o_custkey"], {"o_orderstatus": ["F", "O"]}, cheap)
+    written, found = sinks.materialise_counted(orders, f"files/{uuid.uuid4().hex}", "orders", counts)
+    rows = written.agg(F.lit("rows").alias("check"), F.count("*").alias("violations"))
+    if found is None:
+        return q.counts_of(written, counts).unionByName(rows)
+    return spark.createDataFrame(list(found.items()), "check string, violations long").unionByName(rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -77,6 +78,13 @@ def test_july_is_settled_from_the_same_matches(spark, result):
     assert len(causes) == 3
 
 
+def test_declared_checks_are_counted_while_layers_are_written(result):
+    observed = result[0].observed
+    assert set(observed) == set(settlement.declared_counts())
+    again = check_results(settlement._declared_checks(replace(result[0], observed={})))
+    assert {check: n for counts in observed.values() for check, n in counts.items()}.items() <= again.items()
+
+
 def test_all_checks_pass(result):
     results = check_results(settlement.checks(result[0]))
     assert len(results) > 80

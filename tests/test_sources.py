@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crosstally.operators.copies import drop_exact_copies
-from crosstally.operators.quality import counted
+from crosstally.operators.quality import column_counts, counted
 from crosstally.session import shared_folder
 from crosstally.sources import sinks, snapshots as src
 
@@ -166,3 +166,15 @@ def test_tables_bucketed_alike_join_without_a_shuffle(spark):
     june = months.filter("month = '2026-06'")
     assert june.count() == left.filter("ts >= '2026-06-01'").count() > 0
     assert all("month=2026-06" in f for f in june.inputFiles())
+
+
+def test_violations_are_counted_while_a_layer_is_written(spark):
+    df = spark.range(0, 1000, numPartitions=7).selectExpr("id", "IF(id % 3 = 0, NULL, id) AS v")
+    counts = column_counts("t", ["v", "id"], {"id": [1, 2]}, {"big": F.col("id") > 900})
+    kept, found = sinks.materialise_counted(df, "layer", "counted", counts)
+    assert found == {"not_null:t.v": 334, "not_null:t.id": 0, "accepted_values:t.id": 998, "big": 99}
+    assert kept.count() == 1000
+    shuffled, found = sinks.materialise_counted(df.repartition(5, "v"), "layer", "counted2", counts)
+    assert found["not_null:t.v"] == 334 and shuffled.count() == 1000
+    empty, found = sinks.materialise_counted(df.filter("id < 0"), "layer", "counted3", counts)
+    assert empty.count() == 0 and (found is None or set(found.values()) == {0})
