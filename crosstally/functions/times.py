@@ -27,6 +27,7 @@ ZONE_TOKENS = {
     "WET": "Europe/Lisbon",
 }
 
+#: How a report names its first and last day in its file name: a fixed format.
 _INTERVAL_IN_NAME = r"_([0-9]{8})_([0-9]{8})[.]csv$"
 
 

@@ -10,6 +10,7 @@ from pathlib import Path
 
 from crosstally.plans import feeds
 
+# Published rates: fixed values.
 RATES = """rate_date,currency,usd_rate,published_at
 2026-06-05,ARS,0.000840,2026-06-05T16:00:00Z
 2026-06-08,EUR,1.090998,2026-06-08T16:00:00Z
@@ -35,6 +36,7 @@ RATES = """rate_date,currency,usd_rate,published_at
 2026-07-02,EUR,1.088981,2026-07-02T16:00:00Z
 """
 
+# Published fee schedule: fixed values.
 SCHEDULE = """psp,account,valid_from,percent_fee,fixed_fee,fixed_fee_currency
 adyen,LumoECOM_EU,2026-01-01,2.5,0.00,
 adyen,LumoAPP_US,2026-01-01,2.5,0.00,
