@@ -16,11 +16,13 @@ texts of a bucket that agree with one of its first texts in CLOSE tables are com
 it, so a group of copies costs a pair or two for each copy and is one class from then on.
 Second, each text is compared with the one of another class that agrees with it most. Third,
 all pairs that agree and are still of different classes are compared, so no link between
-classes is left out. Within a bucket, texts outside its largest class are compared with all
+classes is left out: the texts of such pairs go to the cells of their buckets, which align
+them there and send links only, at most one for each class they join. Within a bucket, texts outside its largest class are compared with all
 others: a bucket of more than CHUNK texts is cut into cells of at most about CHUNK such texts
 and CHUNK others, each a task's work, so no bucket is cut off. Signatures decide what agrees
-before any text moves, and pairs whose word counts alone ask for too many edits end there:
-documents that share a passage and little else send no pair.
+before any text moves, and texts whose word counts alone ask for too many edits of all others
+stay behind. A pair is aligned in the cells of the first SEEN tables it agrees in: signatures
+hold 16 bits of a bucket, so the one first table might agree by chance and have no such cell.
 Linked texts form classes by contraction rounds on the edge table. Every round is written
 to the shared folder; the driver sees counts only.
 
@@ -57,8 +59,11 @@ BRIEF = 64
 TINY = 14
 #: Texts of a bucket that lead in the first pass.
 LEADERS = 8
-#: Texts of a bucket that one task compares.
+#: Texts of a bucket that one task compares, and words of such texts.
 CHUNK = 8192
+CELL_WORDS = 1 << 22
+#: Tables whose cells compare a pair: the first ones it agrees in.
+SEEN = 2
 #: Bytes of text hashed at once.
 BLOCK = 1 << 20
 #: Table entries worked on at once for a long text.
@@ -348,13 +353,24 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def candidate_rows(sketched: DataFrame) -> DataFrame:
-    """(bucket, id, n, signature, bins, words) of the buckets with several texts."""
-    rows = sketched.select("id", F.explode("buckets").alias("bucket"))
+    """(bucket, id, n, place, signature, bins, words) of the buckets with several texts.
+
+    `place` is the table of a bucket, TABLES for what is left of tiny texts.
+    """
+    rows = sketched.select("id", F.posexplode("buckets").alias("place", "bucket"))
+    rows = rows.withColumn("place", F.least("place", F.lit(TABLES)).cast("short"))
     live = saved(rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "live_buckets")
     shared = saved(rows.join(live, "bucket"), "shared_rows")
     return saved(shared.join(sketched.select("id", "signature", "bins", "words"), "id"), "bucket_rows")
 
 
+def shared_grams(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The labelled runs of SHINGLE words of all texts, numbered: (numbers, begin and count of each text's)."""
+    grams = [labelled(kmers(words, SHINGLE)) for words in texts]
+    counts = np.array([len(g) for g in grams])
+    return np.unique(np.concatenate(grams), return_inverse=True)[1], np.cumsum(counts) - counts, counts
+
+
 def agreeing(
     signature: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -418,32 +434,38 @@ def _pair_frame(one: np.ndarray, two: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(one, two), "b": np.maximum(one, two)}, dtype="int64")
 
 
-def candidate_pairs(
-    rows: DataFrame, chunk: int = CHUNK, classes: DataFrame | None = None, best: bool = False
-) -> DataFrame:
-    """Distinct (a, b), a < b, of candidates of different classes, out of (bucket, id, n, signature, words).
+CELL = ["bucket", "i", "j"]
+
 
-    Without `classes` each text is one of its own; if `best`, each text proposes one other
-    at most. A pair whose word counts alone ask for too many edits stays in its cell. Rows
-    without `words` are taken for long texts of equal length, without `bins` for equal ones.
+def cells(rows: DataFrame, chunk: int = CHUNK, classes: DataFrame | None = None) -> DataFrame:
+    """Texts of the buckets with several classes, dealt to cells (bucket, i, j) as hosts and guests.
+
+    Texts outside the largest class of a bucket are guests; each meets every text of the bucket once.
+    Without `classes` each text is one of its own. Rows without `words` are taken for long texts
+    of equal length, without `bins` for equal ones, without `place` for such that meet once.
     """
-    if "words" not in rows.columns:
-        rows = rows.withColumn("words", F.lit(BRIEF))
-    if "bins" not in rows.columns:
-        rows = rows.withColumn("bins", F.lit(b"\0"))
+    for name, value in (("words", F.lit(BRIEF)), ("bins", F.lit(b"\0")), ("place", F.lit(0).cast("short"))):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, value)
     marked = rows.drop("n").withColumn("class_id", F.col("id"))
     if classes is not None:
         marked = rows.drop("n").join(classes, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
-    held = marked.groupBy("bucket", "class_id").agg(F.count("*").alias("held"))
+    held = marked.groupBy("bucket", "class_id").agg(F.count("*").alias("held"), F.sum("words").alias("held_words"))
     sizes = held.groupBy("bucket").agg(
-        F.sum("held").alias("n"), F.max(F.struct("held", "class_id")).alias("most"), F.count("*").alias("classes")
+        F.sum("held").alias("n"),
+        F.sum("held_words").alias("n_words"),
+        F.max(F.struct("held", "class_id", "held_words")).alias("most"),
+        F.count("*").alias("classes"),
     )
-    sizes = saved(sizes.filter("classes > 1").select("bucket", "n", "most.*"), "mixed_buckets")
+    sizes = saved(sizes.filter("classes > 1").select("bucket", "n", "n_words", "most.*"), "mixed_buckets")
     sizes = sizes.withColumnRenamed("class_id", "major")
-    # Texts outside the largest class are guests; each meets every text of the bucket once.
     dealt = marked.join(sizes, "bucket").withColumn("guest", F.col("class_id") != F.col("major"))
-    dealt = dealt.withColumn("hosts", F.ceil(F.col("n") / chunk).cast("long"))
-    dealt = dealt.withColumn("guests", F.ceil((F.col("n") - F.col("held")) / chunk).cast("long"))
+
+    def parts(n: Column, words: Column) -> Column:
+        return F.ceil(F.greatest(n / chunk, words / CELL_WORDS)).cast("long")
+
+    dealt = dealt.withColumn("hosts", parts(F.col("n"), F.col("n_words")))
+    dealt = dealt.withColumn("guests", parts(F.col("n") - F.col("held"), F.col("n_words") - F.col("held_words")))
     zero, turn = F.lit(0).cast("long"), F.xxhash64("id")
 
     def cell(i: Column, j: Column, host: Column, guest: Column) -> Column:
@@ -454,46 +476,135 @@ def candidate_pairs(
     as_guest = F.transform(F.sequence(zero, F.col("hosts") - 1), lambda i: cell(i, F.pmod(turn, "guests"), no, yes))
     several = F.when(F.col("guest"), F.concat(as_host, as_guest)).otherwise(as_host)
     alone = (F.col("hosts") == 1) & (F.col("guests") == 1)
-    cells = F.when(alone, F.array(cell(zero, zero, yes, F.col("guest")))).otherwise(several)
-    dealt = dealt.select("bucket", "id", "class_id", "signature", "bins", "words", F.explode(cells).alias("cell"))
-    dealt = dealt.select("bucket", "cell.*", "id", "class_id", "signature", "bins", "words")
-    dealt = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    places = F.when(alone, F.array(cell(zero, zero, yes, F.col("guest")))).otherwise(several)
+    columns = ["id", "class_id", "place", "signature", "bins", "words"]
+    return dealt.select("bucket", *columns, F.explode(places).alias("cell")).select("bucket", "cell.*", *columns)
+
+
+def _in_cells(dealt: DataFrame) -> DataFrame:
+    return dealt.repartition(*CELL).sortWithinPartitions(*CELL)
+
+
+def _meetings(part: pd.DataFrame, first_only: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(guest, hosts, tables they agree in) of the candidates of different classes in a cell.
+
+    If `first_only`, without those that agree in SEEN tables before that of the bucket.
+    """
+    own, signatures, words = part["class_id"].to_numpy(), _signatures(part), part["words"].to_numpy()
+    host, place = np.flatnonzero(part["host"].to_numpy()), int(part["place"].iloc[0])
+    bins = part["bins"].tolist()
+    for g in np.flatnonzero(part["guest"].to_numpy()).tolist():
+        agreed, wanted = agreeing(signatures[g], int(words[g]), signatures[host], words[host])
+        wanted &= own[host] != own[g]
+        if first_only and place < TABLES:
+            wanted &= (signatures[host, :place] == signatures[g, :place]).sum(1) < SEEN
+        at = np.flatnonzero(wanted)
+        if not len(at):
+            continue
+        longest = np.maximum(words[host[at]], words[g])
+        edits = least_edits(bins[g], [bins[i] for i in host[at].tolist()])
+        at = at[edits <= (1 - SIMILARITY) * longest + 1e-9]
+        if len(at):
+            yield g, host[at], agreed[at]
+
+
+def candidate_pairs(
+    rows: DataFrame, chunk: int = CHUNK, classes: DataFrame | None = None, best: bool = False
+) -> DataFrame:
+    """Distinct (a, b), a < b, of candidates of different classes, out of rows as `cells` takes them.
+
+    If `best`, each text proposes one other at most. A pair whose word counts alone ask for
+    too many edits stays in its cell.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in _groups(batches, ["bucket", "i", "j"]):
-            ids, own, signatures = part["id"].to_numpy(), part["class_id"].to_numpy(), _signatures(part)
-            words, host = part["words"].to_numpy(), np.flatnonzero(part["host"].to_numpy())
-            bins = part["bins"].tolist()
+        for part in _groups(batches, CELL):
+            ids = part["id"].to_numpy()
             out, waiting = [], 0
-            for g in np.flatnonzero(part["guest"].to_numpy()).tolist():
-                agreed, wanted = agreeing(signatures[g], int(words[g]), signatures[host], words[host])
-                wanted &= own[host] != own[g]
-                if not wanted.any():
-                    continue
-                maybe = np.flatnonzero(wanted)
-                longest = np.maximum(words[host[maybe]], words[g])
-                edits = least_edits(bins[g], [bins[i] for i in host[maybe].tolist()])
-                wanted[maybe] = edits <= (1 - SIMILARITY) * longest + 1e-9
-                if not wanted.any():
-                    continue
+            for g, hosts, agreed in _meetings(part, False):
                 if best:
-                    at = np.array([np.where(wanted, agreed, -1).argmax()])
-                else:
-                    at = np.flatnonzero(wanted)
-                out.append((np.full(len(at), ids[g]), ids[host[at]], agreed[at]))
-                waiting += len(at)
+                    top = agreed.argmax()
+                    hosts, agreed = hosts[top : top + 1], agreed[top : top + 1]
+                out.append((np.full(len(hosts), ids[g]), ids[hosts], agreed))
+                waiting += len(hosts)
                 if waiting > 50_000:
                     yield _agreed_frame(out)
                     out, waiting = [], 0
             if out:
                 yield _agreed_frame(out)
 
-    found = dealt.mapInPandas(run, "one long, two long, agreed int")
+    found = _in_cells(cells(rows, chunk, classes)).mapInPandas(run, "one long, two long, agreed int")
     if best:
         found = found.groupBy("one").agg(F.max_by("two", F.struct("agreed", "two")).alias("two"))
     return found.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
 
 
+def aligned_in_cell(part: pd.DataFrame) -> list[tuple[int, int, float]]:
+    """(a, b, similarity) of links that join the classes of a cell whose rows hold their texts.
+
+    An edit takes away at most two of a text's pairs of neighbouring words. Pairs of texts that
+    share too few by that, or are linked through others already, are not aligned.
+    """
+    texts = [bytes(t) for t in part["text"]]
+    words = [w for a, b in _blocks([len(t) for t in texts]) for w in word_hashes(texts[a:b])]
+    numbers, begin, count = shared_grams(words)
+    mark = np.zeros(numbers.max() + 1, bool)
+    ids = part["id"].tolist()
+    names, root = np.unique(part["class_id"].to_numpy(), return_inverse=True)
+    above = list(range(len(names)))
+
+    def top(c: int) -> int:
+        while above[c] != c:
+            above[c] = c = above[above[c]]
+        return c
+
+    sizes = part["words"].to_numpy()
+    out = []
+    for g, hosts, agreed in _meetings(part, True):
+        mark[numbers[begin[g] : begin[g] + count[g]]] = True
+        n = count[hosts]
+        at = np.repeat(begin[hosts] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        common = np.add.reduceat(mark[numbers[at]].astype(np.int64), np.cumsum(n) - n)
+        mark[numbers[begin[g] : begin[g] + count[g]]] = False
+        longest, shortest = np.maximum(sizes[hosts], sizes[g]), np.minimum(sizes[hosts], sizes[g])
+        near = (longest - 1 - common <= 2 * ((1 - SIMILARITY) * longest + 1e-9)) | (shortest < SHINGLE)
+        order = np.argsort(-agreed[near], kind="stable")
+        for h in hosts[near][order].tolist():
+            one, two = top(int(root[g])), top(int(root[h]))
+            if one == two:
+                continue
+            found = similarity(words[g], words[h])
+            if found > 0:
+                above[max(one, two)] = min(one, two)
+                out.append((min(ids[g], ids[h]), max(ids[g], ids[h]), found))
+    return out
+
+
+def cell_links(rows: DataFrame, texts: DataFrame, chunk: int = CHUNK, classes: DataFrame | None = None) -> DataFrame:
+    """(a, b, similarity) of links between different classes, enough to hold together all that have one."""
+
+    def meeting(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in _groups(batches, CELL):
+            host, guest = np.zeros(len(part), bool), np.zeros(len(part), bool)
+            for g, hosts, _ in _meetings(part, True):
+                guest[g] = host[hosts] = True
+            part = part.assign(host=host, guest=guest)
+            yield part[host | guest]
+
+    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in _groups(batches, CELL):
+            yield pd.DataFrame(aligned_in_cell(part), columns=["a", "b", "similarity"])
+
+    dealt = _in_cells(cells(rows, chunk, classes))
+    met = saved(dealt.mapInPandas(meeting, dealt.schema), "met_rows")
+    needed = saved(_needed(texts, met.select("id").distinct()), "needed_texts")
+    return _in_cells(met.join(needed, "id")).mapInPandas(align, "a long, b long, similarity double")
+
+
+def _needed(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    return texts.join(saved(ids, "needed_ids"), "id", "left_semi").dropDuplicates(["id"])
+
+
 def _agreed_frame(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pd.DataFrame:
     one, two, agreed = (np.concatenate(x) for x in zip(*parts))
     return pd.DataFrame({"one": one, "two": two, "agreed": agreed.astype(np.int32)})
@@ -505,17 +616,14 @@ def near_links(sketched: DataFrame, texts: DataFrame, chunk: int = CHUNK) -> Dat
 
     def verified(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        needed = texts.join(saved(ends, "needed_ids"), "id", "left_semi").dropDuplicates(["id"])
-        needed = saved(needed, "needed_texts")
+        needed = saved(_needed(texts, ends), "needed_texts")
         return saved(verify(pairs, needed).filter("similarity > 0"), "links")
 
     tested = saved(close_pairs(rows, chunk), "pairs")
     links = verified(tested)
-    for best in (True, False):
-        fresh = candidate_pairs(rows, chunk, components(links), best).join(tested, ["a", "b"], "left_anti")
-        fresh = saved(fresh, "pairs")
-        links, tested = links.unionByName(verified(fresh)), tested.unionByName(fresh)
-    return links
+    fresh = candidate_pairs(rows, chunk, components(links), best=True).join(tested, ["a", "b"], "left_anti")
+    links = links.unionByName(verified(saved(fresh, "pairs")))
+    return links.unionByName(saved(cell_links(rows, texts, chunk, components(links)), "links"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -180,6 +180,49 @@ class TestOrderMinHash:
         found = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(documents(rows)).collect()}
         assert all(found[i] == i and found[100 + i] == i for i in range(40))
 
+    @pytest.mark.parametrize("chunk", [8192, 5])
+    def test_cells_send_fewer_links_than_classes(self, spark, chunk):
+        """Texts of like make-up that share a passage; some are near, each cell joins its classes once."""
+        om, rng = order_minhash, random.Random(chunk)
+        passage = sentence(5, 80)
+        texts = []
+        for i in range(30):
+            words = sentence(77, 80).split()
+            rng.shuffle(words)
+            texts += [passage + " " + " ".join(words)] + [passage + " " + edited(" ".join(words), 9, i + v) for v in range(i % 3)]
+        rows = spark.createDataFrame([(i, t.encode(), t.encode()) for i, t in enumerate(texts)], "id long, text_hash binary, text binary")
+        bucket_rows = om.candidate_rows(om.sketch_texts(rows))
+        found = [(r["a"], r["b"]) for r in om.cell_links(bucket_rows, rows.select("id", "text"), chunk).collect()]
+        words = [t.split() for t in texts]
+        near = {
+            (a, b)
+            for a in range(len(texts))
+            for b in range(a + 1, len(texts))
+            if levenshtein(words[a], words[b]) <= 0.2 * max(len(words[a]), len(words[b]))
+        }
+        assert near and set(found) <= near
+
+        def classes(links):
+            top = list(range(len(texts)))
+            for _ in texts:
+                for a, b in links:
+                    top[a] = top[b] = min(top[a], top[b])
+            return top
+
+        assert classes(found) == classes(near)
+        if chunk > len(texts):
+            assert len(found) <= om.SEEN * om.TABLES * len(texts)
+
+    @settings(max_examples=60, deadline=None)
+    @given(st.lists(st.integers(0, 3), min_size=2, max_size=25), st.lists(st.integers(0, 3), min_size=2, max_size=25))
+    def test_an_edit_takes_two_runs_at_most(self, one, two):
+        om = order_minhash
+        a, b = (om.word_hashes([" ".join(f"w{x}" for x in t).encode()])[0] for t in (one, two))
+        numbers, begin, count = om.shared_grams([a, b])
+        own, other = (set(numbers[begin[i] : begin[i] + count[i]].tolist()) for i in (0, 1))
+        assert len(own) == len(one) - 1 and len(other) == len(two) - 1
+        assert max(len(one), len(two)) - 1 - len(own & other) <= 2 * levenshtein(one, two)
+
     def test_star_family_is_one_class(self, documents):
         """Variants near a base that are not near each other, many enough to fill its buckets."""
         rng = random.Random(3)
