@@ -11,19 +11,19 @@ of fewer than BRIEF words one table is enough. Texts of at most TINY words also
 is left of them after as many words are taken out as they may differ in, which misses no pair.
 
 Equal texts are one class from the start, and only their first document goes on. Tables join
-by equality, in three passes; each one verifies its pairs and contracts classes. First, each
-text that agrees with one of the first texts of a bucket in CLOSE tables is compared with the
-one it agrees with most, so a group of copies costs a pair for each copy and is one class
-from then on. Second, each text is compared with the one of another class that agrees with
-it most. Third, all pairs that agree and are still of different classes are compared, so no
-link between classes is left out: the texts of such pairs go to the cells of their buckets,
-which align them there and send links only, fewer than they hold classes. Within a bucket,
-texts outside its largest class are compared with all others: a bucket of more than CHUNK
-texts is cut into cells of at most about CHUNK such texts and CHUNK others, each a task's
-work, so no bucket is cut off. Signatures decide what agrees before any text moves, and texts
-whose word counts alone ask for too many edits of all others stay behind. A pair is aligned
-in the cells of the first SEEN tables it agrees in, not in the first one only: a signature
-holds 16 bits of each bucket, which may agree by chance where there is no common cell.
+by equality, in three passes; each one verifies its pairs and contracts classes. First, the
+texts of a bucket that agree with one of its first texts in CLOSE tables are compared with
+it, so a copy costs one pair a table at most and a group of copies is one class from then on.
+Second, each text is compared with the one of another class that agrees with it most. Third,
+all pairs that agree and are still of different classes are compared, so no link between
+classes is left out: the texts of such pairs go to the cells of their buckets, which align
+them there and send links only, fewer than they hold classes. Within a bucket, texts outside
+its largest class are compared with all others: a bucket of more than CHUNK texts is cut into
+cells of at most about CHUNK such texts and CHUNK others, each a task's work, so no bucket is
+cut off. Signatures decide what agrees before any text moves, and texts whose word counts
+alone ask for too many edits of all others stay behind. A pair is aligned in the cells of the
+first SEEN tables it agrees in, not in the first one only: a signature holds 16 bits of each
+bucket, which may agree by chance where there is no common cell.
 Linked texts form classes by contraction rounds on the edge table. Every round is written
 to the shared folder; the driver sees counts only.
 
@@ -404,15 +404,14 @@ def _signatures(group: pd.DataFrame) -> np.ndarray:
 
 
 def close_pairs(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """(a, b), a < b: each text that agrees with a leader of a bucket in CLOSE tables, with the leader it agrees with most.
+    """Distinct (a, b), a < b, of texts and a leader of their bucket that agree in CLOSE tables.
 
-    Only saves the later passes work: texts that follow no leader here, or one that they are
-    not near, meet others there.
+    Only saves the later passes work: texts that follow no leader here meet there.
     """
     chunks = F.ceil(F.col("n") / chunk).cast("long")
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks))
-    # One order in all buckets, so that a group of copies has few leaders and they follow each other.
-    dealt = dealt.withColumn("turn", F.xxhash64("id"))
+    # The order decides who leads: another one for each bucket.
+    dealt = dealt.withColumn("turn", F.xxhash64("bucket", "id"))
     dealt = dealt.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "turn", "id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -426,21 +425,14 @@ def close_pairs(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
                 leader = left[np.maximum.accumulate(np.where(first, np.arange(len(left)), 0))]
                 agreed = (signatures[left] == signatures[leader]).sum(1)
                 close = ~first & (agreed >= CLOSE)
-                if close.any():
-                    yield _agreed_frame([(ids[left[close]], ids[leader[close]], agreed[close])])
+                yield _pair_frame(ids[leader[close]], ids[left[close]])
                 left = left[~first & ~close]
 
-    dealt = dealt.select("bucket", "chunk", "id", "signature")
-    return _ordered(_most_agreeing(dealt.mapInPandas(run, "one long, two long, agreed int")))
+    return dealt.select("bucket", "chunk", "id", "signature").mapInPandas(run, "a long, b long").distinct()
 
 
-def _most_agreeing(met: DataFrame) -> DataFrame:
-    """For each text `one` the `two` that it agrees with in most tables."""
-    return met.groupBy("one").agg(F.max_by("two", F.struct("agreed", "two")).alias("two"))
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
+def _pair_frame(one: np.ndarray, two: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"a": np.minimum(one, two), "b": np.maximum(one, two)}, dtype="int64")
 
 
 CELL = ["bucket", "i", "j"]
@@ -544,8 +536,8 @@ def candidate_pairs(
 
     found = _in_cells(cells(rows, chunk, classes)).mapInPandas(run, "one long, two long, agreed int")
     if best:
-        found = _most_agreeing(found)
-    return _ordered(found)
+        found = found.groupBy("one").agg(F.max_by("two", F.struct("agreed", "two")).alias("two"))
+    return found.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
 
 
 def aligned_in_cell(part: pd.DataFrame) -> list[tuple[int, int, float]]:
