@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter, defaultdict
 from datetime import date, datetime, timedelta
 from decimal import Decimal as D
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from crosstally.operators import asof, matching
 from crosstally.operators.contracts import FX_RATE, PROVIDER_EVENT, TARIFF, conform
-from crosstally.operators.quality import match_key_problems
+from crosstally.operators.quality import match_key_problems, multiset_differences
 from crosstally.operators.skew import salted_join
 
 DAY0 = date(2026, 1, 1)
@@ -201,3 +202,16 @@ def test_salted_join_spreads_copies_and_keeps_all_rows(spark, how):
     got = Counter(tuple(r) for r in salted_join(many, unique, ["k"], how).collect())
     plain = Counter(tuple(r) for r in many.join(unique, ["k"], how).collect())
     assert got == plain
+
+
+def test_sorts_of_keys_start_with_what_differs(spark):
+    """A sort compares eight bytes of its first column at once; rule and psp would be equal there."""
+    engine, provider = sides(spark, ["a", "b", "b", None], ["a", "b", "c"])
+    for rule in (ONE, ANY):
+        plan = matching.match(engine, provider, rule)._jdf.queryExecution().sparkPlan().toString()
+        keys = re.findall(r"Aggregate\(keys?=\[(\w+)", plan)
+        assert keys and set(keys) == {"_hash"}
+    both = matching.match(engine, provider, ANY)
+    counted = multiset_differences(both, both)
+    plan = counted._jdf.queryExecution().sparkPlan().toString()
+    assert re.findall(r"Aggregate\(keys?=\[(\w+)", plan)[0] == "_hash" and "_hash" not in counted.columns
