@@ -129,6 +129,16 @@ def test_rows_without_ids_are_kept(spark):
     assert status == ["engine_only", "engine_only", "provider_only", "provider_only"]
 
 
+def test_joins_of_pairs_compare_ids_first(spark):
+    engine, provider = frame(spark, [E_DEFAULT], ENGINE_EVENT), frame(spark, [P_DEFAULT], VALUED_EVENT)
+    matches = frame(spark, [dict(psp="p", engine_txn_id="E", provider_event_id="P", match_method="m")], MATCH)
+    pairs = rec.pair_set(engine, provider, matches)
+    plan = pairs._jdf.queryExecution().sparkPlan().toString()
+    keys = [line.split("Join [")[1] for line in plan.splitlines() if "Join [" in line]
+    assert len(keys) == 4 and all(k.startswith(("engine_txn_id", "provider_event_id")) for k in keys)
+    assert pairs.columns[:3] == ["psp", "provider_event_id", "engine_txn_id"]
+
+
 def test_repeated_keys_are_unexplained_not_missing(spark):
     engine = frame(spark, [{**E_DEFAULT, "engine_txn_id": f"E{i}"} for i in range(3)], ENGINE_EVENT)
     provider = frame(spark, [{**P_DEFAULT, "provider_event_id": f"P{i}"} for i in range(3)], VALUED_EVENT)
