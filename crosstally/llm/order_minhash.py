@@ -13,7 +13,8 @@ is left of them after as many words are taken out as they may differ in, which m
 Equal texts are one class from the start, and only their first document goes on. Tables join
 by equality, in three passes; each one verifies its pairs and contracts classes. First, the
 texts of a bucket that agree with one of its first texts in CLOSE tables are compared with
-it, so a copy costs one pair a table at most and a group of copies is one class from then on.
+it. The order of texts is the same in all buckets, so copies follow the same few texts: a copy
+costs few pairs, never more than one a table, and a group of copies is one class from then on.
 Second, each text is compared with the one of another class that agrees with it most. Third,
 all pairs that agree and are still of different classes are compared, so no link between
 classes is left out: the texts of such pairs go to the cells of their buckets, which align
@@ -24,8 +25,9 @@ cut off. Signatures decide what agrees before any text moves, and texts whose wo
 alone ask for too many edits of all others stay behind. A pair is aligned in the cells of the
 first SEEN tables it agrees in, not in the first one only: a signature holds 16 bits of each
 bucket, which may agree by chance where there is no common cell.
-Linked texts form classes by contraction rounds on the edge table. Every round is written
-to the shared folder; the driver sees counts only.
+Linked texts form classes by contraction rounds on the edge table; links of a later pass are
+between the classes so far. Every round is written to the shared folder; the driver sees
+counts only.
 
 Results for odd input: a null text counts as empty; texts without words are near nothing
 and equal only to the same text; texts of one word have that word as their only shingle;
@@ -187,28 +189,33 @@ def longest_chain(positions: np.ndarray) -> np.ndarray:
 
 
 def banded_distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """Edit distance of two sequences if it is at most `band`, else more than `band`."""
+    """Edit distance of two sequences if it is at most `band`, else more than `band`.
+
+    Bits of whole numbers hold where a column of the table of distances goes up or down
+    (Myers 1999), so a word of `b` costs a few operations, however long `a` is.
+    """
     n, m = len(a), len(b)
     if abs(n - m) > band:
         return band + 1
     if not n or not m:
         return max(n, m)
-    far = band + 1
-    steps = np.arange(m + 1)
-    row = np.where(steps <= band, steps, far)
-    for i in range(1, n + 1):
-        low, high = max(0, i - band), min(m, i + band)
-        fresh = np.full(m + 1, far)
-        fresh[low : high + 1] = row[low : high + 1] + 1
-        first = max(low, 1)
-        inner = fresh[first : high + 1]
-        np.minimum(inner, row[first - 1 : high] + (b[first - 1 : high] != a[i - 1]), out=inner)
-        part = fresh[low : high + 1] - steps[low : high + 1]
-        fresh[low : high + 1] = np.minimum.accumulate(part) + steps[low : high + 1]
-        row = fresh
-        if row.min() > band:
-            return far
-    return int(row[m])
+    at: dict[int, int] = {}
+    for i, word in enumerate(a.tolist()):
+        at[word] = at.get(word, 0) | 1 << i
+    full, top = (1 << n) - 1, n - 1
+    up, down, found = full, 0, n
+    for left, word in zip(range(m - 1, -1, -1), b.tolist()):
+        same = at.get(word, 0)
+        level = (((same & up) + up) ^ up) | same | down
+        right_up = down | (full & ~(level | up))
+        right_down = up & level
+        found += (right_up >> top & 1) - (right_down >> top & 1)
+        if found - left > band:
+            return band + 1
+        right_up = right_up << 1 | 1
+        up = (right_down << 1 | ~(level | right_up)) & full
+        down = right_up & level & full
+    return found
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -217,14 +224,21 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     The chain is a longest one inside the band; what lies between its k-mers is aligned
     word by word if the simple bound on its edits does not decide.
     """
+    size = min(K, len(a), len(b))
+    if not size:
+        return 0.0
+    one, two = kmers(a, size), kmers(b, size)
+    _, i, j = np.intersect1d(labelled(one), labelled(two), assume_unique=True, return_indices=True)
+    return along_shared(a, b, size, i, j)
+
+
+def along_shared(a: np.ndarray, b: np.ndarray, size: int, i: np.ndarray, j: np.ndarray) -> float:
+    """The same, if the places of all shared k-mers of `size` words are known."""
     n, m = len(a), len(b)
     longest = max(n, m)
     band = int((1 - SIMILARITY) * longest + 1e-9)
-    if not n or not m or abs(n - m) > band:
+    if abs(n - m) > band:
         return 0.0
-    size = min(K, n, m)
-    one, two = kmers(a, size), kmers(b, size)
-    _, i, j = np.intersect1d(labelled(one), labelled(two), assume_unique=True, return_indices=True)
     near = np.abs(i - j) <= band
     order = np.argsort(i[near])
     i, j = i[near][order], j[near][order]
@@ -353,6 +367,18 @@ def components(links: DataFrame) -> DataFrame:
     return classes
 
 
+def more_linked(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes of `components` after more links (a, b): only what lies between classes is contracted."""
+    at_a = classes.select(F.col("id").alias("a"), F.col("class_id").alias("class_a"))
+    at_b = classes.select(F.col("id").alias("b"), F.col("class_id").alias("class_b"))
+    between = links.select("a", "b").join(at_a, "a", "left").join(at_b, "b", "left")
+    between = between.select(F.coalesce("class_a", "a").alias("a"), F.coalesce("class_b", "b").alias("b"))
+    joined = components(between.filter("a <> b"))
+    moved = joined.select(F.col("id").alias("class_id"), F.col("class_id").alias("low"))
+    known = classes.join(moved, "class_id", "left").select("id", F.coalesce("low", "class_id").alias("class_id"))
+    return saved(known.unionByName(joined.join(classes, "id", "left_anti")), "classes")
+
+
 def candidate_rows(sketched: DataFrame) -> DataFrame:
     """(bucket, id, n, place, signature, bins, words) of the buckets with several texts.
 
@@ -365,13 +391,35 @@ def candidate_rows(sketched: DataFrame) -> DataFrame:
     return saved(shared.join(sketched.select("id", "signature", "bins", "words"), "id"), "bucket_rows")
 
 
-def shared_grams(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The labelled runs of SHINGLE words of all texts, numbered: (numbers, begin and count of each text's)."""
-    grams = [labelled(kmers(words, SHINGLE)) for words in texts]
+def shared_grams(texts: list[np.ndarray], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The labelled runs of `size` words of all texts, numbered: (numbers, begin and count of each text's)."""
+    grams = [labelled(kmers(words, size)) for words in texts]
     counts = np.array([len(g) for g in grams])
     return np.unique(np.concatenate(grams), return_inverse=True)[1], np.cumsum(counts) - counts, counts
 
 
+class Grams:
+    """The labelled runs of `size` words of all texts, and which of them texts share."""
+
+    def __init__(self, texts: list[np.ndarray], size: int):
+        self.numbers, self.begin, self.count = shared_grams(texts, size)
+        self._place = np.full(len(self.numbers), -1)
+
+    def of(self, text: int) -> np.ndarray:
+        return self.numbers[self.begin[text] : self.begin[text] + self.count[text]]
+
+    def shared(self, text: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """How many runs each of the others shares with the text, and of all these the places in both."""
+        own, n = self.of(text), self.count[others]
+        first = np.cumsum(n) - n
+        within = np.arange(n.sum()) - np.repeat(first, n)
+        self._place[own] = np.arange(len(own))
+        place = self._place[self.numbers[np.repeat(self.begin[others], n) + within]]
+        self._place[own] = -1
+        held = place >= 0
+        return np.add.reduceat(held.astype(np.int64), first), place[held], within[held]
+
+
 def agreeing(
     signature: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -410,9 +458,8 @@ def close_pairs(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """
     chunks = F.ceil(F.col("n") / chunk).cast("long")
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks))
-    # The order decides who leads: another one for each bucket.
-    dealt = dealt.withColumn("turn", F.xxhash64("bucket", "id"))
-    dealt = dealt.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "turn", "id")
+    # The smallest ids lead wherever they are, and links to smaller ids contract in few rounds.
+    dealt = dealt.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -543,13 +590,13 @@ def candidate_pairs(
 def aligned_in_cell(part: pd.DataFrame) -> list[tuple[int, int, float]]:
     """(a, b, similarity) of links that join the classes of a cell whose rows hold their texts.
 
-    An edit takes away at most two of a text's pairs of neighbouring words. Pairs of texts that
-    share too few by that, or are linked through others already, are not aligned.
+    An edit takes away at most one of a text's words, and two of its pairs of neighbouring words.
+    Pairs of texts that share too few by that, or are linked through others already, are not
+    aligned. Words, pairs and k-mers are numbered once for the cell, not for each pair of texts.
     """
     texts = [bytes(t) for t in part["text"]]
     words = [w for a, b in _blocks([len(t) for t in texts]) for w in word_hashes(texts[a:b])]
-    numbers, begin, count = shared_grams(words)
-    mark = np.zeros(numbers.max() + 1, bool)
+    single, double, longer = (Grams(words, size) for size in (1, SHINGLE, K))
     ids = part["id"].tolist()
     names, root = np.unique(part["class_id"].to_numpy(), return_inverse=True)
     above = list(range(len(names)))
@@ -562,19 +609,24 @@ def aligned_in_cell(part: pd.DataFrame) -> list[tuple[int, int, float]]:
     sizes = part["words"].to_numpy()
     out = []
     for g, hosts, agreed in _meetings(part, True):
-        mark[numbers[begin[g] : begin[g] + count[g]]] = True
-        n = count[hosts]
-        at = np.repeat(begin[hosts] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        common = np.add.reduceat(mark[numbers[at]].astype(np.int64), np.cumsum(n) - n)
-        mark[numbers[begin[g] : begin[g] + count[g]]] = False
-        longest, shortest = np.maximum(sizes[hosts], sizes[g]), np.minimum(sizes[hosts], sizes[g])
-        near = (longest - 1 - common <= 2 * ((1 - SIMILARITY) * longest + 1e-9)) | (shortest < SHINGLE)
-        order = np.argsort(-agreed[near], kind="stable")
-        for h in hosts[near][order].tolist():
+        longest = np.maximum(sizes[hosts], sizes[g])
+        near = longest - single.shared(g, hosts)[0] <= (1 - SIMILARITY) * longest + 1e-9
+        hosts, agreed, longest = hosts[near], agreed[near], longest[near]
+        if not len(hosts):
+            continue
+        shortest = np.minimum(sizes[hosts], sizes[g])
+        near = longest - 1 - double.shared(g, hosts)[0] <= 2 * ((1 - SIMILARITY) * longest + 1e-9)
+        near |= shortest < SHINGLE
+        hosts, agreed, shortest = hosts[near], agreed[near], shortest[near]
+        order = np.argsort(-agreed, kind="stable")
+        for h, least in zip(hosts[order].tolist(), shortest[order].tolist()):
             one, two = top(int(root[g])), top(int(root[h]))
             if one == two:
                 continue
-            found = similarity(words[g], words[h])
+            if least < K:
+                found = similarity(words[g], words[h])
+            else:
+                found = along_shared(words[g], words[h], K, *longer.shared(g, np.array([h]))[1:])
             if found > 0:
                 above[max(one, two)] = min(one, two)
                 out.append((min(ids[g], ids[h]), max(ids[g], ids[h]), found))
@@ -611,8 +663,8 @@ def _agreed_frame(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pd.
     return pd.DataFrame({"one": one, "two": two, "agreed": agreed.astype(np.int32)})
 
 
-def near_links(sketched: DataFrame, texts: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """(a, b, similarity) of near texts with a < b: as many as hold their classes together."""
+def near_links(sketched: DataFrame, texts: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """(a, b, similarity) of near texts with a < b, as many as hold their classes together, and these as (id, class_id)."""
     rows = candidate_rows(sketched)
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -621,10 +673,13 @@ def near_links(sketched: DataFrame, texts: DataFrame, chunk: int = CHUNK) -> Dat
         return saved(verify(pairs, needed).filter("similarity > 0"), "links")
 
     tested = saved(close_pairs(rows, chunk), "pairs")
-    links = verified(tested)
-    fresh = candidate_pairs(rows, chunk, components(links), best=True).join(tested, ["a", "b"], "left_anti")
-    links = links.unionByName(verified(saved(fresh, "pairs")))
-    return links.unionByName(saved(cell_links(rows, texts, chunk, components(links)), "links"))
+    led = verified(tested)
+    classes = components(led)
+    fresh = candidate_pairs(rows, chunk, classes, best=True).join(tested, ["a", "b"], "left_anti")
+    best = verified(saved(fresh, "pairs"))
+    classes = more_linked(classes, best)
+    rest = saved(cell_links(rows, texts, chunk, classes), "links")
+    return led.unionByName(best).unionByName(rest), more_linked(classes, rest)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -644,7 +699,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     unique = saved(alone.select(F.col("node").alias("id"), "buckets", "signature", "bins", "words"), "alone")
     # Rows that repeat id and text are several here; `near_links` takes one of those it needs.
     node_texts = plain.join(heads, ["id", "text_hash"]).select(F.col("node").alias("id"), "text")
-    classes = components(near_links(unique, node_texts)).withColumnRenamed("id", "node")
+    classes = near_links(unique, node_texts)[1].withColumnRenamed("id", "node")
     named = first.join(classes, "node", "left").withColumn("class_id", F.coalesce("class_id", "node"))
     # A class goes by its smallest id; of texts that share it, the one whose digest comes first stays.
     lowest = named.groupBy("class_id").agg(F.min(F.struct("first_id", "text_hash")).alias("low"))
