@@ -50,10 +50,17 @@ SAMPLE_DOCS = 600
 SAMPLE_TOKENS = 48
 #: Window starts of one piece of a long text; a block of pieces stays below 2**24 bytes.
 PIECE = 1 << 22
+#: Bytes of the pieces worked on at once: their arrays of words stay in a core's cache.
+BLOCK = 1 << 15
 PLACE = np.uint64((1 << 24) - 1)
 NULL_ID = -(1 << 63)
 
 
+def words_at(data: bytes) -> np.ndarray:
+    """At each place the next 8 bytes as one number, the first byte highest."""
+    return np.ndarray(len(data) - 7, ">u8", data, strides=(1,)).astype(np.uint64)
+
+
 class Block:
     """Anchored suffixes of some texts: groups of neighbouring passages with one anchor."""
 
@@ -61,9 +68,7 @@ class Block:
         self.data = b"".join(part for _, _, part in pieces)
         sizes = np.array([len(part) for _, _, part in pieces])
         begins = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        word = np.frombuffer(self.data, np.uint8).astype(np.uint64)
-        for width in (1, 2, 4):  # the next 8 bytes, the first one highest
-            word = (word[:-width] << np.uint64(8 * width)) | word[width:]
+        word = words_at(self.data)
         mixed = mix64(word)
         token = mixed[:-8] * np.uint64(0x9E3779B97F4A7C15) ^ mixed[8:]
         low = (token & ~PLACE) | np.arange(len(token), dtype=np.uint64)
@@ -97,7 +102,7 @@ def blocks(texts: Sequence[bytes]) -> Iterator[Block]:
             part = text[offset : offset + PIECE + SPAN - 1]
             pieces.append((doc, offset, part))
             size += len(part)
-            if size >= PIECE:
+            if size >= BLOCK:
                 yield Block(pieces)
                 pieces, size = [], 0
     if pieces:
@@ -121,20 +126,22 @@ class Batch:
         key = np.concatenate([b.key for b in self.blocks])
         doc = np.concatenate([b.doc for b in self.blocks])
         head = np.concatenate([b.head for b in self.blocks])
-        order = np.argsort(key, kind="stable")
-        k, d = key[order], doc[order]
+        order = np.argsort(key)
+        k = key[order]
         new = np.concatenate(([True], k[1:] != k[:-1]))
-        new_doc = new | np.concatenate(([True], d[1:] != d[:-1]))
         first = np.flatnonzero(new)
-        docs = np.add.reduceat(new_doc.astype(np.int64), first)
+        rank = np.cumsum(new) - 1
+        held = np.sort(rank * len(texts) + doc[order])  # by key, then document
+        held = held[np.concatenate(([True], held[1:] != held[:-1]))]
+        docs = np.bincount(held // len(texts), minlength=len(first))
         bucket = np.searchsorted(splitters, _leading(head[order[first]]), "right")
-        ranked = np.lexsort((k[first], bucket))
+        ranked = np.argsort(bucket.astype(np.min_scalar_type(len(splitters))), kind="stable")  # the keys are in order already
         self.keys, self.bucket, self.docs = k[first][ranked], bucket[ranked], docs[ranked]
         place = np.empty(len(ranked), np.int64)
         place[ranked] = np.arange(len(ranked))
         #: For each group of passages, in order: the place of its key.
         self.place = np.empty(len(key), np.int64)
-        self.place[order] = place[np.cumsum(new) - 1]
+        self.place[order] = place[rank]
 
     def cuts(self) -> Iterator[tuple[int, int, int]]:
         """(bucket, from, to) of the stretches of keys."""
@@ -150,7 +157,7 @@ def _stretches(sorted_values: np.ndarray) -> Iterator[tuple[int, int, int]]:
 
 def _classes(keys: np.ndarray, docs: np.ndarray, hot: int) -> np.ndarray:
     """0: a token of one document, 1: of several, 2: of more than `hot`."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     k = keys[order]
     first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
     total = np.add.reduceat(docs[order], first)
@@ -203,54 +210,62 @@ class Contexts:
 def multikey_runs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sort rows by their columns from left to right: (order, starts of runs of equal rows).
 
-    Rows that a column has told apart are not looked at again.
+    Rows that a column has told apart are not looked at again, and runs that a column finds
+    equal are not sorted by it.
     """
-    order = np.argsort(words[:, 0], kind="stable")
+    order = np.argsort(words[:, 0])
     value = words[order, 0]
-    new = np.concatenate(([True], value[1:] != value[:-1]))
+    new = np.concatenate(([True], value[1:] != value[:-1], [True]))
+    tied = np.flatnonzero(~(new[:-1] & new[1:]))
     for column in range(1, words.shape[1]):
-        first = np.flatnonzero(new)
-        length = np.diff(np.concatenate((first, [len(new)])))
-        tied = np.flatnonzero(np.repeat(length > 1, length))
         if not len(tied):
             break
-        run = np.cumsum(new)[tied]
-        rows = order[tied]
-        rows = rows[np.lexsort((words[rows, column], run))]
-        order[tied] = rows
+        first, value = new[tied], words[order[tied], column]
+        run = np.cumsum(first)
+        differs = np.concatenate(([False], ~first[1:] & (value[1:] != value[:-1])))
+        mixed = np.zeros(run[-1] + 1, bool)
+        mixed[run[differs]] = True
+        moved = np.flatnonzero(mixed[run])
+        if not len(moved):
+            continue
+        at = tied[moved]
+        rows = order[at]
+        rows = rows[np.lexsort((words[rows, column], run[moved]))]
+        order[at] = rows
         value = words[rows, column]
-        new[tied[1:]] |= value[1:] != value[:-1]
-    return order, np.flatnonzero(new)
+        new[at[1:]] |= value[1:] != value[:-1]
+        tied = tied[~(new[tied] & new[tied + 1])]
+    return order, np.flatnonzero(new[:-1])
 
 
 def passages_of(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All passages as rows of 64-bit words, and the number of each text's passages."""
     sizes = np.array([len(t) for t in texts])
-    data = np.frombuffer(b"".join(texts) + bytes(8), np.uint8).astype(np.uint64)
-    for width in (1, 2, 4):
-        data = (data[:-width] << np.uint64(8 * width)) | data[width:]
+    data = words_at(b"".join(texts))
     counts = sizes - SPAN + 1
     begins = np.cumsum(sizes) - sizes
     starts = np.repeat(begins - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
     places = [*range(0, SPAN - 8, 8), SPAN - 8]  # the last word overlaps the one before
-    return np.stack([data[starts + p] for p in places], 1), counts
+    return np.stack([data[starts + p] for p in places]).T, counts
 
 
-def smaller_holders(texts: Sequence[bytes], docs: np.ndarray) -> list[np.ndarray]:
-    """For each passage of each context: does a document below the context's own hold it?"""
-    best: dict[bytes, int] = {}
-    for text, doc in zip(texts, docs.tolist()):
-        if best.setdefault(text, doc) > doc:
-            best[text] = doc
-    distinct, owners = [*best], np.array([*best.values()], np.int64)
-    words, counts = passages_of(distinct)
+def smaller_holders(texts: Sequence[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each passage of each context: does a document below the context's own hold it? And their numbers."""
+    known: dict[bytes, int] = {}
+    own = np.array([known.setdefault(text, len(known)) for text in texts], np.int64)
+    owners = np.full(len(known), np.iinfo(np.int64).max)
+    np.minimum.at(owners, own, docs)
+    words, counts = passages_of([*known])
     holder = np.repeat(owners, counts)
     order, first = multikey_runs(words)
-    smallest = np.minimum.reduceat(holder[order], first)
+    held = holder[order]
+    smallest = np.minimum.reduceat(held, first)
     below = np.empty(len(order), bool)
-    below[order] = np.repeat(smallest, np.diff(np.concatenate((first, [len(order)])))) < holder[order]
-    parts = dict(zip(distinct, np.split(below, np.cumsum(counts)[:-1])))
-    return [parts[t] if doc == best[t] else np.ones(len(parts[t]), bool) for t, doc in zip(texts, docs.tolist())]
+    below[order] = np.repeat(smallest, np.diff(np.append(first, len(order)))) < held
+    begin = np.cumsum(counts) - counts
+    n = counts[own]
+    at = np.repeat(begin[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    return below[at] | np.repeat(docs != owners[own], n), n
 
 
 def merged(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -348,11 +363,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                 texts.append(data[begin:end])
                 begin = end
             counts.append(n)
-        below = smaller_holders(texts, np.concatenate(holders))
-        out, at = [], 0
-        for n in counts:
-            out.append(np.packbits(np.concatenate(below[at : at + n])).tobytes())
-            at += n
+        below, passages = smaller_holders(texts, np.concatenate(holders))
+        ends = np.concatenate(([0], np.cumsum(passages)))[np.cumsum(counts)]
+        out = [np.packbits(bits).tobytes() for bits in np.split(below, ends[:-1])]
         return pd.DataFrame({"batch": part["batch"], "step": 2, "bucket": part["bucket"], "data": out})
 
     def cut_spans(part: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:

@@ -223,6 +223,57 @@ class TestOrderMinHash:
         assert len(own) == len(one) - 1 and len(other) == len(two) - 1
         assert max(len(one), len(two)) - 1 - len(own & other) <= 2 * levenshtein(one, two)
 
+    def test_copies_follow_few_leaders(self, spark):
+        """Every copy of a group is compared with a few others in the first pass, not with one a table."""
+        om, rng, base = order_minhash, random.Random(8), sentence(70, 150).split()
+        texts = []
+        for i in range(300):
+            words = list(base)
+            for at in rng.sample(range(150), 6):
+                words[at] = f"own{i}x{at}"
+            texts.append(" ".join(words).encode())
+        rows = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "id long, text_hash binary, text binary")
+        bucket_rows = om.candidate_rows(om.sketch_texts(rows))
+        pairs = om.close_pairs(bucket_rows)
+        assert pairs.count() < 12 * 300
+        links = om.verify(pairs, rows.select("id", "text")).filter("similarity > 0")
+        classes = [r["class_id"] for r in om.components(links).collect()]
+        assert len(classes) > 290 and classes.count(0) > 290
+
+    def test_more_linked_extends_classes(self, spark):
+        om, rng = order_minhash, random.Random(4)
+        links = [tuple(sorted(rng.sample(range(80), 2))) for _ in range(60)]
+        first, later = (spark.createDataFrame(x, "a long, b long") for x in (links[:30], links[30:]))
+        extended = {tuple(r) for r in om.more_linked(om.components(first), later).collect()}
+        assert extended == {tuple(r) for r in om.components(first.union(later)).collect()}
+        known = om.components(first)
+        assert {tuple(r) for r in om.more_linked(known, first).collect()} == {tuple(r) for r in known.collect()}
+
+    @settings(max_examples=100, deadline=None)
+    @given(
+        st.lists(st.integers(0, 5), min_size=1, max_size=40),
+        st.lists(st.integers(0, 5), min_size=1, max_size=40),
+        st.integers(0, 20),
+    )
+    def test_distance_within_a_band(self, one, two, band):
+        om = order_minhash
+        a, b = (om.word_hashes([" ".join(f"w{x}" for x in t).encode()])[0] for t in (one, two))
+        assert min(om.banded_distance(a, b, band), band + 1) == min(levenshtein(one, two), band + 1)
+
+    def test_grams_of_a_cell_give_the_similarity_of_each_pair(self):
+        om, rng = order_minhash, random.Random(6)
+        texts = [[rng.choice("abcdef") for _ in range(rng.randint(5, 40))] for _ in range(30)]
+        texts += [t[: len(t) // 2] + ["new"] + t[len(t) // 2 :] for t in texts]
+        words = om.word_hashes([" ".join(t).encode() for t in texts])
+        single, longer = om.Grams(words, 1), om.Grams(words, om.K)
+        others = np.arange(len(texts))
+        for i, text in enumerate(texts):
+            shared = single.shared(i, others)[0].tolist()
+            assert shared == [sum(min(text.count(w), t.count(w)) for w in set(text)) for t in texts]
+            for j in others.tolist():
+                places = longer.shared(i, np.array([j]))[1:]
+                assert om.along_shared(words[i], words[j], om.K, *places) == om.similarity(words[i], words[j])
+
     def test_star_family_is_one_class(self, documents):
         """Variants near a base that are not near each other, many enough to fill its buckets."""
         rng = random.Random(3)
@@ -307,6 +358,31 @@ class TestSuffixDedup:
                 assert doc in (0, 2)
                 assert block.data[begin : begin + count + 49] == data[offset : offset + count + 49]
 
+    def test_small_blocks_of_texts(self):
+        """Texts are worked on a few at a time, with the same groups of passages."""
+        texts = [sentence(i, 300).encode() for i in range(200)]
+        found = [*suffix_dedup.blocks(texts)]
+        longest = max(map(len, texts))
+        assert all(len(b.data) < suffix_dedup.BLOCK + longest for b in found)
+        alone = [(i, b) for i, t in enumerate(texts) for b in suffix_dedup.blocks([t])]
+        for name in ("offset", "count", "key", "head"):
+            together, apart = (np.concatenate([getattr(b, name) for b in x]) for x in (found, [b for _, b in alone]))
+            assert (together == apart).all()
+        assert np.concatenate([b.doc for b in found]).tolist() == [i for i, b in alone for _ in b.key]
+
+    def test_smaller_holders(self):
+        rng = random.Random(9)
+        parts = ["".join(rng.choices("abc", k=30)) for _ in range(6)]
+        texts = ["".join(rng.choices(parts, k=rng.randint(2, 4))).encode() for _ in range(60)]
+        docs = np.array([rng.randint(0, 30) for _ in texts])
+        found, counts = suffix_dedup.smaller_holders(texts, docs)
+        assert counts.tolist() == [len(t) - 49 for t in texts]
+        smallest = {}
+        passages = [(t[i : i + 50], d) for t, d in zip(texts, docs.tolist()) for i in range(len(t) - 49)]
+        for passage, doc in passages:
+            smallest[passage] = min(doc, smallest.get(passage, doc))
+        assert found.tolist() == [smallest[passage] < doc for passage, doc in passages]
+
     @settings(max_examples=60, deadline=None)
     @given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 2), st.integers(0, 1)), min_size=1, max_size=40))
     def test_multikey_runs(self, rows):
