@@ -342,6 +342,88 @@ class TestSuffixDedup:
             data = (texts[r["doc_id"]] or "").encode()
             assert sum(b - a for a, b in zip(r["span_from"], r["span_to"])) == r["n_removed"] <= len(data)
 
+    def test_chance_repeats_do_not_travel(self):
+        """Texts that share words and tokens, but no passage, send no contexts; a shared passage sends its own."""
+        rng = random.Random(8)
+        middle = b"a token of twenty-four b"
+        noise = [bytes(rng.choices(b"abcdefghijklmnopqrstuvwxyz", k=60)) for _ in range(400)]
+        one, two = ([x + middle + y for x, y in zip(n[::2], n[1::2])] for n in (noise[:200], noise[200:]))
+        cuts = np.array([], "S16")
+        batches = [suffix_dedup.Batch(texts, cuts) for texts in (one, two, [one[7]])]
+
+        def sent(*chosen):
+            keys = np.concatenate([b.keys for b in chosen])
+            kinds = suffix_dedup._classes(keys, np.concatenate([b.more for b in chosen]), 1000)
+            parts = np.split(kinds, np.cumsum([len(b.keys) for b in chosen])[:-1])
+            return [suffix_dedup.Contexts(b, k, 1, local=False).texts for b, k in zip(chosen, parts)]
+
+        assert sent(batches[0], batches[1]) == [[], []]
+        for texts in sent(batches[0], batches[2]):
+            held = {t[i : i + 50] for t in texts for i in range(len(t) - 49)}
+            assert {one[7][i : i + 50] for i in range(len(one[7]) - 49)} <= held
+
+    def test_keys_of_one_batch_are_settled_there(self):
+        """What several documents of one batch only hold is no answer of a bucket."""
+        text = sentence(21, 60).encode()
+        batch = suffix_dedup.Batch([text, text[:150], sentence(22, 60).encode()], np.array([], "S16"))
+        alone = np.full(len(batch.keys), suffix_dedup.ALONE, np.uint8)
+        assert suffix_dedup.Contexts(batch, alone, 4, local=False).texts == []
+        found = suffix_dedup.Contexts(batch, alone, 4, local=True)
+        assert {*found.bucket} == {8}
+        held = {t[i : i + 50] for t in found.texts for i in range(len(t) - 49)}
+        assert {text[i : i + 50] for i in range(101)} <= held
+
+    def test_copies_share_a_batch(self, documents):
+        """Copies and near copies meet in one batch, unless they are more than a batch holds; short and null texts have one too."""
+        rows = []
+        for i in range(40):
+            text = sentence(500 + i, 80)
+            rows += [(i, text), (100 + i, text), (200 + i, text + " end"), (300 + i, text[:40]), (400 + i, None)]
+        plain = documents(rows).selectExpr("doc_id AS id", "cast(coalesce(text, '') AS binary) AS text")
+        of = {r["id"]: r["batch"] for r in suffix_dedup.dealt_alike(plain, 16, 1 << 20).collect()}
+        assert len(of) == len(rows) and {*of.values()} <= {*range(16)}
+        assert all(of[i] == of[100 + i] for i in range(40))
+        assert sum(of[i] == of[200 + i] for i in range(40)) >= 36
+        copies = documents([(i, sentence(500, 80)) for i in range(64)])
+        plain = copies.selectExpr("doc_id AS id", "cast(text AS binary) AS text")
+        assert len({r["batch"] for r in suffix_dedup.dealt_alike(plain, 64, 2000).collect()}) > 8
+
+    def test_least_tokens(self):
+        """One hash for each text of a passage or more, whatever is worked on with it."""
+        rng = random.Random(2)
+        texts = [rng.randbytes(rng.choice([0, 7, 49, 50, 51, 300, 40_000])) for _ in range(80)] + [b"x" * 20]
+        found = suffix_dedup.least_tokens(texts)
+        assert [x is None for x in found] == [len(t) < 50 for t in texts]
+        assert found == [suffix_dedup.least_tokens([t])[0] for t in texts]
+
+    @pytest.mark.parametrize("ahead, count", [(34, 35), (17, 18), (34, 17), (20, 9), (0, 1), (6, 7), (7, 2)])
+    def test_steps(self, ahead, count):
+        cut = [*suffix_dedup._steps(ahead, count)]
+        assert [p for a, b in cut for p in range(a, b)] == [*range(count)]
+        assert all((ahead - a) // 7 == (ahead - b + 1) // 7 for a, b in cut)
+        assert len({(ahead - a) // 7 for a, _ in cut}) == len(cut)
+
+    def test_messages(self):
+        numbers = np.array([0, 5, -(1 << 63), 1 << 40], np.int64)
+        assert suffix_dedup.from_planes(suffix_dedup.planes(numbers)).tolist() == numbers.tolist()
+        for data in (b"", b"ab", b"ab" * 500):
+            assert suffix_dedup.unpacked(suffix_dedup.packed(data), len(data)) == data
+        assert len(suffix_dedup.packed(b"ab" * 500)) < 100
+
+    @pytest.mark.parametrize("hot", [1000, 2, 0])
+    def test_many_batches(self, documents, monkeypatch, hot):
+        """Passages that meet over many batches and buckets, some in many surroundings."""
+        monkeypatch.setattr(suffix_dedup, "LEAST_BATCH", 1 << 11)
+        monkeypatch.setattr(suffix_dedup, "LEAST_BUCKET", 1 << 12)
+        rng = random.Random(14)
+        parts = [sentence(900 + s, 12) for s in range(12)]
+        rows = [(i, " ".join(rng.choices(parts, k=3) + [sentence(1000 + i, 6)] + rng.choices(parts, k=2))) for i in range(90)]
+        rows += [(200 + i, rows[3 * i][1][i:]) for i in range(20)] + [(300 + i, rows[5][1]) for i in range(20)]
+        rng.shuffle(rows)
+        cut = suffix_dedup.remove_repeats(documents(rows), hot=hot).collect()
+        found = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in cut}
+        assert found == brute_repeats(rows)
+
     def test_rows_of_one_id_keep_their_bytes(self, documents):
         text = sentence(1, 40)
         cut = suffix_dedup.remove_repeats(documents([(1, text), (1, text), (2, text)])).collect()
